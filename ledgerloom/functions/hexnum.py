@@ -132,6 +132,18 @@ def _limb_names(name: str) -> list[str]:
     return [f"{name}__l{i}" for i in range(LIMBS)]
 
 
+def computed_once(df: DataFrame, kept: Sequence[str], derived: dict[str, str]) -> DataFrame:
+    """Select columns plus SQL expressions that later steps must not take apart.
+
+    A filter on a projected column is pushed below the projection with the whole
+    expression in its place. Limb expressions are long and build on each other, so
+    that would multiply them; a generator is not passed through. Filters on ``kept``
+    columns still reach the source.
+    """
+    fields = ", ".join(f"'{name}', {text}" for name, text in derived.items())
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.expr(f"inline(array(named_struct({fields})))"))
+
+
 def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = False) -> DataFrame:
     """Add the hex column ``value`` as BIGINT parts of two limbs each, lowest first.
 
@@ -140,6 +152,7 @@ def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = Fa
     """
     text, minus = f"{name}__text", f"{name}__minus"
     c = as_col(value)
+    kept = df.columns
     if signed:
         df = df.withColumns({
             minus: c.contains("-"),
@@ -148,7 +161,7 @@ def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = Fa
     else:
         df = df.withColumn(text, canonical(c))
     small = f"startswith(`{text}`, '0x{'0' * (_TOP_DIGITS + (_PAIRS - 3) * _PAIR_DIGITS)}')"
-    parts = []
+    parts = {}
     for i, label in enumerate(_pair_names(name)):
         if i == _PAIRS - 1:
             digits = f"substr(`{text}`, 3, {_TOP_DIGITS})"
@@ -158,11 +171,8 @@ def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = Fa
         number = f"cast(conv({digits}, 16, 10) as bigint)"
         if i >= 2:
             number = f"if({small}, 0L, {number})"
-        if signed:
-            number = f"if(`{minus}`, -{number}, {number})"
-        parts.append(F.expr(number).alias(label))
-    kept = [F.col(f"`{x}`") for x in df.columns if x not in (text, minus)]
-    return df.select(*kept, *parts)
+        parts[label] = f"if(`{minus}`, -{number}, {number})" if signed else number
+    return computed_once(df, kept, parts)
 
 
 def limb_sums(name: str, sign: str | None = None) -> list[Column]:
@@ -195,27 +205,40 @@ def _carried(parts: Sequence[str]) -> tuple[list[str], str]:
     return digits, f"({parts[-1]}{carry})"
 
 
-def collapse_limbs(df: DataFrame, name: str) -> DataFrame:
-    """Replace the limb columns of ``name`` by one signed ``0x`` + 64 digits column.
+def limbs_sign(name: str) -> Column:
+    """-1, 0 or 1 for the number in the limb columns, without turning them into text."""
+    digits, top = _carried([f"`{n}`" for n in _limb_names(name)])
+    zero = " | ".join([*digits, top]) + " = 0"
+    return F.expr(f"case when {top} < 0 then -1 when {zero} then 0 else 1 end")
 
-    Three projections on purpose: the sign is worked out once and then used by
-    every limb of the magnitude, and the digits once for both ways of padding.
-    """
+
+def limb_columns(name: str) -> list[str]:
+    """The columns that ``limb_sums`` makes; they can be summed again as they are."""
+    return _limb_names(name)
+
+
+def collapse_limbs(df: DataFrame, name: str) -> DataFrame:
+    """Replace the limb columns of ``name`` by one signed ``0x`` + 64 digits column."""
     names = _limb_names(name)
     minus, body = f"{name}__minus", f"{name}__digits"
-    kept = [f"`{c}`" for c in df.columns if c not in names]
+    kept = [c for c in df.columns if c not in names]
     _, top = _carried([f"`{n}`" for n in names])
-    df = df.selectExpr("*", f"{top} < 0 as `{minus}`")
-    digits, top = _carried([f"if(`{minus}`, -`{n}`, `{n}`)" for n in names])
-    pairs = [
-        f"lpad(hex(shiftleft({digits[i + 1]}, {LIMB_BITS}) | {digits[i]}), {_PAIR_DIGITS}, '0')"
-        for i in range(0, LIMBS - 1, 2)
-    ]
-    head = f"if({top} > 65535, hex({top}), lpad(hex({top}), {_TOP_DIGITS}, '0'))"
-    df = df.selectExpr(*kept, f"`{minus}`", f"lower(concat({', '.join([head, *reversed(pairs)])})) as `{body}`")
+
+    def text(sign: str) -> str:
+        digits, head = _carried([f"{sign}`{n}`" for n in names])
+        pairs = [
+            f"lpad(hex(shiftleft({digits[i + 1]}, {LIMB_BITS}) | {digits[i]}), {_PAIR_DIGITS}, '0')"
+            for i in range(0, LIMBS - 1, 2)
+        ]
+        first = f"if({head} > 65535, hex({head}), lpad(hex({head}), {_TOP_DIGITS}, '0'))"
+        return f"lower(concat({', '.join([first, *reversed(pairs)])}))"
+
+    df = computed_once(df, kept, {
+        minus: f"{top} < 0", body: f"if({top} < 0, {text('-')}, {text('')})"})
     bare = f"ltrim('0', `{body}`)"
     negative = f"lpad(concat('-', {bare}), greatest(64, length({bare}) + 1), '0')"
-    return df.selectExpr(*kept, f"concat('0x', if(`{minus}`, {negative}, `{body}`)) as `{name}`")
+    return df.selectExpr(
+        *[f"`{c}`" for c in kept], f"concat('0x', if(`{minus}`, {negative}, `{body}`)) as `{name}`")
 
 
 def sum_hex(df: DataFrame, keys: Sequence[str | Column], name: str, value: Column | str,
