@@ -10,7 +10,7 @@ A negative number is written with the sign in front of its digits
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -132,16 +132,17 @@ def _limb_names(name: str) -> list[str]:
     return [f"{name}__l{i}" for i in range(LIMBS)]
 
 
-def computed_once(df: DataFrame, kept: Sequence[str], derived: dict[str, str]) -> DataFrame:
-    """Select columns plus SQL expressions that later steps must not take apart.
+def computed_once(df: DataFrame, kept: Sequence[str], derived: dict[str, Column | str]) -> DataFrame:
+    """Select columns plus expressions (SQL text or Columns) that later steps must not
+    take apart.
 
     A filter on a projected column is pushed below the projection with the whole
-    expression in its place. Limb expressions are long and build on each other, so
-    that would multiply them; a generator is not passed through. Filters on ``kept``
-    columns still reach the source.
+    expression in its place, once per use. Long expressions that build on each other
+    multiply that way; a generator is not passed through. Filters on ``kept`` columns
+    still reach the source.
     """
-    fields = ", ".join(f"'{name}', {text}" for name, text in derived.items())
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.expr(f"inline(array(named_struct({fields})))"))
+    fields = [(F.expr(e) if isinstance(e, str) else e).alias(name) for name, e in derived.items()]
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(F.struct(*fields))))
 
 
 def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = False) -> DataFrame:
@@ -316,6 +317,11 @@ def _wide_parts(digits: Column, parts: int) -> list[Column]:
     ]
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _two_part_decimal(digits: Column) -> Column:
     low, high = _wide_parts(digits, 2)
     weight = F.lit(str(1 << 4 * _WIDE_DIGITS)).cast("decimal(19,0)")
@@ -336,19 +342,20 @@ def _long_decimal(digits: Column) -> Column:
             for i in range(parts)) + ")"
         for k in range(columns))
     factors = F.expr(f"cast(array({table}) as array<array<decimal(19,0)>>)")
-    numbers = F.array(*_wide_parts(digits, parts))
-    zero = F.lit(0).cast("decimal(38,0)")
     base = F.lit(str(10 ** _DEC_DIGITS)).cast("decimal(20,0)")
+    start = F.struct(F.lit("").alias("text"), F.lit(0).cast("decimal(38,0)").alias("carry"))
 
-    def carry_on(done: Column, row: Column) -> Column:
-        products = F.zip_with(numbers, row, lambda n, f: (n * f).cast("decimal(38,0)"))
-        total = F.aggregate(products, done["carry"], lambda a, x: (a + x).cast("decimal(38,0)"))
-        text = F.lpad((total % base).cast("decimal(19,0)").cast("string"), _DEC_DIGITS, "0")
-        return F.struct(F.concat(text, done["text"]).alias("text"),
-                        F.call_function("div", total, base).cast("decimal(38,0)").alias("carry"))
+    def convert(numbers: Column) -> Column:
+        def carry_on(done: Column, row: Column) -> Column:
+            products = F.zip_with(numbers, row, lambda n, f: (n * f).cast("decimal(38,0)"))
+            total = F.aggregate(products, done["carry"], lambda a, x: (a + x).cast("decimal(38,0)"))
+            text = F.lpad((total % base).cast("decimal(19,0)").cast("string"), _DEC_DIGITS, "0")
+            return F.struct(F.concat(text, done["text"]).alias("text"),
+                            F.call_function("div", total, base).cast("decimal(38,0)").alias("carry"))
 
-    start = F.struct(F.lit("").alias("text"), zero.alias("carry"))
-    return F.ltrim(F.aggregate(factors, start, carry_on, lambda done: done["text"]), F.lit("0"))
+        return F.aggregate(factors, start, carry_on, lambda done: done["text"])
+
+    return F.ltrim(_let(F.array(*_wide_parts(digits, parts)), convert), F.lit("0"))
 
 
 _DEC_CHUNK = 9               # decimal digits per part
@@ -358,30 +365,31 @@ _OUT_BITS = 28               # 30 + 28 bits and 15 terms stay below 63 bits
 def decimal_text_to_hex(value: Column | str, width: int = 64, max_digits: int = 135) -> Column:
     """Non-negative decimal text of up to ``max_digits`` digits as ``0x`` + padded hex digits."""
     chunks = -(-max_digits // _DEC_CHUNK)
-    padded = low_digits(as_col(value), chunks * _DEC_CHUNK)
-    values = [
-        F.substring(padded, (chunks - 1 - j) * _DEC_CHUNK + 1, _DEC_CHUNK).cast("bigint")
-        for j in range(chunks)
-    ]
-    weights = [10 ** (_DEC_CHUNK * j) for j in range(chunks)]
-    limbs_out = -(-(10 ** max_digits).bit_length() // _OUT_BITS)
+    places = -(-(10 ** max_digits).bit_length() // _OUT_BITS)
     mask = (1 << _OUT_BITS) - 1
-    totals = []
-    for k in range(limbs_out):
-        terms = [
-            v * F.lit((w >> (_OUT_BITS * k)) & mask).cast("bigint")
-            for v, w in zip(values, weights) if (w >> (_OUT_BITS * k)) & mask
-        ]
-        totals.append(reduce(lambda a, b: a + b, terms, F.lit(0).cast("bigint")))
+    table = ", ".join(
+        "array(" + ", ".join(
+            f"{((10 ** (_DEC_CHUNK * j)) >> (_OUT_BITS * k)) & mask}L" for j in range(chunks)) + ")"
+        for k in range(places))
+    factors = F.expr(f"array({table})")
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(F.lit("").alias("text"), zero.alias("carry"))
+
+    def split(padded: Column) -> Column:
+        return F.transform(F.sequence(F.lit(chunks - 1), F.lit(0)), lambda j: F.substring(
+            padded, j * _DEC_CHUNK + 1, F.lit(_DEC_CHUNK)).cast("bigint"))
+
+    def convert(numbers: Column) -> Column:
+        def carry_on(done: Column, row: Column) -> Column:
+            products = F.zip_with(numbers, row, lambda n, f: n * f)
+            total = F.aggregate(products, done["carry"], lambda a, x: a + x)
+            digits = F.lpad(F.hex(total.bitwiseAND(F.lit(mask).cast("bigint"))), _OUT_BITS // 4, "0")
+            return F.struct(F.concat(digits, done["text"]).alias("text"),
+                            F.shiftright(total, _OUT_BITS).alias("carry"))
 
-    def carry_on(done: Column, total: Column) -> Column:
-        carried = total + done["carry"]
-        digits = F.lpad(F.hex(carried.bitwiseAND(F.lit(mask).cast("bigint"))), _OUT_BITS // 4, "0")
-        return F.struct(F.concat(digits, done["text"]).alias("text"),
-                        F.shiftright(carried, _OUT_BITS).alias("carry"))
+        return F.aggregate(factors, start, carry_on, lambda done: done["text"])
 
-    start = F.struct(F.lit("").alias("text"), F.lit(0).cast("bigint").alias("carry"))
-    text = F.aggregate(F.array(*totals), start, carry_on, lambda done: done["text"])
+    text = _let(split(low_digits(as_col(value), chunks * _DEC_CHUNK)), convert)
     return F.concat(F.lit("0x"), pad_left(F.lower(F.ltrim(text, F.lit("0"))), width))
 
 

@@ -55,7 +55,7 @@ def hex_mod(digits: Column, width: int, modulus: int) -> Column:
         F.conv(F.substring(padded, start, 6), 16, 10).cast("bigint")
         for start in range(1, -(-width // 6) * 6, 6)
     ]
-    return reduce(lambda acc, part: (acc * (1 << 24) + part) % modulus, parts).cast("int")
+    return reduce(lambda acc, part: (acc * (1 << 24) + part) % modulus, parts[1:], parts[0] % modulus).cast("int")
 
 
 def shard_of_address(address: Column | str, shards: int) -> Column:

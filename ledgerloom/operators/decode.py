@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.hexnum import as_col, hex_body, hex_to_decimal_text, to_address
+from ledgerloom.functions.hexnum import (
+    as_col, computed_once, hex_body, hex_to_decimal_text, to_address,
+)
 from ledgerloom.functions.scalars import display_order
 from ledgerloom.operators.events import event_type, is_nft_transfer, is_token_transfer
 
@@ -133,11 +135,10 @@ def party_columns() -> tuple[Column, Column]:
 def transfer_parties(logs: DataFrame) -> DataFrame:
     """Contract and both parties of every transfer event, one row per event."""
     sender, receiver = party_columns()
-    return logs.filter(is_token_transfer("topics") | is_nft_transfer("topics")).select(
-        F.col("address").alias("contract_address"),
-        sender.alias("from_address"),
-        receiver.alias("to_address"),
-        is_token_transfer("topics").alias("is_token"),
+    kept = logs.filter(is_token_transfer("topics") | is_nft_transfer("topics")).select(
+        F.col("address").alias("contract_address"), "topics", "data",
         "timestamp", "block_number", "transaction_index", "log_index", "transaction_status",
-        "transaction_hash",
-    )
+        "transaction_hash")
+    rest = [c for c in kept.columns if c not in ("topics", "data")]
+    return computed_once(kept, rest, {
+        "from_address": sender, "to_address": receiver, "is_token": is_token_transfer("topics")})

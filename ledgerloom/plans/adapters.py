@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom import constants as K
-from ledgerloom.functions.hexnum import hex_to_decimal_text
+from ledgerloom.functions.hexnum import computed_once, hex_to_decimal_text
 from ledgerloom.functions.scalars import display_order
 from ledgerloom.streaming.segments import split_segments
 
@@ -160,21 +160,24 @@ def event_logs(spark: SparkSession, folder: str) -> DataFrame:
         .when(flag == "N", F.concat(head, _num_word(64), _num_word(160), *arrays))
         .when(status == "F", F.concat(head, *parties, "id", "amt"))
         .otherwise(F.concat(head, *parties, _num_word(160), _num_word(256), *arrays)))
-    return src.select(
+    # the encoding is worked out once per row, as if read from a file
+    return computed_once(src, list(LINE), {"topics": topics, "data": data}).select(
         F.concat(F.lit("0x"), hexed(F.col("l_orderkey"), 64)).alias("block_hash"),
         F.col("l_orderkey").alias("block_number"),
         transaction_hash().alias("transaction_hash"),
         F.col("l_linenumber").alias("transaction_index"),
         (status == "F").alias("transaction_status"),
         contract(F.col("l_partkey")).alias("address"),
-        topics.alias("topics"),
-        data.alias("data"),
+        "topics", "data",
         F.col("l_partkey").cast("int").alias("log_index"),
         "timestamp",
         F.lit(False).alias("removed"),
     )
 
 
+LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "timestamp")
+
+
 def blocks(spark: SparkSession, folder: str, counted: bool = False) -> DataFrame:
     """One block per order; ``counted`` adds the header's transaction count."""
     o = table(spark, folder, "orders").select(

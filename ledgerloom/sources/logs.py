@@ -36,16 +36,22 @@ def complete_blocks(raw: DataFrame) -> DataFrame:
         & F.forall(r["transactions"], whole_tx))
 
 
+def _decoded(lines: DataFrame, column: str, schema: str) -> DataFrame:
+    """JSON lines as columns. Each line is parsed once: the checks that follow would
+    otherwise be pushed below the parsing and repeat it for every field."""
+    parsed = F.from_json(column, schema, {"mode": "PERMISSIVE"})
+    return lines.select(F.inline(F.array(parsed)))
+
+
 def parse_blocks(lines: DataFrame, column: str = "value") -> DataFrame:
     """Block lines in a text column; lines that do not decode are dropped."""
-    parsed = lines.select(F.from_json(column, schemas.BLOCK_LOG, {"mode": "PERMISSIVE"}).alias("b"))
-    return complete_blocks(parsed.select("b.*"))
+    return complete_blocks(_decoded(lines, column, schemas.BLOCK_LOG))
 
 
 def parse_traces(lines: DataFrame, column: str = "value") -> DataFrame:
     """Trace lines in a text column, each call kept as JSON text; bad lines are dropped."""
-    parsed = lines.select(F.from_json(column, schemas.TRACE_LOG, {"mode": "PERMISSIVE"}).alias("t"))
-    return parsed.select("t.*").filter("blockNumber is not null and result is not null")
+    return _decoded(lines, column, schemas.TRACE_LOG).filter(
+        "blockNumber is not null and result is not null")
 
 
 def read_block_log(spark: SparkSession, path: str, bnp: int | tuple[int, int] | None = None) -> DataFrame:
@@ -69,11 +75,11 @@ def write_raw_log(df: DataFrame, path: str, mode: str = "append") -> None:
 
 def with_hour(lines: DataFrame) -> DataFrame:
     """Block lines with their partition and the UTC hour of their block; bad lines are dropped."""
-    parsed = lines.select(
-        "value", F.from_json("value", "blockNumber bigint, result struct<timestamp: string>").alias("b"))
-    return parsed.filter("b.blockNumber is not null and b.result.timestamp is not null").select(
-        block_partition("b.blockNumber").alias("bnp"),
-        dates.date_hour(hex_to_int(F.col("b.result.timestamp"))).alias("dh"),
+    head = F.from_json("value", "blockNumber bigint, result struct<timestamp: string>")
+    return lines.select("value", F.inline(F.array(head))).filter(
+        "blockNumber is not null and result.timestamp is not null").select(
+        block_partition("blockNumber").alias("bnp"),
+        dates.date_hour(hex_to_int(F.col("result.timestamp"))).alias("dh"),
         "value")
 
 
