@@ -319,17 +319,17 @@ def approval_logs(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "signup", F.concat(F.lit("0x"), hexed(F.col("event_id") % 2, 64)))
         .when(odd, F.concat(F.lit("0x"), amount))
         .otherwise(F.concat(F.lit("0x"), _word(F.col("owner")), amount)))
-    seconds = epoch(F.col("ts"))
-    return e.select(
-        F.expr("cast(unix_timestamp(cast(ts as timestamp)) div 3600 as bigint)").alias("block_number"),
+    encoded = computed_once(e, ["event_id", "ts", "part"], {"topics": topics, "data": data})
+    hour = F.call_function("div", epoch(F.col("ts")), F.lit(3600))
+    return encoded.select(
+        hour.cast("bigint").alias("block_number"),
         F.concat(F.lit("0x"), hexed(F.col("event_id"), 64)).alias("transaction_hash"),
         (F.col("event_id") % 1000).cast("int").alias("transaction_index"),
         F.col("event_id").cast("int").alias("log_index"),
         F.lit(True).alias("transaction_status"),
         contract(F.col("part")).alias("address"),
-        topics.alias("topics"), data.alias("data"),
-        (F.expr("cast(unix_timestamp(cast(ts as timestamp)) div 3600 as int)") * 3600).alias("timestamp"),
-        seconds.alias("exact_timestamp"),
+        "topics", "data",
+        (hour * 3600).cast("int").alias("timestamp"),
     )
 
 
@@ -399,9 +399,9 @@ def name_logs(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(K.TOPIC_TRANSFER), _topic(address(key)), _topic(address(key + 1)), name_hash))
         .when(kind == "HOUSEHOLD", F.array(F.lit(K.TOPIC_NAME_CHANGED), name_hash))
         .otherwise(F.array(F.lit(K.TOPIC_URI), name_hash)))
-    return c.select(
-        F.when(kind == "FURNITURE", REGISTRY).otherwise(contract(key)).alias("address"),
-        topics.alias("topics"), F.when(kind == "HOUSEHOLD", body).otherwise("0x").alias("data"))
+    return computed_once(c, [], {
+        "address": F.when(kind == "FURNITURE", REGISTRY).otherwise(contract(key)),
+        "topics": topics, "data": F.when(kind == "HOUSEHOLD", body).otherwise("0x")})
 
 
 def name_snapshot(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
