@@ -60,10 +60,14 @@ def contracts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with their order's customer and time."""
+    """Line items with their order's customer and time.
+
+    Spread by order before the join: that is the exchange a join of two large tables
+    needs anyway, and a small file of one row group would be a single task without it.
+    """
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", epoch(F.col("o_orderdate")).alias("timestamp"))
-    return table(spark, folder, "lineitem").join(orders, "l_orderkey")
+    return table(spark, folder, "lineitem").repartition("l_orderkey").join(orders, "l_orderkey")
 
 
 def _amount_digits(extra: int = 0) -> Column:
@@ -468,8 +472,13 @@ def bytecode(spark: SparkSession, folder: str) -> DataFrame:
         "contract_address", F.concat(F.lit("0x6080604052"), code, F.lit("00")).alias("bytecode"))
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents spread over tasks: their texts vary in length and come in few row groups."""
+    return table(spark, folder, "documents").repartition("doc_id")
+
+
 def text_bytecode(spark: SparkSession, folder: str) -> DataFrame:
     """Whole document texts as byte code."""
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         contract(F.col("doc_id")).alias("contract_address"),
         F.concat(F.lit("0x"), F.lower(F.hex(F.encode("text", "UTF-8")))).alias("bytecode"))

@@ -213,7 +213,7 @@ SELECT word, count(*) AS occurrences FROM (
   SELECT unnest(CASE WHEN rtrim(line, ' ') = '' AND line <> '' THEN [] ELSE string_split(rtrim(line, ' '), ' ') END) AS word
   FROM lines) GROUP BY 1""")
 def word_count(spark, folder):
-    return quality.word_count(A.table(spark, folder, "documents"))
+    return quality.word_count(A.documents(spark, folder))
 
 
 @query("last_offset_before", """
