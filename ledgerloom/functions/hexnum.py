@@ -393,6 +393,18 @@ def decimal_text_to_hex(value: Column | str, width: int = 64, max_digits: int =
     return F.concat(F.lit("0x"), pad_left(F.lower(F.ltrim(text, F.lit("0"))), width))
 
 
+def decimal_to_hex64(value: Column | str) -> Column:
+    """A non-negative DECIMAL(38,0) as ``0x`` + 64 digits, by two whole-number divisions."""
+    number = as_col(value).cast("decimal(38,0)")
+    two_64 = F.lit(str(1 << 64)).cast("decimal(20,0)")
+    two_32 = F.lit(1 << 32).cast("decimal(10,0)")
+    low = number % two_64
+    parts = (F.call_function("div", number, two_64), F.call_function("div", low, two_32),
+             (low % two_32).cast("bigint"))
+    digits = [F.lpad(F.hex(part), width, "0") for part, width in zip(parts, (16, 8, 8))]
+    return F.concat(F.lit("0x" + "0" * 32), F.lower(F.concat(*digits)))
+
+
 def remove_point(value: Column | str, scale: int) -> Column:
     """Decimal text times 10**scale, cut to whole digits, as decimal text."""
     text = as_col(value)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom import constants as K
 from ledgerloom.functions import dates
-from ledgerloom.functions.hexnum import canonical, decimal_text_to_hex, hex_to_decimal_text
+from ledgerloom.functions.hexnum import canonical, decimal_to_hex64, hex_to_decimal_text
 from ledgerloom.functions.scalars import block_partition, div
 
 _FEE = "decimal(38,0)"
@@ -185,7 +185,7 @@ def cumulative_burn_from_rewards(blocks: DataFrame, rewards: DataFrame, last: in
 def burns_as_hex(burns: DataFrame) -> DataFrame:
     """Burn rows in stored form, amounts as 64 hex digits."""
     names = ("fees", "accumulate_fees", "accumulate_balance")
-    return burns.withColumns({n: decimal_text_to_hex(F.col(n).cast("string"), max_digits=45) for n in names})
+    return burns.withColumns({n: decimal_to_hex64(n) for n in names})
 
 
 def block_rewards(rewards: DataFrame) -> DataFrame:

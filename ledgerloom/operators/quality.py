@@ -30,7 +30,10 @@ def missing_blocks(blocks: DataFrame, lo: int, hi: int) -> DataFrame:
     short = buckets.join(full, "bucket", "left").withColumns({"start": start, "end": end}).filter(
         F.coalesce("seen", F.lit(0)) < F.col("end") - F.col("start") + 1)
     wanted = short.select(F.explode(F.sequence("start", "end")).alias("number"))
-    return wanted.join(inside, "number", "left_anti")
+    # only blocks of incomplete bitmaps can matter: one row per bitmap decides that
+    near = shifted.withColumn("bucket", F.bitmap_bucket_number("n")).join(
+        short.select("bucket"), "bucket", "left_semi").select("number")
+    return wanted.join(near, "number", "left_anti")
 
 
 def recent_missing_blocks(blocks: DataFrame, recent: int, skip: int = 5) -> DataFrame:

@@ -113,3 +113,10 @@ def test_orders_and_shards(spark):
         assert r.so == "0x" + format(int(s) * 10 ** (50 - d), "0128x")
         whole, frac = divmod(int(s), 10 ** d)
         assert r.ad == (f"{whole}.{frac:0{d}d}" if d else s)
+
+
+def test_decimals_to_hex(spark):
+    ns = [n for n in numbers(5, 200) if n < 10 ** 38] + [10 ** 38 - 1, (1 << 64) * 3, (1 << 63) + 5]
+    df = spark.createDataFrame([(str(n),) for n in ns], "d string")
+    for r in df.select("d", H.decimal_to_hex64("d").alias("h")).collect():
+        assert r.h == hex64(int(r.d))
