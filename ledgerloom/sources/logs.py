@@ -112,6 +112,7 @@ def kafka_options(servers: str, topics: str, mode: str = "resume", max_records:
 
 def segments_of(records: DataFrame) -> DataFrame:
     """Kafka records (key, value, headers) as segments: headers hold 8-byte numbers."""
+    # fixed values: the names of the two headers
     def header(name: str) -> Column:
         found = F.filter("headers", lambda h: h["key"] == name)
         digits = F.hex(F.element_at(found, -1)["value"])
