@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks
+from ledgerloom.llm import html_blocks, reputation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +32,69 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op1_html_main_text")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return html_blocks.extract_main_text(table(spark, folder, "pages"))
+
+
+# The fixed rules of the URL filter.
+URL_RULES = (
+    reputation.Rule("block", "net", "/"),
+    reputation.Rule("allow", "example.net", "/en/"),
+    reputation.Rule("block", "example.com", "/de/"),
+    reputation.Rule("allow", "org", "/fr/"),
+)
+_DOCUMENT_NUMBER = r"/([0-9]+)(?:/|[.]html)?$"
+
+
+def _shrunk(source: str, parent: str, on: str, out: str) -> str:
+    """SQL of one level: prior weight by moments, clamped, then the shrunk share."""
+    joined = f"(SELECT c.*, p.mean FROM {source} c JOIN {parent} p ON {on})"
+    return f"""{out} AS (SELECT j.*, w.weight, (bad + weight * mean) / (n + weight) AS share FROM {joined} j,
+  (SELECT greatest(1.0, least(1000.0, CASE WHEN room > 0 AND over / room > 0 THEN 1 / (over / room) - 1
+     ELSE 1000.0 END)) AS weight FROM (SELECT sum(pow(bad - n * mean, 2) - n * mean * (1 - mean)) AS over,
+     sum(n * (n - 1) * mean * (1 - mean)) AS room FROM {joined})) w)"""
+
+
+OP3_SQL = f"""WITH cut AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
+outcomes AS (
+  SELECT page_id, count(*) AS n, count(*) FILTER (WHERE coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad
+  FROM (SELECT DISTINCT page_id, try_cast(regexp_extract(path, '{_DOCUMENT_NUMBER}', 1) AS BIGINT) AS d FROM cut
+        WHERE page_id IS NOT NULL)
+  JOIN labels ON doc_id = d WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY 1),
+hosts AS (
+  SELECT host, list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS domain,
+    string_split(host, '.')[-1] AS suffix, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
+  FROM cut JOIN outcomes USING (page_id) GROUP BY 1),
+every AS (SELECT sum(bad) / sum(n) AS mean FROM hosts),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1),
+{_shrunk("suffixes", "every", "true", "suffix_shares")},
+suffix_means AS (SELECT suffix, share AS mean FROM suffix_shares),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2),
+{_shrunk("domains", "suffix_means", "c.suffix = p.suffix", "domain_shares")},
+domain_means AS (SELECT domain, share AS mean FROM domain_shares),
+{_shrunk("hosts", "domain_means", "c.domain = p.domain", "host_shares")},
+ruled AS (
+  SELECT cut.*, CASE
+    WHEN (cut.host = 'example.net' OR cut.host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (cut.host = 'example.com' OR cut.host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (cut.host = 'org' OR cut.host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (cut.host = 'net' OR cut.host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule,
+    coalesce(share - 1.645 * sqrt(share * (1 - share) / (n + weight + 1)) > 0.25, false) AS poor,
+    coalesce(n, 0)::BIGINT AS n_labelled
+  FROM cut LEFT JOIN host_shares ON cut.host = host_shares.host)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow' WHEN poor THEN 'block' ELSE 'allow' END AS verdict, n_labelled
+FROM ruled"""
+
+
+@query("op3_host_reputation", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """A page's outcome is the label of the document whose number ends its path: bad if poor or toxic."""
+    pages = table(spark, folder, "pages")
+    numbered = pages.select("page_id", reputation.path_of(F.col("url")).alias("path")).selectExpr(
+        "page_id", f"try_cast(regexp_extract(path, '{_DOCUMENT_NUMBER}', 1) AS BIGINT) AS doc_id")
+    labels = table(spark, folder, "labels").where("quality IS NOT NULL OR toxic IS NOT NULL").selectExpr(
+        "doc_id", "coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS bad")
+    outcomes = numbered.distinct().join(labels, "doc_id").select("page_id", "bad")
+    return reputation.judge_urls(pages, outcomes, URL_RULES).drop("bad_share", "bad_bound")
