@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, reputation
+from ledgerloom.llm import html_blocks, reputation, warc_bundles
+from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,3 +99,19 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS bad")
     outcomes = numbered.distinct().join(labels, "doc_id").select("page_id", "bad")
     return reputation.judge_urls(pages, outcomes, URL_RULES).drop("bad_share", "bad_bound")
+
+
+OP6_SQL = """WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+    sha256(coalesce(html, '')) AS k FROM pages),
+kept AS (SELECT k, max(page_id) AS last_id FROM payloads WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < last_id THEN last_id END AS refers_to
+FROM payloads LEFT JOIN kept ON payloads.k = kept.k AND payload_bytes >= 1000"""
+
+
+@query("op6_warc_bundles", OP6_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_path(spark, "warc")
+    index = warc_bundles.write_bundles(table(spark, folder, "pages"), target)
+    return warc_bundles.read_bundles(spark, index, target, payloads=False).drop("url", "payload")
