@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, reputation, warc_bundles
+from ledgerloom.llm import html_blocks, packing, reputation, warc_bundles
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,17 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "warc")
     index = warc_bundles.write_bundles(table(spark, folder, "pages"), target)
     return warc_bundles.read_bundles(spark, index, target, payloads=False).drop("url", "payload")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+CLOSING_ID = 2
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path(), CLOSING_ID)
