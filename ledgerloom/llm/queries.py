@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, packing, reputation, warc_bundles
+from ledgerloom.llm import html_blocks, packing, positional, reputation, warc_bundles
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +129,32 @@ CLOSING_ID = 2
 @query("op10_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path(), CLOSING_ID)
+
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SMALL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP4_SQL = f"""WITH docs AS (SELECT doc_id, regexp_extract_all({_SMALL}, '{_ALNUM}') AS w FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_SMALL}, '{_ALNUM}') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, array_to_string(w[k:k + 12], ' ') AS window, least(len(w), 13) AS size
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT doc_id, k, size, array_to_string(w[k:k + size - 1], ' ') AS window
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM docs, sizes)),
+matches AS (SELECT doc_id, item, k, p.size FROM places p JOIN windows s ON p.window = s.window AND p.size = s.size),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + size)) AS place FROM matches) GROUP BY 1),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM matches) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+@query("op4_positional_index", OP4_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = positional.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"),
+                                     scratch_path(spark, "positional"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
