@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, packing, positional, reputation, warc_bundles
+from ledgerloom.llm import html_blocks, packing, positional, reputation, substrings, warc_bundles
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,3 +158,26 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
                                      scratch_path(spark, "positional"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+OP7_SQL = f"""WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, k, array_to_string(w[k:k + 12], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM docs)),
+firsts AS (SELECT gram, min(doc_id) AS least FROM windows GROUP BY 1),
+late AS (SELECT doc_id, k FROM windows JOIN firsts USING (gram) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 13)) AS place FROM late),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n_kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM docs)
+  ANTI JOIN gone USING (doc_id, place) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op7_repeated_passages", OP7_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
