@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, packing, positional, reputation, substrings, warc_bundles
+from ledgerloom.llm import html_blocks, packing, positional, reputation, secret_scan, substrings, warc_bundles
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +181,38 @@ FROM docs LEFT JOIN kept USING (doc_id)"""
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SECRET_RULES = secret_scan.BASE_RULES + secret_scan.MORE_RULES
+
+
+def _sql_spans(rule: secret_scan.Rule, number: int) -> str:
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return f"""SELECT doc_id, {number} AS number, '{rule.kind}' AS kind, {str(rule.base).lower()} AS base, length(j[i]) >= {rule.least} AS ok,
+  list_sum(list_transform(gaps[1:i], lambda x: length(x)))::BIGINT
+    + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)::BIGINT AS b, length(m[i]) AS size
+FROM (SELECT doc_id, m, j, gaps, unnest(range(1, len(m) + 1)) AS i
+  FROM (SELECT doc_id, regexp_extract_all(t, {pattern}, 0) AS m, regexp_extract_all(t, {pattern}, {rule.group}) AS j,
+    string_split_regex(t, {pattern}) AS gaps FROM texts))"""
+
+
+OP9_SQL = f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS (SELECT *, kind || ':' || b || ':' || (b + size) AS span FROM ({
+    " UNION ALL ".join(_sql_spans(rule, k) for k, rule in enumerate(SECRET_RULES))}) WHERE ok),
+sums AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY b, number) FILTER (WHERE base) AS base,
+    string_agg(span, ',' ORDER BY b, number) AS spans FROM spans GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN sums USING (doc_id)"""
+
+
+@query("op9_secret_scan", OP9_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"), scratch_path(spark, "secrets"), SECRET_RULES)
+    n = {kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")  # noqa: B023
+         for kind in ("assign", "access", "hex")}
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *n.values(), F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"),
+                        secret_scan.spans_text(F.col("spans")).alias("spans"))
