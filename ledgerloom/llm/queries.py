@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, packing, positional, reputation, secret_scan, substrings, warc_bundles
+from ledgerloom.llm import html_blocks, packing, positional, reputation, secret_scan, substrings, toxicity, warc_bundles
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,3 +216,21 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     return found.select("doc_id", *n.values(), F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"),
                         secret_scan.spans_text(F.col("spans")).alias("spans"))
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.crc32(F.col(doc_id).cast("string")) % 3 == 1
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """A model from the labelled documents that are not held out."""
+    known = labels.where("toxic IS NOT NULL").where(~held_out()).select("doc_id", "toxic")
+    labelled = docs.select("doc_id", "text").join(known, "doc_id")
+    return toxicity.train(labelled, scratch_path(spark, "toxicity"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity_model(spark, docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
