@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, packing, positional, reputation, secret_scan, substrings, toxicity, warc_bundles
+from ledgerloom.llm import html_blocks, hyperminhash, packing, positional, reputation, secret_scan, substrings, toxicity, warc_bundles
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,3 +234,30 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity_model(spark, docs, table(spark, folder, "labels"))
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+OP5_SQL = f"""WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_SMALL}, '{_WORDS}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+sets AS (SELECT doc_id, n, md5(string_agg(gram, chr(10) ORDER BY gram)) AS digest
+  FROM shingles JOIN sizes USING (doc_id) GROUP BY 1, 2),
+reps AS (SELECT digest, min(doc_id) AS rep, any_value(n) AS n FROM sets GROUP BY 1),
+own AS (SELECT rep, n, gram FROM shingles JOIN reps ON doc_id = rep),
+pairs AS (
+  SELECT a.rep AS u, b.rep AS v FROM own a JOIN own b ON a.gram = b.gram AND a.rep <> b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT rep AS node, rep AS least FROM reps
+  UNION SELECT v, least FROM reach JOIN pairs ON node = u WHERE least < v),
+found AS (SELECT node, min(least) AS least FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(f.least, d.doc_id) AS component_id,
+  coalesce(f.least, d.doc_id) = d.doc_id AS kept
+FROM docs d LEFT JOIN sets s USING (doc_id) LEFT JOIN reps r USING (digest) LEFT JOIN found f ON f.node = r.rep"""
+
+
+@query("op5_hyperminhash", OP5_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, folder, "documents"), scratch_path(spark, "hyperminhash"), 85)
