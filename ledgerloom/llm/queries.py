@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, hyperminhash, packing, positional, reputation, secret_scan, substrings, toxicity, warc_bundles
+from ledgerloom.llm import html_blocks, hyperminhash, packing, pivots, positional, reputation, secret_scan, substrings, toxicity, warc_bundles
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,3 +261,22 @@ FROM docs d LEFT JOIN sets s USING (doc_id) LEFT JOIN reps r USING (digest) LEFT
 @query("op5_hyperminhash", OP5_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, folder, "documents"), scratch_path(spark, "hyperminhash"), 85)
+
+
+OP2_SQL = """WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS node, vec_id AS least FROM embeddings
+  UNION SELECT v, least FROM reach JOIN links ON node = u WHERE least < v),
+found AS (SELECT node, min(least) AS least FROM reach GROUP BY 1),
+n AS (SELECT u, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least AS component_id, least = vec_id AS kept
+FROM embeddings JOIN found ON node = vec_id LEFT JOIN n ON u = vec_id"""
+
+
+@query("op2_pivot_permutation", OP2_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, folder, "embeddings"), scratch_path(spark, "pivots"))
