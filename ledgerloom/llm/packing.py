@@ -42,16 +42,15 @@ def padding(length: int, size: int) -> int:
 
 def cut_positions(doc_ends: np.ndarray, sentence_ends: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
     """(positions where a window may end, penalty of each), both behind position 0 and up to ``total``."""
-    places = np.union1d(np.union1d(doc_ends, sentence_ends), [0, total]).astype(np.int64)
-    places = places[(places >= 0) & (places <= total)]
-    gaps = np.flatnonzero(np.diff(places) > HARD_STEP)
-    hard = [np.arange(places[k] + HARD_STEP, places[k + 1], HARD_STEP) for k in gaps]
-    every = np.union1d(places, np.concatenate(hard)) if hard else places
-    every = every[every > 0]
-    penalty = np.full(len(every), HARD_PENALTY, np.int64)
-    penalty[np.isin(every, sentence_ends)] = SENTENCE_PENALTY
-    penalty[np.isin(every, doc_ends) | (every == total)] = 0
-    return every.astype(np.int64), penalty
+    kind = np.zeros(total + 1, np.int8)
+    kind[sentence_ends[sentence_ends <= total]] = 1
+    kind[doc_ends[doc_ends <= total]] = 2
+    kind[[0, total]] = 2
+    places = np.flatnonzero(kind)
+    for k in np.flatnonzero(np.diff(places) > HARD_STEP).tolist():
+        kind[places[k] + HARD_STEP:places[k + 1]:HARD_STEP] = 3
+    every = np.flatnonzero(kind)[1:]
+    return every, np.array([0, SENTENCE_PENALTY, 0, HARD_PENALTY], np.int64)[kind[every]]
 
 
 def best_cuts(places: np.ndarray, penalties: np.ndarray, size: int) -> list[int]:
