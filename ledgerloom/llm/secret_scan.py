@@ -150,11 +150,11 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, text): rows alike in id and text share a key and have the same result."""
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text_hash, text, kept): rows alike in id and text share a key and have the same result."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                       text.alias("text"))
+                       text.alias("text"), F.struct(*keep).alias("kept") if keep else F.lit(None).alias("kept"))
 
 
 def build_postings(docs: DataFrame, grams: list[str]) -> DataFrame:
@@ -214,8 +214,9 @@ def spans_of(text: Column, rule: Rule, number: int) -> Column:
 
 
 def scan(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
-    """One row (doc_id, text, spans) per document; spans are (start, kind, end, base) by start, then in the rules' order.
+         text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row (doc_id, text, spans) per document, with the columns ``keep`` in the struct ``kept``; spans are
+    (start, kind, end, base) by start, then in the rules' order.
 
     Null texts are empty. Rows with equal or null ids keep a row each. The postings are written below
     ``folder``, which all executors share.
@@ -224,12 +225,12 @@ def scan(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = BASE_RULES + MO
     some alternative, by the counts of the index, since no candidate can lack that.
     """
     spark = docs.sparkSession
-    source = keyed(docs, id_col, text_col)
+    source = keyed(docs, id_col, text_col, keep)
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     indexed = {kind: query for kind, query in queries.items() if query}
     numbers = {rule.kind: k for k, rule in enumerate(rules)}
     plain = [rule for rule in rules if not queries[rule.kind]]
-    whole = source.select(*_KEY, "text", F.concat(*[spans_of(F.col("text"), r, numbers[r.kind]) for r in plain],
+    whole = source.select(*_KEY, "text", "kept", F.concat(*[spans_of(F.col("text"), r, numbers[r.kind]) for r in plain],
                                                   F.array().cast("array<struct<start:int,number:int,end:int>>"))
                           .alias("spans"))
     if indexed:
@@ -240,17 +241,21 @@ def scan(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = BASE_RULES + MO
         count = {row.gram: row.n for row in postings.groupBy("gram").agg(F.count("*").alias("n")).collect()}
         rarest = sorted({min(sorted(q), key=lambda g: count.get(g, 0)) for query in indexed.values() for q in query})
         likely = source.where(reduce(lambda a, b: a | b, [F.contains(F.lower("text"), F.lit(g)) for g in rarest]))
-        texts = candidates(postings, indexed, grams).join(likely, list(_KEY))
+        texts = candidates(postings, indexed, grams).alias("c").join(
+            likely.drop("kept").alias("l"), F.col("c.doc_id").eqNullSafe(F.col("l.doc_id"))
+            & (F.col("c.text_hash") == F.col("l.text_hash"))).select("l.*", "kinds")
         found = texts.select(*_KEY, F.concat(*[
             F.when(F.array_contains("kinds", r.kind), spans_of(F.col("text"), r, numbers[r.kind])).otherwise(
                 F.array().cast("array<struct<start:int,number:int,end:int>>"))
             for r in rules if r.kind in indexed]).alias("verified"))
         found = found.where(F.size("verified") > 0).groupBy(*_KEY).agg(F.first("verified").alias("verified"))
-        whole = whole.join(found, list(_KEY), "left").withColumn(
+        # A null id has to meet itself: its text alone tells it apart.
+        same = F.col("w.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("w.text_hash") == F.col("f.text_hash"))
+        whole = whole.alias("w").join(found.alias("f"), same, "left").select("w.*", "verified").withColumn(
             "spans", F.concat("spans", F.coalesce("verified", F.expr("slice(spans, 1, 0)"))))
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     bases = F.array(*[F.lit(r.base) for r in rules])
-    return whole.select("doc_id", "text", F.transform(F.array_sort("spans"), lambda s: F.struct(
+    return whole.select("doc_id", "text", "kept", F.transform(F.array_sort("spans"), lambda s: F.struct(
         s["start"].alias("start"), F.element_at(kinds, s["number"] + 1).alias("kind"), s["end"].alias("end"),
         F.element_at(bases, s["number"] + 1).alias("base"))).alias("spans"))
 
@@ -258,3 +263,18 @@ def scan(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = BASE_RULES + MO
 def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with every span, or run of overlapping spans, replaced by the kind of its first one in brackets."""
+    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(s: Column, span: Column) -> Column:
+        between = F.substring(text, s["at"] + 1, F.greatest(span["start"] - s["at"], F.lit(0)))
+        mark = F.when(span["start"] >= s["at"], F.concat(F.lit("["), span["kind"], F.lit("]"))).otherwise("")
+        return F.struct(F.greatest(s["at"], span["end"]).alias("at"),
+                        F.concat(s["out"], between, mark).alias("out"))
+
+    done = F.aggregate(spans, state, step)
+    return F.when(F.size(spans) == 0, text).otherwise(
+        F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))

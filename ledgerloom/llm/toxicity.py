@@ -400,7 +400,8 @@ def _hardest(silent: DataFrame, model: Model) -> dict[str, tuple[int, int]]:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
           keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, score (0 to 1), predicted (1 from THRESHOLD on), and the columns ``keep``.
+    """One row per document: doc_id, score (0 to 1), predicted (1 from THRESHOLD on), and the columns ``keep``
+    (those named like one of the first three as ``kept.name``).
 
     Null and empty texts score like a text without any word. Only the text enters the score.
     """
@@ -409,16 +410,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             for low, n in tokens.stretches(batch.column(1)):
                 part = batch.slice(low, n)
                 scores = model.probability(evidence_of(model, part.column(1)))
+                # The text itself is not sent twice.
+                kept = [part.column(1 if place is None else place) for place in places]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(scores, pa.float64()),
-                     pa.array((scores >= THRESHOLD).astype(np.int32), pa.int32()), *part.columns[2:]],
-                    ["doc_id", "score", "predicted", *part.schema.names[2:]])
+                     pa.array((scores >= THRESHOLD).astype(np.int32), pa.int32()), *kept],
+                    ["doc_id", "score", "predicted", *names])
 
-    kept = [F.col(c).alias(f"kept_{k}") for k, c in enumerate(keep)]
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                         *kept)
-    types = dict(source.dtypes)
-    schema = "doc_id bigint, score double, predicted int" + "".join(
-        f", kept_{k} {types[f'kept_{k}']}" for k in range(len(keep)))
-    out = source.mapInArrow(judge, schema)
-    return out.select("doc_id", "score", "predicted", *[F.col(f"kept_{k}").alias(c) for k, c in enumerate(keep)])
+                         *[F.col(c).alias(f"kept_{k}") for k, c in enumerate(keep) if c != text_col])
+    others = iter(range(2, len(source.columns)))
+    places = [None if c == text_col else next(others) for c in keep]
+    names = [f"kept_{k}" for k in range(len(keep))]
+    types = dict(source.dtypes) | {f"kept_{k}": "string" for k, c in enumerate(keep) if c == text_col}
+    out = source.mapInArrow(judge, ", ".join(["doc_id bigint, score double, predicted int"]
+                                             + [f"{name} {types[name]}" for name in names]))
+    return out.select("doc_id", "score", "predicted", *[F.col(n).alias(f"kept.{c}" if c in (
+        "doc_id", "score", "predicted") else c) for n, c in zip(names, keep)])
