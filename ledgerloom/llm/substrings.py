@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import words
 
 WIDTH = 13
-# Groups and buckets for each shuffle partition; both are rounded to powers of two.
-GROUPS_PER_PARTITION = 4
-BUCKETS_PER_PARTITION = 4
+# Groups and buckets for each shuffle partition, both rounded to powers of two. A group sends one row to each
+# bucket, so the rows grow with the product: few of them, as large as a task's memory allows.
+GROUPS_PER_PARTITION = 2
+BUCKETS_PER_PARTITION = 1
 
 ENTRY_SCHEMA = "bucket int, part int, hashes binary, places binary, docs binary, marks binary"
 MARK_SCHEMA = "part int, marks binary"
