@@ -157,7 +157,8 @@ class _Run:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, last_id: int, size: int = 4096, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", segment_tokens: int = SEGMENT_TOKENS,
+                   stretch_bytes: int = tokens.STRETCH_BYTES) -> DataFrame:
     """One row (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) per piece of a document.
 
     Documents keep the order they have in their partition. A null or empty text is its closing id alone;
@@ -170,10 +171,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, last_id: int, size: int
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = _Run(size, TaskContext.get().partitionId())
         for batch in batches:
-            for low, count in tokens.stretches(batch.column(1)):
+            for low, count in tokens.stretches(batch.column(1), stretch_bytes):
                 part = batch.slice(low, count)
                 run.add(part.column(0).to_pylist(), *tokens.encode_texts(json, part.column(1), last_id))
-                if len(run.ids) >= SEGMENT_TOKENS and (rows := run.pack(last=False)):
+                if len(run.ids) >= segment_tokens and (rows := run.pack(last=False)):
                     yield rows
         if rows := run.pack(last=True):
             yield rows

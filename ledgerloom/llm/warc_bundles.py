@@ -115,7 +115,8 @@ def read_seek_table(file: pa.NativeFile) -> list[tuple[int, int, int]]:
 class _Bundle:
     """An open bundle: frames go to the file as they fill up, so a task holds one frame in memory."""
 
-    def __init__(self, system: pafs.FileSystem, folder: str) -> None:
+    def __init__(self, system: pafs.FileSystem, folder: str, frame_bytes: int) -> None:
+        self.frame_bytes = frame_bytes
         self.name = f"{uuid.uuid4().hex}.warc.zst"
         self.file = system.open_output_stream(f"{folder}/{self.name}", compression=None)
         self.frames: list[tuple[int, int]] = []
@@ -126,7 +127,7 @@ class _Bundle:
     def add(self, page_id: int | None, record: bytes) -> list[tuple]:
         self.waiting.append((record_id(page_id), page_id, len(self.plain), len(record)))
         self.plain += record
-        return self.end_frame() if len(self.plain) >= FRAME_BYTES else []
+        return self.end_frame() if len(self.plain) >= self.frame_bytes else []
 
     def end_frame(self) -> list[tuple]:
         """Writes the frame; index rows of its records."""
@@ -168,7 +169,8 @@ def with_record_types(pages: DataFrame, id_col: str = "page_id", url_col: str =
         "page_id", "url", "html", F.when(F.col("page_id") < F.col("last"), F.col("last")).alias("refers_to"))
 
 
-def write_bundles(pages: DataFrame, folder: str, date: str = "2020-01-01T00:00:00Z") -> DataFrame:
+def write_bundles(pages: DataFrame, folder: str, date: str = "2020-01-01T00:00:00Z", frame_bytes: int = FRAME_BYTES,
+                  bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Writes ``pages`` as bundles below ``folder`` and returns the index, read back from ``folder``/index.
 
     ``folder`` is a URI or path that all executors share. An empty table gives an empty index.
@@ -190,12 +192,12 @@ def write_bundles(pages: DataFrame, folder: str, date: str = "2020-01-01T00:00:0
             for k in range(batch.num_rows):
                 page_id, url, html, refers_to = (batch.column(c)[k].as_py() for c in range(4))
                 payload = html.encode()
-                bundle = bundle or _Bundle(system, path)
+                bundle = bundle or _Bundle(system, path, frame_bytes)
                 rows = bundle.add(page_id, record_bytes(
                     page_id, url, payload, hashlib.sha1(payload).hexdigest(), refers_to, refers_to is not None, date))
                 if rows:
                     yield index(rows)
-                if bundle.size >= BUNDLE_BYTES:
+                if bundle.size >= bundle_bytes:
                     if rows := bundle.close():
                         yield index(rows)
                     bundle = None
