@@ -8,7 +8,7 @@ with hard negatives added in rounds.
 
 A word is scored once for a stretch of texts. A look-up of its subsequences bounds its likeness to every
 landmark that speaks for toxicity; below FLOOR nothing speaks for it and it scores the bias. A text is
-judged by its worst word and by how many words are above 0, put on the scale of a probability by a logistic
+judged by its worst word and by how many words are above STRONG, put on the scale of a probability by a logistic
 fitted on labelled texts that the machine was not trained on.
 """
 
@@ -31,6 +31,8 @@ DECAY = 0.7
 POWER = 3
 FLOOR = 0.6
 GROUPS = 16
+# Words above this margin are counted.
+STRONG = 0.3
 # Words are judged by pieces of this many letters, one beginning every other letter.
 PIECE = 8
 STEP = 2
@@ -161,7 +163,7 @@ class Model:
 
 
 def _design(evidence: np.ndarray) -> np.ndarray:
-    """Columns of the logistic: worst margin, number of words above 0 on a log scale, one."""
+    """Columns of the logistic: worst margin, number of words above STRONG on a log scale, one."""
     return np.stack([evidence[:, 0], np.log1p(evidence[:, 1]), np.ones(len(evidence))], axis=1)
 
 
@@ -192,7 +194,7 @@ def _tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def evidence_of(model: Model, texts: pa.Array) -> np.ndarray:
-    """(greatest word margin, words with a margin above 0) of each text; the bias and 0 for texts without words."""
+    """(greatest word margin, words above STRONG) of each text; the bias and 0 for texts without words."""
     distinct, codes, owner = _tokens(texts)
     pieces: dict[str, int] = {}
     source: list[int] = []
@@ -206,7 +208,7 @@ def evidence_of(model: Model, texts: pa.Array) -> np.ndarray:
     margins = by_word[codes]
     out = np.stack([np.full(len(texts), model.bias), np.zeros(len(texts))], axis=1)
     np.maximum.at(out[:, 0], owner, margins)
-    out[:, 1] = np.bincount(owner[margins > 0], minlength=len(texts))
+    out[:, 1] = np.bincount(owner[margins > STRONG], minlength=len(texts))
     return out
 
 
