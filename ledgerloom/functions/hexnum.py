@@ -117,8 +117,21 @@ _PAIR_DIGITS = 2 * LIMB_DIGITS
 _TOP_DIGITS = 64 - (_PAIRS - 1) * _PAIR_DIGITS
 
 
+# Sums and conversions work on up to this many hex digits (300 bits); longer numbers raise an error.
+MOST_DIGITS = (_PAIRS - 1) * _PAIR_DIGITS + 15
+
+
 def canonical(value: Column | str) -> Column:
-    """The low 256 bits of an unsigned hex number as exactly ``0x`` + 64 digits."""
+    """An unsigned hex number as ``0x`` + 64 digits; a longer one keeps all its digits, up to MOST_DIGITS."""
+    c = as_col(value)
+    digits = F.ltrim(hex_body(c), F.lit("0"))
+    too_long = F.raise_error(F.concat(F.lit(f"more than {MOST_DIGITS} hex digits: "), c)).cast("string")
+    padded = F.when(F.length(digits) > MOST_DIGITS, too_long).otherwise(F.concat(F.lit("0x"), pad_left(digits, 64)))
+    return F.when((F.octet_length(c) == 66) & c.startswith("0x"), c).otherwise(padded)
+
+
+def low_word(value: Column | str) -> Column:
+    """The low 256 bits as exactly ``0x`` + 64 digits: how a word of event data reads, whatever stands before it."""
     c = as_col(value)
     padded = F.concat(F.lit("0x"), low_digits(hex_body(c), 64))
     return F.when((F.octet_length(c) == 66) & c.startswith("0x"), c).otherwise(padded)
@@ -149,7 +162,8 @@ def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = Fa
     """Add the hex column ``value`` as BIGINT parts of two limbs each, lowest first.
 
     Nearly all amounts stay below 96 bits; then one prefix compare settles the
-    upper parts. ``signed`` also accepts a minus sign in front of the digits.
+    upper parts. ``signed`` also accepts a minus sign in front of the digits. The top
+    part holds whatever is left of a number above 256 bits, as sums of them can be.
     """
     text, minus = f"{name}__text", f"{name}__minus"
     c = as_col(value)
@@ -165,10 +179,9 @@ def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = Fa
     parts = {}
     for i, label in enumerate(_pair_names(name)):
         if i == _PAIRS - 1:
-            digits = f"substr(`{text}`, 3, {_TOP_DIGITS})"
+            digits = f"substr(`{text}`, 3, length(`{text}`) - {2 + i * _PAIR_DIGITS})"
         else:
-            start = 3 + _TOP_DIGITS + (_PAIRS - 2 - i) * _PAIR_DIGITS
-            digits = f"substr(`{text}`, {start}, {_PAIR_DIGITS})"
+            digits = f"substr(`{text}`, {-(i + 1) * _PAIR_DIGITS}, {_PAIR_DIGITS})"
         number = f"cast(conv({digits}, 16, 10) as bigint)"
         if i >= 2:
             number = f"if({small}, 0L, {number})"
@@ -278,7 +291,7 @@ _DEC_DIGITS = 19             # decimal digits per column of the result
 
 
 def hex_to_decimal_text(value: Column | str) -> Column:
-    """An unsigned hex number of up to 256 bits as decimal text; empty text is 0.
+    """An unsigned hex number of up to MOST_DIGITS digits as decimal text; empty text is 0.
 
     Three branches, cheapest first: short text, 60 bits, 120 bits, then any size.
     """
@@ -286,9 +299,10 @@ def hex_to_decimal_text(value: Column | str) -> Column:
     full = canonical(c)
 
     def tail(parts: int) -> Column:
-        return F.substring(full, 67 - parts * _WIDE_DIGITS, parts * _WIDE_DIGITS)
+        return F.substring(full, -parts * _WIDE_DIGITS, parts * _WIDE_DIGITS)
 
     def fits(parts: int) -> Column:
+        # A number above 256 bits begins with a digit other than 0.
         return full.startswith("0x" + "0" * (64 - parts * _WIDE_DIGITS))
 
     short = c.startswith("0x") & (F.octet_length(c) <= 2 + _WIDE_DIGITS)
@@ -296,7 +310,7 @@ def hex_to_decimal_text(value: Column | str) -> Column:
         F.when(short, F.conv(F.concat(F.lit("0"), F.substring(c, 3, _WIDE_DIGITS)), 16, 10))
         .when(fits(1), F.conv(tail(1), 16, 10))
         .when(fits(2), _two_part_decimal(tail(2)))
-        .otherwise(_long_decimal(F.substring(full, 3, 64)))
+        .otherwise(_long_decimal(F.substring(full, 3, MOST_DIGITS)))
     )
 
 
@@ -329,13 +343,13 @@ def _two_part_decimal(digits: Column) -> Column:
 
 
 def _long_decimal(digits: Column) -> Column:
-    """Any 256-bit number: every base-10**19 column is a sum of parts times constants.
+    """Any number of up to MOST_DIGITS digits: every base-10**19 column is a sum of parts times constants.
 
     Written with array functions because the flat form is so much code that the
     JVM would not compile the whole projection; few numbers get here.
     """
-    parts = -(-64 // _WIDE_DIGITS)
-    columns = -(-len(str((1 << 256) - 1)) // _DEC_DIGITS)
+    parts = -(-MOST_DIGITS // _WIDE_DIGITS)
+    columns = -(-len(str(16 ** MOST_DIGITS)) // _DEC_DIGITS)
     table = ", ".join(
         "array(" + ", ".join(
             f"{(1 << (4 * _WIDE_DIGITS * i)) // 10 ** (_DEC_DIGITS * k) % 10 ** _DEC_DIGITS}BD"
@@ -363,7 +377,7 @@ _OUT_BITS = 28               # 30 + 28 bits and 15 terms stay below 63 bits
 
 
 def decimal_text_to_hex(value: Column | str, width: int = 64, max_digits: int = 135) -> Column:
-    """Non-negative decimal text of up to ``max_digits`` digits as ``0x`` + padded hex digits."""
+    """Non-negative decimal text as ``0x`` + padded hex digits; more than ``max_digits`` digits raise an error."""
     chunks = -(-max_digits // _DEC_CHUNK)
     places = -(-(10 ** max_digits).bit_length() // _OUT_BITS)
     mask = (1 << _OUT_BITS) - 1
@@ -389,7 +403,10 @@ def decimal_text_to_hex(value: Column | str, width: int = 64, max_digits: int =
 
         return F.aggregate(factors, start, carry_on, lambda done: done["text"])
 
-    text = _let(split(low_digits(as_col(value), chunks * _DEC_CHUNK)), convert)
+    digits = F.ltrim(as_col(value), F.lit("0"))
+    too_long = F.raise_error(F.concat(F.lit(f"more than {max_digits} digits: "), digits)).cast("string")
+    checked = F.when(F.length(digits) > max_digits, too_long).otherwise(digits)
+    text = _let(split(low_digits(checked, chunks * _DEC_CHUNK)), convert)
     return F.concat(F.lit("0x"), pad_left(F.lower(F.ltrim(text, F.lit("0"))), width))
 
 

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import hexnum as H
@@ -120,3 +121,31 @@ def test_decimals_to_hex(spark):
     df = spark.createDataFrame([(str(n),) for n in ns], "d string")
     for r in df.select("d", H.decimal_to_hex64("d").alias("h")).collect():
         assert r.h == hex64(int(r.d))
+
+
+def test_sums_past_256_bits(spark):
+    """Merged balances keep the digits that a second merge would lose with 64 of them."""
+    draw = random.Random(11)
+    top = (1 << 256) - 1
+    pairs = [(top, top), (2 * top, 1), (2 * top, -top), (-3 * top, 5 * top), ((1 << 299), -(1 << 280)), (0, 0)]
+    pairs += [(draw.getrandbits(290) - (1 << 289), draw.getrandbits(270)) for _ in range(40)]
+    rows = [(k, hex64(a), hex64(b)) for k, (a, b) in enumerate(pairs)]
+    df = H.add_hex(spark.createDataFrame(rows, "k int, a string, b string"), "total", "a", "b")
+    got = {r.k: r.total for r in df.collect()}
+    assert all(got[k] == hex64(a + b) for k, (a, b) in enumerate(pairs))
+    again = H.add_hex(df.withColumn("one", F.lit(hex64(1))), "more", "total", "one").collect()
+    assert all(r.more == hex64(sum(pairs[r.k]) + 1) for r in again)
+    texts = [0, 16 ** 64, 16 ** 75 - 1, *(abs(a) for a, _ in pairs)]
+    out = spark.createDataFrame([(hex(x),) for x in texts], "x string").select(H.hex_to_decimal_text("x").alias("d")).collect()
+    assert [int(r.d) for r in out] == texts
+
+
+def test_too_long_numbers_raise(spark):
+    long = spark.createDataFrame([("0x1" + "0" * 75,)], "x string")
+    with pytest.raises(Exception, match="hex digits"):
+        long.select(H.hex_to_decimal_text("x")).collect()
+    with pytest.raises(Exception, match="hex digits"):
+        H.add_hex(long, "y", "x", "x").collect()
+    nines = spark.createDataFrame([("9" * 200,)], "x string")
+    with pytest.raises(Exception, match="digits"):
+        nines.select(H.decimal_text_to_hex("x")).collect()
