@@ -2,70 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.hexnum import hex_body, hex_to_decimal_text, hex_to_int, hex_to_long
+from ledgerloom.functions import trace_text
+from ledgerloom.functions.hexnum import computed_once, hex_body, hex_to_decimal_text, hex_to_int, hex_to_long
 from ledgerloom.functions.scalars import block_partition, div, hex_mod
 
-# One step of the tree walk: the calls below the frontier, numbered on from the
-# nodes seen so far. ``path`` orders nodes as a depth-first walk meets them.
-_NODE = "struct<seq: int, parent: int, path: array<int>, node: variant>"
-_ROOT = f"cast(array(struct(0, -1, cast(array() as array<int>), root)) as array<{_NODE}>)"
-_CHILDREN = """
-  flatten(transform(acc.frontier, n -> transform(
-    coalesce(try_variant_get(n.node, '$.calls', 'array<variant>'), cast(array() as array<variant>)),
-    (c, k) -> struct(n.seq as parent, concat(n.path, array(k)) as path, c as node))))
-"""
-_STEP = f"""
-  transform({_CHILDREN}, (c, k) -> struct(
-    cast(size(acc.seen) + k as int) as seq, c.parent as parent, c.path as path, c.node as node))
-"""
-# The walk needs as many steps as the tree is deep; the number of "calls" keys in
-# the text is never less and is zero for the many traces without inner calls.
-_WALK = f"""
-  aggregate(
-    if(call_keys > 0, sequence(1, call_keys), cast(array() as array<int>)),
-    struct({_ROOT} as seen, {_ROOT} as frontier),
-    (acc, i) -> if(size(acc.frontier) = 0, acc, struct(
-       concat(acc.seen, {_STEP}) as seen, {_STEP} as frontier)),
-    acc -> acc.seen)
-"""
+_FLAT = "block_number bigint, index int, call_id int, parent_call_id int, fields string"
+# Own fields of a call; the inner calls have been taken out of the text.
+_FIELDS = (
+    "type string, `from` string, `to` string, value string, gas string, gasUsed string, input string, "
+    "output string, time string, error string, reverted struct<contract: string, message: string>"
+)
 
 
 def flatten_calls(traces: DataFrame) -> DataFrame:
     """One row per call. The top call has id 0 and no parent; the others are numbered from
     1 in depth-first order. ``time`` and ``reverted`` are kept on the top call only.
 
-    All of it happens inside the row of one transaction's trace: no shuffle, and any
-    depth. ``traces`` has ``blockNumber`` and ``result``, an array of JSON texts.
+    A trace is cut into flat calls inside its task by one scan of its text: no shuffle, any
+    depth, and work in step with the text. ``traces`` has ``blockNumber`` and ``result``, an
+    array of JSON texts; a text that is no JSON object gives no rows.
     """
+    def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for number, index, text in zip(*(c.to_pylist() for c in batch.columns)):
+                found = trace_text.flat_calls(text) if text is not None else None
+                rows += [(number, index, k, parent, flat) for k, (parent, flat) in enumerate(found or ())]
+                if len(rows) >= _ROWS:
+                    yield _flat_batch(rows)
+                    rows = []
+            if rows:
+                yield _flat_batch(rows)
+
     tops = traces.select(
         F.col("blockNumber").alias("block_number"), F.posexplode("result").alias("index", "text"))
-    opened = tops.select(
-        "block_number", "index",
-        F.try_parse_json("text").alias("root"),
-        F.expr("cast((length(text) - length(replace(text, '\"calls\"', ''))) div 7 as int)").alias("call_keys"),
-    ).filter("root is not null")
-    walked = opened.select("block_number", "index", F.expr(_WALK).alias("nodes"))
-    # Position in path order is the call id; the second array leads from a node's
-    # number to that position, which turns parent numbers into parent ids.
-    ordered = walked.select("block_number", "index", F.expr(
-        "array_sort(nodes, (a, b) -> case when a.path < b.path then -1 when a.path > b.path then 1 else 0 end)"
-    ).alias("nodes"))
-    ranked = ordered.select("block_number", "index", "nodes", F.expr(
-        "transform(array_sort(transform(nodes, (n, i) -> struct(n.seq as seq, i as id))), x -> x.id)"
-    ).alias("ids"))
-    rows = ranked.select(
-        "block_number", "index", "ids", F.posexplode("nodes").alias("call_id", "n"))
+    rows = computed_once(
+        tops.mapInArrow(flatten, _FLAT), ["block_number", "index", "call_id", "parent_call_id"],
+        {"n": F.from_json("fields", _FIELDS)})
 
     def text(name: str) -> Column:
-        return F.try_variant_get(F.col("n.node"), f"$.{name}", "string")
+        return F.col(f"n.{name}")
 
     top = F.col("call_id") == 0
     return rows.select(
         block_partition("block_number").alias("bnp"),
-        "block_number", "index", "call_id",
-        F.when(~top, F.get("ids", F.col("n.parent"))).alias("parent_call_id"),
+        "block_number", "index", "call_id", "parent_call_id",
         text("type").alias("type"),
         text("from").alias("from_address"),
         text("to").alias("to_address"),
@@ -76,11 +62,19 @@ def flatten_calls(traces: DataFrame) -> DataFrame:
         text("output").alias("output"),
         F.when(top, text("time")).alias("time"),
         text("error").alias("error"),
-        F.when(top, F.try_variant_get(
-            F.col("n.node"), "$.reverted", "struct<contract: string, message: string>")).alias("reverted"),
+        F.when(top, text("reverted")).alias("reverted"),
     )
 
 
+_ROWS = 20_000
+
+
+def _flat_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+    names = [part.split()[0] for part in _FLAT.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
 def index_calls_by_address(calls: DataFrame) -> DataFrame:
     """(address, call) pairs: the sender, and the receiver if it is another address."""
     internal_id = F.concat_ws("_", "block_number", "index", "call_id").alias("internal_tx_id")

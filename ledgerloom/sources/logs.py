@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom import schemas
-from ledgerloom.functions import dates
+from ledgerloom.functions import dates, trace_text
 from ledgerloom.functions.hexnum import hex_to_int
 from ledgerloom.functions.scalars import block_partition
 
@@ -49,9 +51,22 @@ def parse_blocks(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def parse_traces(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Trace lines in a text column, each call kept as JSON text; bad lines are dropped."""
-    return _decoded(lines, column, schemas.TRACE_LOG).filter(
-        "blockNumber is not null and result is not null")
+    """Trace lines in a text column, each top call kept as JSON text of any depth; lines that do not
+    decode are dropped (``decode_counts`` tells how many)."""
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x for x in map(trace_text.split_line, batch.column(0).to_pylist()) if x is not None]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _ in found], pa.int64()), pa.array([t for _, t in found], pa.list_(pa.string()))],
+                ["blockNumber", "result"])
+
+    return lines.select(F.col(column).cast("string")).mapInArrow(split, schemas.TRACE_LOG)
+
+
+def decode_counts(lines: DataFrame, decoded: DataFrame) -> DataFrame:
+    """One row: lines read, lines decoded, lines that did not decode."""
+    counts = lines.agg(F.count("*").alias("lines")).crossJoin(decoded.agg(F.count("*").alias("decoded")))
+    return counts.withColumn("undecoded", F.col("lines") - F.col("decoded"))
 
 
 def read_block_log(spark: SparkSession, path: str, bnp: int | tuple[int, int] | None = None) -> DataFrame:

@@ -91,6 +91,36 @@ def test_calls_are_numbered_depth_first(spark):
     assert got == _numbered(tops)
 
 
+def test_calls_of_any_depth_and_width(spark):
+    lines, want = [], {}
+    for k, depth in enumerate((480, 520, 2_000, 30_000)):
+        chain = "".join(f'{{"from":"0x{d:x}","value":"0x0","calls":[' for d in range(depth)) + "]}" * depth
+        lines.append(f'{{"blockNumber":{k},"result":[{chain}]}}')
+        want[k] = [(d, d - 1 if d else None, f"0x{d:x}") for d in range(depth)]
+    inner = ",".join(f'{{"calls":[],"from":"0x{d:x}"}}' for d in range(1, 16_001))
+    lines.append(f'{{"result":[{{"calls" : [{inner}], "from":"0x0"}}], "blockNumber" : 9}}')
+    want[9] = [(d, 0 if d else None, f"0x{d:x}") for d in range(16_001)]
+    bad = ['{"blockNumber":1,"result":[{"calls":[{]}}]}', '{"blockNumber":1,"result":[{"a":1}', '{"blockNumber":"x","result":[]}',
+           '{"blockNumber":1,"result":null}', '{"blockNumber":1,"result":[{"a":}]}', None, "", '{"result":[]}']
+    source = spark.createDataFrame([(x,) for x in lines + bad], "value string")
+    traces = L.parse_traces(source)
+    got = {}
+    for r in calls.flatten_calls(traces).select("block_number", "call_id", "parent_call_id", "from_address").collect():
+        got.setdefault(r.block_number, []).append((r.call_id, r.parent_call_id, r.from_address))
+    assert {k: sorted(v) for k, v in got.items()} == want
+    assert tuple(L.decode_counts(source, traces).first()) == (len(lines) + len(bad), len(lines), len(bad))
+
+
+def test_strings_do_not_open_calls(spark):
+    top = {"from": "0x1", "input": '"calls":[{', "error": "a\\\"]}", "reverted": {"contract": "0x2", "message": "calls"},
+           "calls": [{"to": "calls", "calls": None}, {"output": "[", "calls": [{"type": "}"}]}]}
+    line = json.dumps({"blockNumber": 1, "result": [None, top]})
+    rows = calls.flatten_calls(L.parse_traces(spark.createDataFrame([(line,)], "value string"))).orderBy("call_id").collect()
+    assert [(r["index"], r.call_id, r.parent_call_id, r.to_address, r.output, r.type) for r in rows] == [
+        (1, 0, None, None, None, None), (1, 1, 0, "calls", None, None), (1, 2, 0, None, "[", None), (1, 3, 2, None, None, "}")]
+    assert rows[0].reverted.message == "calls" and rows[0].error == top["error"] and rows[0].input == top["input"]
+
+
 def test_call_index(spark):
     rows = [(1, 0, 0, "0xaaa", "0xbbb"), (1, 0, 1, "0xaaa", "0xaaa"), (1, 0, 2, "0xaaa", None), (1, 0, 3, "0x", "0xbbb"),
             (1, 0, 4, None, "0xbbb"), (1, 0, 5, "0xaaa", "0x")]
