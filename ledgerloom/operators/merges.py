@@ -7,10 +7,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``source`` to append: one per key, and only of keys the target lacks."""
+def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                  order: Sequence[str | Column] | None = None, stored: Column | None = None) -> DataFrame:
+    """The rows of ``source`` to append: one per key, and only of keys the target lacks.
+
+    Of several rows of a key the first by ``order`` is taken; without it the one with the
+    smallest digest of its JSON text, which is the same in every run. ``stored`` is a condition
+    that prunes the target's scan; it has to hold for every target row with a key of the source.
+    """
     keys = list(keys)
-    return source.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    known = (target if stored is None else target.filter(stored)).select(*keys)
+    rest = [c for c in source.columns if c not in keys]
+    new = source.join(known, keys, "left_anti")
+    if not rest:
+        return new.distinct()
+    rank = F.struct(*order) if order else F.sha2(F.to_json(F.struct(*rest)), 256)
+    first = F.min_by(F.struct(*rest), rank).alias("v")
+    return new.groupBy(*keys).agg(first).select(*[
+        F.col(c) if c in keys else F.col(f"v.{c}").alias(c) for c in source.columns])
 
 
 def upsert_newest(target: DataFrame, source: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
@@ -27,13 +41,14 @@ def upsert_newest(target: DataFrame, source: DataFrame, keys: Sequence[str], ts:
 
 
 def increment(target: DataFrame, deltas: DataFrame, key: str | Sequence[str], column: str,
-              replace: bool = False) -> DataFrame:
-    """``column`` plus the key's delta (or the delta itself); keys without a delta stay, and
-    deltas of unknown keys are ignored, as an UPDATE does."""
+              replace_by: str | None = None) -> DataFrame:
+    """``column`` plus the key's delta; keys without a delta stay, and deltas of unknown keys
+    are ignored, as an UPDATE does. With ``replace_by`` the value of the row that is last by
+    that column takes the place of the stored one."""
     keys = [key] if isinstance(key, str) else list(key)
     per_key = deltas.groupBy(*keys).agg(
-        (F.max(column) if replace else F.sum(column)).alias("_delta"))
-    value = F.coalesce("_delta", column) if replace else F.col(column) + F.coalesce("_delta", F.lit(0))
+        (F.max_by(column, replace_by) if replace_by else F.sum(column)).alias("_delta"))
+    value = F.coalesce("_delta", column) if replace_by else F.col(column) + F.coalesce("_delta", F.lit(0))
     joined = target.join(per_key, keys, "left").withColumn(column, value)
     return joined.select(*target.columns)
 

@@ -103,31 +103,30 @@ def dedup_log(lines: DataFrame, bnp: str) -> DataFrame:
     to partition ``dup-<bnp>`` without their time field. Lines of other partitions
     are dropped; lines that name no block pass through to partition 0.
 
-    Copies collapse on the map side before anything is gathered per block, and per
-    block only one line and a count are held, never the set of lines.
+    Variants are told apart by a digest of the line without its time field. Per block only
+    their number and the least length are worked out, from rows without text; the lines then
+    meet that small table once, and only shortest lines and doubtful ones go on.
     """
     # the number is what stands between the first colon and the first comma; anything
-    # that is no whole number there makes the line one without a block
-    head = F.regexp_extract("value", r'^\{"blockNumber":([+-]?[0-9]{1,18})(?:,|$)', 1)
-    staged = lines.select("value", F.when(head != "", head.cast("bigint")).alias("block"))
+    # that is no whole number of 64 bits there makes the line one without a block
+    head = F.regexp_extract("value", r'^\{"blockNumber":([+-]?[0-9]+)(?:,|$)', 1)
+    staged = lines.select("value", head.try_cast("bigint").alias("block"))
     here = block_partition("block") == bnp
     unparsed = staged.filter(F.col("block").isNull() | ((F.col("block") < 0) & here)).select(
         F.lit("0").alias("bnp"), "value")
 
     stripped = F.regexp_replace("value", '"time":"[^"]*"', "")
-    variants = (
-        staged.filter((F.col("block") >= 0) & here)
-        .withColumn("stripped", stripped)
-        .groupBy("block", "stripped")
-        .agg(F.min(F.struct(F.length("value").alias("length"), "value")).alias("line"))
-    )
-    per_block = variants.groupBy("block").agg(F.count("*").alias("variants"), F.min("line").alias("line"))
-    kept = per_block.filter(F.col("variants") <= 2).select(
-        F.lit(bnp).alias("bnp"), F.col("line.value").alias("value"))
-    many = per_block.filter(F.col("variants") > 2).select("block")
-    doubtful = variants.join(many, "block", "left_semi").select(
-        F.lit(f"dup-{bnp}").alias("bnp"), F.col("stripped").alias("value"))
-    return kept.unionAll(doubtful).unionAll(unparsed)
+    known = staged.filter((F.col("block") >= 0) & here).withColumns({
+        "variant": F.unhex(F.sha2(stripped, 256)), "length": F.length("value")})
+    variants = known.groupBy("block", "variant").agg(F.min("length").alias("shortest"))
+    per_block = variants.groupBy("block").agg(F.count("*").alias("variants"), F.min("shortest").alias("shortest"))
+    many = F.col("variants") > 2
+    met = known.join(per_block, "block").filter(many | (F.col("length") == F.col("shortest")))
+    kept = met.groupBy("block", F.when(many, F.col("variant")).alias("variant")).agg(
+        F.min(F.when(many, stripped).otherwise(F.col("value"))).alias("value"))
+    doubtful = F.col("variant").isNotNull()
+    return kept.select(
+        F.when(doubtful, f"dup-{bnp}").otherwise(bnp).alias("bnp"), "value").unionAll(unparsed)
 
 
 def word_count(texts: DataFrame, column: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom import constants as K
 from ledgerloom.functions.hexnum import hex_to_decimal_text, to_address
@@ -30,9 +30,15 @@ def burns(transfers: DataFrame) -> DataFrame:
     return transfers.filter(is_burn("to_address"))
 
 
-def new_transfers(incoming: DataFrame, existing: DataFrame, key: str = "display_order") -> DataFrame:
-    """Incoming rows whose display order is not stored yet (tokens, NFTs and burns alike)."""
-    return incoming.join(existing.select(key), key, "left_anti")
+def new_transfers(incoming: DataFrame, existing: DataFrame, key: str = "display_order",
+                  stored: Column | None = None) -> DataFrame:
+    """Incoming rows whose display order is not stored yet (tokens, NFTs and burns alike).
+
+    ``stored`` is a condition on the stored side, such as the partitions of the batch's blocks,
+    that prunes its scan; it has to hold for every stored row with a key of the batch.
+    """
+    seen = existing if stored is None else existing.filter(stored)
+    return incoming.join(seen.select(key), key, "left_anti")
 
 
 def transfer_counts(logs: DataFrame) -> DataFrame:
@@ -73,21 +79,28 @@ def account_contracts(transfers: DataFrame, typed: bool = True, exclude: tuple =
     if typed:
         return legs.groupBy("account_address", "contract_address", "transfer_type").agg(
             F.max("timestamp").alias("timestamp"))
-    latest = F.max(F.struct("timestamp", "transfer_type")).alias("latest")
+    # time and type in one number, which a hash aggregate takes
+    latest = F.max(F.col("timestamp").cast("bigint") * 2 + F.col("transfer_type")).alias("latest")
     return legs.groupBy("account_address", "contract_address").agg(latest).select(
-        "account_address", "contract_address", "latest.transfer_type", "latest.timestamp")
+        "account_address", "contract_address", F.col("latest").bitwiseAND(F.lit(1)).cast("int").alias("transfer_type"),
+        F.shiftright("latest", 1).cast("int").alias("timestamp"))
 
 
 def merge_account_contracts(current: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Add new pairs; on known ones keep ``created_at`` and take over the newer ``updated_at``."""
+    """Add new pairs; on known ones keep ``created_at`` and the type and time of the newer side.
+
+    An incoming row that is older than the stored one changes nothing, so a batch that is read
+    again, or late, does not turn ``updated_at`` back.
+    """
     keys = ["account_address", "contract_address"]
     new = incoming.select(
         *keys, F.col("transfer_type").alias("new_type"), F.col("timestamp").alias("new_ts"))
+    newer = F.coalesce(F.col("new_ts") >= F.col("updated_at"), F.col("new_ts").isNotNull())
     return current.join(new, keys, "full_outer").select(
         *keys,
         F.coalesce("created_at", "new_ts").alias("created_at"),
-        F.coalesce("new_ts", "updated_at").alias("updated_at"),
-        F.coalesce("new_type", "transfer_type").alias("transfer_type"),
+        F.greatest("new_ts", "updated_at").alias("updated_at"),
+        F.when(newer, F.col("new_type")).otherwise(F.col("transfer_type")).alias("transfer_type"),
     )
 
 

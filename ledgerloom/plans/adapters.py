@@ -367,6 +367,29 @@ def trace_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit('{"blockNumber":'), F.col("conv_id"), F.lit(',"result":['), body, F.lit("]}")).alias("value"))
 
 
+DEEP_GROUP = 400     # conversations whose turns make one chain
+DEEP_TIMES = 3       # calls that each turn makes
+
+
+def deep_trace_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The turns of a run of conversations as one chain of calls, each made DEEP_TIMES over.
+
+    The chain ends in as many calls side by side as it is deep. Block numbers count the runs.
+    """
+    c = table(spark, folder, "conversations").select(
+        F.call_function("div", F.col("conv_id"), F.lit(DEEP_GROUP)).alias("block_number"),
+        F.explode(F.sequence(F.lit(0), F.lit(DEEP_TIMES - 1))).alias("again"),
+        F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"))
+    chains = c.groupBy("block_number").agg(
+        F.array_sort(F.collect_list(F.struct("conv_id", "turn", "again"))).alias("n"))
+    own = "'\"from\":\"0x', lpad(lower(hex(x.conv_id)), 40, '0'), '\",\"gas\":\"0x', lower(hex(x.turn)), '\"'"
+    down = F.expr(f"array_join(transform(n, x -> concat('{{', {own}, ',\"calls\":[')), '')")
+    wide = F.expr(f"array_join(transform(n, x -> concat('{{', {own}, '}}')), ',')")
+    up = F.expr("repeat(']}', size(n))")
+    return chains.select("block_number", F.concat(
+        F.lit('{"blockNumber":'), "block_number", F.lit(',"result":['), down, wide, up, F.lit("]}")).alias("value"))
+
+
 def upgrade_logs(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as Upgraded events: the implementation in a topic or in the data."""
     c = table(spark, folder, "customer")

@@ -64,19 +64,18 @@ def account_contracts(spark, folder):
 
 @query("merge_account_contracts", with_(MOVES) + f"""
 , legs AS (SELECT f AS a, c, ct, ts, ls FROM moves UNION ALL SELECT t, c, ct, ts, ls FROM moves),
-part AS (SELECT a, c, ls, max(ts) AS ts FROM legs WHERE a <> '{ZERO}' GROUP BY ALL)
-SELECT coalesce(o.a, n.a) AS account_address, coalesce(o.c, n.c) AS contract_address,
-  coalesce(o.ts, n.ts) AS created_at, coalesce(n.ts, o.ts) AS updated_at
-FROM (SELECT * FROM part WHERE ls = 'F') o FULL JOIN (SELECT * FROM part WHERE ls <> 'F') n
-  ON o.a = n.a AND o.c = n.c""".replace("\n, legs AS", ",\nlegs AS"))
+part AS (SELECT a, c, CASE WHEN any_value(ct) IN (0, 1, 127) THEN 0 ELSE 1 END AS kind,
+  max(ts) FILTER (WHERE ls <> 'F') AS o, max(ts) FILTER (WHERE ls = 'F') AS n FROM legs WHERE a <> '{ZERO}' GROUP BY 1, 2)
+SELECT a AS account_address, c AS contract_address, coalesce(o, n) AS created_at, greatest(o, n) AS updated_at,
+  kind AS transfer_type FROM part""".replace("\n, legs AS", ",\nlegs AS"))
 def merge_account_contracts(spark, folder):
     t = _typed_moves(spark, folder)
     first, second = (transfers.account_contracts(t.filter(c), typed=False, exclude=K.ZERO_ONLY)
-                     for c in ("line_status = 'F'", "line_status <> 'F'"))
+                     for c in ("line_status <> 'F'", "line_status = 'F'"))   # most incoming rows are older
     stored = first.select(
         "account_address", "contract_address", "transfer_type",
         F.col("timestamp").alias("created_at"), F.col("timestamp").alias("updated_at"))
-    return transfers.merge_account_contracts(stored, second).drop("transfer_type")
+    return transfers.merge_account_contracts(stored, second)
 
 
 @query("token_burns", with_(MOVES) + f"""

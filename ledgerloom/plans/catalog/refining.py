@@ -242,6 +242,26 @@ def flatten_calls(spark, folder):
         "value", "gas", "time")
 
 
+@query("flatten_deep_calls", f"""
+WITH chain AS (
+  SELECT conv_id // {A.DEEP_GROUP} AS b, conv_id, turn,
+    row_number() OVER (PARTITION BY conv_id // {A.DEEP_GROUP} ORDER BY conv_id, turn, again) - 1 AS k,
+    count(*) OVER (PARTITION BY conv_id // {A.DEEP_GROUP}) AS n
+  FROM conversations, range({A.DEEP_TIMES}) r(again)),
+calls AS (SELECT *, k AS id, CASE WHEN k > 0 THEN k - 1 END AS parent FROM chain
+  UNION ALL SELECT *, n + k, n - 1 FROM chain)
+SELECT b AS block_number, id::INT AS call_id, parent::INT AS parent_call_id, '0x' || {hx('conv_id', 40)} AS from_address,
+  turn::BIGINT AS gas, (SELECT count(DISTINCT b) FROM chain) AS lines, 1::BIGINT AS undecoded FROM calls""")
+def flatten_deep_calls(spark, folder):
+    lines = A.deep_trace_lines(spark, folder)
+    broken = lines.agg(F.expr("any_value(concat(value, ']'))").alias("value"))
+    every = lines.select("value").unionByName(broken)
+    traces = L.parse_traces(every)
+    counts = L.decode_counts(every, traces).select((F.col("decoded")).alias("lines"), "undecoded")
+    return calls.flatten_calls(traces).select(
+        "block_number", "call_id", "parent_call_id", "from_address", "gas").crossJoin(counts)   # one row of counts
+
+
 @query("index_calls_by_address", with_(_CALLS) + """
 SELECT block_number || '_0_' || call_id AS internal_tx_id, a AS account_address, block_number,
   0 AS transaction_index, call_id

@@ -204,13 +204,11 @@ def stream_side_jobs(spark, folder):
 
 
 @query("correction_queue", with_(MOVES) + f"""
-, pairs AS (SELECT DISTINCT c, h FROM (SELECT c, f AS h FROM moves UNION ALL SELECT c, t FROM moves) WHERE h NOT IN ({ZERO_OR_DEAD})),
-early AS (SELECT DISTINCT c, h FROM (SELECT c, f AS h, ls FROM moves UNION ALL SELECT c, t, ls FROM moves)
-  WHERE h NOT IN ({ZERO_OR_DEAD}) AND ls = 'F'),
-queue AS (SELECT c, h, CASE WHEN (c, h) IN (SELECT (c, h) FROM early) THEN 1000 ELSE 1050 END AS q FROM pairs),
-done AS (SELECT * FROM queue WHERE q <= 1060 - 30 ORDER BY q, c, h LIMIT 100)
-SELECT 'due' AS part, c AS contract_address, h AS holder_address, q::BIGINT AS queued_at FROM done
-UNION ALL SELECT 'waiting', c, h, q FROM queue ANTI JOIN done USING (c, h)""".replace("\n, pairs", ",\npairs"))
+, pairs AS (SELECT c, h, bool_or(ls = 'F') AS early FROM (SELECT c, f AS h, ls FROM moves UNION ALL SELECT c, t, ls FROM moves)
+  WHERE h NOT IN ({ZERO_OR_DEAD}) GROUP BY 1, 2),
+queue AS (SELECT c, h, CASE WHEN early THEN 1000 ELSE 1050 END AS q FROM pairs)
+SELECT CASE WHEN q <= 1060 - 30 AND row_number() OVER (ORDER BY q, c, h) <= 100 THEN 'due' ELSE 'waiting' END AS part,
+  c AS contract_address, h AS holder_address, q::BIGINT AS queued_at FROM queue""".replace("\n, pairs", ",\npairs"))
 def correction_queue(spark, folder):
     t = A.transfers(spark, folder)
     empty = S.correction_keys(t).limit(0).withColumn("queued_at", F.lit(0).cast("bigint"))

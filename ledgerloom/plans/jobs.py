@@ -13,25 +13,26 @@ from ledgerloom.operators import (
 )
 from ledgerloom.operators.contracts import with_contract_type
 from ledgerloom.operators.merges import insert_ignore
+from ledgerloom.session import scratch_path
 from ledgerloom.sources import delimited, lake, logs as log_source
 
 
 def refine_range(spark: SparkSession, source: str, target: str, lo: int, hi: int,
                  network: str = "mainnet") -> None:
-    """Refine the block and trace logs of partitions lo to hi anew, replacing what was there."""
-    raw = log_source.read_block_log(spark, f"{source}/topic=block", (lo, hi))
+    """Refine the block and trace logs of partitions lo to hi anew, replacing what was there.
+
+    The blocks are decoded once, into the shared folder, and each table takes its columns from
+    there. Old partitions go only after the new ones are written.
+    """
+    folder = scratch_path(spark, "refine")
+    log_source.read_block_log(spark, f"{source}/topic=block", (lo, hi)).write.parquet(folder)
+    raw = spark.read.parquet(folder)
     traces = log_source.read_trace_log(spark, f"{source}/topic=trace", (lo, hi))
-    partitions = [str(b) for b in range(lo, hi + 1)]
-    for label in (lake.BLOCKS, lake.TRANSACTIONS, lake.LOGS, lake.CALLS):
-        lake.drop_partitions(spark, f"{target}/{label}", "bnp", partitions)
-    kept = raw.persist()
-    try:
-        lake.write_refined_by_bnp(
-            refine.refine_blocks(kept), refine.refine_transactions(kept, network),
-            refine.refine_event_logs(kept), target)
-    finally:
-        kept.unpersist()
-    lake.write_internal_tx(calls.flatten_calls(traces), target)
+    for table, label in (
+            (refine.refine_blocks(raw), lake.BLOCKS),
+            (refine.refine_transactions(raw, network).drop(*lake.COUNTS), lake.TRANSACTIONS),
+            (refine.refine_event_logs(raw), lake.LOGS), (calls.flatten_calls(traces), lake.CALLS)):
+        lake.replace_partitions(table, f"{target}/{label}", range(lo, hi + 1))
 
 
 def due_periods(day: str) -> list[tuple[str, str, str]]:

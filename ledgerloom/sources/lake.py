@@ -97,14 +97,21 @@ def replace_range(df: DataFrame, path: str, lo: int, hi: int, block: str = "bloc
     """Replace the block partitions of [lo, hi) by the rows of ``df`` in that range.
 
     Partitions are whole units here: the range has to start and end on a bnp border.
-    A partition without new rows is emptied as well.
+    A partition without new rows is emptied as well. New rows are written before anything is
+    removed: a failure leaves either the old rows or all new ones, and a repeat mends it.
     """
     if lo % K.BLOCKS_PER_PARTITION or hi % K.BLOCKS_PER_PARTITION:
         raise ValueError("the range must start and end on a partition border")
     inside = df.filter((F.col(block) >= lo) & (F.col(block) < hi)).withColumn("bnp", block_partition(block))
-    drop_partitions(df.sparkSession, path, "bnp", [
-        str(b) for b in range(lo // K.BLOCKS_PER_PARTITION, hi // K.BLOCKS_PER_PARTITION)])
-    _write(inside, path, ["bnp"], "append")
+    replace_partitions(inside, path, range(lo // K.BLOCKS_PER_PARTITION, hi // K.BLOCKS_PER_PARTITION))
+
+
+def replace_partitions(df: DataFrame, path: str, partitions: range) -> None:
+    """Overwrite the bnp partitions that ``df`` has rows of, then remove those of ``partitions`` it has none of."""
+    _write(df, path, ["bnp"], "overwrite")
+    # one row per partition of the range
+    filled = {str(r.bnp) for r in df.select("bnp").distinct().collect()}
+    drop_partitions(df.sparkSession, path, "bnp", [str(b) for b in partitions if str(b) not in filled])
 
 
 def drop_partitions(spark: SparkSession, path: str, column: str, values: list[str]) -> None:

@@ -69,13 +69,23 @@ def decode_counts(lines: DataFrame, decoded: DataFrame) -> DataFrame:
     return counts.withColumn("undecoded", F.col("lines") - F.col("decoded"))
 
 
-def read_block_log(spark: SparkSession, path: str, bnp: int | tuple[int, int] | None = None) -> DataFrame:
-    """Block log files (JSON lines, gzip) below ``path``, optionally of some partitions only."""
-    return parse_blocks(_pick_bnp(spark.read.text(path), bnp))
+def read_block_log(spark: SparkSession, path: str, bnp: int | tuple[int, int] | None = None,
+                   spread: int | None = None) -> DataFrame:
+    """Block log files (JSON lines, gzip) below ``path``, optionally of some partitions only.
 
+    A gzip file is read by one task. Where files are few and large, ``spread`` deals their lines
+    into that many partitions before they are decoded.
+    """
+    return parse_blocks(_spread(_pick_bnp(spark.read.text(path), bnp), spread))
 
-def read_trace_log(spark: SparkSession, path: str, bnp: int | tuple[int, int] | None = None) -> DataFrame:
-    return parse_traces(_pick_bnp(spark.read.text(path), bnp))
+
+def read_trace_log(spark: SparkSession, path: str, bnp: int | tuple[int, int] | None = None,
+                   spread: int | None = None) -> DataFrame:
+    return parse_traces(_spread(_pick_bnp(spark.read.text(path), bnp), spread))
+
+
+def _spread(lines: DataFrame, partitions: int | None) -> DataFrame:
+    return lines if partitions is None else lines.repartition(partitions)
 
 
 def read_log_lines(spark: SparkSession, path: str, bnp: int | tuple[int, int] | None = None) -> DataFrame:
@@ -84,8 +94,12 @@ def read_log_lines(spark: SparkSession, path: str, bnp: int | tuple[int, int] |
 
 
 def write_raw_log(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Log lines (``bnp``, ``value``) as gzip text by block partition."""
-    df.select("bnp", "value").write.mode(mode).option("compression", "gzip").partitionBy("bnp").text(path)
+    """Log lines (``bnp``, ``value``) as gzip text by block partition.
+
+    Lines of one partition meet in few tasks, which AQE splits or merges by size, instead of one
+    small file per task and partition.
+    """
+    df.select("bnp", "value").hint("rebalance", "bnp").write.mode(mode).option("compression", "gzip").partitionBy("bnp").text(path)
 
 
 def with_hour(lines: DataFrame) -> DataFrame:
@@ -99,7 +113,8 @@ def with_hour(lines: DataFrame) -> DataFrame:
 
 
 def write_raw_log_hourly(lines: DataFrame, path: str, mode: str = "append") -> None:
-    with_hour(lines).write.mode(mode).option("compression", "gzip").partitionBy("bnp", "dh").text(path)
+    """Block lines as gzip text by block partition and UTC hour, spread as in ``write_raw_log``."""
+    with_hour(lines).hint("rebalance", "bnp", "dh").write.mode(mode).option("compression", "gzip").partitionBy("bnp", "dh").text(path)
 
 
 def rewrite_log(spark: SparkSession, source: str, target: str, files: int) -> None:
@@ -108,9 +123,11 @@ def rewrite_log(spark: SparkSession, source: str, target: str, files: int) -> No
         "compression", "gzip").text(target)
 
 
-def kafka_options(servers: str, topics: str, mode: str = "resume", max_records: int | None = None) -> dict:
+def kafka_options(servers: str, topics: str, mode: str = "resume", max_records: int | None = None,
+                  fail_on_data_loss: bool = True) -> dict:
     """Reader options. With ``resume`` the checkpoint decides and a fresh query starts at
-    the newest records."""
+    the newest records. Records that are gone before they were read stop the query, unless
+    ``fail_on_data_loss`` is off."""
     starts = {"resume": "latest", "latest": "latest", "earliest": "earliest"}
     options = {
         "kafka.bootstrap.servers": servers,
@@ -118,7 +135,7 @@ def kafka_options(servers: str, topics: str, mode: str = "resume", max_records:
         "startingOffsets": starts[mode],
         "includeHeaders": "true",
         "kafka.max.poll.records": "500",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_records is not None:
         options["maxOffsetsPerTrigger"] = str(max_records)

@@ -183,7 +183,12 @@ def test_merges(spark):
     assert [r.k for r in merges.insert_ignore(target, source, ["k"]).collect()] == ["k4"]
     deltas = spark.createDataFrame([("k1", 2), ("k1", 3), ("k9", 1)], "k string, ts int")
     assert {r.k: r.ts for r in merges.increment(target, deltas, "k", "ts").collect()} == {"k1": 10, "k2": 5, "k3": 5}
-    assert {r.k: r.ts for r in merges.increment(target, deltas.filter("ts = 3"), "k", "ts", replace=True).collect()} == {"k1": 3, "k2": 5, "k3": 5}
+    timed = spark.createDataFrame([("k1", 9, 1), ("k1", 2, 7), ("k1", 3, 4)], "k string, ts int, at int")
+    assert {r.k: r.ts for r in merges.increment(target, timed, "k", "ts", replace_by="at").collect()} == {"k1": 2, "k2": 5, "k3": 5}
+    new = spark.createDataFrame([("k5", 2, "b"), ("k5", 1, "c"), ("k6", 3, "a"), ("k1", 1, "x")], "k string, ts int, v string")
+    assert {r.k: (r.ts, r.v) for r in merges.insert_ignore(target, new, ["k"], order=["ts"]).collect()} == {"k5": (1, "c"), "k6": (3, "a")}
+    again = [merges.insert_ignore(target, new.repartition(n), ["k"], stored=F.col("k") < "k9").collect() for n in (1, 4)]
+    assert sorted(again[0]) == sorted(again[1]) and len(again[0]) == 2
 
 
 def test_item_upsert(spark):
