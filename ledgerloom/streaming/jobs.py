@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerloom import constants as K
 from ledgerloom.functions.hexnum import limb_sums, split_limbs
+from ledgerloom.functions.scalars import display_order
 from ledgerloom.operators import accounts, approvals, calls, decode, holders, refine, search, transfers
 from ledgerloom.operators.contracts import with_contract_type
 from ledgerloom.sources.logs import parse_blocks, parse_traces
@@ -22,9 +23,8 @@ from ledgerloom.streaming.tables import BatchTable
 Outputs = Mapping[str, DataFrame]
 
 
-def block_outputs(lines: DataFrame, network: str = "mainnet") -> Outputs:
+def block_outputs(raw: DataFrame, network: str = "mainnet") -> Outputs:
     """Refined blocks, transactions and event logs, and the newest block."""
-    raw = parse_blocks(lines)
     blocks = refine.refine_blocks(raw)
     return {
         "blocks": blocks,
@@ -34,15 +34,13 @@ def block_outputs(lines: DataFrame, network: str = "mainnet") -> Outputs:
     }
 
 
-def trace_outputs(lines: DataFrame) -> Outputs:
+def trace_outputs(flat: DataFrame) -> Outputs:
     """Internal calls and their address index."""
-    flat = calls.flatten_calls(parse_traces(lines))
     return {"internal_transactions": flat, "internal_transaction_index": calls.index_calls_by_address(flat)}
 
 
-def account_outputs(lines: DataFrame, network: str = "mainnet") -> Outputs:
+def account_outputs(raw: DataFrame, network: str = "mainnet") -> Outputs:
     """Partial accounts (add up with ``accounts.merge_accounts``), key and proxy updates."""
-    raw = parse_blocks(lines)
     txs, logs = refine.refine_transactions(raw, network), refine.refine_event_logs(raw)
     return {
         "accounts": accounts.classify_accounts(txs, logs),
@@ -53,6 +51,14 @@ def account_outputs(lines: DataFrame, network: str = "mainnet") -> Outputs:
     }
 
 
+# The approval tables of a transfer stream: how a batch is made, and the key that ``approvals.fold`` joins batches by.
+APPROVALS = {
+    "token_approvals": (approvals.latest_token_approvals, approvals.TOKEN_KEY),
+    "nft_approvals": (approvals.latest_nft_approvals, approvals.NFT_KEY),
+    "operator_approvals": (approvals.latest_operator_approvals, approvals.OPERATOR_KEY),
+}
+
+
 def transfer_outputs(logs: DataFrame, contracts: DataFrame) -> Outputs:
     """Transfers, burns, deposits, approvals and uri changes of a batch of event logs."""
     tokens = decode.token_transfers(logs)
@@ -64,9 +70,7 @@ def transfer_outputs(logs: DataFrame, contracts: DataFrame) -> Outputs:
         "nft_burns": transfers.burns(nfts),
         "transfer_counts": transfers.transfer_counts(logs),
         "deposits": transfers.deposit_withdraw_holders(logs, contracts),
-        "token_approvals": approvals.latest_token_approvals(logs, contracts),
-        "nft_approvals": approvals.latest_nft_approvals(logs, contracts),
-        "operator_approvals": approvals.latest_operator_approvals(logs, contracts),
+        **{name: latest(logs, contracts, position=True) for name, (latest, _) in APPROVALS.items()},
         "uri_changes": transfers.uri_change_events(logs),
     }
 
@@ -85,26 +89,70 @@ def holder_outputs(token_transfers: DataFrame, nft_transfers: DataFrame) -> Outp
     }
 
 
-def search_outputs(lines: DataFrame, network: str = "mainnet") -> Outputs:
+def search_outputs(raw: DataFrame, network: str = "mainnet") -> Outputs:
     """Search documents of the transactions."""
-    return {"transaction_docs": search.to_search_docs_tx(
-        refine.refine_transactions(parse_blocks(lines), network))}
+    return {"transaction_docs": search.to_search_docs_tx(refine.refine_transactions(raw, network))}
+
+
+def decoded_blocks(lines: DataFrame, batch_id: int) -> DataFrame:
+    return parse_blocks(lines)
+
+
+def decoded_calls(lines: DataFrame, batch_id: int) -> DataFrame:
+    return calls.flatten_calls(parse_traces(lines))
+
+
+def fresh_logs(path: str) -> Callable[[DataFrame, int], DataFrame]:
+    """Event logs of a batch that no batch before it has brought, by their display order.
+
+    What has been seen is a table of its own below ``path``; a batch reads only the stored
+    blocks of its own range, which Parquet statistics single out.
+    """
+    seen = BatchTable(f"{path}/seen_logs")
+
+    def fresh(logs: DataFrame, batch_id: int) -> DataFrame:
+        spark = logs.sparkSession
+        keyed = logs.withColumn("display_order", display_order("block_number", "transaction_index", "log_index"))
+        once = keyed.dropDuplicates(["display_order"])
+        rows = once.select("block_number", "display_order")
+        span = rows.agg(F.min("block_number"), F.max("block_number")).first()
+        stored = F.col("block_number").between(*span) if span[0] is not None else F.lit(False)
+        known = seen.read_or(spark, rows, before=batch_id)
+        new = transfers.new_transfers(once, known, stored=stored)
+        seen.write(new.select("block_number", "display_order").sortWithinPartitions("block_number"), batch_id)
+        return new.drop("display_order")
+
+    return fresh
+
+
+def fold_moves(moves: DataFrame) -> DataFrame:
+    """Inventory moves of several batches as one: a token that came and went again has not moved."""
+    net = F.sum(F.when(F.col("is_send"), -1).otherwise(1))
+    return moves.groupBy(*holders.ITEM_KEY).agg(net.alias("net"), F.max("timestamp").alias("timestamp")).filter(
+        "net <> 0").select(*holders.ITEM_KEY, (F.col("net") < 0).alias("is_send"), "timestamp")
 
 
 def run_outputs(stream: DataFrame, outputs: Callable[[DataFrame], Outputs], path: str, checkpoint: str,
-                keep_input: bool = True) -> DataStreamWriter:
+                prepare: Callable[[DataFrame, int], DataFrame] | None = None, compact_every: int = 0,
+                folds: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None) -> DataStreamWriter:
     """A stream writer that appends every output of ``outputs`` below ``path``.
 
-    The batch is kept for its several outputs, so it is read and parsed once.
+    ``prepare`` decodes a batch, or leaves out what came before; its result is kept for the
+    several outputs, so it is worked out once. Every ``compact_every`` batches the tables fold
+    what lies before the current batch into their base, by ``folds`` where one is given.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist() if keep_input else batch
+        kept = (prepare(batch, batch_id) if prepare else batch).persist()
         try:
-            for name, df in outputs(kept).items():
+            made = outputs(kept)
+            for name, df in made.items():
                 BatchTable(f"{path}/{name}").write(df, batch_id)
         finally:
-            if keep_input:
-                kept.unpersist()
+            kept.unpersist()
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            for name in made:
+                fold = (folds or {}).get(name)
+                BatchTable(f"{path}/{name}").compact(batch.sparkSession, batch_id - 1, *([fold] if fold else []))
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 

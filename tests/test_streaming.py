@@ -40,9 +40,17 @@ def test_batch_table_counts_a_repeated_batch_once(spark):
     assert sorted(r.id for r in table.read(spark).collect()) == [0, 1, 2, 20, 21, 22, 23]
     assert table.read(spark, before=1).count() == 3
     assert table.read_or(spark, spark.range(0), before=0).count() == 0
-    folded = BatchTable(table.path + "-folded")
-    table.compact(spark, 1, lambda df: df.agg(F.sum("id").alias("id")), folded)
-    assert folded.read(spark).first().id == 89
+    fold = lambda df: df.agg(F.sum("id").alias("id"))
+    table.compact(spark, 1, fold)
+    assert table.read(spark).first().id == 89
+    for k in range(2, 6):
+        table.write(spark.range(k, k + 1), k)
+        assert table.read(spark, before=k).agg(F.sum("id")).first()[0] == 89 + sum(range(2, k))
+        if k % 2:
+            table.compact(spark, k - 1, fold)
+    assert sorted(os.listdir(table.path.removeprefix("file:"))) == ["base=000000000002", "base=000000000004", "batch=000000000003",
+                                                                     "batch=000000000004", "batch=000000000005"]
+    assert table.read(spark).agg(F.sum("id")).first()[0] == 89 + 2 + 3 + 4 + 5
 
 
 def test_late_floor():
