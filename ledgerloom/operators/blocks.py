@@ -143,7 +143,8 @@ def contiguous_prefix(blocks: DataFrame, last: int) -> DataFrame:
     reach = partial.filter(~F.col("_gap")).agg(F.max("number").alias("_partial_to"))
     bound = limit.crossJoin(reach).select(   # two one-row frames
         F.coalesce(F.greatest("_full_to", "_partial_to"), F.lit(last)).alias("_to"))
-    return after.drop("_bnp").join(F.broadcast(bound), F.col("number") <= F.col("_to")).drop("_to")
+    # one value, worked out once however often the prefix is read, and a plain filter of the scan
+    return after.drop("_bnp").filter(F.col("number") <= bound.scalar())
 
 
 def _running_fees(fees: DataFrame, seed: int, balance: int) -> DataFrame:

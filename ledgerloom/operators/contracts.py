@@ -46,6 +46,11 @@ def contracts_from_calls(calls: DataFrame, transactions: DataFrame, accounts: Da
     }).drop("_known")
 
 
+def creator_increments(found: DataFrame) -> DataFrame:
+    """Transactions to add to the creators of ``contracts_from_calls``: one for each contract found."""
+    return found.groupBy(F.col("creator_address").alias("address")).agg(F.count("*").alias("transactions"))
+
+
 def contract_selectors(code: DataFrame) -> DataFrame:
     """One row per contract and function selector in its ``bytecode``."""
     return code.select("contract_address", F.explode(function_selectors("bytecode")).alias("selector"))

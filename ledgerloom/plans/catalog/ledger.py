@@ -495,6 +495,14 @@ def contracts_from_calls(spark, folder):
         "input", "action")
 
 
+@query("creator_increments", with_(_CALLS) + """
+SELECT f AS address, count(*) AS transactions FROM calls WHERE type = 'CREATE' GROUP BY 1""")
+def creator_increments(spark, folder):
+    txs = A.transactions(spark, folder).withColumn("transaction_index", F.lit(0)).dropDuplicates(["block_number"])
+    nobody = txs.select(F.col("from_address").alias("address")).limit(0)
+    return contracts.creator_increments(contracts.contracts_from_calls(_calls(spark, folder), txs, nobody))
+
+
 @query("contract_types", f"""
 SELECT {con('p_partkey')} AS contract_address,
   CASE p_partkey % 7 WHEN 4 THEN 2 WHEN 6 THEN 127 ELSE p_partkey % 7 END::INT AS contract_type FROM part""")
@@ -649,6 +657,21 @@ def ngram_lookup(spark, folder):
     return search.ngram_lookup(index, wanted, "c_custkey")
 
 
+@query("ngram_lookup_close", """
+WITH f AS (SELECT c_custkey, lower(c_name) AS s FROM customer),
+g AS (SELECT DISTINCT c_custkey, substring(s, i::BIGINT, n::BIGINT) AS gram
+  FROM f, range(2, 11) AS l(n), range(1, 60) AS p(i) WHERE i + n - 1 <= length(s)),
+q AS (SELECT s_suppkey, right(lower(s_name), 4) AS s FROM supplier),
+qg AS (SELECT DISTINCT s AS query, substring(s, i::BIGINT, n::BIGINT) AS gram
+  FROM q, range(2, 11) AS l(n), range(1, 60) AS p(i) WHERE i + n - 1 <= length(s))
+SELECT query, 'c_name' AS field, c_custkey, count(*) AS shared FROM g JOIN qg USING (gram) GROUP BY ALL HAVING count(*) >= 4""")
+def ngram_lookup_close(spark, folder):
+    index = search.ngram_index(A.table(spark, folder, "customer"), "c_custkey", ["c_name"])
+    wanted = A.table(spark, folder, "supplier").select(
+        F.substring(F.lower("s_name"), -4, 4).alias("query")).distinct()
+    return search.ngram_lookup(index, wanted, "c_custkey", least_shared=4)
+
+
 # ---------------------------------------------------------------------------
 # Table merges
 

@@ -39,8 +39,12 @@ def trace_outputs(flat: DataFrame) -> Outputs:
     return {"internal_transactions": flat, "internal_transaction_index": calls.index_calls_by_address(flat)}
 
 
-def account_outputs(raw: DataFrame, network: str = "mainnet") -> Outputs:
-    """Partial accounts (add up with ``accounts.merge_accounts``), key and proxy updates."""
+def account_outputs(raw: DataFrame, network: str = "mainnet",
+                    naming: Callable[[DataFrame], DataFrame] | None = None) -> Outputs:
+    """Partial accounts (add up with ``accounts.merge_accounts``), key and proxy updates.
+
+    ``naming`` turns event logs into name changes (``names.resolve_names`` with its snapshots).
+    """
     txs, logs = refine.refine_transactions(raw, network), refine.refine_event_logs(raw)
     return {
         "accounts": accounts.classify_accounts(txs, logs),
@@ -48,6 +52,7 @@ def account_outputs(raw: DataFrame, network: str = "mainnet") -> Outputs:
         "implementations": refine.implementation_updates(logs.filter("transaction_status")),
         "consensus_nodes": accounts.consensus_nodes(refine.refine_blocks(raw)),
         "supply_changes": transfers.supply_change_contracts(logs.filter("transaction_status")),
+        **({"names": naming(logs.filter("transaction_status"))} if naming else {}),
     }
 
 
