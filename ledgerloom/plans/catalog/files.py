@@ -43,18 +43,16 @@ def read_trace_log(spark, folder):
 SELECT (number // 100000)::VARCHAR AS bnp, {_TS_PART.format('%Y-%m-%d-%H')} AS dh, count(*) AS lines
 FROM blocks WHERE number IN (SELECT l_orderkey FROM lineitem) GROUP BY ALL""")
 def write_raw_log_hourly(spark, folder):
-    # written by month, which keeps the test folder small; the hour is checked per line
-    lines = L.with_hour(A.raw_block_lines(spark, folder).select("value"))
     path = scratch_path(spark, "hourly")
-    lines.withColumn("month", F.substring("dh", 1, 7)).hint("rebalance", "month").write.option(
-        "compression", "gzip").partitionBy("bnp", "month").json(path)
-    return spark.read.schema("bnp string, dh string, value string, month string").json(path).groupBy(
-        F.col("bnp").cast("string").alias("bnp"), "dh").agg(F.count("*").alias("lines"))
+    L.write_raw_log_hourly(A.raw_block_lines(spark, folder).select("value"), path)
+    return spark.read.schema("value string, bnp string, dh string").text(path).groupBy("bnp", "dh").agg(
+        F.count("*").alias("lines"))
 
 @query("write_refined_by_bnp", with_(MOVES, TXS) + """
-SELECT '0' AS bnp, 'blocks' AS label, count(DISTINCT b) AS rows, sum(DISTINCT b)::BIGINT AS total FROM moves WHERE b < 100000
-UNION ALL SELECT '0', 'transactions', count(*), sum(b)::BIGINT FROM moves WHERE b < 100000
-UNION ALL SELECT '0', 'event_logs', count(*), sum(b)::BIGINT FROM moves WHERE b < 100000""")
+SELECT (b // 100000)::VARCHAR AS bnp, 'blocks' AS label, count(DISTINCT b) AS rows, sum(DISTINCT b)::BIGINT AS total
+FROM moves GROUP BY 1
+UNION ALL SELECT (b // 100000)::VARCHAR, 'transactions', count(*), sum(b)::BIGINT FROM moves GROUP BY 1
+UNION ALL SELECT (b // 100000)::VARCHAR, 'event_logs', count(*), sum(b)::BIGINT FROM moves GROUP BY 1""")
 def write_refined_by_bnp(spark, folder):
     path = scratch_path(spark, "by-bnp")
     bnp = lambda c: F.call_function("div", F.col(c), F.lit(K.BLOCKS_PER_PARTITION)).cast("string")
@@ -67,42 +65,42 @@ def write_refined_by_bnp(spark, folder):
     out = None
     for label, name, key in ((lake.BLOCKS, "blocks", "number"), (lake.TRANSACTIONS, "transactions", "block_number"),
                              (lake.LOGS, "event_logs", "block_number")):
-        part = spark.read.parquet(f"{path}/{label}").filter("bnp = 0").groupBy(
+        part = spark.read.parquet(f"{path}/{label}").groupBy(
             F.col("bnp").cast("string").alias("bnp"), F.lit(name).alias("label")).agg(
             F.count("*").alias("rows"), F.sum(key).alias("total"))
         out = part if out is None else out.unionByName(part)
     return out
 
-def _monthly_logs(spark, folder):
-    """Event logs at the first of their month: a date layout with few folders."""
-    month = F.unix_timestamp(F.date_trunc("month", F.timestamp_seconds("timestamp"))).cast("int")
-    return A.event_logs(spark, folder).withColumn("timestamp", month)
-
-@query("write_refined_by_date", with_(BLOCKS) + f"""
-SELECT {_TS_PART.format('%Y')}::INT AS year, {_TS_PART.format('%m')}::INT AS month, 1 AS day, count(*) AS blocks
-FROM blocks GROUP BY ALL""")
+@query("write_refined_by_date", with_(BLOCKS, MOVES, TXS) + f"""
+SELECT label, {_TS_PART.format('%Y')}::INT AS year, {_TS_PART.format('%m')}::INT AS month, {_TS_PART.format('%d')}::INT AS day,
+  count(*) AS rows FROM (
+  SELECT 'blocks' AS label, ts FROM blocks UNION ALL SELECT 'transactions', ts FROM txs
+  UNION ALL SELECT 'event_logs', ts FROM moves) GROUP BY ALL""")
 def write_refined_by_date(spark, folder):
     path = scratch_path(spark, "by-date")
-    month = F.unix_timestamp(F.date_trunc("month", F.timestamp_seconds("timestamp"))).cast("int")
-    blocks = A.blocks(spark, folder).withColumn("timestamp", month)
-    txs = A.transactions(spark, folder).withColumn("timestamp", month)
-    lake.write_refined_by_date(blocks, txs, _monthly_logs(spark, folder), path)
-    return spark.read.parquet(f"{path}/{lake.BLOCKS}_dt").groupBy("year", "month", "day").agg(
-        F.count("*").alias("blocks"))
+    lake.write_refined_by_date(
+        A.blocks(spark, folder), A.transactions(spark, folder), A.event_logs(spark, folder), path)
+    out = None
+    for label, name in ((lake.BLOCKS, "blocks"), (lake.TRANSACTIONS, "transactions"), (lake.LOGS, "event_logs")):
+        part = spark.read.parquet(f"{path}/{label}_dt").groupBy(
+            F.lit(name).alias("label"), "year", "month", "day").agg(F.count("*").alias("rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 @query("write_transfers_by_date", with_(MOVES, NFTS) + f"""
-SELECT kind, year, month, count(*) AS rows, sum(amount)::VARCHAR AS amount FROM (
-  SELECT 'token' AS kind, {_TS_PART.format('%Y')}::INT AS year, {_TS_PART.format('%m')}::INT AS month, amt AS amount
-  FROM moves WHERE ct IN (0, 1, 127)
-  UNION ALL SELECT 'nft', {_TS_PART.format('%Y')}::INT, {_TS_PART.format('%m')}::INT, n FROM nfts) GROUP BY ALL""")
+SELECT kind, {_TS_PART.format('%Y')}::INT AS year, {_TS_PART.format('%m')}::INT AS month, {_TS_PART.format('%d')}::INT AS day,
+  count(*) AS rows, sum(amount)::VARCHAR AS amount FROM (
+  SELECT 'token' AS kind, ts, amt AS amount FROM moves WHERE ct IN (0, 1, 127)
+  UNION ALL SELECT 'nft', ts, n FROM nfts) GROUP BY ALL""")
 def write_transfers_by_date(spark, folder):
     path = scratch_path(spark, "transfers")
-    lake.write_transfers_by_date(_monthly_logs(spark, folder), path)
+    lake.write_transfers_by_date(A.event_logs(spark, folder), path)
+    day = ["year", "month", "day"]
     tokens = spark.read.parquet(f"{path}/{lake.TOKEN_TRANSFERS}").select(
-        F.lit("token").alias("kind"), "year", "month", F.col("amount_bigint").alias("amount"))
+        F.lit("token").alias("kind"), *day, F.col("amount_bigint").alias("amount"))
     nfts = spark.read.parquet(f"{path}/{lake.NFT_TRANSFERS}").select(
-        F.lit("nft").alias("kind"), "year", "month", F.col("token_count_bigint").alias("amount"))
-    return tokens.unionByName(nfts).groupBy("kind", "year", "month").agg(
+        F.lit("nft").alias("kind"), *day, F.col("token_count_bigint").alias("amount"))
+    return tokens.unionByName(nfts).groupBy("kind", *day).agg(
         F.count("*").alias("rows"),
         F.sum(F.col("amount").cast("decimal(38,0)")).cast("string").alias("amount"))
 
