@@ -224,9 +224,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """A model from the labelled documents that are not held out."""
-    known = labels.where("toxic IS NOT NULL").where(~held_out()).select("doc_id", "toxic")
-    labelled = docs.select("doc_id", "text").join(known, "doc_id")
-    return toxicity.train(labelled, scratch_path(spark, "toxicity"))
+    return toxicity.train(docs, labels.where(~held_out()), scratch_path(spark, "toxicity"))
 
 
 @query("op8_toxicity")

@@ -336,16 +336,20 @@ def _evidence_rows(rows: DataFrame, model: Model) -> DataFrame:
         judge, "worst double, above double, toxic boolean")
 
 
-def train(labelled: DataFrame, folder: str) -> Model:
-    """A model from ``labelled (doc_id, text, toxic 0/1)``, of which MOST_ROWS rows are taken in hash order.
-
-    Two thirds of them train the machine, the rest the scale. Rows with a null text or label are left out.
-    Without both classes the model gives 0 to every text. ``folder`` is one that all executors share.
+def train(docs: DataFrame, labels: DataFrame, folder: str) -> Model:
+    """A model from ``docs (doc_id, text)`` and ``labels (doc_id, toxic 0/1)``.
+
+    MOST_ROWS labels are taken, in hash order of their ids. That bound on (doc_id, toxic) rows lets them meet the
+    documents by broadcast, so no text moves but theirs. Two thirds train the machine, the rest the scale.
+    Labels that are null, or whose document is missing or null, are left out; a document with several labels
+    counts for each. Without both classes the model gives 0 to every text. ``folder`` is one that all
+    executors share.
     """
-    spark = labelled.sparkSession
-    chosen = (labelled.where("text IS NOT NULL AND toxic IS NOT NULL")
-              .select("doc_id", "text", (F.col("toxic") == 1).alias("toxic"), F.xxhash64("doc_id").alias("turn"))
-              .orderBy("turn", "doc_id", F.xxhash64("text")).limit(MOST_ROWS))
+    spark = docs.sparkSession
+    drawn = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
+             .select("doc_id", (F.col("toxic") == 1).alias("toxic"), F.xxhash64("doc_id").alias("turn"))
+             .orderBy("turn", "doc_id", "toxic").limit(MOST_ROWS))
+    chosen = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     chosen.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "turn").write.parquet(f"{folder}/labelled")
     rows = spark.read.parquet(f"{folder}/labelled")
     # The turn's own low digits would follow the sample's order; its remainder by three does not.

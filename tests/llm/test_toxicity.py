@@ -25,7 +25,7 @@ def model(spark):
     rows = [(k, _text(draw, [draw.choice(INSULTS)] if k % 4 == 0 else ()), int(k % 4 == 0)) for k in range(1200)]
     rows += [(5000, None, 1), (5001, "x", None), (None, "y", 0)]
     labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
-    return T.train(labelled, scratch_path(spark, "t"))
+    return T.train(labelled.drop("toxic"), labelled.drop("text"), scratch_path(spark, "t"))
 
 
 def _predicted(model, texts):
@@ -64,7 +64,7 @@ def test_rows(spark, model):
 
 def test_one_class_gives_zero(spark):
     labelled = spark.createDataFrame([(k, "a b c", 0) for k in range(20)], "doc_id bigint, text string, toxic int")
-    model = T.train(labelled, scratch_path(spark, "t"))
+    model = T.train(labelled.drop("toxic"), labelled.drop("text"), scratch_path(spark, "t"))
     assert {r.score for r in T.score(docs_of(spark, AWKWARD), model).collect()} == {0.0}
 
 
