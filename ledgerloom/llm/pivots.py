@@ -1,6 +1,6 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
-Reference points (pivots) are drawn from the vectors. Every vector is described by its PREFIX nearest pivots
+Reference points (pivots) are drawn from the vectors, apart from each other. Every vector is described by its PREFIX nearest pivots
 in order and stands in the inverted lists of the first LISTS of them. Vectors that meet in a list and share
 at least SHARED pivots of their prefixes are verified by their cosine in double precision. Equal vectors
 collapse first, so a list grows with different vectors only; long lists are dealt into block pairs, which
@@ -27,6 +27,9 @@ SHARED = 2
 PIVOT_FACTOR = 4
 LEAST_PIVOTS = 32
 MOST_PIVOTS = 4096
+# Pivots are less alike than this (cosine). Several of them inside one tight group would be nearest to its members
+# in an order that is chance, and members would miss each other.
+SPACING = 0.7
 # Vectors of a list that meet in a task at most, on either side.
 BLOCK = 2048
 
@@ -63,6 +66,17 @@ def _units(raw: list[bytes]) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def spaced(units: np.ndarray, number: int) -> np.ndarray:
+    """The first ``number`` rows that are no more alike than SPACING to any row taken before."""
+    taken = np.empty((0, units.shape[1]))
+    for unit in units:
+        if len(taken) == number:
+            break
+        if not len(taken) or (taken @ unit).max() < SPACING:
+            taken = np.concatenate([taken, unit[None]])
+    return taken
+
+
 def nearest(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The nearest pivots of every vector, nearest first; ties go to the earlier pivot."""
     k = min(PREFIX, len(pivots))
@@ -143,9 +157,9 @@ def near_vectors(vectors: DataFrame, folder: str, threshold: float = 0.9, id_col
     pivots: dict[int, np.ndarray] = {}
     for size, n in counts.items():
         number = min(MOST_PIVOTS, max(LEAST_PIVOTS, int(PIVOT_FACTOR * math.sqrt(n))))
-        drawn = (distinct.where(F.col("size") == size).orderBy(F.xxhash64("digest"), "digest").limit(number)
+        drawn = (distinct.where(F.col("size") == size).orderBy(F.xxhash64("digest"), "digest").limit(2 * number)
                  .select("point").collect())
-        pivots[size] = _units([bytes(row.point) for row in drawn])
+        pivots[size] = spaced(_units([bytes(row.point) for row in drawn]), number)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

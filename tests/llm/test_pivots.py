@@ -58,6 +58,16 @@ def test_against_brute_force(spark, monkeypatch):
             assert found == want
 
 
+def test_recall_in_tight_groups(spark):
+    """Many vectors around few centres, as copies of one text have them."""
+    draw = np.random.default_rng(6)
+    centres = draw.normal(size=(6, 32))
+    rows = [(k, (centres[k % 6 if k < 400 else 0] + draw.normal(size=32) * 0.12).tolist()) for k in range(700)]
+    rows += [(1000 + k, draw.normal(size=32).tolist()) for k in range(300)]
+    got = pivots.near_vectors(_frame(spark, rows), scratch_path(spark, "v")).collect()
+    assert sum(r.n_links for r in got) >= 0.99 * 2 * len(_links(rows))
+
+
 def test_recall_near_the_threshold():
     """Pairs whose cosine is just 0.9 are the hardest to retrieve."""
     draw = np.random.default_rng(5)
@@ -67,7 +77,7 @@ def test_recall_near_the_threshold():
     y -= (x * y).sum(axis=1, keepdims=True) * x
     y /= np.linalg.norm(y, axis=1, keepdims=True)
     y = 0.93 * x + math.sqrt(1 - 0.93**2) * y
-    points = x[draw.choice(4000, int(pivots.PIVOT_FACTOR * math.sqrt(8000)), replace=False)]
+    points = pivots.spaced(x[draw.permutation(4000)], int(pivots.PIVOT_FACTOR * math.sqrt(8000)))
     a, b = pivots.nearest(x, points), pivots.nearest(y, points)
     found = [len(set(p[:pivots.LISTS]) & set(q[:pivots.LISTS])) > 0 and len(set(p) & set(q)) >= pivots.SHARED
              for p, q in zip(a.tolist(), b.tolist())]
