@@ -292,6 +292,21 @@ def raw_block_lines(spark: SparkSession, folder: str) -> DataFrame:
 _EVENT_KINDS = ("click", "view", "purchase", "signup", "error")
 
 
+EVERY_TOPIC = (
+    K.TOPIC_TRANSFER, K.TOPIC_APPROVAL, K.TOPIC_APPROVAL_FOR_ALL, K.TOPIC_TRANSFER_SINGLE, K.TOPIC_TRANSFER_BATCH,
+    K.TOPIC_URI, K.TOPIC_SET_TOKEN_URI, K.TOPIC_MINTER_ADDED, K.TOPIC_WITHDRAWAL, K.TOPIC_DEPOSIT, K.TOPIC_MINT,
+    K.TOPIC_BURN, K.TOPIC_BURN_PAIR, K.TOPIC_ADDR_CHANGED, K.TOPIC_NEW_RESOLVER, K.TOPIC_NAME_CHANGED,
+    K.TOPIC_UPGRADED, K.TOPIC_LEGACY_NFT_TRANSFER, "0xother")
+
+
+def every_kind(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as logs of every kind in turn, with none to four topics."""
+    first = F.element_at(F.array(*[F.lit(t) for t in EVERY_TOPIC]), (F.col("event_id") % len(EVERY_TOPIC) + 1).cast("int"))
+    size = (F.col("event_id") % 5).cast("int")
+    return table(spark, folder, "events").select(
+        "event_id", F.slice(F.array(first, F.lit("0x1"), F.lit("0x2"), F.lit("0x3")), F.lit(1), size).alias("topics"))
+
+
 def approval_logs(spark: SparkSession, folder: str) -> DataFrame:
     """Events as approvals: an hour is a block, the event id the transaction.
 

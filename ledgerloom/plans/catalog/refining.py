@@ -19,15 +19,15 @@ _LOG = """one AS (SELECT b, ti, h, count(*) AS n_logs FROM moves GROUP BY b, ti,
 
 
 @query("refine_blocks", with_(MOVES, BLOCKS, _LOG) + f"""
-SELECT (number // 100000)::VARCHAR AS bnp, base_fee::VARCHAR AS base_fee_per_gas, gas_used, number,
-  proposer, 1000 AS size, ts AS timestamp, 5 AS total_block_score, n_tx::INT AS transaction_count,
-  '0x' || {hx('number', 64)} AS hash
+SELECT (number // 100000)::VARCHAR AS bnp, base_fee::VARCHAR AS base_fee_per_gas, 1 AS block_score, proposer AS committee,
+  '0x' AS extra_data, gas_used, NULL::VARCHAR AS governance_data, '0x' || {hx('number', 64)} AS hash, '0x' AS logs_bloom,
+  number, '0x' || {hx('number + 1', 64)} AS parent_hash, proposer, '0xr' AS receipts_root, proposer AS reward,
+  1000 AS size, '0xs' AS state_root, ts AS timestamp, 0 AS timestamp_fos, 5 AS total_block_score,
+  '0xt' AS transactions_root, '0x' AS vote_data, n_tx::INT AS transaction_count
 FROM blocks JOIN (SELECT b, count(*) AS n_tx FROM one GROUP BY b) ON b = number""")
 def refine_blocks(spark, folder):
     raw = L.parse_blocks(A.raw_block_lines(spark, folder))
-    return refine.refine_blocks(raw).select(
-        "bnp", "base_fee_per_gas", "gas_used", "number", "proposer", "size", "timestamp",
-        "total_block_score", "transaction_count", "hash")
+    return refine.refine_blocks(raw).withColumn("committee", F.array_join("committee", ","))
 
 
 @query("refine_transactions", with_(MOVES, _LOG) + f"""
@@ -46,14 +46,24 @@ def refine_transactions(spark, folder):
 
 @query("refine_event_logs", with_(MOVES) + f"""
 SELECT c AS address, b AS block_number, ti AS transaction_index, li::INT AS log_index, h AS transaction_hash,
-  ts AS timestamp,
-  CASE WHEN ct IN (0, 1, 127) THEN 3 WHEN ct IN (2, 4) THEN 4 WHEN rf IN ('A', 'N') THEN 4 ELSE 1 END AS topics
-FROM moves""")
+  ts AS timestamp, (b // 100000)::VARCHAR AS bnp, '0x' || {hx('b', 64)} AS block_hash, false AS removed,
+  CASE WHEN ct IN (0, 1, 127) THEN '{K.TOPIC_TRANSFER},0x' || wf || ',0x' || wt
+    WHEN ct IN (2, 4) THEN CASE WHEN rf = 'R' THEN '{K.TOPIC_LEGACY_NFT_TRANSFER}' ELSE '{K.TOPIC_TRANSFER}' END
+      || ',0x' || wf || ',0x' || wt || ',0x' || id
+    WHEN rf = 'A' THEN '{K.TOPIC_TRANSFER_SINGLE},0x' || wf || ',0x' || wf || ',0x' || wt
+    WHEN rf = 'N' THEN '{K.TOPIC_TRANSFER_BATCH},0x' || wf || ',0x' || wf || ',0x' || wt
+    WHEN ls = 'F' THEN '{K.TOPIC_TRANSFER_SINGLE}' ELSE '{K.TOPIC_TRANSFER_BATCH}' END AS topics,
+  CASE WHEN ct IN (0, 1, 127) THEN '0x' || n1 WHEN ct IN (2, 4) THEN '0x' WHEN rf = 'A' THEN '0x' || id || n1
+    WHEN rf = 'N' THEN '0x' || {hx('64', 64)} || {hx('160', 64)} || {hx('2', 64)} || id || id2 || {hx('2', 64)} || n1 || n2
+    WHEN ls = 'F' THEN '0x' || wf || wf || wt || id || n1
+    ELSE '0x' || wf || wf || wt || {hx('160', 64)} || {hx('256', 64)} || {hx('2', 64)} || id || id2 || {hx('2', 64)} || n1 || n2
+    END AS data
+FROM (SELECT *, repeat('0', 24) || f[3:] AS wf, repeat('0', 24) || t[3:] AS wt, {h64('tok')}[3:] AS id,
+  {h64('tok + 1')}[3:] AS id2, {h64('amt')}[3:] AS n1, {h64('amt + 1')}[3:] AS n2 FROM moves)""")
 def refine_event_logs(spark, folder):
     raw = L.parse_blocks(A.raw_block_lines(spark, folder))
-    return refine.refine_event_logs(raw).select(
-        "address", "block_number", "transaction_index", "log_index", "transaction_hash", "timestamp",
-        F.size("topics").alias("topics"))
+    # the status is that of the transaction, of which the raw log keeps any one of several line items
+    return refine.refine_event_logs(raw).drop("transaction_status").withColumn("topics", F.array_join("topics", ","))
 
 
 @query("transfer_counts_per_tx", with_(MOVES) + """
@@ -74,6 +84,32 @@ def classify_events(spark, folder):
         F.count("*").alias("n"))
 
 
+def _topic_list(*topics):
+    return ", ".join(f"'{t}'" for t in topics)
+
+
+@query("every_event_kind", f"""
+SELECT event_id, CASE WHEN t = '{K.TOPIC_TRANSFER}' AND n = 3 THEN 'token_transfer'
+    WHEN t = '{K.TOPIC_TRANSFER}' AND n = 4 OR t = '{K.TOPIC_LEGACY_NFT_TRANSFER}' THEN 'nft_transfer'
+    WHEN t = '{K.TOPIC_APPROVAL}' THEN 'approval' WHEN t = '{K.TOPIC_APPROVAL_FOR_ALL}' THEN 'approval_for_all'
+    WHEN t = '{K.TOPIC_TRANSFER_SINGLE}' THEN 'transfer_single' WHEN t = '{K.TOPIC_TRANSFER_BATCH}' THEN 'transfer_batch'
+    WHEN t = '{K.TOPIC_MINTER_ADDED}' THEN 'minter_added' WHEN t = '{K.TOPIC_ADDR_CHANGED}' THEN 'addr_changed'
+    WHEN t = '{K.TOPIC_NEW_RESOLVER}' THEN 'new_resolver' WHEN t = '{K.TOPIC_NAME_CHANGED}' THEN 'name_changed'
+    WHEN t = '{K.TOPIC_UPGRADED}' THEN 'upgraded' ELSE 'unknown' END AS event_type,
+  token OR nft AS is_transfer, token AS is_token_transfer, nft AS is_nft_transfer,
+  t IN ({_topic_list(K.TOPIC_APPROVAL, K.TOPIC_APPROVAL_FOR_ALL)}) AS is_approval,
+  t IN ({_topic_list(K.TOPIC_MINT, K.TOPIC_BURN, K.TOPIC_BURN_PAIR)}) AS is_mint_or_burn,
+  t = '{K.TOPIC_WITHDRAWAL}' AS is_withdrawal, t = '{K.TOPIC_DEPOSIT}' AS is_deposit, t = '{K.TOPIC_URI}' AS is_uri,
+  t = '{K.TOPIC_SET_TOKEN_URI}' AS is_set_token_uri, t = '{K.TOPIC_UPGRADED}' AS is_upgraded,
+  t = '{K.TOPIC_MINTER_ADDED}' AS is_minter_added
+FROM (SELECT *, t = '{K.TOPIC_TRANSFER}' AND n = 3 AS token, t = '{K.TOPIC_TRANSFER}' AND n = 4
+    OR t IN ({_topic_list(K.TOPIC_LEGACY_NFT_TRANSFER, K.TOPIC_TRANSFER_SINGLE, K.TOPIC_TRANSFER_BATCH)}) AS nft
+  FROM (SELECT event_id, event_id % 5 AS n, CASE WHEN event_id % 5 = 0 THEN ''
+    ELSE [{_topic_list(*A.EVERY_TOPIC)}][event_id % {len(A.EVERY_TOPIC)} + 1] END AS t FROM events))""")
+def every_event_kind(spark, folder):
+    return events.classify_events(A.every_kind(spark, folder)).drop("topics")
+
+
 @query("event_predicates", """
 SELECT count(*) FILTER (event_type IN ('click', 'view', 'purchase', 'signup')) AS is_approval,
   count(*) FILTER (event_type = 'error' AND event_id % 2 = 1) AS is_deposit,
