@@ -292,6 +292,62 @@ def correction_queue(spark, folder):
     return ready.withColumn("part", F.lit("due")).unionByName(waiting.withColumn("part", F.lit("waiting")))
 
 
+_DUE = f"""
+sums AS (SELECT c, h, sum(a) AS chain, sum(a) FILTER (WHERE ls = 'F') AS db, bool_or(ls = 'F') AS early FROM (
+    SELECT c, f AS h, -amt AS a, ls FROM moves UNION ALL SELECT c, t, amt, ls FROM moves)
+  WHERE h NOT IN ({ZERO_OR_DEAD}) GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN early THEN 1000 ELSE 1050 END, c, h) <= 100 AS due FROM sums)"""
+
+
+@query("correct_due", with_(MOVES, _DUE) + f"""
+SELECT 'correction' AS part, c AS contract_address, h AS holder_address, {h64('chain')} AS amount
+FROM ranked WHERE due AND early AND db > 0 AND chain <> db
+UNION ALL SELECT 'holder', c, h, {h64('CASE WHEN due THEN chain ELSE db END')} FROM ranked
+WHERE db > 0 AND (NOT due OR chain = db OR chain > 0)""")
+def correct_due(spark, folder):
+    """Stored balances of finished lines, checked against those of all lines for the keys that are due."""
+    t = A.transfers(spark, folder)
+    empty = S.correction_keys(t).limit(0).withColumn("queued_at", F.lit(0).cast("bigint"))
+    queue = S.enqueue(empty, S.correction_keys(t.filter("line_status = 'F'")), 1000)
+    queue = S.enqueue(queue, S.correction_keys(t), 1050)
+    balances = lambda rows: holders.token_balance_deltas(rows, K.ZERO_OR_DEAD).select(
+        "contract_address", "holder_address", "amount")
+    stored = balances(t.filter("line_status = 'F'")).filter(hexnum.is_positive("amount"))
+    done = S.correct_due(queue, 1060, stored, balances(t))
+    return done["corrections"].select(
+        F.lit("correction").alias("part"), "contract_address", "holder_address",
+        F.col("chain_amount").alias("amount")).unionByName(done["holders"].withColumn("part", F.lit("holder")))
+
+
+@query("recount_due", with_(MOVES, legs("moves", "amt")) + f"""
+SELECT c AS contract_address, count(*) AS holder_count FROM (
+  SELECT c, holder FROM legs WHERE holder <> '{ZERO}' GROUP BY 1, 2 HAVING sum(a) > 0)
+WHERE c IN (SELECT c FROM (SELECT DISTINCT c FROM moves) ORDER BY c LIMIT 100) GROUP BY 1""")
+def recount_due(spark, folder):
+    t = A.transfers(spark, folder)
+    queue = t.select("contract_address").distinct().withColumn("queued_at", F.lit(1000).cast("bigint"))
+    stored = holders.token_balance_deltas(t).filter(hexnum.is_positive("amount"))
+    early, late = S.recount_due(queue, 1200, stored), S.recount_due(queue, 1300, stored)
+    return early["holder_counts"].unionByName(late["holder_counts"])      # nothing is due at first
+
+
+@query("account_contract_catch_up_all", with_(MOVES) + f"""
+SELECT a AS account_address, c AS contract_address, max(ts) AS updated_at, max(w) AS last_window FROM (
+  SELECT f AS a, c, ts FROM items UNION ALL SELECT t, c, ts FROM items),
+  (SELECT 1 AS w) WHERE a <> '{ZERO}' GROUP BY 1, 2""".replace("items", "(SELECT * FROM moves WHERE ct IN (2, 3, 4, 5) AND b > 1000)"))
+def account_contract_catch_up_all(spark, folder):
+    """Every window behind block 1000, with gaps far wider than a window between the runs of blocks."""
+    rows = A.nft_rows(spark, folder).withColumn("is_token", F.lit(False))
+    apart = rows.withColumn("block_number", F.col("block_number") + F.call_function(
+        "div", F.col("block_number"), F.lit(50_000)) * 10_000_000)
+    stored = transfers.account_contracts(apart.limit(0), typed=False).select(
+        "account_address", "contract_address", "transfer_type", F.col("timestamp").alias("created_at"),
+        F.col("timestamp").alias("updated_at"))
+    done, last = jobs.catch_up_account_contracts(apart, stored, 1000, 60_000, scratch_path(spark, "catch-up"))
+    beyond = apart.filter(F.col("block_number") > last).limit(1).count()      # nothing is left behind the last window
+    return done.select("account_address", "contract_address", "updated_at", F.lit(1 - beyond).alias("last_window"))
+
+
 @query("account_contract_catch_up", with_(MOVES) + f"""
 SELECT a AS account_address, c AS contract_address, max(ts) AS timestamp
 FROM (SELECT f AS a, c, ts, b FROM items UNION ALL SELECT t, c, ts, b FROM items)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -121,6 +121,34 @@ def write_accounts(made: dict[str, DataFrame], path: str) -> dict[str, DataFrame
     }
 
 
+def windows(rows: DataFrame, last: int, size: int, by: str = "id") -> Iterator[tuple[int, int, DataFrame]]:
+    """(last id before, last id of, rows of) every window of ``size`` ids after ``last`` that holds rows.
+
+    The next window begins at the next id there is, so gaps of any width cost one look at the
+    ids; after each window its end is what a later run goes on from.
+    """
+    while True:
+        following = rows.filter(F.col(by) > last).agg(F.min(by)).first()[0]
+        if following is None:
+            return
+        start, last = following - 1, following - 1 + size
+        yield start, last, block_ops.id_window(rows, start, size, by)
+
+
+def catch_up_account_contracts(transfers_table: DataFrame, stored: DataFrame, last: int, size: int, folder: str,
+                               by: str = "block_number") -> tuple[DataFrame, int]:
+    """``stored`` account contracts after all transfers behind ``last``, window by window, and the last id done.
+
+    The table after each window is written below ``folder``, from where the next one takes it.
+    """
+    spark = stored.sparkSession
+    for _, last, rows in windows(transfers_table, last, size, by):
+        incoming = transfers.account_contracts(rows, typed=False, exclude=K.ZERO_ONLY)
+        transfers.merge_account_contracts(stored, incoming).write.mode("overwrite").parquet(f"{folder}/{last}")
+        stored = spark.read.parquet(f"{folder}/{last}")
+    return stored, last
+
+
 def holder_from_table(token_transfers: DataFrame, lo: int, hi: int) -> DataFrame:
     """Balance deltas of stored transfers of the blocks [lo, hi)."""
     inside = token_transfers.filter((F.col("block_number") >= lo) & (F.col("block_number") < hi))

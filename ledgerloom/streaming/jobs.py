@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerloom import constants as K
-from ledgerloom.functions.hexnum import limb_sums, split_limbs
+from ledgerloom.functions.hexnum import is_positive, limb_sums, split_limbs
 from ledgerloom.functions.scalars import display_order
 from ledgerloom.operators import accounts, approvals, calls, decode, holders, refine, search, transfers
 from ledgerloom.operators.contracts import with_contract_type
@@ -226,3 +226,27 @@ def correction_keys(moved: DataFrame) -> DataFrame:
     return moved.select(
         "contract_address", F.explode(F.array("from_address", "to_address")).alias("holder_address")
     ).filter(~F.col("holder_address").isin(*K.ZERO_OR_DEAD)).distinct()
+
+
+def correct_due(queue: DataFrame, now: int, stored: DataFrame, authoritative: DataFrame) -> Outputs:
+    """Check the queue's due holders against authoritative balances (absent counts as 0).
+
+    Gives the corrections, the stored holders after them (none without a positive balance among
+    the corrected), and the queue without the keys that were checked.
+    """
+    ready = due(queue, now)
+    keys = list(holders.HOLDER_KEY)
+    corrections = holders.balance_diff(stored.join(ready.select(*keys), keys, "left_semi"), authoritative)
+    joined = stored.join(corrections.select(*keys, "chain_amount"), keys, "left")
+    corrected = joined.withColumn("amount", F.coalesce("chain_amount", "amount")).filter(
+        F.col("chain_amount").isNull() | is_positive("amount")).select(*stored.columns)
+    return {"corrections": corrections, "holders": corrected, "queue": dequeue(queue, ready)}
+
+
+def recount_due(queue: DataFrame, now: int, stored: DataFrame, delay: int = 300) -> Outputs:
+    """Holder counts of the contracts that have waited ``delay`` seconds, and the queue without them."""
+    ready = due(queue, now, delay)
+    counted = holders.token_holder_counts(stored.join(ready.select("contract_address"), "contract_address", "left_semi"))
+    counts = ready.select("contract_address").join(counted, "contract_address", "left").withColumn(
+        "holder_count", F.coalesce("holder_count", F.lit(0).cast("bigint")))
+    return {"holder_counts": counts, "queue": dequeue(queue, ready)}
