@@ -98,7 +98,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").where("quality IS NOT NULL OR toxic IS NOT NULL").selectExpr(
         "doc_id", "coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS bad")
     outcomes = numbered.distinct().join(labels, "doc_id").select("page_id", "bad")
-    return reputation.judge_urls(pages, outcomes, URL_RULES).drop("bad_share", "bad_bound")
+    return reputation.judge_urls(pages, outcomes, URL_RULES, scratch_path(spark, "reputation")).drop("bad_share", "bad_bound")
 
 
 OP6_SQL = """WITH payloads AS (

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.components import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -102,16 +104,18 @@ def host_reputation(outcomes: DataFrame, limits: Limits = Limits()) -> DataFrame
                          "share", (F.col("share") - limits.z * spread).alias("bound"))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...], limits: Limits = Limits(),
-               id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...], folder: str,
+               limits: Limits = Limits(), id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row (page_id, host, path, rule, verdict, n_labelled, bad_share, bad_bound) for every page.
 
     ``outcomes`` has (page_id, bad boolean), any number of rows per page; rows with a null in either
     column, or of unknown pages, count for nothing. Hosts without outcomes are allowed, as are null
     urls and urls without ``://`` (empty host and path). Repeated pages give repeated rows.
 
-    Outcomes are counted per page, then per host, before either meets the pages. Pages meet the hosts'
-    rows in a plain equi-join, so a host with a third of all pages is split like any skewed join.
+    Outcomes are counted per page, then per host, before either meets the pages. The counts of the hosts,
+    which every level of the shrinkage reads, are written once below ``folder``, which all executors share.
+    Pages meet the hosts' rows in a plain equi-join, so a host with a third of all pages is split like any
+    skewed join.
     """
     parsed = pages.select(F.col(id_col).cast("bigint").alias("page_id"), host_of(F.col(url_col)).alias("host"),
                           path_of(F.col(url_col)).alias("path"))
@@ -119,7 +123,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...], l
                .agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")))
     by_host = (parsed.select("page_id", "host").join(counted, "page_id").groupBy("host")
                .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-    joined = parsed.join(host_reputation(by_host, limits), "host", "left")
+    joined = parsed.join(host_reputation(written(by_host, folder, "hosts"), limits), "host", "left")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") > limits.bad_share, "block").otherwise("allow")
     return joined.select(

@@ -151,10 +151,10 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, text_hash, text, kept): rows alike in id and text share a key and have the same result."""
+    """(doc_id, text_hash, text, has_text, kept): rows alike in id and text share a key and have the same result."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                       text.alias("text"), F.struct(*keep).alias("kept") if keep else F.lit(None).alias("kept"))
+                       text.alias("text"), F.col(text_col).isNotNull().alias("has_text"), F.struct(*keep).alias("kept") if keep else F.lit(None).alias("kept"))
 
 
 def build_postings(docs: DataFrame, grams: list[str]) -> DataFrame:
@@ -218,7 +218,7 @@ def scan(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = BASE_RULES + MO
     """One row (doc_id, text, spans) per document, with the columns ``keep`` in the struct ``kept``; spans are
     (start, kind, end, base) by start, then in the rules' order.
 
-    Null texts are empty. Rows with equal or null ids keep a row each. The postings are written below
+    Null texts have no spans and stay null. Rows with equal or null ids keep a row each. The postings are written below
     ``folder``, which all executors share.
 
     Texts meet their candidates in a shuffle join; a text comes into it only if it holds the rarest trigram of
@@ -230,7 +230,7 @@ def scan(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = BASE_RULES + MO
     indexed = {kind: query for kind, query in queries.items() if query}
     numbers = {rule.kind: k for k, rule in enumerate(rules)}
     plain = [rule for rule in rules if not queries[rule.kind]]
-    whole = source.select(*_KEY, "text", "kept", F.concat(*[spans_of(F.col("text"), r, numbers[r.kind]) for r in plain],
+    whole = source.select(*_KEY, "text", "has_text", "kept", F.concat(*[spans_of(F.col("text"), r, numbers[r.kind]) for r in plain],
                                                   F.array().cast("array<struct<start:int,number:int,end:int>>"))
                           .alias("spans"))
     if indexed:
@@ -242,7 +242,7 @@ def scan(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = BASE_RULES + MO
         rarest = sorted({min(sorted(q), key=lambda g: count.get(g, 0)) for query in indexed.values() for q in query})
         likely = source.where(reduce(lambda a, b: a | b, [F.contains(F.lower("text"), F.lit(g)) for g in rarest]))
         texts = candidates(postings, indexed, grams).alias("c").join(
-            likely.drop("kept").alias("l"), F.col("c.doc_id").eqNullSafe(F.col("l.doc_id"))
+            likely.drop("kept", "has_text").alias("l"), F.col("c.doc_id").eqNullSafe(F.col("l.doc_id"))
             & (F.col("c.text_hash") == F.col("l.text_hash"))).select("l.*", "kinds")
         found = texts.select(*_KEY, F.concat(*[
             F.when(F.array_contains("kinds", r.kind), spans_of(F.col("text"), r, numbers[r.kind])).otherwise(
@@ -255,7 +255,7 @@ def scan(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = BASE_RULES + MO
             "spans", F.concat("spans", F.coalesce("verified", F.expr("slice(spans, 1, 0)"))))
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     bases = F.array(*[F.lit(r.base) for r in rules])
-    return whole.select("doc_id", "text", "kept", F.transform(F.array_sort("spans"), lambda s: F.struct(
+    return whole.select("doc_id", F.when(F.col("has_text"), F.col("text")).alias("text"), "kept", F.transform(F.array_sort("spans"), lambda s: F.struct(
         s["start"].alias("start"), F.element_at(kinds, s["number"] + 1).alias("kind"), s["end"].alias("end"),
         F.element_at(bases, s["number"] + 1).alias("base"))).alias("spans"))
 

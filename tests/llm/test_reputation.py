@@ -2,13 +2,14 @@ import math
 
 from ledgerloom.llm import reputation
 from ledgerloom.llm.queries import URL_RULES
+from ledgerloom.session import scratch_path
 
 
 def _judged(spark, urls, outcomes):
     pages = spark.createDataFrame([(k, u, "x", "y") for k, u in enumerate(urls)],
                                   "page_id bigint, url string, host string, verdict string")
     known = spark.createDataFrame(outcomes, "page_id bigint, bad boolean")
-    return sorted(reputation.judge_urls(pages, known, URL_RULES).collect(), key=lambda r: r.page_id)
+    return sorted(reputation.judge_urls(pages, known, URL_RULES, scratch_path(spark, "r")).collect(), key=lambda r: r.page_id)
 
 
 def test_rules_and_parts(spark):

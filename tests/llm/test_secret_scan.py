@@ -35,7 +35,7 @@ def test_base_spans_against_python(spark):
     found = S.scan(docs_of(spark, rows), scratch_path(spark, "s"), S.BASE_RULES).collect()
     assert len(found) == len(rows)
     for row in found:
-        assert [f"{s.kind}:{s.start}:{s.end}" for s in row.spans] == _spans(row.text)
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in row.spans] == _spans(row.text or "")
     assert sum(r.doc_id is None and len(r.spans) == 1 for r in found) == 2
 
 
