@@ -28,7 +28,7 @@ WIDTH = 13
 LEAST_SHARE = 20  # contaminated from one hit word in this many on
 STRETCH_BYTES = 8 << 20
 # Test words that one search takes at a time; a larger benchmark is searched block by block.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 50_000
 
 INDEX_SCHEMA = "doc_ids array<bigint>, n_words array<int>, terms binary, counts binary, places binary"
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
