@@ -69,13 +69,14 @@ def nft_inventory_moves(transfers: DataFrame, exclude: Sequence[str] = K.ZERO_ON
     """Tokens that a holder gained (``is_send`` false) or lost in total.
 
     A token that came and went within one block leaves no trace, neither in the
-    net count nor in the time.
+    net count nor in the time. The legs are dealt by token once; the sums per block and the
+    total both find their rows together there.
     """
     kept = transfers.filter(F.col("contract_type").isin(*collections))
     split = split_limbs(kept, "count", "token_count").select(
         "contract_address", "token_id", "from_address", "to_address", "timestamp", "block_number",
         *[f"count__p{i}" for i in range(6)])
-    legs = explode_legs(split).filter(_outside("holder_address", exclude))
+    legs = explode_legs(split).filter(_outside("holder_address", exclude)).repartition(*ITEM_KEY)
     per_block = legs.groupBy(*ITEM_KEY, "block_number").agg(
         *limb_sums("count", "sign"), F.max("timestamp").alias("timestamp"))
     sums = limb_columns("count")

@@ -430,13 +430,13 @@ def restore_missing(spark, folder):
 SELECT 'token_approvals' AS name, count(*) AS rows FROM (SELECT DISTINCT owner, spender, c FROM e WHERE event_type IN ('click', 'view'))
 UNION ALL SELECT 'nft_approvals', count(*) FROM (SELECT DISTINCT owner, c, cents % 5 FROM e WHERE event_type = 'purchase')
 UNION ALL SELECT 'operator_approvals', count(*) FROM (SELECT DISTINCT owner, c, spender FROM e WHERE event_type = 'signup')
-UNION ALL SELECT 'token_burns', count(*) FROM moves WHERE ct IN (0, 1, 127) AND t IN ({BURNS}) AND b BETWEEN 2000 AND 900000
-UNION ALL SELECT 'nft_burns', count(*) FROM nfts WHERE t IN ({BURNS}) AND b BETWEEN 2000 AND 900000""")
+UNION ALL SELECT 'token_burns', count(*) FROM moves WHERE ct IN (0, 1, 127) AND t IN ({BURNS}) AND b >= 2000
+UNION ALL SELECT 'nft_burns', count(*) FROM nfts WHERE t IN ({BURNS}) AND b >= 2000""")
 def approve_burn_range(spark, folder):
     columns = ["block_number", "transaction_hash", "transaction_index", "log_index", "address", "topics", "data", "timestamp"]
     logs = A.event_logs(spark, folder).select(*columns).unionByName(A.approval_logs(spark, folder).select(*columns))
     out = None
-    for name, df in jobs.approve_burn_range(logs, A.contracts(spark, folder), 2000, 900000).items():
+    for name, df in jobs.approve_burn_range(logs, A.contracts(spark, folder), 2000, 1 << 40).items():
         part = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"))
         out = part if out is None else out.unionByName(part)
     return out
