@@ -31,6 +31,8 @@ _BESIDE_WORDS = frozenset(
     "notices alert popup modal newsletter subscribe signup login search share sharing social related "
     "recommended comment comments disqus respond reply replies pagination pager widget toolbar "
     "contentinfo complementary form skip copyright legal".split())
+_BESIDE_STEMS = ("advert", "breadcrumb", "comment", "cookie", "disqus", "footer", "navbar", "newsletter", "sidebar",
+                 "sponsor", "subscri")
 _BLOCK = frozenset(
     "address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html "
     "li main ol p pre section summary table tbody td tfoot th thead tr ul caption".split()) | _BESIDE
@@ -44,19 +46,23 @@ _ENDS_P = _BLOCK - {"html", "body"}
 def _beside(name: str, attributes: str) -> bool:
     if name in _BESIDE:
         return True
-    if name in ("html", "body", "article", "main") or not attributes:
+    if name in ("html", "body", "article", "main") or name in _HEADINGS or not attributes:
         return False
     for _, value in _ATTRIBUTE.findall(attributes):
         for one in value.strip("\"'").lower().split():
             # "has-sidebar" and the like describe the page around the article, not a part beside it.
-            if not re.match(r"(?:has|with|no|without)[-_]", one) and not _BESIDE_WORDS.isdisjoint(
-                    re.split(r"[^a-z]+", one)):
+            if not re.match(r"(?:has|with|no|without)[-_]", one) and any(
+                    word in _BESIDE_WORDS or word.startswith(_BESIDE_STEMS) for word in re.split(r"[^a-z]+", one)):
                 return True
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """Stripped lines as (text, characters inside links, inside article or main); None-text lines are gaps."""
+def lines_of(page: str, by_class: str = "everywhere") -> list[tuple[str, int, bool]]:
+    """Stripped lines as (text, characters inside links, inside article or main); lines without text are gaps.
+
+    ``by_class`` says where class, id and role values tell what stands beside the article: everywhere,
+    inside article and main only, or nowhere.
+    """
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = 0
@@ -140,7 +146,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                         break
                     continue
                 break
-        out = _beside(name, found.group(3))
+        out = _beside(name, found.group(3) if by_class == "everywhere" or main and by_class == "inside" else "")
         if out and not beside:
             gap()
         stack.append((name, out))
@@ -171,10 +177,23 @@ def regions_of(lengths: list[int]) -> list[tuple[int, int, int]]:
 
 
 def main_text(page: str | None) -> str:
-    """The blocks of the main text joined by an empty line; empty for null, empty or article-free pages."""
+    """The blocks of the main text joined by an empty line; empty for null, empty or article-free pages.
+
+    Where the classes leave nothing, as when the whole page stands in an element that is named for its
+    sidebar, they are heeded inside the article only, and then not at all.
+    """
     if not page:
         return ""
-    lines = lines_of(page)
+    for by_class in ("everywhere", "inside", "nowhere"):
+        lines = lines_of(page, by_class)
+        if by_class != "inside" or any(inside and text for text, _, inside in lines):
+            text = _selected(lines)
+            if text:
+                return text
+    return ""
+
+
+def _selected(lines: list[tuple[str, int, bool]]) -> str:
     if any(inside and text for text, _, inside in lines):
         lines = [line if line[2] else ("", 0, False) for line in lines]
         share = 0.0

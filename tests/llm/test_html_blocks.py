@@ -23,6 +23,18 @@ def test_an_article_element_is_taken_whole():
                      ) == "X\n\nY.\n\nZ"
 
 
+def test_common_layouts():
+    page = """<HTML><BODY><DIV CLASS="layout sidebar-right"><DIV id='top' title="a > b"><UL class=main-menu><LI>One<LI>Two</UL></DIV>
+    <div role="complementary">Beside it all, with a long text that nobody asked for in the first place.</div>
+    <article class="post"><header><h1 class="header">Head</h1><p class=byline>By someone</p></header>
+    <p>Body one.<aside>Pulled out</aside><p>Body two<table><tr><td>A<td>B</table><div class="advert-box">Buy</div>
+    <ol class="commentlist"><li><article><p>First!</p></article></ol><p>Body three</article></DIV>
+    <section class="comments"><p>Nice, said a reader at some length, and went on about it.</p></section></BODY></HTML>"""
+    assert main_text(page) == "Head\n\nBody one.\n\nBody two\n\nA\n\nB\n\nBody three"
+    page = """<div class="page sidebar-left"><p>A page in one element, named for what stands beside it.</p></div>"""
+    assert main_text(page) == "A page in one element, named for what stands beside it."
+
+
 def test_awkward_pages():
     assert main_text(None) == main_text("") == main_text("<p> </p>") == main_text("<script>never closed <p>x</p>") == ""
     assert main_text("plain text &lt;only&gt;") == "plain text <only>"
