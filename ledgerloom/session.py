@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folder: str | None = None
+_local_folder: tempfile.TemporaryDirectory | None = None
 
 
 def build_session(app: str = "ledgerloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,7 +29,8 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own, which goes when the
+    program ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -38,8 +39,8 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     global _local_folder
     if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    return _local_folder
+        _local_folder = tempfile.TemporaryDirectory(prefix="ledgerloom-", ignore_cleanup_errors=True)
+    return _local_folder.name
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
