@@ -30,6 +30,8 @@ SEQUENCE_PRICE = 16
 HARD_STEP = 512
 SEGMENT_TOKENS = 4 << 20
 CARRIED_WINDOWS = 4
+# Text that is encoded at a time: the longer, the more of its words repeat.
+STRETCH_BYTES = 16 << 20
 SHORT_POWERS = (256, 512, 1024, 2048)
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -158,7 +160,7 @@ class _Run:
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, last_id: int, size: int = 4096, id_col: str = "doc_id",
                    text_col: str = "text", segment_tokens: int = SEGMENT_TOKENS,
-                   stretch_bytes: int = tokens.STRETCH_BYTES) -> DataFrame:
+                   stretch_bytes: int = STRETCH_BYTES) -> DataFrame:
     """One row (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) per piece of a document.
 
     Documents keep the order they have in their partition. A null or empty text is its closing id alone;
