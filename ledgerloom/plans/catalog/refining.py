@@ -44,6 +44,33 @@ def refine_transactions(spark, folder):
         "nonce", "timestamp", "token_transfer_count", "nft_transfer_count")
 
 
+@query("refine_transactions_whole", with_(MOVES, TXS) + f"""
+SELECT (b // 100000)::VARCHAR AS bnp, NULL::VARCHAR AS access_list, '0x' || {hx('b', 64)} AS block_hash, b AS block_number,
+  created AS contract_address, CASE WHEN ls = 'F' THEN '0x2019' ELSE '' END AS chain_id, sender AS from_address,
+  21000::BIGINT AS gas, price AS gas_price, 21000 AS gas_used, input, '0x' AS logs_bloom, NULL::VARCHAR AS max_fee_per_gas,
+  NULL::VARCHAR AS max_priority_fee_per_gas, 7::BIGINT AS nonce, '0xs' || {hx('l_orderkey * 8 + l_linenumber', 63)} AS sender_tx_hash,
+  '0x1 0x2 0x3' AS signatures, ls = 'F' AS status, receiver AS to_address, h AS transaction_hash, ti AS transaction_index,
+  CASE WHEN rf = 'A' THEN 'TxTypeAccountUpdate' ELSE 'TxTypeValueTransfer' END AS type,
+  CASE WHEN rf = 'A' THEN 32 ELSE 8 END AS type_int, round(l_extendedprice * 100)::BIGINT::VARCHAR AS value,
+  NULL::VARCHAR AS code_format, NULL::VARCHAR AS fee_payer, NULL::VARCHAR AS fee_payer_signatures,
+  NULL::VARCHAR AS fee_ratio, NULL::BOOLEAN AS human_readable,
+  CASE WHEN rf = 'A' AND ls = 'F' THEN '0x04' || {hx('l_suppkey', 8)} END AS key, err AS tx_error,
+  CASE WHEN ct IN (0, 1, 127) THEN 1 ELSE 0 END AS token_transfer_count,
+  CASE WHEN ct IN (2, 3, 4, 5) THEN 1 ELSE 0 END AS nft_transfer_count, ts AS timestamp, NULL::VARCHAR AS effective_gas_price
+FROM (SELECT * FROM txs QUALIFY count(*) OVER (PARTITION BY h) = 1)""")
+def refine_transactions_whole(spark, folder):
+    """Every column, of the transactions that stand for one line item."""
+    single = A.transactions(spark, folder).groupBy("transaction_hash").count().filter("count = 1").select("transaction_hash")
+    refined = refine.refine_transactions(L.parse_blocks(A.raw_block_lines(spark, folder)))
+
+    def signed(name):
+        return F.array_join(F.transform(name, lambda s: F.concat_ws(" ", s["V"], s["R"], s["S"])), ",")
+
+    return refined.join(single, "transaction_hash", "left_semi").withColumns({
+        "signatures": signed("signatures"), "fee_payer_signatures": signed("fee_payer_signatures"),
+        "access_list": F.array_join("access_list", ",")})
+
+
 @query("refine_event_logs", with_(MOVES) + f"""
 SELECT c AS address, b AS block_number, ti AS transaction_index, li::INT AS log_index, h AS transaction_hash,
   ts AS timestamp, (b // 100000)::VARCHAR AS bnp, '0x' || {hx('b', 64)} AS block_hash, false AS removed,
