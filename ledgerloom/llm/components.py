@@ -36,7 +36,10 @@ def components(spark: SparkSession, edges: DataFrame, folder: str) -> DataFrame:
     while True:
         # Large star: all greater neighbours of a node move to the least node among it and its neighbours.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
+        # The least neighbours are written: read back, they meet the edges in a join whose sides Spark can split,
+        # and the edges of one hub are not one task's work.
+        least = written(both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least")),
+                        folder, "least")
         moved = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
         large = written(_largest_first(moved), folder, "large")
         # Small star: a node and its smaller neighbours move to the least of them.
