@@ -26,6 +26,9 @@ WIDTH = 13
 GROUPS_PER_PARTITION = 2
 BUCKETS_PER_PARTITION = 1
 
+# Ranges of hashes that a bucket is worked through in, which bounds the arrays made on the way.
+RANGES = 8
+
 ENTRY_SCHEMA = "bucket int, part int, hashes binary, places binary, docs binary, marks binary"
 MARK_SCHEMA = "part int, marks binary"
 OUT_SCHEMA = "doc_id bigint, n_words bigint, n_removed bigint, removed array<int>, kept_text string"
@@ -114,25 +117,23 @@ def _entries(part: int, group: _Group, width: int, buckets: int) -> pa.Table:
 def _marks(table: pa.Table) -> pa.Table:
     """Places of one bucket's windows that a smaller document has too, as runs for each group."""
     rows: list[tuple[int, bytes]] = []
-    hashes, places, owners, parts = [], [], [], []
-    for _, part, h, p, d, m in zip(*(table.column(c).to_pylist() for c in table.column_names)):
-        if m is not None:
-            rows.append((part, m))
-            continue
-        docs = _unpack(d, np.int64).reshape(-1, 2)
-        place = _from_planes(p, np.int32)
-        hashes.append(_from_planes(h, np.uint64))
-        places.append(place)
-        owners.append(docs[np.searchsorted(docs[:, 0], place, side="right") - 1, 1])
-        parts.append(np.full(len(place), part, np.int32))
-    if hashes:
-        h, p, o, g = map(np.concatenate, (hashes, places, owners, parts))
-        order = np.argsort(h, kind="stable")
-        h, o = h[order], o[order]
-        heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        least = np.repeat(np.minimum.reduceat(o, heads), np.diff(np.append(heads, len(h))))
-        late = order[o > least]
-        g, p = g[late], p[late]
+    sent: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+    columns = [table.column(c).combine_chunks() for c in table.column_names]
+    for k in range(table.num_rows):
+        part, h, p, d, m = (column[k] for column in columns[1:])
+        if m.is_valid:
+            rows.append((part.as_py(), m.as_py()))
+        else:
+            sent.append((part.as_py(), _from_planes(h.as_buffer(), np.uint64), _from_planes(p.as_buffer(), np.int32),
+                         _unpack(d.as_buffer(), np.int64).reshape(-1, 2)))
+    del columns
+    if sent:
+        # Every fragment is in the order of its hashes, so a range of hashes is a slice of each.
+        low, high = min(int(h[0]) for _, h, _, _ in sent), max(int(h[-1]) for _, h, _, _ in sent)
+        edges = np.array([low + (high - low) * k // RANGES for k in range(1, RANGES)], np.uint64)
+        cuts = [np.concatenate([[0], np.searchsorted(h, edges, side="right"), [len(h)]]) for _, h, _, _ in sent]
+        found = [_late(sent, [(c[k], c[k + 1]) for c in cuts]) for k in range(RANGES)]
+        g, p = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((p, g))
         g, p = g[order], p[order]
         for part, low, high in zip(*(x.tolist() for x in _pieces(g))):
@@ -141,6 +142,24 @@ def _marks(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], names=["part", "marks"])
 
 
+def _late(sent: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]],
+          slices: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(group, place) of the windows in these slices of the fragments that a smaller document has too."""
+    h = np.concatenate([hashes[a:b] for (_, hashes, _, _), (a, b) in zip(sent, slices)])
+    if not len(h):
+        return np.empty(0, np.int32), np.empty(0, np.int32)
+    p = np.concatenate([places[a:b] for (_, _, places, _), (a, b) in zip(sent, slices)])
+    o = np.concatenate([docs[np.searchsorted(docs[:, 0], places[a:b], side="right") - 1, 1]
+                        for (_, _, places, docs), (a, b) in zip(sent, slices)])
+    g = np.repeat(np.array([part for part, *_ in sent], np.int32), [b - a for a, b in slices])
+    order = np.argsort(h, kind="stable")
+    h, o = h[order], o[order]
+    heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    least = np.repeat(np.minimum.reduceat(o, heads), np.diff(np.append(heads, len(h))))
+    late = order[o > least]
+    return g[late], p[late]
+
+
 def _pieces(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, from, to) of each run of equal sorted keys."""
     if not len(keys):
@@ -205,12 +224,15 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     dealt = keyed.mapInArrow(pack, "part int, doc_id bigint, packed binary").repartition(partitions, "part")
 
     def entries(key: tuple, table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         return _entries(key[0].as_py(), _Group(table), width, buckets)
 
     def marks(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         return _marks(table)
 
     def result(table: pa.Table, marked: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         return _result(_Group(table), marked.column("marks").to_pylist(), width)
 
     sent = dealt.groupBy("part").applyInArrow(entries, ENTRY_SCHEMA)
