@@ -1,10 +1,11 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
-Reference points (pivots) are drawn from the vectors, apart from each other. Every vector is described by its PREFIX nearest pivots
-in order and stands in the inverted lists of the first LISTS of them. Vectors that meet in a list and share
-at least SHARED pivots of their prefixes are verified by their cosine in double precision. Equal vectors
-collapse first, so a list grows with different vectors only; long lists are dealt into block pairs, which
-keeps a task's work bounded and loses nothing.
+Reference points (pivots) are drawn from the vectors, apart from each other. Every vector is described by a prefix
+of its nearest pivots in order and stands in the inverted lists of the first of them. Vectors that meet in a list and
+share at least SHARED pivots of their prefixes are linked by their cosine in double precision. The more pivots there
+are, the less two near vectors agree on the nearest ones: how many lists a vector stands in is therefore measured on
+pairs made at the threshold, and the prefix grows with it. Equal vectors collapse first, so a list grows with
+different vectors only; long lists are dealt into block pairs, which keeps a task's work bounded and loses nothing.
 """
 
 from __future__ import annotations
@@ -20,9 +21,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components, written
 
+# The prefix for LISTS lists, and the least number of lists; lists_for and prefix_for give what is used.
 PREFIX = 8
 LISTS = 3
 SHARED = 2
+# Share of the pairs made at the threshold that must meet, and vectors that such pairs are made of.
+WANTED = 0.99
+TRIALS = 500
 # Pivots for n different vectors: PIVOT_FACTOR times their root. The bounds keep the pivots' size on the driver.
 PIVOT_FACTOR = 4
 LEAST_PIVOTS = 32
@@ -77,9 +82,9 @@ def spaced(units: np.ndarray, number: int) -> np.ndarray:
     return taken
 
 
-def nearest(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+def nearest(units: np.ndarray, pivots: np.ndarray, prefix: int = PREFIX) -> np.ndarray:
     """The nearest pivots of every vector, nearest first; ties go to the earlier pivot."""
-    k = min(PREFIX, len(pivots))
+    k = min(prefix, len(pivots))
     likeness = units @ pivots.T
     if k < len(pivots):
         # A stable choice: equal likeness counts in the order of the pivots.
@@ -88,7 +93,44 @@ def nearest(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.argsort(-likeness, axis=1, kind="stable")[:, :k].astype(np.int32)
 
 
-def _met(rows: list[tuple], threshold: float) -> list[tuple[int, int | None, int]]:
+def prefix_for(lists: int) -> int:
+    """Twice the lists and more, so that a pair that meets hardly ever fails to share SHARED pivots."""
+    return PREFIX + 2 * (lists - LISTS)
+
+
+def lists_for(units: np.ndarray, pivots: np.ndarray, threshold: float) -> int:
+    """The least number of lists, LISTS at least, by which WANTED of the pairs at exactly the threshold meet.
+
+    The pairs are made of the vectors that are no pivots: each is turned towards and away from another of them until
+    their cosine is the threshold.
+    """
+    if len(pivots) <= LISTS or not len(units):
+        return LISTS
+    units = units[(units @ pivots.T).max(axis=1) < 1 - 1e-9][-TRIALS:]
+    across = np.roll(units, 1, axis=0)
+    across = across - (across * units).sum(axis=1, keepdims=True) * units
+    long = np.linalg.norm(across, axis=1)
+    units, across = units[long > 1e-6], across[long > 1e-6] / long[long > 1e-6, None]
+    if not len(units):
+        return LISTS
+    cosine = min(1.0, max(-1.0, threshold))
+    own = np.argsort(nearest(units, pivots, len(pivots)), axis=1)
+    meet, share = [], []
+    for sign in (1, -1):
+        turned = cosine * units + sign * math.sqrt(1 - cosine * cosine) * across
+        # The worse rank of a pivot in both orders: by the best pivot they meet, SHARED of them are shared.
+        worse = np.maximum(own, np.argsort(nearest(turned, pivots, len(pivots)), axis=1))
+        worse = np.partition(worse, SHARED - 1, axis=1)
+        meet.append(worse[:, :SHARED].min(axis=1))
+        share.append(worse[:, SHARED - 1])
+    first, last = np.concatenate(meet), np.concatenate(share)
+    for lists in range(LISTS, len(pivots)):
+        if ((first < lists) & (last < prefix_for(lists))).mean() >= WANTED:
+            return lists
+    return len(pivots)
+
+
+def _met(rows: list[tuple], threshold: float, lists: int) -> list[tuple[int, int | None, int]]:
     """(u, null, links of u met here) and (u, v, 0) for a forest of the links, for one block pair of one list.
 
     rows: (rep, copies, side, point, prefix). A pair is settled in the least list that both stand in.
@@ -103,17 +145,29 @@ def _met(rows: list[tuple], threshold: float) -> list[tuple[int, int | None, int
     right = np.flatnonzero(side != 0) if (side == 2).any() else np.flatnonzero(side == 1)
     if not len(left) or not len(right):
         return []
-    shared = np.zeros((len(left), len(right)), np.int8)
-    earlier = np.zeros((len(left), len(right)), bool)
-    for i in range(prefix.shape[1]):
-        for j in range(prefix.shape[1]):
-            same = prefix[left, i][:, None] == prefix[right, j][None, :]
-            shared += same
-            if i < LISTS and j < LISTS:
-                earlier |= same & (prefix[left, i] < pivot)[:, None]
-    linked = (shared >= min(SHARED, prefix.shape[1])) & ~earlier & (units[left] @ units[right].T >= threshold)
+    near = units[left] @ units[right].T >= threshold
+    if (side == 2).any():
+        np.fill_diagonal(near, False)
+    # Prefixes are compared for the vectors with a near one only; most have none in a list of different vectors.
+    a, b = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    if not len(a):
+        return []
+    pivots = np.intersect1d(prefix[left[a]], prefix[right[b]])
+
+    def held(of: np.ndarray, most: int) -> np.ndarray:
+        own = prefix[of, :most]
+        at = np.minimum(np.searchsorted(pivots, own), len(pivots) - 1)
+        out = np.zeros((len(of), len(pivots)), np.float32)
+        row, column = np.nonzero(pivots[at] == own)
+        out[row, at[row, column]] = 1
+        return out
+
+    shared = held(left[a], prefix.shape[1]) @ held(right[b], prefix.shape[1]).T
+    before = pivots < pivot
+    earlier = held(left[a], lists)[:, before] @ held(right[b], lists)[:, before].T > 0
+    linked = np.zeros_like(near)
+    linked[np.ix_(a, b)] = near[np.ix_(a, b)] & (shared >= min(SHARED, prefix.shape[1])) & ~earlier
     if (side == 2).any():
-        np.fill_diagonal(linked, False)
         counts = linked @ copies[right]
         whole = linked
     else:
@@ -155,11 +209,14 @@ def near_vectors(vectors: DataFrame, folder: str, threshold: float = 0.9, id_col
     # Few sizes are expected, and each draws its own pivots: rows of the driver are sizes, then pivots.
     counts = {row.size: row.n for row in distinct.groupBy("size").agg(F.count("*").alias("n")).collect()}
     pivots: dict[int, np.ndarray] = {}
+    lists: dict[int, int] = {}
     for size, n in counts.items():
         number = min(MOST_PIVOTS, max(LEAST_PIVOTS, int(PIVOT_FACTOR * math.sqrt(n))))
-        drawn = (distinct.where(F.col("size") == size).orderBy(F.xxhash64("digest"), "digest").limit(2 * number)
+        drawn = (distinct.where(F.col("size") == size).orderBy(F.xxhash64("digest"), "digest").limit(2 * number + TRIALS)
                  .select("point").collect())
-        pivots[size] = spaced(_units([bytes(row.point) for row in drawn]), number)
+        units = _units([bytes(row.point) for row in drawn])
+        pivots[size] = spaced(units[:2 * number], number)
+        lists[size] = lists_for(units, pivots[size], threshold)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,14 +225,15 @@ def near_vectors(vectors: DataFrame, folder: str, threshold: float = 0.9, id_col
                 own = np.flatnonzero(sizes == size)
                 for low in range(0, len(own), 1024):
                     part = batch.take(pa.array(own[low:low + 1024]))
-                    prefix = nearest(_units(part.column(3).to_pylist()), pivots[size])
+                    prefix = nearest(_units(part.column(3).to_pylist()), pivots[size], prefix_for(lists[size]))
                     yield pa.RecordBatch.from_arrays(
-                        [*part.columns, pa.array(list(prefix), pa.list_(pa.int32()))], [*part.schema.names, "prefix"])
+                        [*part.columns, pa.array([lists[size]] * len(part), pa.int32()),
+                         pa.array(list(prefix), pa.list_(pa.int32()))], [*part.schema.names, "lists", "prefix"])
 
     described = written(distinct.select("rep", "copies", "size", "point").mapInArrow(
-        describe, "rep bigint, copies bigint, size int, point binary, prefix array<int>"), folder, "described")
-    listed = described.select("*", F.explode(F.slice("prefix", 1, LISTS)).alias("pivot"))
-    lengths = (described.select("size", F.explode(F.slice("prefix", 1, LISTS)).alias("pivot"))
+        describe, "rep bigint, copies bigint, size int, point binary, lists int, prefix array<int>"), folder, "described")
+    listed = described.select("*", F.explode(F.slice("prefix", 1, F.col("lists"))).alias("pivot"))
+    lengths = (described.select("size", F.explode(F.slice("prefix", 1, F.col("lists"))).alias("pivot"))
                .groupBy("size", "pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
                                              F.count("*").alias("length")).where("length > 1"))
     blocked = listed.join(lengths, ["size", "pivot"]).withColumn(
@@ -183,11 +241,11 @@ def near_vectors(vectors: DataFrame, folder: str, threshold: float = 0.9, id_col
     spread = blocked.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "size", "pivot", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "rep", "copies",
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
-        "point", "prefix")
+        "point", "lists", "prefix")
 
     def verify(table: pa.Table) -> pa.Table:
         columns = [table.column(c).to_pylist() for c in ("rep", "copies", "side", "point", "prefix", "pivot")]
-        found = _met(list(zip(*columns)), threshold)
+        found = _met(list(zip(*columns)), threshold, table.column("lists")[0].as_py())
         return pa.table([pa.array([r[k] for r in found], pa.int64()) for k in range(3)], names=["u", "v", "n"])
 
     met = written(spread.groupBy("size", "pivot", "a", "b").applyInArrow(verify, "u bigint, v bigint, n bigint"),

@@ -84,6 +84,36 @@ def test_recall_near_the_threshold():
     assert sum(found) / len(found) >= 0.9
 
 
+def test_recall_at_the_threshold_with_most_pivots():
+    """The more pivots, the less two vectors agree on the nearest ones: at cosine 0.9 exactly, 0.9 must still meet."""
+    draw = np.random.default_rng(7)
+    x = draw.normal(size=(pivots.MOST_PIVOTS + 3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    points, drawn, x = x[:pivots.MOST_PIVOTS], x[:-1000], x[-1000:]
+    y = draw.normal(size=x.shape)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    y = 0.9 * x + math.sqrt(1 - 0.9**2) * y
+    lists = pivots.lists_for(drawn, points, 0.9)
+    a, b = (pivots.nearest(v, points, pivots.prefix_for(lists)).tolist() for v in (x, y))
+    found = [len(set(p[:lists]) & set(q[:lists])) > 0 and len(set(p) & set(q)) >= pivots.SHARED for p, q in zip(a, b)]
+    assert sum(found) / len(found) >= 0.95
+    assert pivots.lists_for(points, points, 0.9) == pivots.lists_for(x[:0], points, 0.9) == pivots.LISTS
+
+
+def test_links_at_the_threshold_in_the_whole_operator(spark):
+    """By three lists a vector, 9 of 100 of these pairs are lost."""
+    draw = np.random.default_rng(8)
+    x, y = draw.normal(size=(2, 1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    y = 0.901 * x + math.sqrt(1 - 0.901**2) * y
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, y]))]
+    got = pivots.near_vectors(_frame(spark, rows), scratch_path(spark, "v")).collect()
+    assert sum(r.n_links for r in got) >= 0.97 * 3000
+
+
 def test_empty(spark):
     assert pivots.near_vectors(_frame(spark, []), scratch_path(spark, "v")).collect() == []
     assert pivots.near_vectors(_frame(spark, [(1, None)]), scratch_path(spark, "v")).collect()[0].component_id == 1
