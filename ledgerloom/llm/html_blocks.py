@@ -4,6 +4,7 @@ Markup is stripped into lines, one per block element. The text lengths of the li
 sliding windows; where the sum rises from nothing is a surge point, where it falls back to nothing a
 dive point, and the text between the two is a candidate region. Elements that never hold an article
 (menus, forms, adverts, comments, ...) count as empty lines, so a region never reaches across them.
+An article or main element is taken whole if no region outside it holds more text; else the regions of all lines decide.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 PEAK_SHARE = 0.2
+# Text outside article and main elements that is shorter than this never speaks against them.
+LEAST_OUTSIDE = 80
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
                     re.S)
@@ -57,17 +60,22 @@ def _beside(name: str, attributes: str) -> bool:
     return False
 
 
-def lines_of(page: str, by_class: str = "everywhere") -> list[tuple[str, int, bool]]:
-    """Stripped lines as (text, characters inside links, inside article or main); lines without text are gaps.
+def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None = None) -> list[tuple[str, int, int]]:
+    """Stripped lines as (text, characters inside links, number of the outermost article or main around it or 0);
+    lines without text are gaps.
 
-    ``by_class`` says where class, id and role values tell what stands beside the article: everywhere,
-    inside article and main only, or nowhere.
+    ``by_class`` says where class, id and role values tell what stands beside the article: everywhere, everywhere but
+    on elements around an article or main ("unwrapped"), or nowhere. ``wrappers`` has the places of those elements:
+    "everywhere" adds them, "unwrapped" reads them.
     """
-    lines: list[tuple[str, int, bool]] = []
+    wrappers = set() if wrappers is None else wrappers
+    lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked = 0
     stack: list[tuple[str, bool]] = []
-    beside = main = anchors = 0
+    # Places of the open elements that are beside by their class.
+    classed: dict[int, int] = {}
+    beside = main = anchors = mains = 0
     heading = 0
 
     def end_line() -> None:
@@ -75,18 +83,19 @@ def lines_of(page: str, by_class: str = "everywhere") -> list[tuple[str, int, bo
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                lines.append((text, linked, main > 0))
+                lines.append((text, linked, mains if main else 0))
             parts.clear()
         linked = 0
 
     def gap() -> None:
         end_line()
-        lines.extend([("", 0, False)] * WINDOW)
+        lines.extend([("", 0, 0)] * WINDOW)
 
     def close(at: int) -> None:
         nonlocal beside, main, anchors, heading
         while len(stack) > at:
             name, out = stack.pop()
+            classed.pop(len(stack), None)
             beside -= out
             main -= name in _MAIN
             anchors -= name == "a"
@@ -146,12 +155,18 @@ def lines_of(page: str, by_class: str = "everywhere") -> list[tuple[str, int, bo
                         break
                     continue
                 break
-        out = _beside(name, found.group(3) if by_class == "everywhere" or main and by_class == "inside" else "")
+        heeded = by_class == "everywhere" or by_class == "unwrapped" and (main or found.start() not in wrappers)
+        out = _beside(name, found.group(3) if heeded else "")
         if out and not beside:
             gap()
+        if out and name not in _BESIDE and not main:
+            classed[len(stack)] = found.start()
         stack.append((name, out))
         beside += out
-        main += name in _MAIN
+        if name in _MAIN:
+            wrappers.update(classed.values())
+            mains += not main
+            main += 1
         anchors += name == "a"
         heading += name in _HEADINGS
     end_line()
@@ -180,22 +195,36 @@ def main_text(page: str | None) -> str:
     """The blocks of the main text joined by an empty line; empty for null, empty or article-free pages.
 
     Where the classes leave nothing, as when the whole page stands in an element that is named for its
-    sidebar, they are heeded inside the article only, and then not at all.
+    sidebar, they are heeded on elements that hold no article only, and then not at all.
     """
     if not page:
         return ""
-    for by_class in ("everywhere", "inside", "nowhere"):
-        lines = lines_of(page, by_class)
-        if by_class != "inside" or any(inside and text for text, _, inside in lines):
+    wrappers: set[int] = set()
+    for by_class in ("everywhere", "unwrapped", "nowhere"):
+        lines = lines_of(page, by_class, wrappers)
+        if by_class != "unwrapped" or any(inside and text for text, _, inside in lines):
             text = _selected(lines)
             if text:
                 return text
     return ""
 
 
-def _selected(lines: list[tuple[str, int, bool]]) -> str:
-    if any(inside and text for text, _, inside in lines):
-        lines = [line if line[2] else ("", 0, False) for line in lines]
+def _article_holds_most(lines: list[tuple[str, int, int]]) -> bool:
+    """Whether no region of the lines outside articles holds more text than the longest article; link text doesn't count."""
+    inside: dict[int, int] = {}
+    outside = []
+    for text, links, number in lines:
+        weight = max(0, len(text) - links)
+        if number and text:
+            inside[number] = inside.get(number, 0) + weight
+        outside.append(0 if number else weight)
+    most = max((sum(outside[surge:dive]) for surge, dive, _ in regions_of(outside)), default=0)
+    return bool(inside) and (most < LEAST_OUTSIDE or most <= max(inside.values()))
+
+
+def _selected(lines: list[tuple[str, int, int]]) -> str:
+    if _article_holds_most(lines):
+        lines = [line if line[2] else ("", 0, 0) for line in lines]
         share = 0.0
     else:
         share = PEAK_SHARE

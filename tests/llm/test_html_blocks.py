@@ -23,6 +23,19 @@ def test_an_article_element_is_taken_whole():
                      ) == "X\n\nY.\n\nZ"
 
 
+def test_a_teaser_article_does_not_hide_the_body():
+    body = [f"Paragraph {k} of the body, " + "with words that go on and on " * 6 + "." for k in range(4)]
+    story = "<div class='story'>" + "".join(f"<div>{b}</div>" for b in body) + "</div>"
+    teaser = "<article class='card'><p>Read this next, too</p></article>"
+    for page in (f"<body>{story}<nav>Menu</nav>{teaser}</body>", f"<body>{teaser}<nav>Menu</nav>{story}</body>",
+                 f"<div class='layout sidebar-left'>{story}<div class='related'>Other</div>{teaser * 9}</div>"):
+        assert main_text(page) == "\n\n".join(body)
+    comments = f"<div class='comments'>{story * 3}</div>"
+    article = f"<article><h1>Head</h1><p>{body[0]}</p></article>"
+    for page in (article + comments, f"<div class='layout sidebar-left'>{article}{comments}</div>"):
+        assert main_text(page) == f"Head\n\n{body[0]}"
+
+
 def test_common_layouts():
     page = """<HTML><BODY><DIV CLASS="layout sidebar-right"><DIV id='top' title="a > b"><UL class=main-menu><LI>One<LI>Two</UL></DIV>
     <div role="complementary">Beside it all, with a long text that nobody asked for in the first place.</div>
