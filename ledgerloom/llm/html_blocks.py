@@ -5,13 +5,16 @@ sliding windows; where the sum rises from nothing is a surge point, where it fal
 dive point, and the text between the two is a candidate region. Elements that never hold an article
 (menus, forms, adverts, comments, ...) count as empty lines, so a region never reaches across them.
 An article or main element is taken whole if no region outside it holds more text; else the regions of all lines decide.
+Regions of one container that only such beside-elements part are judged together.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,16 +63,33 @@ def _beside(name: str, attributes: str) -> bool:
     return False
 
 
-def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None = None) -> list[tuple[str, int, int]]:
-    """Stripped lines as (text, characters inside links, number of the outermost article or main around it or 0);
-    lines without text are gaps.
+class Line(NamedTuple):
+    """A stripped line: characters inside links, number of the outermost article or main around it or 0, and the block
+    elements it stands in, innermost last but one and last. A line without text is a gap; ``holder`` then is the
+    container of the beside-element that made it."""
+    text: str
+    links: int
+    article: int
+    outer: int
+    holder: int
+
+
+# Lines from the first to before the last that stand in a block element, by its number; 0 is the page.
+Spans = dict[int, tuple[int, int]]
+
+
+def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None = None) -> tuple[list[Line], Spans]:
+    """The lines of a page and the spans of its block elements.
 
     ``by_class`` says where class, id and role values tell what stands beside the article: everywhere, everywhere but
     on elements around an article or main ("unwrapped"), or nowhere. ``wrappers`` has the places of those elements:
     "everywhere" adds them, "unwrapped" reads them.
     """
     wrappers = set() if wrappers is None else wrappers
-    lines: list[tuple[str, int, int]] = []
+    lines: list[Line] = []
+    spans: Spans = {0: (0, sys.maxsize)}
+    # Numbers of the open block elements; html and body count as the page.
+    blocks = [0, 0]
     parts: list[str] = []
     linked = 0
     stack: list[tuple[str, bool]] = []
@@ -83,19 +103,23 @@ def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                lines.append((text, linked, mains if main else 0))
+                lines.append(Line(text, linked, mains if main else 0, blocks[-2], blocks[-1]))
             parts.clear()
         linked = 0
 
     def gap() -> None:
         end_line()
-        lines.extend([("", 0, 0)] * WINDOW)
+        lines.extend([Line("", 0, 0, blocks[-2], blocks[-1])] * WINDOW)
 
     def close(at: int) -> None:
         nonlocal beside, main, anchors, heading
         while len(stack) > at:
             name, out = stack.pop()
             classed.pop(len(stack), None)
+            if name in _BLOCK:
+                number = blocks.pop()
+                if number:
+                    spans[number] = (spans[number][0], len(lines))
             beside -= out
             main -= name in _MAIN
             anchors -= name == "a"
@@ -162,6 +186,10 @@ def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None
         if out and name not in _BESIDE and not main:
             classed[len(stack)] = found.start()
         stack.append((name, out))
+        if name in _BLOCK:
+            number = 0 if name in ("html", "body") else len(spans)
+            blocks.append(number)
+            spans.setdefault(number, (len(lines), sys.maxsize))
         beside += out
         if name in _MAIN:
             wrappers.update(classed.values())
@@ -170,7 +198,7 @@ def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None
         anchors += name == "a"
         heading += name in _HEADINGS
     end_line()
-    return lines
+    return lines, spans
 
 
 def regions_of(lengths: list[int]) -> list[tuple[int, int, int]]:
@@ -191,6 +219,30 @@ def regions_of(lengths: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
+def groups_of(lines: list[Line], spans: Spans, weights: list[int]) -> list[list[tuple[int, int, int]]]:
+    """The regions in order, those together that only beside-elements inside their container part.
+
+    Regions belong together if all elements between them stand in blocks that hold lines of both, and a line next to
+    the gap stands in that block itself or in one of its own blocks; for the page as the block, the lines on both sides.
+    """
+    def together(before: int, after: int) -> bool:
+        for holder in {line.holder for line in lines[before + 1:after] if not line.text}:
+            start, end = spans[holder]
+            own = [holder in (lines[k].outer, lines[k].holder) for k in (before, after)]
+            if not (start <= before and after < end and (any(own) if holder else all(own))):
+                return False
+        # Without a gap, three lines of link text part them, which are a menu.
+        return any(not line.text for line in lines[before + 1:after])
+
+    out: list[list[tuple[int, int, int]]] = []
+    for region in regions_of(weights):
+        if out and together(out[-1][-1][1] - 1, region[0]):
+            out[-1].append(region)
+        else:
+            out.append([region])
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The blocks of the main text joined by an empty line; empty for null, empty or article-free pages.
 
@@ -201,42 +253,41 @@ def main_text(page: str | None) -> str:
         return ""
     wrappers: set[int] = set()
     for by_class in ("everywhere", "unwrapped", "nowhere"):
-        lines = lines_of(page, by_class, wrappers)
-        if by_class != "unwrapped" or any(inside and text for text, _, inside in lines):
-            text = _selected(lines)
+        lines, spans = lines_of(page, by_class, wrappers)
+        if by_class != "unwrapped" or any(line.article and line.text for line in lines):
+            text = _selected(lines, spans)
             if text:
                 return text
     return ""
 
 
-def _article_holds_most(lines: list[tuple[str, int, int]]) -> bool:
-    """Whether no region of the lines outside articles holds more text than the longest article; link text doesn't count."""
+def _article_holds_most(lines: list[Line], spans: Spans) -> bool:
+    """Whether no regions of the lines outside articles hold more text than the longest article; link text doesn't count."""
     inside: dict[int, int] = {}
     outside = []
-    for text, links, number in lines:
-        weight = max(0, len(text) - links)
-        if number and text:
-            inside[number] = inside.get(number, 0) + weight
-        outside.append(0 if number else weight)
-    most = max((sum(outside[surge:dive]) for surge, dive, _ in regions_of(outside)), default=0)
-    return bool(inside) and (most < LEAST_OUTSIDE or most <= max(inside.values()))
-
-
-def _selected(lines: list[tuple[str, int, int]]) -> str:
-    if _article_holds_most(lines):
-        lines = [line if line[2] else ("", 0, 0) for line in lines]
-        share = 0.0
-    else:
-        share = PEAK_SHARE
-    # Link text doesn't weigh: a line that is nothing but links is a menu wherever it stands.
-    weights = [max(0, len(text) - links) if share else len(text) for text, links, _ in lines]
-    regions = regions_of(weights)
-    if not regions:
-        return ""
-    best = max(peak for *_, peak in regions)
-    blocks = [lines[k][0] for surge, dive, peak in regions if peak >= share * best
-              for k in range(surge, dive) if weights[k]]
-    return "\n\n".join(blocks)
+    for line in lines:
+        weight = max(0, len(line.text) - line.links)
+        if line.article and line.text:
+            inside[line.article] = inside.get(line.article, 0) + weight
+        outside.append(0 if line.article else weight)
+    if not inside:
+        return False
+    most = max((sum(sum(outside[surge:dive]) for surge, dive, _ in group)
+                for group in groups_of(lines, spans, outside)), default=0)
+    return most < LEAST_OUTSIDE or most <= max(inside.values())
+
+
+def _selected(lines: list[Line], spans: Spans) -> str:
+    if _article_holds_most(lines, spans):
+        return "\n\n".join(line.text for line in lines if line.article and line.text)
+    # Link text doesn't weigh: a run of lines that are nothing but links is a menu wherever it stands.
+    groups = groups_of(lines, spans, [max(0, len(line.text) - line.links) for line in lines])
+    peaks = [max(peak for *_, peak in group) for group in groups]
+    least = PEAK_SHARE * max(peaks, default=0)
+    # Between surge and dive every line belongs to the text, links or not.
+    return "\n\n".join(
+        line.text for group, peak in zip(groups, peaks) if peak >= least
+        for surge, dive, _ in group for line in lines[surge:dive] if line.text)
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -36,6 +36,27 @@ def test_a_teaser_article_does_not_hide_the_body():
         assert main_text(page) == f"Head\n\n{body[0]}"
 
 
+def test_a_short_last_paragraph_behind_an_advert_stays():
+    body = [f"Paragraph {k} " + "x" * 400 for k in range(3)]
+    last = "The last paragraph " + "y" * 180
+    advert = "<div class='ad'>Buy</div>"
+    text = "".join(f"<p>{b}</p>" for b in body)
+    for page in (f"<body><div>{text}{advert}<p>{last}</p></div></body>", f"<body>{text}{advert}<p>{last}</p></body>",
+                 f"<body><div>{text}{advert}<aside>No</aside><ul><li>{last}</ul></div></body>",
+                 f"<body><div>{text}{advert}{last}</div></body>"):
+        assert main_text(page) == "\n\n".join([*body, last])
+    # In another container it is still judged alone.
+    page = f"<body><div>{text}</div>{advert}<div><p>{last}</p></div></body>"
+    assert main_text(page) == "\n\n".join(body)
+
+
+def test_a_line_of_links_inside_the_body_stays():
+    page = "<p>Words before the link.</p><p><a href='/x'>All of it a link</a></p><p>Words behind.</p>"
+    assert main_text(page) == "Words before the link.\n\nAll of it a link\n\nWords behind."
+    menu = "<ul>" + "<li><a href='/'>Menu entry</a>" * 5 + "</ul>"
+    assert main_text(f"{menu}<p>Words before.</p><p>Words behind.</p>{menu}") == "Words before.\n\nWords behind."
+
+
 def test_common_layouts():
     page = """<HTML><BODY><DIV CLASS="layout sidebar-right"><DIV id='top' title="a > b"><UL class=main-menu><LI>One<LI>Two</UL></DIV>
     <div role="complementary">Beside it all, with a long text that nobody asked for in the first place.</div>
