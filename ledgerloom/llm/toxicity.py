@@ -15,11 +15,13 @@ fitted on labelled texts that the machine was not trained on.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -179,7 +181,13 @@ def _tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     distinct = coded.dictionary.to_pylist()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     owner = np.repeat(np.arange(len(counts)), counts)
-    single = np.concatenate([[0], (ends - starts == 1).astype(np.int8), [0]])
+    # Letters, not bytes; an accent that stands as a sign of its own belongs to its letter.
+    letters = pc.utf8_length(coded.dictionary).to_numpy(zero_copy_only=False)
+    alone = letters == 1
+    bytes_of = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False)
+    for k in np.flatnonzero((letters > 1) & (letters <= 4) & (bytes_of > letters)).tolist():
+        alone[k] = all(map(unicodedata.combining, distinct[k][1:]))
+    single = np.concatenate([[0], alone.astype(np.int8)[codes], [0]])
     edges = np.flatnonzero(np.diff(single)).reshape(-1, 2)
     extra, extra_owner = [], []
     for low, high in edges[edges[:, 1] - edges[:, 0] >= LETTERS].tolist():

@@ -46,6 +46,22 @@ def test_gaps_and_insertions(model):
     assert found.sum() >= 6, dict(zip(changed, found.tolist()))
 
 
+def test_spaced_letters_are_told_by_letters_not_bytes():
+    texts = pa.array(["le cr é t i n é ici", "ein D U M M S C H W Ä T Z E R da", "a e\u0301 t e\u0301", "é", None, "日 本 語"])
+    distinct, codes, owner = T._tokens(texts)
+    joined = [(distinct[c], o) for c, o in zip(codes.tolist(), owner.tolist()) if len(distinct[c]) >= 3]
+    assert joined == [("ici", 0), ("ein", 1), ("étiné", 0), ("DUMMSCHWÄTZER", 1), ("ae\u0301te\u0301", 2), ("日本語", 5)]
+
+
+def test_a_spaced_insult_with_an_accent(spark):
+    draw = random.Random(9)
+    rows = [(k, _text(draw, ["crétin"] if k % 4 == 0 else ()), int(k % 4 == 0)) for k in range(1200)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = T.train(labelled.drop("toxic"), labelled.drop("text"), scratch_path(spark, "t"))
+    assert _predicted(model, ["ka lo crétin onsa ve", "ka lo c r é t i n onsa ve", "ka lo miter onsa ve"]).tolist() == [
+        True, True, False]
+
+
 def test_a_word_at_the_end_of_a_long_text_counts(model):
     draw = random.Random(8)
     long = " ".join(_text(draw) for _ in range(300))
