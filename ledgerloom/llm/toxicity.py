@@ -6,8 +6,8 @@ it. Normalised, it is raised to POWER, which leaves words alike and parts the re
 feature space (Nystroem); a machine with squared hinge loss is trained there on words of labelled sentences,
 with hard negatives added in rounds.
 
-A word is scored once for a stretch of texts. A look-up of its subsequences bounds its likeness to every
-landmark that speaks for toxicity; below FLOOR nothing speaks for it and it scores the bias. A text is
+A word is scored once for a stretch of texts, against every landmark; only the landmarks that hold one of its
+subsequences are looked up. A text is
 judged by its worst word and by how many words are above STRONG, put on the scale of a probability by a logistic
 fitted on labelled texts that the machine was not trained on.
 """
@@ -31,8 +31,6 @@ LETTERS = 3
 SPAN = 6
 DECAY = 0.7
 POWER = 3
-FLOOR = 0.6
-GROUPS = 16
 # Words above this margin are counted.
 STRONG = 0.3
 # Words are judged by pieces of this many letters, one beginning every other letter.
@@ -133,29 +131,40 @@ class Model:
     empty: bool = field(default=False)
 
     def __post_init__(self) -> None:
-        # Landmarks in the order of their letters share subsequences with their neighbours: bounds for runs of them.
-        toxic = self.units[self.weights > 0]
-        runs = np.array_split(toxic, GROUPS) if len(toxic) else []
-        bounds = [run.max(axis=0) for run in runs if len(run)] or [np.zeros(len(self.codes), np.float32)]
-        self.bounds = np.concatenate([np.zeros((1, len(bounds)), np.float32), np.stack(bounds, axis=1)])
+        # The landmarks that hold each subsequence, one after the other, and its weights there.
+        code, self.landmark = np.nonzero(self.units.T)
+        self.value = self.units.T[code, self.landmark].astype(np.float64)
+        held = np.bincount(code, minlength=len(self.codes))
+        self.held = np.concatenate([[0], held])
+        self.first = np.concatenate([[0], np.cumsum(held) - held]).astype(np.int64)
         self.row = np.zeros(_CODES ** LETTERS, np.int32)
         self.row[self.codes] = np.arange(1, len(self.codes) + 1)
-        self.by_code = np.concatenate([np.zeros((1, len(self.units)), np.float32), self.units.T])
 
     def margins(self, pieces: list[str]) -> np.ndarray:
-        """Margins of the pieces; the bias where the likeness to all toxic landmarks is below FLOOR."""
+        """Margins of the pieces."""
         out = np.full(len(pieces), self.bias)
+        many = len(self.weights)
+        if not many:
+            return out
         for rows, codes, weights in subsequences(pieces):
-            # The norm is least where no subsequence of the word repeats.
-            least = FLOOR * np.linalg.norm(weights)
-            place = self.row[codes]
-            likely = np.flatnonzero(
-                np.einsum("ntg,t->ng", self.bounds[place], weights).max(axis=1) >= least)
-            for low in range(0, len(likely), 1000):
-                some = likely[low:low + 1000]
-                alike = np.einsum("ntl,t->nl", self.by_code[place[some]], weights)
-                alike /= _norms(codes[some], weights)[:, None]
-                out[rows[some]] += alike ** POWER @ self.weights
+            norms = _norms(codes, weights)
+            for low in range(0, len(rows), 1000):
+                part = codes[low:low + 1000]
+                place = self.row[part].reshape(-1)
+                hit = np.flatnonzero(place)
+                held = self.held[place[hit]]
+                ends = np.cumsum(held)
+                at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[place[hit]] - ends + held, held)
+                alike = np.bincount(
+                    np.repeat(hit // part.shape[1] * many, held) + self.landmark[at],
+                    weights=np.repeat(weights[hit % part.shape[1]].astype(np.float64), held) * self.value[at],
+                    minlength=len(part) * many).reshape(len(part), many)
+                # Without any common subsequence the counts are whole numbers.
+                alike = alike / norms[low:low + 1000, None]
+                power = alike
+                for _ in range(POWER - 1):
+                    power = power * alike
+                out[rows[low:low + 1000]] += power @ self.weights
         return out
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:

@@ -62,6 +62,21 @@ def test_a_spaced_insult_with_an_accent(spark):
         True, True, False]
 
 
+def test_margins_are_those_of_the_machine_that_was_fitted(model):
+    """No word is left out, however little it is like a toxic landmark."""
+    draw = random.Random(10)
+    words = INSULTS + _text(draw).split()
+    for word in INSULTS * 30:
+        for _ in range(draw.randint(1, 2)):
+            k = draw.randrange(1, len(word))
+            word = word[:k] + draw.choice("qxz") + word[k:]
+        words.append(word)
+    pieces = sorted({piece for word in words for piece in T.pieces_of(word)})
+    want = T._kernel(pieces, model.codes, model.units) @ model.weights + model.bias
+    assert np.abs(model.margins(pieces) - want).max() < 1e-4
+    assert model.margins(["^日本語日"]).tolist() == [model.bias]
+
+
 def test_a_word_at_the_end_of_a_long_text_counts(model):
     draw = random.Random(8)
     long = " ".join(_text(draw) for _ in range(300))
