@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_blocks, hyperminhash, packing, pivots, positional, reputation, secret_scan, substrings, toxicity, warc_bundles
+from ledgerloom.llm import (
+    html_blocks, hyperminhash, packing, periodic, pivots, positional, reputation, secret_scan, substrings, toxicity,
+    warc_bundles,
+)
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,3 +281,56 @@ FROM embeddings JOIN found ON node = vec_id LEFT JOIN n ON u = vec_id"""
 @query("op2_pivot_permutation", OP2_SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return pivots.near_vectors(table(spark, folder, "embeddings"), scratch_path(spark, "pivots"))
+
+
+# The SQL finds runs without suffixes: equal five-word windows q words apart, in unbroken stretches of places.
+OP11_SQL = f"""WITH given AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS v, list_reduce([4294967295] || flatten(
+      list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS r
+  FROM documents),
+placed AS (SELECT doc_id, v, len(v)::BIGINT AS n, xor(r, 4294967295) % 10 AS kind, xor(r, 4294967295) // 10 AS g FROM given),
+told AS (SELECT *, g % greatest(n, 1) AS a FROM placed),
+docs AS (
+  SELECT doc_id, n, CASE WHEN kind = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN v[i + 1]
+    ELSE v[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) ELSE v END AS w FROM told),
+grams AS (SELECT doc_id, n, i, array_to_string(w[i + 1:i + 5], ' ') AS gram
+  FROM (SELECT doc_id, n, w, unnest(range(n - 4)) AS i FROM docs)),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM grams a JOIN grams b
+  ON a.doc_id = b.doc_id AND a.gram = b.gram AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches
+  WHERE length >= 6 AND length >= 4 * q GROUP BY 1, 2, 3),
+told_runs AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+    first(struct_pack(s := start, l := length, p := period) ORDER BY length DESC, start, period) AS best FROM runs GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS place FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS place FROM docs) ANTI JOIN gone USING (doc_id, place) GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length,
+  best.p::BIGINT AS period, (1000 * best.l // best.p)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+  sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN told_runs USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op11_periodic_runs", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth document by the checksum of its id gets a tail that repeats its own words."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    split = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+    tailed = docs.selectExpr(
+        "*", f"CASE WHEN h % 10 = 0 THEN {split} ELSE cast(array() AS array<string>) END AS v", "floor(h / 10) AS g",
+    ).selectExpr("*", "size(v) AS n", "cast(g % nullif(size(v), 0) AS int) AS a").selectExpr(
+        "*", "1 + cast(floor((n - a) / (3 + g % 8)) AS int) AS p").selectExpr(
+        "doc_id", """CASE WHEN a IS NULL THEN text ELSE array_join(
+            transform(sequence(0, n - 1), i -> v[if(i < a, i, a + (i - a) % p)]), ' ') END AS text""")
+    found = periodic.periodic_runs(tailed)
+    listed = "concat(r.start, ',', r.length, ',', r.period, chr(10))"
+    best = "array_min(transform(runs, r -> struct(-r.length AS size, r.start AS start, r.period AS period)))"
+    return found.selectExpr(
+        "doc_id", "cast(size(runs) AS bigint) AS n_runs", f"{best} AS best",
+        f"sha2(array_join(transform(runs, r -> {listed}), ''), 256) AS runs_sha256",
+        "sha2(collapsed_text, 256) AS collapsed_sha256",
+    ).selectExpr("doc_id", "n_runs", "best.start AS start", "-best.size AS length", "best.period AS period",
+                 "1000 * -best.size div best.period AS exponent_milli", "runs_sha256", "collapsed_sha256")
