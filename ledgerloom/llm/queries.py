@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     html_blocks, hyperminhash, packing, periodic, pivots, positional, reputation, secret_scan, substrings, toxicity,
-    warc_bundles,
+    warc_bundles, whitening,
 )
 from ledgerloom.session import scratch_path
 
@@ -334,3 +334,9 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
         "sha2(collapsed_text, 256) AS collapsed_sha256",
     ).selectExpr("doc_id", "n_runs", "best.start AS start", "-best.size AS length", "best.period AS period",
                  "1000 * -best.size div best.period AS exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The contract asks for rows of components only, so a vector without any has none here."""
+    return whitening.whiten(table(spark, folder, "embeddings"), scratch_path(spark, "whitening")).where("component IS NOT NULL")
