@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    html_blocks, hyperminhash, packing, periodic, pivots, positional, reputation, secret_scan, substrings, toxicity,
-    warc_bundles, whitening,
+    html_blocks, hyperminhash, packing, periodic, personal, pivots, positional, reputation, secret_scan, substrings,
+    toxicity, warc_bundles, whitening,
 )
 from ledgerloom.session import scratch_path
 
@@ -340,3 +340,13 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """The contract asks for rows of components only, so a vector without any has none here."""
     return whitening.whiten(table(spark, folder, "embeddings"), scratch_path(spark, "whitening")).where("component IS NOT NULL")
+
+
+@query("op13_personal_data")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.find_personal(table(spark, folder, "documents"), scratch_path(spark, "personal"))
+    n = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")  # noqa: B023
+         for kind in personal.KINDS]
+    base = F.filter("spans", lambda s: s["kind"] != personal.FOUND)
+    return found.select("doc_id", *n, F.sha2(personal.spans_text(base), 256).alias("base_sha256"),
+                        personal.spans_text(F.col("spans")).alias("spans"))
