@@ -9,8 +9,8 @@ the lists of the next rarer words thin out until none are left or all words have
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -27,11 +27,12 @@ from ledgerloom.llm import tokens, words
 WIDTH = 13
 LEAST_SHARE = 20  # contaminated from one hit word in this many on
 STRETCH_BYTES = 8 << 20
-# Test words that one search takes at a time; a larger benchmark is searched block by block.
+# Test words that one search takes at a time, about: items are dealt into blocks by a hash.
 BLOCK_WORDS = 50_000
 
-INDEX_SCHEMA = "doc_ids array<bigint>, n_words array<int>, terms binary, counts binary, places binary"
+INDEX_SCHEMA = "shard string, doc_ids array<bigint>, n_words array<int>, terms binary, counts binary, places binary"
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -51,7 +52,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The index of all words of ``docs``; write it out and search what was written.
 
     Documents follow each other with one empty place between them, which no phrase can match across.
-    Null and empty texts have no postings but keep their place in doc_ids.
+    Null and empty texts have no postings but keep their place in doc_ids. ``shard`` is drawn when a row is made: it tells
+    rows with equal documents apart, once the index is written.
     """
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,10 +74,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 steps[heads] = moved[heads]
                 names = "\n".join(coded.dictionary.take(pc.sort_indices(coded.dictionary)).to_pylist()).encode()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
+                    [pa.array([uuid.uuid4().hex]), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
                      pa.array([per_text.astype(np.int32)], pa.list_(pa.int32())), pa.array([_pack(names)], pa.binary()),
                      pa.array([_pack(counts)], pa.binary()), pa.array([_pack(steps.astype(np.int32))], pa.binary())],
-                    ["doc_ids", "n_words", "terms", "counts", "places"])
+                    ["shard", "doc_ids", "n_words", "terms", "counts", "places"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
                        ).mapInArrow(build, INDEX_SCHEMA)
@@ -107,18 +109,21 @@ def phrases_of(items: Iterable[tuple[object, str | None]], width: int = WIDTH) -
                    [sorted(names) for names in found.values()])
 
 
-def blocks_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple]]:
-    """The items in blocks of at most BLOCK_WORDS words (a longer item alone), read one partition at a time."""
-    block, size = [], 0
-    for row in benchmark.select(id_col, text_col).where(F.col(text_col).isNotNull()).toLocalIterator():
-        n = len(words_of(row[1]))
-        if block and size + n > BLOCK_WORDS:
-            yield block
-            block, size = [], 0
-        block.append((row[0], row[1]))
-        size += n
-    if block:
-        yield block
+def blocks_of(benchmark: DataFrame, folder: str, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple]]:
+    """The items in blocks of about BLOCK_WORDS words, dealt by a hash and written below ``folder``, read one at a time."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    n = items.agg(F.sum(F.regexp_count("text", F.lit(_ANY_CASE)))).first()[0] or 0
+    blocks = -(-n // BLOCK_WORDS)
+    if not blocks:
+        return
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+    dealt.repartition("block").write.partitionBy("block").parquet(f"{folder}/benchmark")
+    written = spark.read.parquet(f"{folder}/benchmark")
+    for block in range(blocks):
+        found = [tuple(row) for row in written.where(F.col("block") == block).select("item", "text").collect()]
+        if found:
+            yield found
 
 
 class _Shard:
@@ -212,15 +217,14 @@ def frequencies(index: DataFrame, phrases: Phrases) -> dict[str, int]:
     return {phrases.vocabulary[row.term]: row.n for row in rows}
 
 
-MATCH_SCHEMA = ("shard string, row int, doc_id bigint, n_words bigint, ranges array<int>, items array<string>, "
-                "near_items array<string>")
+MATCH_SCHEMA = "shard string, row int, ranges array<int>, items array<string>, near_items array<string>"
 
 
 def search(index: DataFrame, phrases: Phrases, slop: int | None = None) -> DataFrame:
-    """One row per document of the index: its hit words as merged ranges (begin, end, begin, ...), the items
+    """One row per document with a match: its hit words as merged ranges (begin, end, begin, ...), the items
     with an exact window in it, and with ``slop`` the other items with a window near by.
 
-    (shard, row) tells documents with equal ids apart; shard is a digest of the row's postings.
+    (shard, row) is the document's place in the index.
     """
     orders = _orders(phrases, frequencies(index, phrases))
     vocabulary = pa.array(phrases.vocabulary, pa.string())
@@ -253,21 +257,19 @@ def search(index: DataFrame, phrases: Phrases, slop: int | None = None) -> DataF
                 cuts = np.searchsorted(owner, np.arange(len(shard.begins) + 1)) * 2
                 ranges = [(edges[cuts[d]:cuts[d + 1]] - shard.begins[d]).astype(np.int32)
                           for d in range(len(shard.begins))]
-                n = len(row["doc_ids"])
-                digest = hashlib.sha256(row["terms"] + row["places"] + repr(row["doc_ids"]).encode()).hexdigest()
+                met = [d for d in range(len(ranges)) if len(ranges[d]) or d in nearby]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([digest] * n), pa.array(range(n), pa.int32()), pa.array(row["doc_ids"], pa.int64()),
-                     pa.array(shard.n_words, pa.int64()), pa.array(ranges, pa.list_(pa.int32())),
-                     pa.array([sorted(named.get(d, ())) for d in range(n)], pa.list_(pa.string())),
-                     pa.array([sorted(nearby.get(d, set()) - named.get(d, set())) for d in range(n)],
-                              pa.list_(pa.string()))],
-                    ["shard", "row", "doc_id", "n_words", "ranges", "items", "near_items"])
+                    [pa.array([row["shard"]] * len(met), pa.string()), pa.array(met, pa.int32()),
+                     pa.array([ranges[d] for d in met], pa.list_(pa.int32())),
+                     pa.array([sorted(named.get(d, ())) for d in met], pa.list_(pa.string())),
+                     pa.array([sorted(nearby.get(d, set()) - named.get(d, set())) for d in met], pa.list_(pa.string()))],
+                    ["shard", "row", "ranges", "items", "near_items"])
 
     return index.mapInArrow(find, MATCH_SCHEMA)
 
 
 def _merged(parts: DataFrame) -> DataFrame:
-    """One row per document from the rows of several blocks; a document's ranges stay within its own length."""
+    """One row per document with a match, from the rows of all blocks."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -286,7 +288,6 @@ def _merged(parts: DataFrame) -> DataFrame:
         return F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
 
     grouped = parts.groupBy("shard", "row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("ranges")).alias("ranges"), together("items"), together("near_items"))
     return grouped.mapInArrow(merge, MATCH_SCHEMA).withColumn(
         "near_items", F.array_except("near_items", "items"))
@@ -298,21 +299,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, folder: str, width: int
     """One row per document: doc_id, n_words, n_hit (words inside an occurring window), n_items, items (sorted
     as strings), near_items (empty without ``slop``), contaminated (n_hit > 0 and 20 n_hit >= n_words).
 
-    The index is written below ``folder``, which all executors share. Documents without text have no words
-    and are clean; without items every document is clean; rows with equal or null ids stay apart.
+    The index and the matches of each block of items are written below ``folder``, which all executors share; the
+    driver holds one block. Documents without text have no words and are clean; without items every document is clean;
+    rows with equal or null ids stay apart, wherever in the table they lie.
     """
     spark = docs.sparkSession
     build_index(docs, id_col, text_col).write.parquet(f"{folder}/index")
     index = spark.read.parquet(f"{folder}/index")
-    found = [search(index, phrases_of(block, width), slop)
-             for block in blocks_of(benchmark, item_col, item_text_col)] or [search(index, phrases_of([]), slop)]
-    matches = found[0]
-    for other in found[1:]:
-        matches = matches.unionByName(other)
-    if len(found) > 1:
-        matches = _merged(matches)
+    matches = spark.createDataFrame([], MATCH_SCHEMA)
+    matches.write.parquet(f"{folder}/matches")
+    for block in blocks_of(benchmark, folder, item_col, item_text_col):
+        search(index, phrases_of(block, width), slop).write.mode("append").parquet(f"{folder}/matches")
+    matches = _merged(spark.read.schema(MATCH_SCHEMA).parquet(f"{folder}/matches"))
     n_hit = F.aggregate(F.sequence(F.lit(0), F.size("ranges")), F.lit(0).cast("bigint"), lambda s, k: s + F.when(
         k >= F.size("ranges"), 0).otherwise(F.element_at("ranges", k + 1) * F.when(k % 2 == 0, -1).otherwise(1)))
-    return matches.withColumn("n_hit", n_hit).select(
+    every = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("row", "doc")).select(
+        "shard", "row", F.col("doc.doc_ids").alias("doc_id"), F.col("doc.n_words").cast("bigint").alias("n_words"))
+    names = F.array().cast("array<string>")
+    found = every.join(matches.withColumn("n_hit", n_hit), ["shard", "row"], "left").withColumns({
+        "n_hit": F.coalesce("n_hit", F.lit(0).cast("bigint")),
+        "items": F.coalesce("items", names), "near_items": F.coalesce("near_items", names)})
+    return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items", "near_items",
         ((F.col("n_hit") > 0) & (F.col("n_hit") * LEAST_SHARE >= F.col("n_words"))).alias("contaminated"))

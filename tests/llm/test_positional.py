@@ -73,3 +73,25 @@ def test_empty_tables(spark):
     got = _got(P.contamination(docs_of(spark, docs), no_items, scratch_path(spark, "p")))
     assert len(got) == len(docs) and not any(r[-1] or r[2] or r[3] for r in got)
     assert _got(P.contamination(docs_of(spark, []), no_items, scratch_path(spark, "p"))) == []
+
+
+def test_repeated_documents_in_several_files_and_stretches(spark, monkeypatch):
+    """The same documents in several files and stretches, and a benchmark of many blocks: no row is lost or told twice."""
+    docs, items = _tables(21)
+    docs = docs[:25]
+    items_frame = spark.createDataFrame(items, "item_id bigint, text string")
+    path = scratch_path(spark, "copies")
+    for _ in range(3):
+        docs_of(spark, docs).coalesce(1).write.mode("append").parquet(path)
+    docs_of(spark, docs + docs).coalesce(1).write.mode("append").parquet(path)
+    monkeypatch.setattr(P, "BLOCK_WORDS", 8)
+    monkeypatch.setattr(P, "STRETCH_BYTES", 200)
+    found = P.contamination(spark.read.parquet(path), items_frame, scratch_path(spark, "p"), width=4)
+    assert _got(found) == sorted(_expected(docs, items, 4) * 5, key=str)
+
+
+def test_the_driver_holds_one_block(spark, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_WORDS", 100)
+    items = spark.range(2000).selectExpr("id AS item_id", "concat('word', id, ' and ', id, ' more ', id)  AS text")
+    sizes = [sum(len(P.words_of(t)) for _, t in block) for block in P.blocks_of(items, scratch_path(spark, "p"))]
+    assert sum(sizes) == 2000 * 5 and len(sizes) == 100 and max(sizes) < 300
