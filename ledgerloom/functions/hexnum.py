@@ -4,6 +4,8 @@ Amounts are stored as ``0x`` plus 64 hex digits and exceed every Spark numeric
 type. They are summed as eleven 24-bit limbs held in BIGINT columns, which keeps
 ``groupBy().agg(sum)`` with its map-side combine; a limb sum stays inside BIGINT
 for 2**39 rows of one key. ``collapse_limbs`` carries the sums back into hex text.
+Numbers beyond 264 bits, which any contract can log, become several rows of 60 digits each
+(``split_blocks``): their length is data, and one more group key is all that others notice.
 A negative number is written with the sign in front of its digits
 (``0x000...-1a``), the way stored tables hold it.
 """
@@ -14,6 +16,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 LIMB_DIGITS = 6
 LIMB_BITS = 4 * LIMB_DIGITS
@@ -117,16 +120,17 @@ _PAIR_DIGITS = 2 * LIMB_DIGITS
 _TOP_DIGITS = 64 - (_PAIRS - 1) * _PAIR_DIGITS
 
 
-# Sums and conversions work on up to this many hex digits (300 bits); longer numbers raise an error.
+# One row of limbs holds up to this many hex digits (300 bits), as sums of 256-bit numbers need them.
 MOST_DIGITS = (_PAIRS - 1) * _PAIR_DIGITS + 15
+# A longer number is cut into blocks of ten limbs; one that fits into the limbs without a wide top limb is left whole.
+BLOCK_DIGITS = (LIMBS - 1) * LIMB_DIGITS
+PLAIN_DIGITS = LIMBS * LIMB_DIGITS
 
 
 def canonical(value: Column | str) -> Column:
-    """An unsigned hex number as ``0x`` + 64 digits; a longer one keeps all its digits, up to MOST_DIGITS."""
+    """An unsigned hex number as ``0x`` + 64 digits; a longer one keeps all its digits."""
     c = as_col(value)
-    digits = F.ltrim(hex_body(c), F.lit("0"))
-    too_long = F.raise_error(F.concat(F.lit(f"more than {MOST_DIGITS} hex digits: "), c)).cast("string")
-    padded = F.when(F.length(digits) > MOST_DIGITS, too_long).otherwise(F.concat(F.lit("0x"), pad_left(digits, 64)))
+    padded = F.concat(F.lit("0x"), pad_left(F.ltrim(hex_body(c), F.lit("0")), 64))
     return F.when((F.octet_length(c) == 66) & c.startswith("0x"), c).otherwise(padded)
 
 
@@ -163,7 +167,8 @@ def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = Fa
 
     Nearly all amounts stay below 96 bits; then one prefix compare settles the
     upper parts. ``signed`` also accepts a minus sign in front of the digits. The top
-    part holds whatever is left of a number above 256 bits, as sums of them can be.
+    part holds whatever is left of a number above 256 bits, as sums of them can be; of a number
+    beyond MOST_DIGITS all parts are null (see ``split_blocks`` and ``add_hex``).
     """
     text, minus = f"{name}__text", f"{name}__minus"
     c = as_col(value)
@@ -182,7 +187,7 @@ def split_limbs(df: DataFrame, name: str, value: Column | str, signed: bool = Fa
             digits = f"substr(`{text}`, 3, length(`{text}`) - {2 + i * _PAIR_DIGITS})"
         else:
             digits = f"substr(`{text}`, {-(i + 1) * _PAIR_DIGITS}, {_PAIR_DIGITS})"
-        number = f"cast(conv({digits}, 16, 10) as bigint)"
+        number = f"if(octet_length(`{text}`) <= {2 + MOST_DIGITS}, cast(conv({digits}, 16, 10) as bigint), null)"
         if i >= 2:
             number = f"if({small}, 0L, {number})"
         parts[label] = f"if(`{minus}`, -{number}, {number})" if signed else number
@@ -255,24 +260,131 @@ def collapse_limbs(df: DataFrame, name: str) -> DataFrame:
         *[f"`{c}`" for c in kept], f"concat('0x', if(`{minus}`, {negative}, `{body}`)) as `{name}`")
 
 
-def sum_hex(df: DataFrame, keys: Sequence[str | Column], name: str, value: Column | str,
+def split_blocks(df: DataFrame, name: str, value: Column | str, signed: bool = False) -> DataFrame:
+    """As ``split_limbs`` for numbers of any length: rows with ``name__block`` 0 for all numbers, and for one
+    beyond PLAIN_DIGITS one more for every further BLOCK_DIGITS digits. ``name__blocks`` counts them.
+
+    Group by the block as well, sum as usual, and finish with ``collapse_blocks``.
+    """
+    block, blocks, piece, place = (f"{name}__{x}" for x in ("block", "blocks", "piece", "place"))
+    c = as_col(value)
+    kept = df.columns
+    minus = c.contains("-") if signed else F.lit(False)
+    digits = F.ltrim(F.when(minus, F.substring_index(c, "-", -1)).otherwise(hex_body(c)), F.lit("0"))
+    n = F.ceil(F.length(digits) / BLOCK_DIGITS).cast("int")
+    # Nearly all numbers are short, which their length tells; only of others the digits are looked at.
+    short = c.isNull() | (F.octet_length(c) <= 2 + PLAIN_DIGITS) | (F.length(digits) <= PLAIN_DIGITS)
+    cut = F.regexp_extract_all(F.lpad(digits, n * BLOCK_DIGITS, "0"), F.lit(f".{{{BLOCK_DIGITS}}}"), F.lit(0))
+    cut = F.when(minus, F.split(F.concat(F.lit("-"), F.array_join(cut, ",-")), ",")).otherwise(cut) if signed else cut
+    rows = df.select(
+        *[F.col(f"`{k}`") for k in kept], F.when(short, 1).otherwise(n).alias(blocks),
+        F.posexplode(F.when(short, F.array(c)).otherwise(cut)).alias(place, piece))
+    rows = rows.withColumn(block, F.col(blocks) - 1 - F.col(place)).drop(place)
+    return split_limbs(rows, name, piece, signed).drop(piece)
+
+
+def block_columns(name: str) -> tuple[str, str]:
+    """The columns for the number of a block and for the count of blocks: group by one, take the maximum of the other."""
+    return f"{name}__block", f"{name}__blocks"
+
+
+def _carried_text(limbs: Column) -> Column:
+    """Signed limbs of any number, lowest first, as signed ``0x`` + at least 64 digits."""
+    start = F.struct(F.lit("").alias("text"), F.lit(0).cast("bigint").alias("carry"))
+
+    def total(sign: int) -> Column:
+        def carry_on(done: Column, limb: Column) -> Column:
+            here = done["carry"] + limb * sign
+            digits = F.lpad(F.hex(here.bitwiseAND(F.lit(_MASK).cast("bigint"))), LIMB_DIGITS, "0")
+            return F.struct(F.concat(digits, done["text"]).alias("text"),
+                            F.shiftright(here, LIMB_BITS).alias("carry"))
+
+        return F.aggregate(limbs, start, carry_on)
+
+    def text(done: Column) -> Column:
+        return F.lower(F.ltrim(F.concat(F.hex(done["carry"]), done["text"]), F.lit("0")))
+
+    positive = _let(total(1), lambda done: F.when(done["carry"] >= 0, text(done)))
+    negative = F.concat(F.lit("-"), _let(total(-1), text))
+    return F.concat(F.lit("0x"), pad_left(F.coalesce(positive, negative), 64))
+
+
+def collapse_blocks(df: DataFrame, keys: Sequence[str], name: str, others: Sequence[str] = ()) -> DataFrame:
+    """Rows of one key and block with limb sums as rows of one key with ``name`` as signed hex text.
+
+    ``others`` are columns of block 0, which every number has. Keys with one block stay where they are; only
+    those that a long number reached meet once more.
+    """
+    block, blocks = block_columns(name)
+    limbs = _limb_names(name)
+    wanted = [*keys, *others, name]
+    plain = collapse_limbs(df.filter(F.col(blocks) == 1).drop(block, blocks), name).select(*wanted)
+    first = F.when(F.col(block) == 0, F.struct(F.lit(0).alias("_"), *others))
+    long = df.filter(F.col(blocks) > 1).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.col(block).alias("block"), F.array(*limbs[:-1]).alias("limbs"), F.col(limbs[-1]).alias("over")))).alias("_rows"),
+        F.first(first, ignorenulls=True).alias("_first"))
+
+    def of_block(row: Column, k: Column) -> Column:
+        """The limbs of a block; what the block before holds beyond its own digits belongs to the lowest."""
+        over = F.when(k > 0, F.get("_rows", k - 1)["over"]).otherwise(0)
+        return F.concat(F.array(row["limbs"][0] + over), F.slice(row["limbs"], 2, LIMBS - 2))
+
+    every = F.concat(F.flatten(F.transform("_rows", of_block)), F.array(F.element_at("_rows", -1)["over"]))
+    long = long.select(*keys, *[F.col("_first")[c].alias(c) for c in others], _carried_text(every).alias(name))
+    return plain.unionByName(long)
+
+
+def sum_hex(df: DataFrame, keys: Sequence[str], name: str, value: Column | str,
             *others: Column, sign: str | None = None, signed: bool = False) -> DataFrame:
-    """``groupBy(keys)`` with the exact sum of a hex column and any other aggregates."""
-    staged = split_limbs(df, name, value, signed)
-    return collapse_limbs(staged.groupBy(*keys).agg(*limb_sums(name, sign), *others), name)
+    """``groupBy(keys)`` with the exact sum of a hex column of any length and any other (named) aggregates."""
+    staged = split_blocks(df, name, value, signed)
+    return collapse_blocks(*block_sums(staged, keys, name, *others, sign=sign))
+
+
+def block_sums(staged: DataFrame, keys: Sequence[str], name: str, *others: Column,
+               sign: str | None = None) -> tuple[DataFrame, list[str], str, list[str]]:
+    """Limb sums of ``split_blocks`` rows by key and block, with what ``collapse_blocks`` takes besides."""
+    block, blocks = block_columns(name)
+    grouped = staged.groupBy(*keys, block).agg(*limb_sums(name, sign), F.max(blocks).alias(blocks), *others)
+    taken = {*keys, block, blocks, *_limb_names(name)}
+    return grouped, list(keys), name, [c for c in grouped.columns if c not in taken]
 
 
 def add_hex(df: DataFrame, name: str, first: Column | str, second: Column | str) -> DataFrame:
-    """Add a column with the exact sum of two signed hex columns (null counts as 0)."""
-    a, b = f"{name}__a", f"{name}__b"
+    """Add a column with the exact sum of two signed hex columns of any length (null counts as 0)."""
+    a, b, x, y = (f"{name}__{k}" for k in ("a", "b", "x", "y"))
     zero = F.lit("0x" + "0" * 64)
     columns = [f"`{c}`" for c in df.columns]
-    df = split_limbs(df, a, F.coalesce(as_col(first), zero), signed=True)
-    df = split_limbs(df, b, F.coalesce(as_col(second), zero), signed=True)
+    df = df.withColumns({x: F.coalesce(as_col(first), zero), y: F.coalesce(as_col(second), zero)})
+    df = split_limbs(df, a, x, signed=True)
+    df = split_limbs(df, b, y, signed=True)
     sums = []
     for i, label in enumerate(_limb_names(name)):
         sums.append(f"{_limb_of_pair(a, i)} + {_limb_of_pair(b, i)} as `{label}`")
-    return collapse_limbs(df.selectExpr(*columns, *sums), name)
+    summed = collapse_limbs(df.selectExpr(*columns, f"`{x}`", f"`{y}`", *sums), name)
+    # The parts of a number that is too long for them are null, and so is the sum; then the digits are added.
+    return summed.withColumn(name, F.coalesce(name, _long_sum(F.col(x), F.col(y)))).drop(x, y)
+
+
+def _long_sum(first: Column, second: Column) -> Column:
+    def added(numbers: Column) -> Column:
+        n = F.ceil(F.greatest(F.length(numbers[0]["digits"]), F.length(numbers[1]["digits"])) / LIMB_DIGITS).cast("int")
+
+        def limb(number: Column, k: Column) -> Column:
+            padded = F.concat(F.lit("0" * LIMB_DIGITS), number["digits"])
+            begin = F.length(padded) - (k + 1) * LIMB_DIGITS + 1
+            cut = F.substring(padded, F.greatest(begin, F.lit(1)), F.lit(LIMB_DIGITS))
+            return F.when(begin > 0, _conv(cut) * number["sign"]).otherwise(0)
+
+        return _carried_text(F.transform(
+            F.sequence(F.lit(0), n), lambda k: limb(numbers[0], k) + limb(numbers[1], k)))
+
+    def parted(value: Column) -> Column:
+        return F.struct(F.ltrim(_magnitude(value), F.lit("0")).alias("digits"),
+                        F.when(_is_negative(value), -1).otherwise(1).alias("sign"))
+
+    return _let(F.array(parted(first), parted(second)), added)
 
 
 def negate_hex(value: Column | str) -> Column:
@@ -291,9 +403,10 @@ _DEC_DIGITS = 19             # decimal digits per column of the result
 
 
 def hex_to_decimal_text(value: Column | str) -> Column:
-    """An unsigned hex number of up to MOST_DIGITS digits as decimal text; empty text is 0.
+    """An unsigned hex number as decimal text; empty text is 0.
 
-    Three branches, cheapest first: short text, 60 bits, 120 bits, then any size.
+    Branches, cheapest first: short text, 60 bits, 120 bits, MOST_DIGITS digits, then any size, whose work grows
+    with the cube of the length (``any_hex_to_decimal_text`` is for data that may hold very long ones).
     """
     c = as_col(value)
     full = canonical(c)
@@ -310,10 +423,29 @@ def hex_to_decimal_text(value: Column | str) -> Column:
         F.when(short, F.conv(F.concat(F.lit("0"), F.substring(c, 3, _WIDE_DIGITS)), 16, 10))
         .when(fits(1), F.conv(tail(1), 16, 10))
         .when(fits(2), _two_part_decimal(tail(2)))
-        .otherwise(_long_decimal(F.substring(full, 3, MOST_DIGITS)))
+        .when(F.octet_length(full) <= 2 + MOST_DIGITS, _long_decimal(F.substring(full, 3, MOST_DIGITS)))
+        .otherwise(_any_decimal(F.substring(full, 3, 1 << 30)))
     )
 
 
+@F.udf(StringType(), useArrow=True)
+def _python_decimal(digits: str | None) -> str | None:
+    import sys
+
+    sys.set_int_max_str_digits(0)
+    return None if digits is None else str(int(digits, 16))
+
+
+def any_hex_to_decimal_text(value: Column | str) -> Column:
+    """As ``hex_to_decimal_text`` for logged data, which may be as long as a log can be.
+
+    Numbers beyond MOST_DIGITS go through Python in Arrow batches; of all others only nulls do.
+    """
+    digits = F.ltrim(hex_body(value), F.lit("0"))
+    long = (F.octet_length(as_col(value)) > 2 + MOST_DIGITS) & (F.length(digits) > MOST_DIGITS)
+    return F.coalesce(_python_decimal(F.when(long, digits)), F.when(~long, hex_to_decimal_text(value)))
+
+
 def signed_hex_to_decimal_text(value: Column | str) -> Column:
     """As ``hex_to_decimal_text`` for stored balances that may carry a minus sign."""
     c = as_col(value)
@@ -373,6 +505,35 @@ def _long_decimal(digits: Column) -> Column:
 
 
 _DEC_CHUNK = 9               # decimal digits per part
+_HEX_CHUNK = 7               # hex digits that a step takes; nine decimal digits times 28 bits stay below 63 bits
+
+
+def _any_decimal(digits: Column) -> Column:
+    """Digits of any number as decimal text: parts of nine decimal digits, lowest first, take up seven hex digits a step."""
+    base = F.lit(10 ** _DEC_CHUNK).cast("bigint")
+    none = F.array().cast("array<bigint>")
+
+    def taken(parts: Column, chunk: Column) -> Column:
+        def carry_on(done: Column, part: Column) -> Column:
+            here = F.shiftleft(part, 4 * _HEX_CHUNK) + done["carry"]
+            return F.struct(F.array_append(done["parts"], here % base).alias("parts"),
+                            F.call_function("div", here, base).alias("carry"))
+
+        moved = F.aggregate(parts, F.struct(none.alias("parts"), chunk.alias("carry")), carry_on)
+        return _let(moved, lambda done: F.when(
+            done["carry"] > 0, F.array_append(done["parts"], done["carry"])).otherwise(done["parts"]))
+
+    def convert(padded: Column) -> Column:
+        count = F.call_function("div", F.length(padded), F.lit(_HEX_CHUNK)).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), count - 1), lambda k: _conv(
+            F.substring(padded, k * _HEX_CHUNK + 1, F.lit(_HEX_CHUNK))))
+        parts = F.aggregate(chunks, none, taken)
+        return F.array_join(F.transform(F.reverse(parts), lambda p: F.lpad(p.cast("string"), _DEC_CHUNK, "0")), "")
+
+    whole = F.ceil(F.length(digits) / _HEX_CHUNK).cast("int") * _HEX_CHUNK
+    return F.ltrim(_let(F.lpad(digits, whole, "0"), convert), F.lit("0"))
+
+
 _OUT_BITS = 28               # 30 + 28 bits and 15 terms stay below 63 bits
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom import constants as K
 from ledgerloom.functions.hexnum import (
-    add_hex, collapse_limbs, is_positive, is_zero, limb_columns, limb_sums, limbs_sign, negate_hex,
-    split_limbs, to_hex64,
+    add_hex, block_sums, collapse_blocks, collapse_limbs, is_positive, is_zero, limb_columns, limb_sums, limbs_sign,
+    negate_hex, split_blocks, split_limbs, to_hex64,
 )
 from ledgerloom.functions.scalars import block_partition
 from ledgerloom.operators.transfers import explode_legs
@@ -31,18 +31,15 @@ def token_balance_deltas(transfers: DataFrame, exclude: Sequence[str] = K.ZERO_O
     """Net amount per contract and holder with the newest time and block.
 
     The batch rebuild leaves out the zero address only; the continuous form also
-    the dead address (``exclude=constants.ZERO_OR_DEAD``).
+    the dead address (``exclude=constants.ZERO_OR_DEAD``). Amounts are what was logged, of any length.
     """
-    split = split_limbs(transfers, "amount", "amount")
+    split = split_blocks(transfers, "amount", "amount")
     needed = [c for c in split.columns if c.startswith("amount__")]
     legs = explode_legs(split.select(
         "contract_address", "from_address", "to_address", "timestamp", "block_number", *needed))
-    grouped = legs.filter(_outside("holder_address", exclude)).groupBy(*HOLDER_KEY).agg(
-        *limb_sums("amount", "sign"),
-        F.max("timestamp").alias("timestamp"),
-        F.max("block_number").alias("block_number"),
-    )
-    return collapse_limbs(grouped, "amount")
+    return collapse_blocks(*block_sums(
+        legs.filter(_outside("holder_address", exclude)), HOLDER_KEY, "amount",
+        F.max("timestamp").alias("timestamp"), F.max("block_number").alias("block_number"), sign="sign"))
 
 
 def nft_balance_deltas(transfers: DataFrame, exclude: Sequence[str] = K.ZERO_ONLY,

@@ -119,6 +119,65 @@ def token_balance_deltas_continuous(spark, folder):
                          hexnum.signed_hex_to_decimal_text("amount").alias("amount"))
 
 
+# Of the token logs some hold 128 and some 1,000 digits of data: the amount, moved up. A sum is three sums of 128-bit
+# numbers, one for each place, and SQL borrows between them where their signs differ.
+_PLACES = (0, 64, 936)
+_ALL_ONES = f"{(1 << 128) - 1}::UHUGEINT"
+
+
+def _digits(number: str, width: int) -> str:
+    """The lowest digits of a HUGEINT expression, of a negative one those of its complement."""
+    return (f"CASE WHEN {number} >= 0 THEN lpad(lower(to_hex({number})), {width}, '0') ELSE repeat('f', {width - 32}) || "
+            f"lpad(lower(to_hex({_ALL_ONES} - (-({number} + 1))::UHUGEINT)), 32, '0') END")
+
+
+_LONG_SUMS = f"""places AS (
+  SELECT c, holder, max(ts) AS ts, {", ".join(
+      f"coalesce(sum(a) FILTER (WHERE {'b % 97 > 1' if k == 0 else f'b % 97 = {k - 1}'}), 0)::HUGEINT AS s{k}" for k in range(3))}
+  FROM legs WHERE holder <> '{ZERO}' AND ct IN (0, 1, 127) GROUP BY 1, 2),
+signed AS (SELECT *, CASE WHEN s2 <> 0 THEN sign(s2) WHEN s1 <> 0 THEN sign(s1) ELSE sign(s0) END::INT AS way FROM places),
+turned AS (SELECT *, s0 * way AS t0, s1 * way - (s0 * way < 0)::INT AS t1, s2 * way AS t2 FROM signed),
+texts AS (SELECT *, ltrim(lower(to_hex((t2 - (t1 < 0)::INT)::HUGEINT)) || {_digits('t1', _PLACES[2] - _PLACES[1])}
+  || {_digits('t0', _PLACES[1])}, '0') AS digits FROM turned),
+written AS (SELECT c, holder, ts, CASE WHEN way < 0 THEN '-' ELSE '' END || digits AS digits FROM texts)"""
+
+
+def _long_transfers(spark, folder):
+    """Token transfers decoded from logs, a few of which have longer data than any number of the chain."""
+    logs, kind = A.event_logs(spark, folder), F.col("block_number") % 97
+    token = (F.size("topics") == 3) & (F.get("topics", 0) == K.TOPIC_TRANSFER)
+    data = F.when(token & (kind == 0), F.concat("data", F.lit("0" * _PLACES[1]))).when(
+        token & (kind == 1), F.concat("data", F.lit("0" * _PLACES[2]))).otherwise(F.col("data"))
+    return decode.token_transfers(logs.withColumn("data", data))
+
+
+@query("long_balance_deltas", with_(MOVES, legs("moves", "amt", "ct"), _LONG_SUMS) + """
+SELECT c AS contract_address, holder AS holder_address, '0x' || lpad(digits, greatest(64, length(digits))::INT, '0') AS amount,
+  ts AS timestamp FROM written""")
+def long_balance_deltas(spark, folder):
+    """Balances of holders that got 128 and 1,000 digits in one log, next to all others."""
+    return holders.token_balance_deltas(_long_transfers(spark, folder)).drop("block_number")
+
+
+@query("long_holder_merge", with_(MOVES, legs("moves", "amt", "ct"), _LONG_SUMS) + """
+SELECT c AS contract_address, holder AS holder_address, '0x' || lpad(digits, greatest(64, length(digits))::INT, '0') AS amount,
+  CASE WHEN digits = '' OR digits[1] = '-' THEN 'delete' ELSE 'update' END AS action FROM written""")
+def long_holder_merge(spark, folder):
+    """The later half of the transfers merged into the balances of the earlier half."""
+    t = _long_transfers(spark, folder)
+    early = t.filter("block_number % 2 = 0")
+    stored = holders.token_balance_deltas(early)
+    # Every holder is stored: with nothing, if the earlier half did not reach it.
+    none = transfers.explode_legs(t).filter(F.col("holder_address") != K.ZERO_ADDRESS).select(
+        *holders.HOLDER_KEY).distinct().join(stored, list(holders.HOLDER_KEY), "left_anti").select(
+        *holders.HOLDER_KEY, F.lit("0x" + "0" * 64).alias("amount"), F.lit(0).alias("timestamp"))
+    every = stored.select(*none.columns).unionByName(none)
+    deltas = holders.token_balance_deltas(t.filter("block_number % 2 = 1"))
+    zero = every.join(deltas, list(holders.HOLDER_KEY), "left_anti").select(
+        *holders.HOLDER_KEY, F.lit("0x" + "0" * 64).alias("amount"), F.lit(0).alias("timestamp"), F.lit(0).cast("bigint").alias("block_number"))
+    return holders.holder_merge(every, deltas.unionByName(zero.select(*deltas.columns))).drop("timestamp", "block_number")
+
+
 _NFT_DELTAS = """deltas AS (
   SELECT c, ct, holder, CASE WHEN ct IN (2, 4) THEN '-1' ELSE tok::VARCHAR END AS tid, sum(a) AS a,
     max(ts) AS ts, max(b) AS b FROM legs WHERE holder <> '""" + ZERO + """' GROUP BY ALL)"""

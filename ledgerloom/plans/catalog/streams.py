@@ -239,10 +239,7 @@ def stream_holder_state(spark, folder):
     run_to_end(S.holder_state(stream).writeStream.outputMode("update").foreachBatch(keep).option(
         "checkpointLocation", f"{path}/checkpoint"), spark)
     changes = BatchTable(f"{path}/changes").read(spark)
-    limbs = hexnum.limb_columns("amount")
-    newest = changes.groupBy(*holders.HOLDER_KEY).agg(
-        F.max_by(F.struct("block_number", *limbs), "batch_id").alias("v")).select(*holders.HOLDER_KEY, "v.*")
-    return hexnum.collapse_limbs(newest, "amount")
+    return S.newest_holders(changes).drop("timestamp")
 
 
 @query("stream_search_docs", with_(MOVES, _LOG) + f"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom import constants as K
 from ledgerloom.functions import dates
-from ledgerloom.functions.hexnum import hex_to_decimal_text
+from ledgerloom.functions.hexnum import any_hex_to_decimal_text, hex_to_decimal_text
 from ledgerloom.functions.scalars import block_partition
 from ledgerloom.operators.calls import relayout_calls
 from ledgerloom.operators.decode import nft_transfers, token_transfers
@@ -51,7 +51,7 @@ def write_refined_by_date(blocks: DataFrame, transactions: DataFrame, logs: Data
 
 def transfers_for_lake(logs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Token and NFT transfers with their amounts as decimal text and their date columns."""
-    tokens = token_transfers(logs).withColumn("amount_bigint", hex_to_decimal_text("amount"))
+    tokens = token_transfers(logs).withColumn("amount_bigint", any_hex_to_decimal_text("amount"))
     nfts = nft_transfers(logs).drop("item_index").withColumn(
         "token_count_bigint", hex_to_decimal_text("token_count"))
     return _dated(tokens), _dated(nfts)

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerloom import constants as K
-from ledgerloom.functions.hexnum import is_positive, limb_sums, split_limbs
+from ledgerloom.functions.hexnum import (
+    block_columns, block_sums, collapse_blocks, is_positive, limb_columns, split_blocks,
+)
 from ledgerloom.functions.scalars import display_order
 from ledgerloom.operators import accounts, approvals, calls, decode, holders, refine, search, transfers
 from ledgerloom.operators.contracts import with_contract_type
@@ -164,14 +166,22 @@ def run_outputs(stream: DataFrame, outputs: Callable[[DataFrame], Outputs], path
 
 def holder_state(transfers_stream: DataFrame, exclude: tuple = K.ZERO_OR_DEAD) -> DataFrame:
     """Running balances as streaming state: in update mode every batch emits the holders it
-    changed with their new totals (limb sums; see ``hexnum.collapse_limbs``)."""
-    split = split_limbs(transfers_stream, "amount", "amount")
+    changed with their new totals (limb sums by block of digits; ``newest_holders`` reads them)."""
+    split = split_blocks(transfers_stream, "amount", "amount")
     needed = [c for c in split.columns if c.startswith("amount__")]
     legs = transfers.explode_legs(split.select(
         "contract_address", "from_address", "to_address", "timestamp", "block_number", *needed))
-    return legs.filter(~F.col("holder_address").isin(*exclude)).groupBy(*holders.HOLDER_KEY).agg(
-        *limb_sums("amount", "sign"), F.max("timestamp").alias("timestamp"),
-        F.max("block_number").alias("block_number"))
+    return block_sums(legs.filter(~F.col("holder_address").isin(*exclude)), holders.HOLDER_KEY, "amount",
+                      F.max("timestamp").alias("timestamp"), F.max("block_number").alias("block_number"), sign="sign")[0]
+
+
+def newest_holders(changes: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """The last totals of every holder from all that ``holder_state`` has emitted, marked with their batch."""
+    block, blocks = block_columns("amount")
+    state = ["timestamp", "block_number", blocks, *limb_columns("amount")]
+    newest = changes.groupBy(*holders.HOLDER_KEY, block).agg(
+        F.max_by(F.struct(*state), batch).alias("v")).select(*holders.HOLDER_KEY, block, "v.*")
+    return collapse_blocks(newest, holders.HOLDER_KEY, "amount", ["timestamp", "block_number"])
 
 
 # ---------------------------------------------------------------------------

@@ -140,12 +140,45 @@ def test_sums_past_256_bits(spark):
     assert [int(r.d) for r in out] == texts
 
 
-def test_too_long_numbers_raise(spark):
-    long = spark.createDataFrame([("0x1" + "0" * 75,)], "x string")
-    with pytest.raises(Exception, match="hex digits"):
-        long.select(H.hex_to_decimal_text("x")).collect()
-    with pytest.raises(Exception, match="hex digits"):
-        H.add_hex(long, "y", "x", "x").collect()
+def test_numbers_of_any_length(spark):
+    """Sums, additions and conversions next to Python's integers, 1 to 1,500 hex digits, both signs, in one column."""
+    draw = random.Random(17)
+    sizes = [1, 20, 59, 60, 61, 64, 66, 67, 75, 76, 119, 120, 121, 128, 240, 1000, 1500]
+    numbers = [draw.getrandbits(4 * draw.choice(sizes)) * draw.choice([1, 1, -1]) for _ in range(1500)]
+    numbers += [16 ** n - d for n in sizes for d in (0, 1)] + [-(16 ** n) for n in sizes] + [0, 0]
+    rows = [(k % 23, k, hex64(n)) for k, n in enumerate(numbers)]
+    # Keys whose long parts cancel out, and a null.
+    rows += [(50, 0, hex64(16 ** 400)), (50, 1, hex64(-(16 ** 400))), (51, 0, hex64(16 ** 130 + 5)), (51, 1, hex64(-(16 ** 130))),
+             (52, 0, None), (52, 1, hex64(16 ** 90)), (53, 0, hex64(-1)), (53, 1, hex64(16 ** 300)), (54, 0, "0x" + "0" * 500 + "7")]
+    want = {}
+    for key, _, text in rows:
+        want[key] = want.get(key, 0) + (int(text[2:].lstrip("0") or "0", 16) if text else 0)
+    df = spark.createDataFrame(rows, "k int, i int, v string").repartition(5)
+    got = H.sum_hex(df, ["k"], "total", "v", F.count("*").alias("n"), F.max("i").alias("last"), signed=True).collect()
+    assert {r.k: r.total for r in got} == {k: hex64(v) for k, v in want.items()}
+    assert {r.k: (r.n, r.last) for r in got} == {
+        key: (sum(k == key for k, _, _ in rows), max(i for k, i, _ in rows if k == key)) for key in want}
+    decimals = H.sum_hex(df, ["k"], "total", "v", signed=True).select("k", H.signed_hex_to_decimal_text("total").alias("d"))
+    assert {r.k: int(r.d) for r in decimals.collect()} == want
+    pairs = [(k, hex64(a), hex64(b)) for k, (a, b) in enumerate(zip(numbers, reversed(numbers)))]
+    out = H.add_hex(spark.createDataFrame(pairs, "k int, a string, b string"), "s", "a", "b").collect()
+    assert {r.k: r.s for r in out} == {k: hex64(a + b) for k, (a, b) in enumerate(zip(numbers, reversed(numbers)))}
+    assert out[0].__fields__ == ["k", "a", "b", "s"]
+
+
+def test_decimal_text_of_very_long_data(spark):
+    draw = random.Random(18)
+    numbers = [0, 1, 16 ** 75 - 1, 16 ** 75, 16 ** 76 + 3, draw.getrandbits(4000), draw.getrandbits(400_000)]
+    df = spark.createDataFrame([(k, hex(n)) for k, n in enumerate(numbers)], "k int, v string")
+    got = {r.k: r.d for r in df.select("k", H.any_hex_to_decimal_text("v").alias("d")).collect()}
+    import sys
+    sys.set_int_max_str_digits(0)
+    assert got == {k: str(n) for k, n in enumerate(numbers)}
+    short = df.filter("k < 6").select("k", H.hex_to_decimal_text("v").alias("d"))
+    assert {r.k: r.d for r in short.collect()} == {k: str(n) for k, n in enumerate(numbers[:6])}
+
+
+def test_too_many_decimal_digits_raise(spark):
     nines = spark.createDataFrame([("9" * 200,)], "x string")
     with pytest.raises(Exception, match="digits"):
         nines.select(H.decimal_text_to_hex("x")).collect()
