@@ -18,6 +18,7 @@ from ledgerloom.session import scratch_path
 from ledgerloom.sources import lake, logs as L
 from ledgerloom.streaming import jobs as S, segments
 from ledgerloom.streaming.control import Throttle, run_to_end
+from ledgerloom.streaming.seen import SeenLogs
 from ledgerloom.streaming.tables import BatchTable
 
 
@@ -95,11 +96,11 @@ UNION ALL SELECT 'latest', max(b), max(b)::BIGINT FROM one""")
 def stream_blocks(spark, folder):
     stream, path = _replayed(spark, A.raw_block_lines(spark, folder).select("value"), "blocks")
     run_to_end(S.run_outputs(stream, S.block_outputs, f"{path}/tables", f"{path}/checkpoint",
-                             prepare=S.decoded_blocks, compact_every=2), spark)
+                             prepare=S.decoded_blocks, fan_out=2), spark)
     out = None
     for name, key in (("blocks", "number"), ("transactions", "block_number"), ("event_logs", "block_number"),
                       ("latest", "number")):
-        rows = BatchTable(f"{path}/tables/{name}").read(spark)
+        rows = S.output_table(f"{path}/tables", name).read(spark)
         count = F.max(key) if name == "latest" else F.count("*")
         total = F.max(key) if name == "latest" else F.sum(key)
         part = rows.agg(F.lit(name).alias("name"), count.alias("rows"), total.alias("total"))
@@ -114,8 +115,8 @@ def stream_traces(spark, folder):
     stream, path = _replayed(spark, A.trace_lines(spark, folder).select("value"), "traces")
     run_to_end(S.run_outputs(stream, S.trace_outputs, f"{path}/tables", f"{path}/checkpoint",
                              prepare=S.decoded_calls), spark)
-    flat = BatchTable(f"{path}/tables/internal_transactions").read(spark)
-    index = BatchTable(f"{path}/tables/internal_transaction_index").read(spark)
+    flat = S.output_table(f"{path}/tables", "internal_transactions").read(spark)
+    index = S.output_table(f"{path}/tables", "internal_transaction_index").read(spark)
     return flat.groupBy(F.lit("calls").alias("name"), "type").agg(F.count("*").alias("rows")).unionByName(
         index.agg(F.lit("index").alias("name"), F.lit(None).cast("string").alias("type"), F.count("*").alias("rows")))
 
@@ -127,7 +128,7 @@ def stream_accounts(spark, folder):
     stream, path = _replayed(spark, A.raw_block_lines(spark, folder).select("value"), "accounts")
     run_to_end(S.run_outputs(stream, S.account_outputs, f"{path}/tables", f"{path}/checkpoint",
                              prepare=S.decoded_blocks), spark)
-    merged = accounts.merge_accounts(BatchTable(f"{path}/tables/accounts").read(spark))
+    merged = accounts.merge_accounts(S.output_table(f"{path}/tables", "accounts").read(spark))
     return merged.filter("transactions > 0").select("address", "transactions")
 
 
@@ -144,11 +145,11 @@ def stream_transfers(spark, folder):
     for _ in range(2):      # the second run finds nothing new
         run_to_end(S.run_outputs(
             stream, lambda batch: S.transfer_outputs(batch, contracts), f"{path}/tables", f"{path}/checkpoint",
-            prepare=S.fresh_logs(f"{path}/tables"), compact_every=2), spark)
+            prepare=SeenLogs(f"{path}/tables"), fan_out=2), spark)
     out = None
     for name, label in (("token_transfers", "tokens"), ("nft_transfers", "nfts"),
                         ("token_burns", "token_burns"), ("nft_burns", "nft_burns")):
-        part = BatchTable(f"{path}/tables/{name}").read(spark).agg(
+        part = S.output_table(f"{path}/tables", name).read(spark).agg(
             F.lit(label).alias("name"), F.count("*").alias("rows"), F.max("display_order").alias("last"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -165,10 +166,13 @@ def stream_holders(spark, folder):
     def outputs(batch):
         return {"token_deltas": holders.token_balance_deltas(batch, K.ZERO_OR_DEAD)}
 
-    run_to_end(S.run_outputs(stream, outputs, f"{path}/tables", f"{path}/checkpoint"), spark)
-    deltas = BatchTable(f"{path}/tables/token_deltas").read(spark)
-    return hexnum.sum_hex(deltas, list(holders.HOLDER_KEY), "amount", "amount",
-                          F.max("timestamp").alias("timestamp"), signed=True)
+    def fold(deltas):
+        return hexnum.sum_hex(deltas, list(holders.HOLDER_KEY), "amount", "amount", F.max("timestamp").alias("timestamp"),
+                              F.max("block_number").alias("block_number"), signed=True)
+
+    folds = {"token_deltas": fold}
+    run_to_end(S.run_outputs(stream, outputs, f"{path}/tables", f"{path}/checkpoint", fan_out=2, folds=folds), spark)
+    return S.output_table(f"{path}/tables", "token_deltas", folds=folds).totals(spark).drop("block_number")
 
 
 @query("stream_nft_holders", with_(_UNIQUE_MOVES, NFTS, legs("nfts", "n", "ct", "tok")) + f"""
@@ -187,12 +191,12 @@ def stream_nft_holders(spark, folder):
     def outputs(batch):
         return S.holder_outputs(decode.token_transfers(batch), with_contract_type(decode.nft_transfers(batch), contracts))
 
-    run_to_end(S.run_outputs(stream, outputs, f"{path}/tables", f"{path}/checkpoint", prepare=S.fresh_logs(f"{path}/tables"),
-                             compact_every=2, folds={"inventory_moves": S.fold_moves}), spark)
-    deltas = BatchTable(f"{path}/tables/nft_deltas").read(spark).filter(F.col("contract_type").isin(*K.COLLECTION_TYPES))
+    run_to_end(S.run_outputs(stream, outputs, f"{path}/tables", f"{path}/checkpoint", prepare=SeenLogs(f"{path}/tables"),
+                             fan_out=2, folds={"inventory_moves": S.fold_moves}), spark)
+    deltas = S.output_table(f"{path}/tables", "nft_deltas").read(spark).filter(F.col("contract_type").isin(*K.COLLECTION_TYPES))
     stored = deltas.limit(0).select("contract_address", "holder_address", "token_count", "timestamp")
     held = holders.apply_merge(holders.nft_holder_merge(stored, deltas))
-    moves = S.fold_moves(BatchTable(f"{path}/tables/inventory_moves").read(spark))
+    moves = S.fold_moves(S.output_table(f"{path}/tables", "inventory_moves").read(spark))
     items = holders.inventory_apply(moves.limit(0), moves)
     nothing = F.lit(None).cast("string")
     return held.select(F.lit("holder").alias("part"), "contract_address", "holder_address", nothing.alias("token_id"),
@@ -201,6 +205,28 @@ def stream_nft_holders(spark, folder):
                      nothing.alias("amount"), "timestamp"))
 
 
+@query("stream_late_logs", with_(_UNIQUE_MOVES) + """,
+early AS (SELECT max(b) AS newest FROM moves WHERE b % 5 <> 0),
+told AS (SELECT b, CASE WHEN b % 5 <> 0 THEN 'kept' WHEN b < newest - 3000 THEN 'late' ELSE 'kept' END AS part FROM moves, early)
+SELECT part, b AS block_number, count(*) AS logs FROM told GROUP BY ALL""")
+def stream_late_logs(spark, folder):
+    """Every fifth block comes after all others, and everything is sent twice: old ones are late, the rest is kept once."""
+    logs = _unique_logs(spark, folder)
+    late = F.col("block_number") % 5 == 0
+    path = scratch_path(spark, "late")
+    prepare = SeenLogs(f"{path}/tables", behind=3000, fan_out=2)
+    # One run of the stream for each part; what is there on the second run are the same files and the late ones.
+    for k, part in enumerate((logs.filter(~late), logs.filter(late), logs.filter(~late & (F.col("block_number") % 3 == 0)))):
+        part.coalesce(1).write.mode("append").parquet(f"{path}/input")
+        stream = spark.readStream.schema(logs.schema).parquet(f"{path}/input")
+        run_to_end(S.run_outputs(stream, lambda batch: {"logs": batch.select("block_number", "transaction_index", "log_index")},
+                                 f"{path}/tables", f"{path}/checkpoint", prepare=prepare, fan_out=2), spark)
+    kept = S.output_table(f"{path}/tables", "logs").read(spark).groupBy("block_number").agg(F.count("*").alias("logs"))
+    # A block sent again behind the floor counts as late as well; here only the first late sending is compared.
+    cut = prepare.late.read(spark).groupBy("block_number").agg(F.sum("late").alias("logs")).filter("block_number % 5 = 0")
+    return kept.withColumn("part", F.lit("kept")).unionByName(cut.withColumn("part", F.lit("late")))
+
+
 @query("stream_approvals", with_(_APPROVED) + f"""
 SELECT owner AS owner_address, spender AS spender_address, c AS contract_address, b AS block_number, h AS transaction_hash,
   {h64('cents::HUGEINT')} AS amount
@@ -216,10 +242,10 @@ def stream_approvals(spark, folder):
         return {name: latest(batch, contracts, position=True) for name, (latest, _) in S.APPROVALS.items()}
 
     run_to_end(S.run_outputs(
-        stream, outputs, f"{path}/tables", f"{path}/checkpoint", prepare=S.fresh_logs(f"{path}/tables"), compact_every=2,
+        stream, outputs, f"{path}/tables", f"{path}/checkpoint", prepare=SeenLogs(f"{path}/tables"), fan_out=2,
         folds={name: lambda rows, key=key: approvals.fold(rows, key) for name, (_, key) in S.APPROVALS.items()}), spark)
     key = approvals.TOKEN_KEY
-    latest = approvals.fold(BatchTable(f"{path}/tables/token_approvals").read(spark), key)
+    latest = approvals.fold(S.output_table(f"{path}/tables", "token_approvals").read(spark), key)
     stored = latest.drop("action", *["transaction_index", "log_index"]).limit(0)
     return approvals.apply_latest(stored, latest, key).select(
         "owner_address", "spender_address", "contract_address", "block_number", "transaction_hash", "amount")
@@ -249,7 +275,7 @@ def stream_search_docs(spark, folder):
     stream, path = _replayed(spark, A.raw_block_lines(spark, folder).select("value"), "docs")
     run_to_end(S.run_outputs(stream, S.search_outputs, f"{path}/tables", f"{path}/checkpoint",
                              prepare=S.decoded_blocks), spark)
-    return BatchTable(f"{path}/tables/transaction_docs").read(spark).select("id", "month")
+    return S.output_table(f"{path}/tables", "transaction_docs").read(spark).select("id", "month")
 
 
 @query("stream_side_jobs", with_(BLOCKS, COUNTED) + """

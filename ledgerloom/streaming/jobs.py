@@ -1,13 +1,13 @@
 """Continuous jobs: what each micro-batch of block or trace lines writes.
 
 Every job is the batch operators applied to one micro-batch and appended to
-``BatchTable`` folders, so a stream over a log ends with the tables a batch run over
+``TieredTable`` runs, so a stream over a log ends with the tables a batch run over
 the same log makes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -16,11 +16,10 @@ from ledgerloom import constants as K
 from ledgerloom.functions.hexnum import (
     block_columns, block_sums, collapse_blocks, is_positive, limb_columns, split_blocks,
 )
-from ledgerloom.functions.scalars import display_order
 from ledgerloom.operators import accounts, approvals, calls, decode, holders, refine, search, transfers
 from ledgerloom.operators.contracts import with_contract_type
 from ledgerloom.sources.logs import parse_blocks, parse_traces
-from ledgerloom.streaming.tables import BatchTable
+from ledgerloom.streaming.tiers import FAN_OUT, Fold, TieredTable
 
 Outputs = Mapping[str, DataFrame]
 
@@ -109,29 +108,6 @@ def decoded_calls(lines: DataFrame, batch_id: int) -> DataFrame:
     return calls.flatten_calls(parse_traces(lines))
 
 
-def fresh_logs(path: str) -> Callable[[DataFrame, int], DataFrame]:
-    """Event logs of a batch that no batch before it has brought, by their display order.
-
-    What has been seen is a table of its own below ``path``; a batch reads only the stored
-    blocks of its own range, which Parquet statistics single out.
-    """
-    seen = BatchTable(f"{path}/seen_logs")
-
-    def fresh(logs: DataFrame, batch_id: int) -> DataFrame:
-        spark = logs.sparkSession
-        keyed = logs.withColumn("display_order", display_order("block_number", "transaction_index", "log_index"))
-        once = keyed.dropDuplicates(["display_order"])
-        rows = once.select("block_number", "display_order")
-        span = rows.agg(F.min("block_number"), F.max("block_number")).first()
-        stored = F.col("block_number").between(*span) if span[0] is not None else F.lit(False)
-        known = seen.read_or(spark, rows, before=batch_id)
-        new = transfers.new_transfers(once, known, stored=stored)
-        seen.write(new.select("block_number", "display_order").sortWithinPartitions("block_number"), batch_id)
-        return new.drop("display_order")
-
-    return fresh
-
-
 def fold_moves(moves: DataFrame) -> DataFrame:
     """Inventory moves of several batches as one: a token that came and went again has not moved."""
     net = F.sum(F.when(F.col("is_send"), -1).otherwise(1))
@@ -139,27 +115,43 @@ def fold_moves(moves: DataFrame) -> DataFrame:
         "net <> 0").select(*holders.ITEM_KEY, (F.col("net") < 0).alias("is_send"), "timestamp")
 
 
+#: The column whose range a table's runs keep, by the first of these that it has.
+RANGE_KEYS = ("block_number", "number")
+
+
+def output_table(path: str, name: str, columns: Iterable[str] = RANGE_KEYS, fan_out: int = FAN_OUT,
+                 folds: Mapping[str, Fold] | None = None) -> TieredTable:
+    """The table of one output of ``run_outputs``."""
+    key = next((k for k in RANGE_KEYS if k in set(columns)), None)
+    return TieredTable(f"{path}/{name}", key, fan_out, (folds or {}).get(name))
+
+
 def run_outputs(stream: DataFrame, outputs: Callable[[DataFrame], Outputs], path: str, checkpoint: str,
-                prepare: Callable[[DataFrame, int], DataFrame] | None = None, compact_every: int = 0,
-                folds: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None) -> DataStreamWriter:
-    """A stream writer that appends every output of ``outputs`` below ``path``.
+                prepare: Callable[[DataFrame, int], DataFrame] | None = None, fan_out: int = FAN_OUT,
+                folds: Mapping[str, Fold] | None = None) -> DataStreamWriter:
+    """A stream writer that appends every output of ``outputs`` below ``path``, as a ``TieredTable``.
 
     ``prepare`` decodes a batch, or leaves out what came before; its result is kept for the
-    several outputs, so it is worked out once. Every ``compact_every`` batches the tables fold
-    what lies before the current batch into their base, by ``folds`` where one is given.
+    several outputs, so it is worked out once, and handed to its ``record`` where it has one. Runs of
+    ``fan_out`` batches merge, by ``folds`` where one is given. Batches run again overwrite what they wrote.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = (prepare(batch, batch_id) if prepare else batch).persist()
+        spark = batch.sparkSession
+        records = hasattr(prepare, "record")
+        held = batch.persist() if records else batch
+        kept = (prepare(held, batch_id) if prepare else batch).persist()
         try:
-            made = outputs(kept)
-            for name, df in made.items():
-                BatchTable(f"{path}/{name}").write(df, batch_id)
+            made = {name: (df, output_table(path, name, df.columns, fan_out, folds)) for name, df in outputs(kept).items()}
+            for df, table in made.values():
+                table.write(df, batch_id)
+            if records:
+                prepare.record(kept, batch_id)
         finally:
             kept.unpersist()
-        if compact_every and batch_id and batch_id % compact_every == 0:
-            for name in made:
-                fold = (folds or {}).get(name)
-                BatchTable(f"{path}/{name}").compact(batch.sparkSession, batch_id - 1, *([fold] if fold else []))
+            if records:
+                held.unpersist()
+        for _, table in made.values():
+            table.merge(spark, batch_id)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 

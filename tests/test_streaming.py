@@ -7,7 +7,9 @@ from ledgerloom.plans.jobs import due_periods
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import delimited, lake
 from ledgerloom.streaming import control, jobs, segments
+from ledgerloom.streaming.seen import SeenLogs
 from ledgerloom.streaming.tables import BatchTable
+from ledgerloom.streaming.tiers import TieredTable
 
 SEGMENT = "block_number long, segment_index int, total_segments int, piece string"
 
@@ -140,3 +142,69 @@ def test_replace_range_needs_borders(spark):
 def test_day_windows(spark):
     df = spark.createDataFrame([(1, 86400 * 3 + 5), (2, 86400 * 5 + 1)], "number long, timestamp int")
     assert [r.date for r in B.day_windows(df).orderBy("date").collect()] == ["1970-01-04", "1970-01-05", "1970-01-06"]
+
+
+def _size(path):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(path.removeprefix("file:")) for f in files
+               if f.endswith(".parquet"))
+
+
+def test_tiers_write_with_the_logarithm_of_the_batches(spark):
+    """200 batches: each row is written once a level, the runs stay few, and a range opens those that meet it."""
+    table = TieredTable(scratch_path(spark, "tiers"), "id", fan_out=4)
+    written, most_runs, most_folders = 0, 0, 0
+    for k in range(201):
+        table.write(spark.range(10 * k, 10 * k + 10, 1, 1), k)
+        made = table.merge(spark, k)
+        written += 10 + (made.rows if made else 0)
+        if k % 20 == 0:
+            most_runs = max(most_runs, len(table.runs(spark)))
+            most_folders = max(most_folders, len(os.listdir(table.path.removeprefix("file:"))))
+    assert written <= 2010 * 5 and most_runs <= 4 * 4 and most_folders <= 4 * 4 * 2
+    assert sorted(r.id for r in table.read(spark).collect()) == list(range(2010))
+    assert table.read(spark, before=77).count() <= 770       # a run that holds later batches is not read
+    assert sorted(r.id for r in table.read(spark, between=(1995, 2003)).collect()) == list(range(1995, 2004))
+    opened = table.read(spark, between=(1995, 2003)).inputFiles()
+    assert len({f.split("run=")[1][:25] for f in opened}) == 2
+    table.write(spark.range(5000, 5003, 1, 1), 200)           # the last batch runs again
+    assert table.read(spark).count() == 2003
+
+
+def test_tiers_fold_and_survive_a_cut_off_merge(spark):
+    fold = lambda df: df.groupBy("k").agg(F.sum("n").alias("n"))
+    table = TieredTable(scratch_path(spark, "tiers"), "k", fan_out=2, fold=fold)
+    assert table.read_or(spark, spark.createDataFrame([], "k long, n long")).count() == 0
+    for k in range(9):
+        table.write(spark.createDataFrame([(1, 1), (k, 10)], "k long, n long") if k != 5 else
+                    spark.createDataFrame([], "k long, n long"), k)
+        if k == 4:      # a merge that left no manifest is no run
+            spark.range(1).write.parquet(f"{table.path}/run=000000000000-000000000003")
+        table.merge(spark, k)
+    assert {r.k: r.n for r in table.totals(spark).collect()} == {1: 18, **{k: 10 for k in (0, 2, 3, 4, 6, 7, 8)}}
+    assert [(r.first, r.last) for r in table.runs(spark)] == [(0, 7), (8, 8)]
+    assert {r.k: r.n for r in fold(table.read(spark, between=(8, 9))).collect()} == {8: 10}
+
+
+def test_seen_logs_over_many_batches(spark):
+    """Sent twice, only once kept; folders and bytes stay bounded, since bitmaps behind the floor go."""
+    path = scratch_path(spark, "seen")
+    seen = SeenLogs(path, behind=20, fan_out=2)
+    place = "block_number long, transaction_index int, log_index int, v string"
+    sizes = []
+    for k in range(33):
+        rows = [(10 * k + j, t, l, "x") for j in range(10) for t in (0, 1) for l in (0, 63, 64, 200)]
+        again = [(max(0, 10 * k - 10), 0, 63, "again"), (10 * k, 0, 0, "twice")]
+        late = [(10 * k - 40, 0, 7, "late")] if k > 5 else []
+        kept = seen(spark.createDataFrame(rows + again + late + [(None, 0, 0, "no place")], place).coalesce(1), k).persist()
+        got = kept.groupBy("v").count().collect()
+        assert {r["v"]: r["count"] for r in got if r["v"] not in ("twice", "again")} in (
+            {"x": 80, "no place": 1}, {"x": 79, "no place": 1}), (k, got)
+        assert sum(r["count"] for r in got) == 81, (k, got)
+        seen.record(kept, k)
+        kept.unpersist()
+        if k in (16, 32):
+            sizes.append((len(os.listdir(f"{path}/seen_logs".removeprefix("file:"))), _size(f"{path}/seen_logs")))
+    assert sizes[1][0] <= sizes[0][0] + 4 and sizes[1][1] < 1.5 * sizes[0][1]
+    assert seen.late.read(spark).agg(F.sum("late")).first()[0] == 27
+    # The same batch again finds the same logs new.
+    assert seen(spark.createDataFrame([(320, 0, 0, "x"), (280, 0, 5, "late")], place), 32).count() == 1
