@@ -101,3 +101,7 @@ TYPE_SELECTORS = (
     (TYPE_ERC1155, ("f242432a", "2eb2c2d6", "00fdd58e", "4e1273f4", "a22cb465", "e985e9c5",
                     "0e89341c")),
 )
+
+# A record is late this many blocks behind the newest one, once a run has lasted this many seconds.
+LATE_BLOCKS = 43200
+LATE_START_SECONDS = 21600.0

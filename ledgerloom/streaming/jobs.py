@@ -181,7 +181,7 @@ def newest_holders(changes: DataFrame, batch: str = "batch_id") -> DataFrame:
 
 
 def late_floor(last_processed: int, start: int = 1, elapsed_seconds: float = 0.0,
-               start_valid_seconds: float = 21600.0, max_before: int = 43200) -> int:
+               start_valid_seconds: float = K.LATE_START_SECONDS, max_before: int = K.LATE_BLOCKS) -> int:
     """The lowest block still accepted: the start block in the first hours of a run, later
     ``max_before`` blocks behind the newest one."""
     return last_processed - max_before if elapsed_seconds > start_valid_seconds else start

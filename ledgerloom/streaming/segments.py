@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 OUTPUT = "block_number BIGINT, value STRING, complete BOOLEAN, missing ARRAY<INT>"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -20,7 +20,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 class _Reassembler(StatefulProcessor):
     """Keeps the pieces of one line until all are there or the time is over.
 
-    The state of a key is the pieces of one line, so its size is that of the line.
+    The state of a key is the pieces of one line, so its size is that of the line. Of a finished line a mark stays as
+    long as its pieces would have, so that a piece that comes once more begins nothing.
     """
 
     def __init__(self, ttl_seconds: int) -> None:
@@ -32,9 +33,12 @@ class _Reassembler(StatefulProcessor):
             "pieces",
             StructType([StructField("segment_index", IntegerType())]),
             StructType([StructField("piece", StringType())]))
+        self.finished = handle.getValueState("finished", StructType([StructField("done", BooleanType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         block, total = key
+        if self.finished.exists():
+            return
         had_pieces = self.pieces.exists()
         for frame in rows:
             for index, piece in zip(frame["segment_index"], frame["piece"]):
@@ -42,6 +46,8 @@ class _Reassembler(StatefulProcessor):
         found = {k[0]: v[0] for k, v in self.pieces.iterator()}
         if len(found) == total:
             self._clear()
+            self.finished.update((True,))
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
             yield self._row(block, "".join(found[i] for i in sorted(found)), [])
         elif not had_pieces:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
@@ -55,6 +61,7 @@ class _Reassembler(StatefulProcessor):
 
     def _clear(self) -> None:
         self.pieces.clear()
+        self.finished.clear()
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
 

@@ -1,4 +1,5 @@
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -34,6 +35,21 @@ def test_segments_over_batches(spark):
     assert batch[2] == ("abc", []) and batch[3] == (None, [1])
 
 
+def test_a_piece_that_comes_again_after_its_line(spark):
+    """It begins no new line that would come out as incomplete; a line that never was whole still does."""
+    path = scratch_path(spark, "again")
+    batches = [[(2, 0, 2, "a"), (2, 1, 2, "b"), (3, 0, 2, "x")], [(2, 0, 2, "a")], [(9, 0, 1, "later")], [(10, 0, 1, "last")]]
+    for rows in batches:
+        if rows[0][0] >= 9:
+            time.sleep(3)
+        spark.createDataFrame(rows, SEGMENT).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        out = segments.reassemble_segments(spark.readStream.schema(SEGMENT).parquet(f"{path}/in"), ttl_seconds=2)
+        control.run_to_end(out.writeStream.format("parquet").option("path", f"{path}/out").option(
+            "checkpointLocation", f"{path}/checkpoint"), spark)
+    got = sorted((r.block_number, r.value, r.missing) for r in spark.read.parquet(f"{path}/out").collect())
+    assert got == [(2, "ab", []), (3, None, [1]), (9, "later", []), (10, "last", [])]
+
+
 def test_batch_table_counts_a_repeated_batch_once(spark):
     table = BatchTable(scratch_path(spark, "table"))
     table.write(spark.range(3), 0)
