@@ -45,8 +45,10 @@ _BLOCK = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _MAIN = frozenset(("article", "main"))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# An open p ends where one of these starts; an li ends at the next li.
+# An open p ends where one of these starts, through open elements of these names only.
 _ENDS_P = _BLOCK - {"html", "body"}
+_INLINE = frozenset("b i em strong span a u font".split())
+_LABELS = frozenset(("label", "legend"))
 
 
 def _beside(name: str, attributes: str) -> bool:
@@ -78,12 +80,14 @@ class Line(NamedTuple):
 Spans = dict[int, tuple[int, int]]
 
 
-def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None = None) -> tuple[list[Line], Spans]:
+def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None = None,
+             open_forms: frozenset[int] = frozenset(), forms: dict[int, int] | None = None) -> tuple[list[Line], Spans]:
     """The lines of a page and the spans of its block elements.
 
     ``by_class`` says where class, id and role values tell what stands beside the article: everywhere, everywhere but
     on elements around an article or main ("unwrapped"), or nowhere. ``wrappers`` has the places of those elements:
-    "everywhere" adds them, "unwrapped" reads them.
+    "everywhere" adds them, "unwrapped" reads them. Forms at the places ``open_forms`` are no beside-elements, only
+    their controls and labels are. With ``forms`` no form is one, and it gets the place and block number of each.
     """
     wrappers = set() if wrappers is None else wrappers
     lines: list[Line] = []
@@ -93,6 +97,12 @@ def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None
     parts: list[str] = []
     linked = 0
     stack: list[tuple[str, bool]] = []
+    # Places in the stack of the open elements by name, of the open articles, and of those that are not inline.
+    opened: dict[str, list[int]] = {}
+    mains_at: list[int] = []
+    solid: list[int] = []
+    # The next end tag of raw elements, by name; None behind the last one.
+    stops: dict[str, re.Match[str] | None] = {}
     # Places of the open elements that are beside by their class.
     classed: dict[int, int] = {}
     beside = main = anchors = mains = 0
@@ -116,6 +126,11 @@ def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None
         while len(stack) > at:
             name, out = stack.pop()
             classed.pop(len(stack), None)
+            opened[name].pop()
+            if name not in _INLINE:
+                solid.pop()
+            if name in _MAIN:
+                mains_at.pop()
             if name in _BLOCK:
                 number = blocks.pop()
                 if number:
@@ -144,22 +159,22 @@ def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None
         if found.group(1):
             if name in _BLOCK:
                 end_line()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    was = beside
-                    close(k)
-                    if was and not beside:
-                        gap()
-                    break
-                if stack[k][0] in _MAIN and name not in ("body", "html", "main", "article"):
-                    break
+            own = opened.get(name)
+            # An end tag reaches out of an article only for the page, or for another article.
+            if own and (name in ("body", "html", "main", "article") or not mains_at or own[-1] > mains_at[-1]):
+                was = beside
+                close(own[-1])
+                if was and not beside:
+                    gap()
             continue
         if name == "br":
             parts.append(" ")
             continue
         if name in _RAW:
             parts.append(" ")
-            stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            if name not in stops or stops[name] and stops[name].start() < at:
+                stops[name] = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            stop = stops[name]
             if stop:
                 at = stop.end()
             elif name != "head":
@@ -171,25 +186,29 @@ def lines_of(page: str, by_class: str = "everywhere", wrappers: set[int] | None
             continue
         if name in _BLOCK:
             end_line()
-        if name in _ENDS_P:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ("p", "b", "i", "em", "strong", "span", "a", "u", "font"):
-                    if stack[k][0] == "p":
-                        close(k)
-                        break
-                    continue
-                break
+        if name in _ENDS_P and solid and stack[solid[-1]][0] == "p":
+            close(solid[-1])
         heeded = by_class == "everywhere" or by_class == "unwrapped" and (main or found.start() not in wrappers)
-        out = _beside(name, found.group(3) if heeded else "")
+        if name == "form" and (forms is not None or found.start() in open_forms):
+            out = False
+        else:
+            out = _beside(name, found.group(3) if heeded else "") or bool(open_forms or forms is not None) and name in _LABELS
         if out and not beside:
             gap()
         if out and name not in _BESIDE and not main:
             classed[len(stack)] = found.start()
+        opened.setdefault(name, []).append(len(stack))
+        if name not in _INLINE:
+            solid.append(len(stack))
+        if name in _MAIN:
+            mains_at.append(len(stack))
         stack.append((name, out))
         if name in _BLOCK:
             number = 0 if name in ("html", "body") else len(spans)
             blocks.append(number)
             spans.setdefault(number, (len(lines), sys.maxsize))
+            if forms is not None and name == "form":
+                forms[found.start()] = number
         beside += out
         if name in _MAIN:
             wrappers.update(classed.values())
@@ -243,17 +262,33 @@ def groups_of(lines: list[Line], spans: Spans, weights: list[int]) -> list[list[
     return out
 
 
+def page_forms(page: str) -> frozenset[int]:
+    """The places of forms that stand around the page: those with more than half of its text, without controls and
+    labels. Some servers put every page into one."""
+    if not re.search("<form", page, re.I):
+        return frozenset()
+    forms: dict[int, int] = {}
+    lines, spans = lines_of(page, "nowhere", forms=forms)
+    sums = [0]
+    for line in lines:
+        sums.append(sums[-1] + max(0, len(line.text) - line.links))
+    held = {place: sums[min(spans[number][1], len(lines))] - sums[spans[number][0]] for place, number in forms.items()}
+    return frozenset(place for place, weight in held.items() if 2 * weight > sums[-1])
+
+
 def main_text(page: str | None) -> str:
     """The blocks of the main text joined by an empty line; empty for null, empty or article-free pages.
 
     Where the classes leave nothing, as when the whole page stands in an element that is named for its
-    sidebar, they are heeded on elements that hold no article only, and then not at all.
+    sidebar, they are heeded on elements that hold no article only, and then not at all. A form around the page is
+    read like any other element.
     """
     if not page:
         return ""
     wrappers: set[int] = set()
+    open_forms = page_forms(page)
     for by_class in ("everywhere", "unwrapped", "nowhere"):
-        lines, spans = lines_of(page, by_class, wrappers)
+        lines, spans = lines_of(page, by_class, wrappers, open_forms)
         if by_class != "unwrapped" or any(line.article and line.text for line in lines):
             text = _selected(lines, spans)
             if text:

@@ -1,3 +1,4 @@
+import time
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
@@ -120,3 +121,30 @@ def test_rows(spark):
     got = sorted(extract_main_text(pages).collect(), key=str)
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0), ("a", 1), ("b", 1), ("b", 1)]
     assert extract_main_text(pages.limit(0)).collect() == []
+
+
+_PROSE = ["The first paragraph tells at some length what happened on that day, and where it did.",
+          "The second paragraph goes on with what came of it, as told by those who were there.",
+          "The third paragraph ends the story with a few words about all that has been since then."]
+
+
+def test_a_form_around_the_page():
+    """Servers that put every page into one form; its controls and labels are no text, nor is a form of its own."""
+    body = "".join(f"<p>{p}</p>" for p in _PROSE)
+    controls = "<label>Your name please</label><input name=a><select><option>One<option>Two</select><button>Send it now</button>"
+    search = "<form class=search><label>Find</label> in all pages <input></form>"
+    for inner in (body, f"<article>{body}</article>", f"<div id=main><main>{body}</main></div>"):
+        for form in ("<form>", "<form id='form1' method=post>", "<form class='search-form' action='/x'>"):
+            page = f"<html><body>{search}<div>Top</div>{form}<nav>Menu of it all</nav>{inner}{controls}</form></body></html>"
+            assert main_text(page) == "\n\n".join(_PROSE), page
+    page = f"<html><body><div>{body}</div><form><p>Leave us your opinion on this story here</p>{controls}</form></body></html>"
+    assert main_text(page) == "\n\n".join(_PROSE)
+
+
+def test_broken_pages_take_linear_time():
+    body = "<html><body><article>" + "".join(f"<p>{p}</p>" for p in _PROSE) + "</article>"
+    start = time.perf_counter()
+    for piece in ("</x><b>", "<head>", "<b>", "</p>", "<b></i>", "<style>", "<svg><p>", "<b><p></p>", "<x><main></x>"):
+        assert main_text(body + piece * (200_000 // len(piece)) + "</body></html>").startswith(_PROSE[0])
+    assert time.perf_counter() - start < 20
+    assert main_text(f"<html><body>{'<b>' * 20_000}{'<p></p>' * 20_000}<p>{_PROSE[0]}</p>") == _PROSE[0]
