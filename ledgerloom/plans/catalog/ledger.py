@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerloom import constants as K
@@ -14,6 +16,8 @@ from ledgerloom.plans.catalog.base import (
     BURNS, ITEMS, MOVES, NFTS, TXS, ZERO, ZERO_OR_DEAD, addr, con, ctype, h64, hx, legs, query, with_,
 )
 from ledgerloom.plans.catalog.refining import _CALLS, _calls
+from ledgerloom.session import scratch_path
+from ledgerloom.sources.bucketed import BucketedTable
 
 # ---------------------------------------------------------------------------
 # Transfers
@@ -230,6 +234,40 @@ def holder_merge(spark, folder):
     return holders.holder_merge(*_stored_and_new(spark, folder)).drop("block_number")
 
 
+def _bucketed(spark, rows, keys, name):
+    return BucketedTable(spark, f"{name}_{uuid.uuid4().hex[:12]}", scratch_path(spark, name), keys, parts=16, buckets=4).create(rows)
+
+
+@query("bucketed_holder_merge", with_(MOVES, legs("moves", "amt", "ls"), _STORED) + f"""
+SELECT c AS contract_address, holder AS holder_address, {h64('total')} AS amount, ts AS timestamp
+FROM merged WHERE action IN ('keep', 'insert', 'update')""")
+def bucketed_holder_merge(spark, folder):
+    """Holders stored by hash of their key; the deltas of each token kind are merged in one after the other."""
+    stored, new = _stored_and_new(spark, folder)
+    table = _bucketed(spark, stored, holders.HOLDER_KEY, "holders")
+    third = F.pmod(F.xxhash64(*holders.HOLDER_KEY), F.lit(3))
+    for k in range(3):
+        table.merge(new.filter(third == k), lambda held, deltas: holders.apply_merge(holders.holder_merge(held, deltas)))
+    return table.read()
+
+
+@query("bucketed_upsert_newest", with_(MOVES) + """
+SELECT c AS contract_address, max(ts) AS updated_at, max(b) AS block_number FROM (
+  SELECT * FROM moves QUALIFY rank() OVER (PARTITION BY c ORDER BY ts DESC) = 1) GROUP BY 1""")
+def bucketed_upsert_newest(spark, folder):
+    """The newest time of every contract and the highest block of that time, merged in two batches, one of them twice."""
+    newest = lambda rows: rows.groupBy("contract_address").agg(
+        F.max(F.struct("timestamp", "block_number")).alias("v")).select(
+        "contract_address", F.col("v.timestamp").alias("updated_at"), F.col("v.block_number").alias("block_number"))
+    t = A.transfers(spark, folder)
+    table = _bucketed(spark, newest(t.filter("block_number % 3 = 0")), ["contract_address"], "contracts")
+    order = F.struct("updated_at", "block_number")
+    for k in (1, 2, 1):
+        table.merge(newest(t.filter(F.col("block_number") % 3 == k)).withColumn("at", order), lambda held, rows: merges.upsert_newest(
+            held.withColumn("at", order), rows, ["contract_address"], "at").drop("at"))
+    return table.read()
+
+
 @query("holder_merge_with_balances", with_(MOVES, legs("moves", "amt", "ls"), _STORED) + f"""
 SELECT c AS contract_address, holder AS holder_address, action,
   CASE WHEN action = 'update' AND total <= 0 THEN {h64('7::HUGEINT')} ELSE {h64('total')} END AS amount
