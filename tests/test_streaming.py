@@ -207,7 +207,7 @@ def test_seen_logs_over_many_batches(spark):
     seen = SeenLogs(path, behind=20, fan_out=2)
     place = "block_number long, transaction_index int, log_index int, v string"
     sizes = []
-    for k in range(33):
+    for k in range(17):
         rows = [(10 * k + j, t, l, "x") for j in range(10) for t in (0, 1) for l in (0, 63, 64, 200)]
         again = [(max(0, 10 * k - 10), 0, 63, "again"), (10 * k, 0, 0, "twice")]
         late = [(10 * k - 40, 0, 7, "late")] if k > 5 else []
@@ -218,9 +218,9 @@ def test_seen_logs_over_many_batches(spark):
         assert sum(r["count"] for r in got) == 81, (k, got)
         seen.record(kept, k)
         kept.unpersist()
-        if k in (16, 32):
+        if k in (8, 16):
             sizes.append((len(os.listdir(f"{path}/seen_logs".removeprefix("file:"))), _size(f"{path}/seen_logs")))
     assert sizes[1][0] <= sizes[0][0] + 4 and sizes[1][1] < 1.5 * sizes[0][1]
-    assert seen.late.read(spark).agg(F.sum("late")).first()[0] == 27
+    assert seen.late.read(spark).agg(F.sum("late")).first()[0] == 11
     # The same batch again finds the same logs new.
-    assert seen(spark.createDataFrame([(320, 0, 0, "x"), (280, 0, 5, "late")], place), 32).count() == 1
+    assert seen(spark.createDataFrame([(160, 0, 0, "x"), (120, 0, 5, "late")], place), 16).count() == 1
