@@ -199,6 +199,23 @@ def blocks(spark: SparkSession, folder: str, counted: bool = False) -> DataFrame
         "transaction_count", F.coalesce("transaction_count", F.lit(0)))
 
 
+#: Blocks that one order stands for in ``long_chain``, and the orders whose blocks are missing there.
+CHAIN_STRETCH, CHAIN_GAP = 40, 9973
+
+
+def long_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """A chain over several block partitions: ``CHAIN_STRETCH`` blocks for each order, ten seconds apart, without those
+    of every order whose key plus one is a multiple of ``CHAIN_GAP``."""
+    first = F.col("o_orderkey") * CHAIN_STRETCH
+    o = table(spark, folder, "orders").filter((F.col("o_orderkey") + 1) % CHAIN_GAP != 0)
+    number = (first + F.col("i")).alias("number")
+    return o.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(CHAIN_STRETCH - 1)))).select(
+        number, (F.lit(800_000_000) + (first + F.col("i")) * 10).cast("int").alias("timestamp"),
+        ((F.col("o_custkey") + F.col("i")) % 7).cast("int").alias("transaction_count"),
+        F.col("o_totalprice").cast("int").alias("gas_used"),
+        (F.col("o_custkey") * 1000003 + 25000000000 + F.col("i")).cast("string").alias("base_fee_per_gas"))
+
+
 def stored_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Blocks that have transactions: the others are the gaps of the numbering."""
     return table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("number"))
@@ -246,7 +263,12 @@ def raw_block_lines(spark: SparkSession, folder: str) -> DataFrame:
     per_tx = logs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(
         F.hex(F.col("log_index")).alias("_o"), "data", "topics",
         "address", hexint("log_index").alias("logIndex")))).alias("found"))
-    numbered = txs.dropDuplicates(key).join(per_tx, key)
+    # Line items can share a transaction: the greatest by what sets them apart stands for all.
+    rest = [c for c in txs.columns if c not in key]
+    order = F.struct(F.coalesce("contract_address", "to_address"), "input", "value", "gas_price", "type", "status",
+                     F.coalesce("tx_error", F.lit(0)))
+    chosen = txs.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_tx")).select(*key, "_tx.*")
+    numbered = chosen.join(per_tx, key)
     log_json = F.transform("found", lambda g: F.struct(
         F.col("block_hash").alias("blockHash"), hexint("block_number").alias("blockNumber"),
         F.col("transaction_hash").alias("transactionHash"),

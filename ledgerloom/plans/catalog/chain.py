@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import blocks as B, quality
+from ledgerloom.operators import blocks as B, quality, zones as Z
 from ledgerloom.plans import adapters as A
 from ledgerloom.plans.catalog.base import BLOCKS, COUNTED, MOVES, TXS, h64, query, with_
+from ledgerloom.session import scratch_path
 from ledgerloom.sources import logs as L
 
 _DAY = "strftime(make_timestamp(ts::BIGINT * 1000000), '%Y-%m-%d')"
@@ -96,6 +97,74 @@ def contiguous_prefix(spark, folder):
     return B.contiguous_prefix(A.stored_blocks(spark, folder), 5).groupBy("number").agg(F.count("*").alias("n"))
 
 
+# adapters.long_chain: several block partitions, gaps late.
+_CHAIN = f"""chain AS (SELECT o_orderkey * {A.CHAIN_STRETCH} + i AS number, (800000000 + (o_orderkey * {A.CHAIN_STRETCH} + i) * 10)::INT AS ts,
+    ((o_custkey + i) % 7)::INT AS tx_count, trunc(o_totalprice)::INT AS gas_used, o_custkey * 1000003 + 25000000000 + i AS base_fee
+  FROM orders, range({A.CHAIN_STRETCH}) AS r(i) WHERE (o_orderkey + 1) % {A.CHAIN_GAP} <> 0)"""
+_CHAIN_BURN = """burn AS (SELECT number, ts, base_fee::HUGEINT * gas_used // 2 AS fee,
+    sum(base_fee::HUGEINT * gas_used // 2) OVER (ORDER BY number) AS total FROM chain)"""
+# Everything before the first gap after block 5; the chain without a gap ends at its newest block.
+_CHAIN_END = """fin AS (SELECT min(number) AS e FROM chain WHERE number > 5 AND number + 1 NOT IN (SELECT number FROM chain))"""
+
+
+def _zoned(spark, folder):
+    return Z.write_zones(A.long_chain(spark, folder), scratch_path(spark, "zones"))
+
+
+@query("contiguous_prefix_long", with_(_CHAIN, _CHAIN_END) + "SELECT number, ts AS timestamp FROM chain, fin WHERE number > 5 AND number <= e")
+def contiguous_prefix_long(spark, folder):
+    """Whole block partitions lie before the first gap."""
+    return B.contiguous_prefix(A.long_chain(spark, folder), 5).select("number", "timestamp")
+
+
+@query("cumulative_burn_from_rewards_long", with_(_CHAIN, _CHAIN_END) + """
+SELECT number, gas_used::HUGEINT::VARCHAR AS fees, (sum(gas_used::HUGEINT) OVER (ORDER BY number))::VARCHAR AS accumulate_fees,
+  ts AS timestamp FROM chain, fin WHERE number > 5 AND number <= e""")
+def cumulative_burn_from_rewards_long(spark, folder):
+    chain = A.long_chain(spark, folder)
+    rewards = chain.select("number", F.concat(F.lit("0x"), A.hexed(F.col("gas_used"), 64)).alias("burnt_fee"))
+    burnt = B.cumulative_burn_from_rewards(chain, rewards, last=5)
+    return burnt.select("number", F.col("fees").cast("string").alias("fees"),
+                        F.col("accumulate_fees").cast("string").alias("accumulate_fees"), "timestamp")
+
+
+@query("zone_contiguous_prefix", with_(_CHAIN, _CHAIN_END) + "SELECT number, ts AS timestamp FROM chain, fin WHERE number > 5 AND number <= e")
+def zone_contiguous_prefix(spark, folder):
+    zones, blocks = _zoned(spark, folder)
+    return Z.gap_free(zones, blocks, 5).select("number", "timestamp")
+
+
+@query("zone_missing_blocks", with_(_CHAIN) + """
+SELECT number FROM range((SELECT max(number) + 4 FROM chain)) AS r(number) WHERE number NOT IN (SELECT number FROM chain)""")
+def zone_missing_blocks(spark, folder):
+    zones, _ = _zoned(spark, folder)
+    newest = zones.agg(F.max("last")).first()[0]
+    return Z.missing_numbers(zones, 0, newest + 3)
+
+
+@query("zone_daily_tx_history", with_(_CHAIN) + f"SELECT {_DAY} AS date, sum(tx_count)::BIGINT AS transactions FROM chain GROUP BY 1")
+def zone_daily_tx_history(spark, folder):
+    return Z.daily_transactions(*_zoned(spark, folder))
+
+
+@query("zone_newest_blocks", with_(_CHAIN) + """
+SELECT 40000::BIGINT AS blocks, sum(tx_count)::BIGINT AS transactions, min(ts) AS first_ts, max(ts) AS last_ts
+FROM (SELECT * FROM chain ORDER BY number DESC LIMIT 40000)""")
+def zone_newest_blocks(spark, folder):
+    return Z.newest(*_zoned(spark, folder), 40000)
+
+
+@query("zone_cumulative_burn", with_(_CHAIN, _CHAIN_BURN) + """
+SELECT number, ts AS timestamp, fee::VARCHAR AS fees, (total + 1000)::VARCHAR AS accumulate_fees
+FROM burn WHERE number > (SELECT max(number) // 2 FROM chain)""")
+def zone_cumulative_burn(spark, folder):
+    """The newer half of the chain, with totals over all of it."""
+    zones, blocks = _zoned(spark, folder)
+    newest = zones.agg(F.max("last")).first()[0]
+    burnt = Z.running_burn(zones, blocks, newest // 2 + 1, newest, seed=1000)
+    return burnt.withColumns({c: F.col(c).cast("string") for c in ("fees", "accumulate_fees")})
+
+
 @query("day_windows", """
 SELECT strftime(d, '%Y-%m-%d') AS date, epoch(d)::BIGINT AS from_ts, epoch(d)::BIGINT + 86400 AS to_ts
 FROM (SELECT unnest(range(min(o_orderdate), max(o_orderdate) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM orders)""")

@@ -18,13 +18,16 @@ from ledgerloom.sources import logs as L
 _LOG = """one AS (SELECT b, ti, h, count(*) AS n_logs FROM moves GROUP BY b, ti, h)"""
 
 
-@query("refine_blocks", with_(MOVES, BLOCKS, _LOG) + f"""
+_BLOCK_ROWS = f"""blocks_whole AS (
 SELECT (number // 100000)::VARCHAR AS bnp, base_fee::VARCHAR AS base_fee_per_gas, 1 AS block_score, proposer AS committee,
   '0x' AS extra_data, gas_used, NULL::VARCHAR AS governance_data, '0x' || {hx('number', 64)} AS hash, '0x' AS logs_bloom,
   number, '0x' || {hx('number + 1', 64)} AS parent_hash, proposer, '0xr' AS receipts_root, proposer AS reward,
   1000 AS size, '0xs' AS state_root, ts AS timestamp, 0 AS timestamp_fos, 5 AS total_block_score,
   '0xt' AS transactions_root, '0x' AS vote_data, n_tx::INT AS transaction_count
-FROM blocks JOIN (SELECT b, count(*) AS n_tx FROM one GROUP BY b) ON b = number""")
+FROM blocks JOIN (SELECT b, count(*) AS n_tx FROM one GROUP BY b) ON b = number)"""
+
+
+@query("refine_blocks", with_(MOVES, BLOCKS, _LOG, _BLOCK_ROWS) + "SELECT * FROM blocks_whole")
 def refine_blocks(spark, folder):
     raw = L.parse_blocks(A.raw_block_lines(spark, folder))
     return refine.refine_blocks(raw).withColumn("committee", F.array_join("committee", ","))
@@ -44,7 +47,7 @@ def refine_transactions(spark, folder):
         "nonce", "timestamp", "token_transfer_count", "nft_transfer_count")
 
 
-@query("refine_transactions_whole", with_(MOVES, TXS) + f"""
+_TRANSACTION_ROWS = f"""transactions_whole AS (
 SELECT (b // 100000)::VARCHAR AS bnp, NULL::VARCHAR AS access_list, '0x' || {hx('b', 64)} AS block_hash, b AS block_number,
   created AS contract_address, CASE WHEN ls = 'F' THEN '0x2019' ELSE '' END AS chain_id, sender AS from_address,
   21000::BIGINT AS gas, price AS gas_price, 21000 AS gas_used, input, '0x' AS logs_bloom, NULL::VARCHAR AS max_fee_per_gas,
@@ -55,18 +58,22 @@ SELECT (b // 100000)::VARCHAR AS bnp, NULL::VARCHAR AS access_list, '0x' || {hx(
   NULL::VARCHAR AS code_format, NULL::VARCHAR AS fee_payer, NULL::VARCHAR AS fee_payer_signatures,
   NULL::VARCHAR AS fee_ratio, NULL::BOOLEAN AS human_readable,
   CASE WHEN rf = 'A' AND ls = 'F' THEN '0x04' || {hx('l_suppkey', 8)} END AS key, err AS tx_error,
-  CASE WHEN ct IN (0, 1, 127) THEN 1 ELSE 0 END AS token_transfer_count,
-  CASE WHEN ct IN (2, 3, 4, 5) THEN 1 ELSE 0 END AS nft_transfer_count, ts AS timestamp, NULL::VARCHAR AS effective_gas_price
-FROM (SELECT * FROM txs QUALIFY count(*) OVER (PARTITION BY h) = 1)""")
+  n_token AS token_transfer_count, n_nft AS nft_transfer_count, ts AS timestamp, NULL::VARCHAR AS effective_gas_price
+FROM (SELECT *, (count(*) FILTER (ct IN (0, 1, 127)) OVER (PARTITION BY h))::INT AS n_token,
+    (count(*) FILTER (ct IN (2, 3, 4, 5)) OVER (PARTITION BY h))::INT AS n_nft
+  FROM txs QUALIFY row_number() OVER (PARTITION BY h ORDER BY coalesce(created, receiver) DESC, input DESC,
+    round(l_extendedprice * 100)::BIGINT::VARCHAR DESC, price DESC, rf = 'A', ls = 'F' DESC, coalesce(err, 0) DESC) = 1))"""
+
+
+@query("refine_transactions_whole", with_(MOVES, TXS, _TRANSACTION_ROWS) + "SELECT * FROM transactions_whole")
 def refine_transactions_whole(spark, folder):
-    """Every column, of the transactions that stand for one line item."""
-    single = A.transactions(spark, folder).groupBy("transaction_hash").count().filter("count = 1").select("transaction_hash")
+    """Every column of every transaction; of several line items of one hash the adapter takes the greatest."""
     refined = refine.refine_transactions(L.parse_blocks(A.raw_block_lines(spark, folder)))
 
     def signed(name):
         return F.array_join(F.transform(name, lambda s: F.concat_ws(" ", s["V"], s["R"], s["S"])), ",")
 
-    return refined.join(single, "transaction_hash", "left_semi").withColumns({
+    return refined.withColumns({
         "signatures": signed("signatures"), "fee_payer_signatures": signed("fee_payer_signatures"),
         "access_list": F.array_join("access_list", ",")})
 
