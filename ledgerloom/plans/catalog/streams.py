@@ -20,6 +20,7 @@ from ledgerloom.streaming import jobs as S, segments
 from ledgerloom.streaming.control import Throttle, run_to_end
 from ledgerloom.streaming.seen import SeenLogs
 from ledgerloom.streaming.tables import BatchTable
+from ledgerloom.streaming.waiting import released
 
 
 def _replayed(spark, rows, name, files=3):
@@ -354,6 +355,86 @@ def recount_due(spark, folder):
     return early["holder_counts"].unionByName(late["holder_counts"])      # nothing is due at first
 
 
+def _waited(spark, name, keys, parts, delay, outputs):
+    """Keys (``parts``: frames with their second) sent through a line in two runs of one stream, the second from its checkpoint.
+
+    Empty records carry the stream's time on, first past the delay of the first part only. ``outputs`` makes rows of
+    what a batch releases.
+    """
+    path = scratch_path(spark, name)
+    schema = ", ".join(f"{k} string" for k in keys) + ", at timestamp"
+
+    def send(rows, second):
+        rows.select(*keys, F.timestamp_seconds(F.lit(second)).alias("at")).coalesce(1).write.mode("append").parquet(f"{path}/input")
+
+    def tick(second):
+        send(spark.range(1).select(*[F.lit(None).cast("string").alias(k) for k in keys]), second)
+
+    def write(batch, batch_id):
+        held = batch.persist()
+        BatchTable(f"{path}/out").write(outputs(held).withColumn("batch_id", F.lit(batch_id)), batch_id)
+        held.unpersist()
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/input")
+        waited = released(stream.withWatermark("at", "0 seconds"), keys, delay, 1 << 20, time="at", lanes=64)
+        run_to_end(waited.writeStream.foreachBatch(write).outputMode("append").option(
+            "checkpointLocation", f"{path}/checkpoint"), spark)
+
+    (first, early), (second, late) = parts
+    send(first, early)
+    send(second, late)
+    tick(late)
+    run()
+    tick(late + delay + 1)
+    tick(late + delay + 2)
+    run()
+    return BatchTable(f"{path}/out").read(spark)
+
+
+@query("stream_corrections", with_(MOVES, _DUE) + f"""
+SELECT 'released' AS part, c AS contract_address, h AS holder_address, NULL AS amount,
+  CASE WHEN early THEN 1000 ELSE 1050 END::BIGINT AS queued_at FROM ranked
+UNION ALL SELECT 'correction', c, h, {h64('chain')}, 1000 FROM ranked WHERE early AND db > 0 AND chain <> db""")
+def stream_corrections(spark, folder):
+    """Every holder waits 30 seconds after its first transfer and is then checked."""
+    t = A.transfers(spark, folder)
+    balances = lambda rows: holders.token_balance_deltas(rows, K.ZERO_OR_DEAD).select(
+        "contract_address", "holder_address", "amount")
+    stored = balances(t.filter("line_status = 'F'")).filter(hexnum.is_positive("amount")).persist()
+    true = balances(t).persist()
+    keys = list(holders.HOLDER_KEY)
+
+    def outputs(ready):
+        found = S.corrected(ready, stored, true)["corrections"].join(ready, keys)
+        return ready.select(F.lit("released").alias("part"), *keys, F.lit(None).cast("string").alias("amount"),
+                            "queued_at").unionByName(
+            found.select(F.lit("correction").alias("part"), *keys, F.col("chain_amount").alias("amount"), "queued_at"))
+
+    parts = [(S.correction_keys(t.filter("line_status = 'F'")), 1000), (S.correction_keys(t), 1050)]
+    try:
+        return _waited(spark, "corrections", keys, parts, 30, outputs).drop("batch_id")
+    finally:
+        stored.unpersist()
+        true.unpersist()
+
+
+@query("stream_recounts", with_(MOVES, legs("moves", "amt")) + f"""
+SELECT c AS contract_address, count(*) FILTER (WHERE a > 0 AND holder <> '{ZERO}') AS holder_count
+FROM (SELECT c, holder, sum(a) AS a FROM legs GROUP BY 1, 2) GROUP BY 1""")
+def stream_recounts(spark, folder):
+    """Every contract's holders are counted 300 seconds after its first transfer, once."""
+    t = A.transfers(spark, folder)
+    stored = holders.token_balance_deltas(t).filter(hexnum.is_positive("amount")).persist()
+    half = t.filter("line_status = 'F'").select("contract_address").distinct()
+    every = t.select("contract_address").distinct()
+    try:
+        return _waited(spark, "recounts", ["contract_address"], [(half, 1000), (every, 1050)], 300,
+                       lambda ready: S.recounted(ready, stored)).drop("batch_id")
+    finally:
+        stored.unpersist()
+
+
 @query("account_contract_catch_up_all", with_(MOVES) + f"""
 SELECT a AS account_address, c AS contract_address, max(ts) AS updated_at, max(w) AS last_window FROM (
   SELECT f AS a, c, ts FROM items UNION ALL SELECT t, c, ts FROM items),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -70,21 +71,38 @@ class Throttle:
 
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for as long as a query is started: it keeps a copy of what held then."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def with_state_store(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a query whose state is in RocksDB, which state with timers and maps needs."""
+    with settings(spark, {STATE_STORE: ROCKSDB}):
+        return writer.start()
 
 
 def run_to_end(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
-    """Run a stream over what is there now and return when it is done.
+    """Run a stream over what is there now and return when it is done; its state is in RocksDB.
 
     State with processing-time timers asks for batches without data for as long as the
     query runs, so those are off here; the timers of lines that never become complete
     fire in a later run.
     """
-    before = spark.conf.get(NO_DATA_BATCHES, "true")
-    spark.conf.set(NO_DATA_BATCHES, "false")
-    try:
-        query = writer.trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(NO_DATA_BATCHES, before)
+    with settings(spark, {NO_DATA_BATCHES: "false"}):
+        query = with_state_store(writer.trigger(availableNow=True), spark)
     query.awaitTermination()
     return query
 

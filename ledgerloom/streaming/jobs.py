@@ -230,25 +230,34 @@ def correction_keys(moved: DataFrame) -> DataFrame:
     ).filter(~F.col("holder_address").isin(*K.ZERO_OR_DEAD)).distinct()
 
 
-def correct_due(queue: DataFrame, now: int, stored: DataFrame, authoritative: DataFrame) -> Outputs:
-    """Check the queue's due holders against authoritative balances (absent counts as 0).
+def corrected(ready: DataFrame, stored: DataFrame, authoritative: DataFrame) -> Outputs:
+    """Check the holders named by ``ready`` against authoritative balances (absent counts as 0).
 
-    Gives the corrections, the stored holders after them (none without a positive balance among
-    the corrected), and the queue without the keys that were checked.
+    Gives the corrections, and the stored holders after them (none without a positive balance among
+    the corrected).
     """
-    ready = due(queue, now)
     keys = list(holders.HOLDER_KEY)
     corrections = holders.balance_diff(stored.join(ready.select(*keys), keys, "left_semi"), authoritative)
     joined = stored.join(corrections.select(*keys, "chain_amount"), keys, "left")
-    corrected = joined.withColumn("amount", F.coalesce("chain_amount", "amount")).filter(
+    after = joined.withColumn("amount", F.coalesce("chain_amount", "amount")).filter(
         F.col("chain_amount").isNull() | is_positive("amount")).select(*stored.columns)
-    return {"corrections": corrections, "holders": corrected, "queue": dequeue(queue, ready)}
+    return {"corrections": corrections, "holders": after}
+
+
+def recounted(ready: DataFrame, stored: DataFrame) -> DataFrame:
+    """Holder counts of the contracts named by ``ready``; 0 where nothing is held."""
+    counted = holders.token_holder_counts(stored.join(ready.select("contract_address"), "contract_address", "left_semi"))
+    return ready.select("contract_address").join(counted, "contract_address", "left").withColumn(
+        "holder_count", F.coalesce("holder_count", F.lit(0).cast("bigint")))
+
+
+def correct_due(queue: DataFrame, now: int, stored: DataFrame, authoritative: DataFrame) -> Outputs:
+    """``corrected`` for the queue's due holders, and the queue without the keys that were checked."""
+    ready = due(queue, now)
+    return {**corrected(ready, stored, authoritative), "queue": dequeue(queue, ready)}
 
 
 def recount_due(queue: DataFrame, now: int, stored: DataFrame, delay: int = 300) -> Outputs:
     """Holder counts of the contracts that have waited ``delay`` seconds, and the queue without them."""
     ready = due(queue, now, delay)
-    counted = holders.token_holder_counts(stored.join(ready.select("contract_address"), "contract_address", "left_semi"))
-    counts = ready.select("contract_address").join(counted, "contract_address", "left").withColumn(
-        "holder_count", F.coalesce("holder_count", F.lit(0).cast("bigint")))
-    return {"holder_counts": counts, "queue": dequeue(queue, ready)}
+    return {"holder_counts": recounted(ready, stored), "queue": dequeue(queue, ready)}

@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 OUTPUT = "block_number BIGINT, value STRING, complete BOOLEAN, missing ARRAY<INT>"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class _Reassembler(StatefulProcessor):
@@ -78,10 +77,9 @@ def reassemble_segments(stream: DataFrame, ttl_seconds: int = 1200) -> DataFrame
     """Whole lines of a segment stream; lines still incomplete after ``ttl_seconds`` come out
     once with ``complete`` false and the indexes they miss.
 
-    Lines of one piece, nearly all of them, never touch the state.
+    Lines of one piece, nearly all of them, never touch the state. The query needs the RocksDB state store
+    (``control.run_to_end`` and ``control.with_state_store`` set it for the query alone).
     """
-    spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     single = stream.filter(F.col("total_segments") == 1).select(
         "block_number", F.col("piece").alias("value"), F.lit(True).alias("complete"),
         F.array().cast("array<int>").alias("missing"))
