@@ -8,9 +8,11 @@ from ledgerloom import constants as K
 from ledgerloom.operators import calls, refine
 from ledgerloom.plans import adapters as A
 from ledgerloom.plans.catalog.base import BLOCKS, MOVES, NFTS, TXS, con, ctype, query, with_
-from ledgerloom.plans.catalog.refining import _CALLS, _LOG, _calls
+from ledgerloom.plans import jobs
+from ledgerloom.plans.catalog.ledger import _ACCOUNTS
+from ledgerloom.plans.catalog.refining import _BLOCK_ROWS, _CALLS, _LOG, _TRANSACTION_ROWS, _calls
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import delimited, jdbc, lake, logs as L
+from ledgerloom.sources import delimited, jdbc, lake, logs as L, manifested
 
 _TS_PART = "strftime(make_timestamp(ts::BIGINT * 1000000), '{}')"
 
@@ -153,6 +155,75 @@ def load_delimited(spark, folder):
     return loaded.select("block_number", "call_id", "from_address", "gas", "parent_call_id", "time",
                          "to_address", "type", "value", "internal_tx_id")
 
+_BLOCK_LINE = (
+    "block_score int, extra_data string, gas_used int, governance_data string, hash string, logs_bloom string, number bigint, "
+    "parent_hash string, proposer string, receipts_root string, reward string, size int, state_root string, timestamp int, "
+    "timestamp_fos int, total_block_score int, transaction_count int, transactions_root string, vote_data string, date string, "
+    "base_fee_per_gas string")
+
+
+@query("block_lines", with_(MOVES, BLOCKS, _LOG, _BLOCK_ROWS) + """
+SELECT * EXCLUDE (bnp, committee), strftime(make_timestamp((timestamp::BIGINT + 9 * 3600) * 1000000), '%Y%m') AS date FROM blocks_whole""")
+def block_lines(spark, folder):
+    path = scratch_path(spark, "block-lines")
+    blocks = refine.refine_blocks(L.parse_blocks(A.raw_block_lines(spark, folder)))
+    manifested.export_manifested(delimited.block_lines(blocks), path, 1000)
+    return delimited.load_delimited(spark, path, _BLOCK_LINE)
+
+
+@query("transaction_lines", with_(MOVES, TXS, _TRANSACTION_ROWS) + """
+SELECT block_hash, block_number, code_format, contract_address, fee_payer, fee_payer_signatures, fee_ratio, from_address, gas, gas_price,
+  gas_used, human_readable::INT::VARCHAR AS human_readable, input, key, logs_bloom, nft_transfer_count, nonce, sender_tx_hash,
+  '[{"V":"0x1","R":"0x2","S":"0x3"}]' AS signatures, status::INT::VARCHAR AS status, timestamp, to_address, token_transfer_count,
+  transaction_hash, transaction_index, tx_error, type, type_int, value, access_list, nullif(chain_id, '') AS chain_id, max_fee_per_gas,
+  max_priority_fee_per_gas, effective_gas_price FROM transactions_whole""")
+def transaction_lines(spark, folder):
+    """Empty text comes back as null, as bulk files tell no difference."""
+    path = scratch_path(spark, "transaction-lines")
+    txs = refine.refine_transactions(L.parse_blocks(A.raw_block_lines(spark, folder)))
+    manifested.export_manifested(delimited.transaction_lines(txs), path, delimited.ROWS_PER_FILE["transactions"])
+    return delimited.load_delimited(spark, path, (
+        "block_hash string, block_number bigint, code_format string, contract_address string, fee_payer string, "
+        "fee_payer_signatures string, fee_ratio string, from_address string, gas bigint, gas_price string, gas_used int, "
+        "human_readable string, input string, key string, logs_bloom string, nft_transfer_count int, nonce bigint, "
+        "sender_tx_hash string, signatures string, status string, timestamp int, to_address string, token_transfer_count int, "
+        "transaction_hash string, transaction_index int, tx_error int, type string, type_int int, value string, "
+        "access_list string, chain_id string, max_fee_per_gas string, max_priority_fee_per_gas string, effective_gas_price string"))
+
+
+@query("export_manifested", "SELECT sum(n)::BIGINT AS lines, count(*) AS told, TRUE AS bounded FROM (SELECT count(*) AS n FROM lineitem)")
+def export_manifested(spark, folder):
+    """The manifest of the writing tasks next to what the files hold: ``told`` is 1 if they agree on every file."""
+    path = scratch_path(spark, "manifested")
+    told = manifested.export_manifested(delimited.event_log_lines(A.event_logs(spark, folder)), path, 5000)
+    real = delimited.manifest(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("lines").alias("found"))
+    both = told.withColumn("name", F.element_at(F.split("path", "/"), -1)).join(real, "name", "full")
+    return both.agg(F.sum("found").alias("lines"), F.max(F.when(F.col("lines") == F.col("found"), 1).otherwise(0)).cast(
+        "bigint").alias("told"), F.min(F.coalesce(F.col("lines"), F.lit(0)) == F.col("found")).alias("_all"),
+        (F.max("found") <= 5000).alias("bounded")).select("lines", F.when(F.col("_all"), F.col("told")).otherwise(0).alias("told"), "bounded")
+
+
+@query("write_accounts", with_(MOVES, TXS, _ACCOUNTS) + """
+, kinds AS (SELECT a, first IS NOT NULL AS sca FROM seen LEFT JOIN made USING (a)),
+failed AS (SELECT created AS a, arg_min(coalesce(err, 0), b * 10 + ti) AS err FROM txs WHERE creates GROUP BY 1)
+SELECT 'eoa' AS name, a AS address, 127 AS contract_type FROM kinds WHERE NOT sca
+UNION ALL SELECT n, a, CASE WHEN err = 0 THEN CASE k WHEN 4 THEN 2 WHEN 6 THEN 127 ELSE k END ELSE 127 END
+  FROM failed JOIN (SELECT DISTINCT c, l_partkey % 7 AS k FROM moves) ON c = a, (VALUES ('sca'), ('contracts')) v(n)""".replace("\n, kinds", ",\nkinds"))
+def write_accounts(spark, folder):
+    """The three bulk files of the account job, read back."""
+    path = scratch_path(spark, "accounts")
+    made = jobs.make_accounts(A.transactions(spark, folder), A.event_logs(spark, folder), A.bytecode(spark, folder))
+    jobs.write_accounts(made, path)
+    rest = {"eoa": "address string, account_type int, total int, contract_type int",
+            "sca": "address string, account_type int, total int, contract_type int, creator string, hash string",
+            "contracts": "address string, contract_type int, name string, symbol string, decimals int, supply string"}
+    out = None
+    for name, schema in rest.items():
+        part = delimited.load_delimited(spark, f"{path}/{name}", schema).select(F.lit(name).alias("name"), "address", "contract_type")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("compact_files", "SELECT count(*) AS lines, 1::BIGINT AS files FROM customer")
 def compact_files(spark, folder):
     path = scratch_path(spark, "small")

@@ -14,7 +14,7 @@ from ledgerloom.operators import (
 from ledgerloom.operators.contracts import with_contract_type
 from ledgerloom.operators.merges import insert_ignore
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import delimited, lake, logs as log_source
+from ledgerloom.sources import delimited, lake, logs as log_source, manifested
 
 
 def refine_range(spark: SparkSession, source: str, target: str, lo: int, hi: int,
@@ -114,9 +114,9 @@ def make_accounts(transactions: DataFrame, logs: DataFrame, code: DataFrame | No
 
 
 def write_accounts(made: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
-    """The bulk files of ``make_accounts`` with their manifests."""
+    """The bulk files of ``make_accounts`` with their manifests, as the writing tasks report them."""
     return {
-        name: delimited.export_delimited(df, f"{path}/{name}", delimited.ROWS_PER_FILE["call_index"])
+        name: manifested.export_manifested(df, f"{path}/{name}", delimited.ROWS_PER_FILE["call_index"])
         for name, df in made.items()
     }
 
