@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom import constants as K
 from ledgerloom.functions.bytecode import contract_type_of, function_selectors
 from ledgerloom.functions.scalars import supply_order, truncate_name, truncate_symbol
+from ledgerloom.operators.heavy import lookup
 
 
 def with_contract_type(df: DataFrame, contracts: DataFrame, default: int = K.TYPE_CUSTOM) -> DataFrame:
@@ -21,6 +22,15 @@ def with_contract_type(df: DataFrame, contracts: DataFrame, default: int = K.TYP
         "contract_type", F.coalesce("_type", F.lit(default)).cast("int")).drop("_type")
 
 
+def with_contract_type_of_many(df: DataFrame, contracts: DataFrame, default: int = K.TYPE_CUSTOM) -> DataFrame:
+    """As ``with_contract_type``, for tables in which a few contracts hold a large part of the rows.
+
+    For whole tables of transfers: it reads ``df`` twice, which a micro-batch is too small to repay.
+    """
+    typed = lookup(df, contracts.select("contract_address", "contract_type"), "contract_address")
+    return typed.withColumn("contract_type", F.coalesce("contract_type", F.lit(default)).cast("int"))
+
+
 def contracts_from_calls(calls: DataFrame, transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Contracts created inside call traces, with their creating transaction.
 

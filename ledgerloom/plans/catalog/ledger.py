@@ -576,6 +576,20 @@ def with_contract_type(spark, folder):
         F.count("*").alias("n"))
 
 
+@query("with_contract_type_of_many", with_(MOVES, NFTS) + f"""
+, every AS (SELECT CASE WHEN l_partkey % 2 = 0 THEN {con('7')} ELSE c END AS c, ct, h, tok, d, f, t, n, item FROM nfts)
+SELECT c AS contract_address, h AS transaction_hash, tok::VARCHAR AS token_id, f AS from_address,
+  coalesce({ctype('p_partkey')}, 127) AS contract_type
+FROM every LEFT JOIN part ON {con('p_partkey')} = c""".replace("\n, every", ",\nevery"))
+def with_contract_type_of_many(spark, folder):
+    """Every other collection transfer is one contract's."""
+    moved = decode.nft_transfers(A.event_logs(spark, folder))
+    key = F.conv(F.substring("contract_address", 4, 39), 16, 10).cast("bigint")
+    skewed = moved.withColumn("contract_address", F.when(key % 2 == 0, A.contract(F.lit(7))).otherwise(F.col("contract_address")))
+    typed = contracts.with_contract_type_of_many(skewed, A.contracts(spark, folder))
+    return typed.select("contract_address", "transaction_hash", "token_id", "from_address", "contract_type")
+
+
 @query("contracts_from_calls", with_(_CALLS, MOVES, TXS) + f"""
 , one AS (SELECT b, any_value(h) AS h, any_value(ts) AS ts, any_value(sender) AS sender FROM txs GROUP BY b
   HAVING count(DISTINCT ti) > 0)
@@ -739,6 +753,50 @@ def ngram_index(spark, folder):
     return search.ngram_index(A.contracts(spark, folder), "contract_address", ["name", "symbol"])
 
 
+def _posted(spark, folder):
+    path = scratch_path(spark, "postings")
+    return search.write_postings(A.table(spark, folder, "customer"), "c_custkey", ["c_name", "c_mktsegment"], path)
+
+
+@query("posting_blocks", f"""
+WITH f AS (
+  SELECT {con('p_partkey')} AS contract_address, 'name' AS field, lower(p_name) AS s FROM part
+  UNION ALL SELECT {con('p_partkey')}, 'symbol', lower(p_brand) FROM part)
+SELECT DISTINCT contract_address, field, substring(s, i::BIGINT, n::BIGINT) AS gram
+FROM f, range(2, 11) AS l(n), range(1, 60) AS p(i) WHERE i + n - 1 <= length(s)""")
+def posting_blocks(spark, folder):
+    """The written lists, read back as rows."""
+    index = search.write_postings(A.contracts(spark, folder), "contract_address", ["name", "symbol"], scratch_path(spark, "postings"))
+    return search.postings(index, "contract_address")
+
+
+_POSTED = """WITH f AS (SELECT c_custkey, 'c_name' AS field, lower(c_name) AS s FROM customer
+  UNION ALL SELECT c_custkey, 'c_mktsegment', lower(c_mktsegment) FROM customer),
+g AS (SELECT DISTINCT c_custkey, field, substring(s, i::BIGINT, n::BIGINT) AS gram
+  FROM f, range(2, 11) AS l(n), range(1, 60) AS p(i) WHERE i + n - 1 <= length(s)),
+q AS (SELECT DISTINCT right(lower(s_name), 5) AS s FROM supplier UNION SELECT DISTINCT lower(c_mktsegment) FROM customer),
+qg AS (SELECT DISTINCT s AS query, substring(s, i::BIGINT, n::BIGINT) AS gram
+  FROM q, range(2, 11) AS l(n), range(1, 60) AS p(i) WHERE i + n - 1 <= length(s)),
+m AS (SELECT query, count(*) AS m FROM qg GROUP BY 1)
+SELECT query, field, c_custkey, count(*) AS shared FROM g JOIN qg USING (gram) JOIN m USING (query) GROUP BY ALL"""
+
+
+def _posting_queries(spark, folder):
+    return A.table(spark, folder, "supplier").select(F.substring(F.lower("s_name"), -5, 5).alias("query")).unionByName(
+        A.table(spark, folder, "customer").select(F.lower("c_mktsegment").alias("query"))).distinct()
+
+
+@query("posting_lookup", _POSTED + " HAVING count(*) >= 4")
+def posting_lookup(spark, folder):
+    return search.posting_lookup(_posted(spark, folder), _posting_queries(spark, folder), "c_custkey", least_shared=4)
+
+
+@query("posting_lookup_all", _POSTED + " HAVING count(*) = any_value(m)")
+def posting_lookup_all(spark, folder):
+    """Texts that hold every gram of the query."""
+    return search.posting_lookup(_posted(spark, folder), _posting_queries(spark, folder), "c_custkey")
+
+
 @query("ngram_lookup", """
 WITH f AS (SELECT c_custkey, lower(c_name) AS s FROM customer),
 g AS (SELECT DISTINCT c_custkey, substring(s, i::BIGINT, n::BIGINT) AS gram
