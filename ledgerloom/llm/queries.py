@@ -66,10 +66,16 @@ outcomes AS (
   FROM (SELECT DISTINCT page_id, try_cast(regexp_extract(path, '{_DOCUMENT_NUMBER}', 1) AS BIGINT) AS d FROM cut
         WHERE page_id IS NOT NULL)
   JOIN labels ON doc_id = d WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY 1),
+bare AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', '', 's'), '(:[0-9]*)?\\.*$', '') AS b FROM cut),
+labelled AS (
+  SELECT *, string_split(b, '.') AS l, regexp_full_match(b, '[0-9]+(\\.[0-9]+){{3}}') OR starts_with(b, '[') AS number,
+    list_aggregate(string_split(b, '.')[-2:], 'string_agg', '.') IN ({", ".join(f"'{s}'" for s in reputation.PUBLIC_SUFFIXES)}) AS listed
+  FROM bare),
 hosts AS (
-  SELECT host, list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS domain,
-    string_split(host, '.')[-1] AS suffix, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
-  FROM cut JOIN outcomes USING (page_id) GROUP BY 1),
+  SELECT host, any_value(CASE WHEN number THEN b ELSE list_aggregate(l[CASE WHEN listed THEN -3 ELSE -2 END:], 'string_agg', '.') END) AS domain,
+    any_value(CASE WHEN number THEN '' WHEN listed THEN list_aggregate(l[-2:], 'string_agg', '.') ELSE l[-1] END) AS suffix,
+    sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
+  FROM labelled JOIN outcomes USING (page_id) GROUP BY 1),
 every AS (SELECT sum(bad) / sum(n) AS mean FROM hosts),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1),
 {_shrunk("suffixes", "every", "true", "suffix_shares")},

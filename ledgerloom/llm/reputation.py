@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import written
 
+# Public suffixes of two labels under which names are registered. The list covers the commonest ones; under others
+# the last label counts as the suffix.
+PUBLIC_SUFFIXES = (
+    "ac.in", "ac.jp", "ac.nz", "ac.uk", "ac.za", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th", "co.uk",
+    "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.co", "com.hk", "com.mx", "com.my", "com.ng", "com.pe", "com.ph",
+    "com.pk", "com.pl", "com.sg", "com.tr", "com.tw", "com.ua", "com.ve", "com.vn", "edu.au", "edu.cn", "go.jp", "gov.au",
+    "gov.br", "gov.cn", "gov.in", "gov.uk", "ne.jp", "net.au", "net.br", "net.cn", "net.nz", "or.jp", "or.kr", "org.au", "org.br",
+    "org.cn", "org.nz", "org.uk", "org.za", "sch.uk",
+)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,6 +70,21 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column
     return text, verdict
 
 
+def registered(host: Column, suffixes: tuple[str, ...] = PUBLIC_SUFFIXES) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host, without its user, port and last dots.
+
+    A suffix is one of ``suffixes`` or the last label; the domain has one label more. A host that is a suffix is its
+    own domain. Addresses in numbers or brackets are their own domain, under the empty suffix.
+    """
+    bare = F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r"(:[0-9]*)?\.*$", "")
+    number = bare.rlike(r"^[0-9]+(\.[0-9]+){3}$") | bare.startswith("[")
+    two = F.substring_index(bare, ".", -2)
+    listed = two.isin(*suffixes)
+    domain = F.when(number, bare).when(listed, F.substring_index(bare, ".", -3)).otherwise(two)
+    suffix = F.when(number, "").when(listed, two).otherwise(F.substring_index(bare, ".", -1))
+    return domain, suffix
+
+
 def _weight(rates: DataFrame, limits: Limits, name: str) -> DataFrame:
     """One row: the prior weight that fits the spread of ``n, bad`` over units around their parents' share ``mean``.
 
@@ -75,14 +100,14 @@ def _weight(rates: DataFrame, limits: Limits, name: str) -> DataFrame:
     return sums.select(F.greatest(F.lit(limits.least_weight), F.least(F.lit(limits.most_weight), weight)).alias(name))
 
 
-def host_reputation(outcomes: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def host_reputation(outcomes: DataFrame, limits: Limits = Limits(), suffixes: tuple[str, ...] = PUBLIC_SUFFIXES) -> DataFrame:
     """(host, n, bad, share, bound) of every host in ``outcomes (host, n, bad)``, one row per host.
 
-    n and bad are counts of labelled pages. The registered domain is the last two labels of the host,
-    the suffix its last one. Without outcomes there are no rows.
+    n and bad are counts of labelled pages; ``registered`` tells domain and suffix. Without outcomes there are no rows.
     """
+    domain, suffix = registered(F.col("host"), suffixes)
     hosts = outcomes.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).select(
-        "host", F.substring_index("host", ".", -2).alias("domain"), F.substring_index("host", ".", -1).alias("suffix"),
+        "host", domain.alias("domain"), suffix.alias("suffix"),
         F.col("n").cast("double").alias("n"), F.col("bad").cast("double").alias("bad"))
 
     def level(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None, out: str) -> DataFrame:

@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from ledgerloom.llm import reputation
 from ledgerloom.llm.queries import URL_RULES
 from ledgerloom.session import scratch_path
@@ -56,5 +58,22 @@ def test_shrinkage_against_a_plain_reckoning(spark):
     assert {r.host: r.verdict for r in got}["a.x.com"] == "block"
 
 
+def test_registered_domains(spark):
+    want = {"a.b.example.co.uk": ("example.co.uk", "co.uk"), "example.co.uk:8080": ("example.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+            "me@www.x.net:80": ("x.net", "net"), "x.net.": ("x.net", "net"), "x.net:": ("x.net", "net"), "one": ("one", "one"), "": ("", ""),
+            "10.0.0.1:81": ("10.0.0.1", ""), "[::1]:80": ("[::1]", ""), "shop.com.br": ("shop.com.br", "com.br"), "b:": ("b", "b")}
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    domain, suffix = reputation.registered(F.col("host"))
+    assert {r[0]: (r[1], r[2]) for r in hosts.select("host", domain, suffix).collect()} == want
+
+
+def test_a_public_suffix_is_no_domain(spark):
+    """Bad pages of one name do not speak against another that shares only a public suffix with it."""
+    urls = [f"http://www.bad.co.uk:{80 + k % 2}/{k}" for k in range(40)] + [f"http://good{k}.co.uk/{k}" for k in range(40)] + ["http://new.bad.co.uk/"]
+    got = _judged(spark, urls, [(k, k < 40 or k == 80) for k in range(81)])
+    assert {r.verdict for r in got if "bad.co.uk" in r.host and r.host != "new.bad.co.uk"} == {"block"}
+    assert {r.verdict for r in got if "good" in r.host} == {"allow"}
+
+
 def test_empty(spark):
     assert _judged(spark, [], [(1, True)]) == []
