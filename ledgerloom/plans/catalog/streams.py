@@ -10,7 +10,7 @@ from ledgerloom.operators import accounts, approvals, blocks as B, decode, holde
 from ledgerloom.operators.contracts import with_contract_type
 from ledgerloom.plans import adapters as A, jobs
 from ledgerloom.plans.catalog.base import (
-    BLOCKS, BURNS, COUNTED, MOVES, NFTS, TXS, ZERO, ZERO_OR_DEAD, addr, h64, legs, query, with_,
+    BLOCKS, BURNS, COUNTED, MOVES, NFTS, TXS, ZERO, ZERO_OR_DEAD, addr, h64, hx, legs, query, with_,
 )
 from ledgerloom.plans.catalog.ledger import _ACCOUNTS, _APPROVED
 from ledgerloom.plans.catalog.refining import _CALLS, _LOG
@@ -89,37 +89,49 @@ def suppress_replays(spark, folder):
     return _appended(S.suppress_replays(stream, ["event_id"], "ts", "60 days"), path).drop("ts")
 
 
-@query("stream_blocks", with_(MOVES, _LOG) + """
-SELECT 'blocks' AS name, count(DISTINCT b) AS rows, sum(DISTINCT b)::BIGINT AS total FROM one
-UNION ALL SELECT 'transactions', count(*), sum(b)::BIGINT FROM one
-UNION ALL SELECT 'event_logs', count(*), sum(b)::BIGINT FROM moves
-UNION ALL SELECT 'latest', max(b), max(b)::BIGINT FROM one""")
+# Every row of the refined tables by its place: number, hash, and index within the block or transaction.
+_PLACES = f"""SELECT DISTINCT 'blocks' AS name, b AS number, '0x' || {hx('b', 64)} AS hash, NULL::BIGINT AS place FROM one
+UNION ALL SELECT 'transactions', b, h, ti FROM one UNION ALL SELECT 'event_logs', b, h, li FROM moves"""
+_PLACE_COLUMNS = {"blocks": ("number", "hash", None), "transactions": ("block_number", "transaction_hash", "transaction_index"),
+                  "event_logs": ("block_number", "transaction_hash", "log_index")}
+
+
+def _places(name, rows):
+    number, digest, place = _PLACE_COLUMNS[name]
+    return rows.select(F.lit(name).alias("name"), F.col(number).alias("number"), F.col(digest).alias("hash"),
+                       (F.col(place) if place else F.lit(None)).cast("bigint").alias("place"))
+
+
+@query("stream_blocks", with_(MOVES, _LOG) + _PLACES + """
+UNION ALL SELECT 'latest', max(b), NULL, NULL FROM one""")
 def stream_blocks(spark, folder):
     stream, path = _replayed(spark, A.raw_block_lines(spark, folder).select("value"), "blocks")
     run_to_end(S.run_outputs(stream, S.block_outputs, f"{path}/tables", f"{path}/checkpoint",
                              prepare=S.decoded_blocks, fan_out=2), spark)
-    out = None
-    for name, key in (("blocks", "number"), ("transactions", "block_number"), ("event_logs", "block_number"),
-                      ("latest", "number")):
-        rows = S.output_table(f"{path}/tables", name).read(spark)
-        count = F.max(key) if name == "latest" else F.count("*")
-        total = F.max(key) if name == "latest" else F.sum(key)
-        part = rows.agg(F.lit(name).alias("name"), count.alias("rows"), total.alias("total"))
-        out = part if out is None else out.unionByName(part)
+    nothing = F.lit(None)
+    out = S.output_table(f"{path}/tables", "latest").read(spark).agg(F.max("number").alias("number")).select(
+        F.lit("latest").alias("name"), "number", nothing.cast("string").alias("hash"), nothing.cast("bigint").alias("place"))
+    for name in _PLACE_COLUMNS:
+        out = out.unionByName(_places(name, S.output_table(f"{path}/tables", name).read(spark)))
     return out
 
 
 @query("stream_traces", with_(_CALLS) + """
-SELECT 'calls' AS name, type, count(*) AS rows FROM calls GROUP BY ALL
-UNION ALL SELECT 'index', NULL, count(*) FROM (SELECT f AS a FROM calls UNION ALL SELECT t FROM calls WHERE f <> t)""")
+SELECT 'calls' AS name, block_number, call_id, type, f AS address, t AS other FROM calls
+UNION ALL SELECT 'index', block_number, count(*)::INT, NULL, NULL, NULL
+FROM (SELECT block_number, f FROM calls UNION ALL SELECT block_number, t FROM calls WHERE f <> t) GROUP BY block_number""")
 def stream_traces(spark, folder):
+    """Every call, and the number of index rows of every block."""
     stream, path = _replayed(spark, A.trace_lines(spark, folder).select("value"), "traces")
     run_to_end(S.run_outputs(stream, S.trace_outputs, f"{path}/tables", f"{path}/checkpoint",
                              prepare=S.decoded_calls), spark)
     flat = S.output_table(f"{path}/tables", "internal_transactions").read(spark)
     index = S.output_table(f"{path}/tables", "internal_transaction_index").read(spark)
-    return flat.groupBy(F.lit("calls").alias("name"), "type").agg(F.count("*").alias("rows")).unionByName(
-        index.agg(F.lit("index").alias("name"), F.lit(None).cast("string").alias("type"), F.count("*").alias("rows")))
+    none = F.lit(None).cast("string")
+    return flat.select(F.lit("calls").alias("name"), "block_number", "call_id", "type", F.col("from_address").alias("address"),
+                       F.col("to_address").alias("other")).unionByName(
+        index.groupBy("block_number").agg(F.count("*").cast("int").alias("call_id")).select(
+            F.lit("index").alias("name"), "block_number", "call_id", none.alias("type"), none.alias("address"), none.alias("other")))
 
 
 @query("stream_accounts", with_(MOVES, _LOG) + f"""
@@ -134,10 +146,10 @@ def stream_accounts(spark, folder):
 
 
 @query("stream_transfers", with_(_UNIQUE_MOVES, NFTS) + f"""
-SELECT 'tokens' AS name, count(*) AS rows, max(d) AS last FROM moves WHERE ct IN (0, 1, 127)
-UNION ALL SELECT 'nfts', count(*), max(d) FROM nfts
-UNION ALL SELECT 'token_burns', count(*), max(d) FROM moves WHERE ct IN (0, 1, 127) AND t IN ({BURNS})
-UNION ALL SELECT 'nft_burns', count(*), max(d) FROM nfts WHERE t IN ({BURNS})""")
+SELECT 'tokens' AS name, d AS display_order, c AS contract_address, f AS from_address, t AS to_address FROM moves WHERE ct IN (0, 1, 127)
+UNION ALL SELECT 'nfts', d, c, f, t FROM nfts
+UNION ALL SELECT 'token_burns', d, c, f, t FROM moves WHERE ct IN (0, 1, 127) AND t IN ({BURNS})
+UNION ALL SELECT 'nft_burns', d, c, f, t FROM nfts WHERE t IN ({BURNS})""")
 def stream_transfers(spark, folder):
     contracts = A.contracts(spark, folder)
     logs = _unique_logs(spark, folder)
@@ -150,8 +162,8 @@ def stream_transfers(spark, folder):
     out = None
     for name, label in (("token_transfers", "tokens"), ("nft_transfers", "nfts"),
                         ("token_burns", "token_burns"), ("nft_burns", "nft_burns")):
-        part = S.output_table(f"{path}/tables", name).read(spark).agg(
-            F.lit(label).alias("name"), F.count("*").alias("rows"), F.max("display_order").alias("last"))
+        part = S.output_table(f"{path}/tables", name).read(spark).select(
+            F.lit(label).alias("name"), "display_order", "contract_address", "from_address", "to_address")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -466,9 +478,8 @@ def account_contract_catch_up(spark, folder):
 # Scheduled jobs
 
 
-@query("refine_range", with_(MOVES, _LOG, _CALLS) + """
-SELECT 'blocks' AS label, count(DISTINCT b) AS rows FROM one UNION ALL SELECT 'transactions', count(*) FROM one
-UNION ALL SELECT 'event_logs', count(*) FROM moves UNION ALL SELECT 'calls', count(*) FROM calls""")
+@query("refine_range", with_(MOVES, _LOG, _CALLS) + _PLACES + """
+UNION ALL SELECT 'calls', block_number, f, call_id FROM calls""")
 def refine_range(spark, folder):
     path = scratch_path(spark, "range")
     lines = A.raw_block_lines(spark, folder).select(
@@ -478,11 +489,12 @@ def refine_range(spark, folder):
     for _ in range(2):      # the second run replaces the first
         jobs.refine_range(spark, f"{path}/log", f"{path}/lake", 0, 100)
     out = None
-    for label, name in ((lake.BLOCKS, "blocks"), (lake.TRANSACTIONS, "transactions"), (lake.LOGS, "event_logs"),
-                        (lake.CALLS, "calls")):
-        part = spark.read.parquet(f"{path}/lake/{label}").agg(F.lit(name).alias("label"), F.count("*").alias("rows"))
+    for label, name in ((lake.BLOCKS, "blocks"), (lake.TRANSACTIONS, "transactions"), (lake.LOGS, "event_logs")):
+        part = _places(name, spark.read.parquet(f"{path}/lake/{label}"))
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.unionByName(spark.read.parquet(f"{path}/lake/{lake.CALLS}").select(
+        F.lit("calls").alias("name"), F.col("block_number").alias("number"), F.col("from_address").alias("hash"),
+        F.col("call_id").cast("bigint").alias("place")))
 
 
 _PERIODS = [p for d in ("19960101", "19960102", "19960205", "19960401") for p in jobs.due_periods(d)]
@@ -509,9 +521,9 @@ def calendar_jobs(spark, folder):
 @query("restore_missing", with_(MOVES, _LOG) + """
 , gone AS (SELECT DISTINCT b FROM moves WHERE b IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')),
 thin AS (SELECT b FROM one GROUP BY b HAVING count(*) > 1 AND min(ti) = 1)
-SELECT 'blocks' AS name, count(*) AS rows FROM gone
-UNION ALL SELECT 'transactions', count(*) FROM one WHERE b IN (SELECT b FROM gone) OR (b IN (SELECT b FROM thin) AND ti = 1)
-UNION ALL SELECT 'event_logs', count(DISTINCT (h, li)) FROM moves WHERE b IN (SELECT b FROM gone)""".replace("\n, gone", ",\ngone"))
+SELECT 'blocks' AS name, b AS number, '0x' || lpad(lower(to_hex(b)), 64, '0') AS hash, NULL::BIGINT AS place FROM gone
+UNION ALL SELECT 'transactions', b, h, ti FROM one WHERE b IN (SELECT b FROM gone) OR (b IN (SELECT b FROM thin) AND ti = 1)
+UNION ALL SELECT DISTINCT 'event_logs', b, h, li FROM moves WHERE b IN (SELECT b FROM gone)""".replace("\n, gone", ",\ngone"))
 def restore_missing(spark, folder):
     raw = L.parse_blocks(A.raw_block_lines(spark, folder)).persist()
     partly = A.table(spark, folder, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("blockNumber"))
@@ -525,23 +537,25 @@ def restore_missing(spark, folder):
         refine.refine_blocks(stored), txs, refine.refine_event_logs(stored), raw, 0, newest)
     out = None
     for name, df in made.items():
-        part = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"))
+        part = _places(name, df)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 @query("approve_burn_range", with_(_APPROVED, MOVES, NFTS) + f"""
-SELECT 'token_approvals' AS name, count(*) AS rows FROM (SELECT DISTINCT owner, spender, c FROM e WHERE event_type IN ('click', 'view'))
-UNION ALL SELECT 'nft_approvals', count(*) FROM (SELECT DISTINCT owner, c, cents % 5 FROM e WHERE event_type = 'purchase')
-UNION ALL SELECT 'operator_approvals', count(*) FROM (SELECT DISTINCT owner, c, spender FROM e WHERE event_type = 'signup')
-UNION ALL SELECT 'token_burns', count(*) FROM moves WHERE ct IN (0, 1, 127) AND t IN ({BURNS}) AND b >= 2000
-UNION ALL SELECT 'nft_burns', count(*) FROM nfts WHERE t IN ({BURNS}) AND b >= 2000""")
+SELECT DISTINCT 'token_approvals' AS name, owner AS a, c AS b, spender AS c FROM e WHERE event_type IN ('click', 'view')
+UNION ALL SELECT DISTINCT 'nft_approvals', owner, c, (cents % 5)::VARCHAR FROM e WHERE event_type = 'purchase'
+UNION ALL SELECT DISTINCT 'operator_approvals', owner, c, spender FROM e WHERE event_type = 'signup'
+UNION ALL SELECT 'token_burns', d, c, t FROM moves WHERE ct IN (0, 1, 127) AND t IN ({BURNS}) AND b >= 2000
+UNION ALL SELECT 'nft_burns', d, c, t FROM nfts WHERE t IN ({BURNS}) AND b >= 2000""")
 def approve_burn_range(spark, folder):
     columns = ["block_number", "transaction_hash", "transaction_index", "log_index", "address", "topics", "data", "timestamp"]
     logs = A.event_logs(spark, folder).select(*columns).unionByName(A.approval_logs(spark, folder).select(*columns))
     out = None
+    third = {"token_approvals": "spender_address", "nft_approvals": "token_id", "operator_approvals": "operator_address"}
     for name, df in jobs.approve_burn_range(logs, A.contracts(spark, folder), 2000, 1 << 40).items():
-        part = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"))
+        part = df.select(F.lit(name).alias("name"), F.col("owner_address" if name in third else "display_order").alias("a"),
+                         F.col("contract_address").alias("b"), F.col(third.get(name, "to_address")).alias("c"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -569,3 +583,12 @@ WHERE holder <> '{ZERO}' AND b >= 0 AND b < 10000 GROUP BY 1, 2""")
 def holder_from_table(spark, folder):
     return jobs.holder_from_table(A.transfers(spark, folder), 0, 10000).select(
         "contract_address", "holder_address", "amount")
+
+
+@query("holder_from_table_all", with_(MOVES, legs("moves", "amt")) + f"""
+SELECT c AS contract_address, holder AS holder_address, {h64('sum(a)')} AS amount, max(ts) AS timestamp FROM legs
+WHERE holder <> '{ZERO}' GROUP BY 1, 2""")
+def holder_from_table_all(spark, folder):
+    """All windows of the stored transfers, one after the other."""
+    return jobs.rebuild_holders(A.transfers(spark, folder), -1, 4000, scratch_path(spark, "rebuilt")).select(
+        "contract_address", "holder_address", "amount", "timestamp")

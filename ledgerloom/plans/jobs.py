@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom import constants as K
 from ledgerloom.functions import dates
+from ledgerloom.functions.hexnum import sum_hex
 from ledgerloom.operators import (
     accounts, approvals, blocks as block_ops, calls, contracts, decode, holders, quality, refine, transfers,
 )
@@ -153,3 +154,20 @@ def holder_from_table(token_transfers: DataFrame, lo: int, hi: int) -> DataFrame
     """Balance deltas of stored transfers of the blocks [lo, hi)."""
     inside = token_transfers.filter((F.col("block_number") >= lo) & (F.col("block_number") < hi))
     return holders.token_balance_deltas(inside, K.ZERO_ONLY)
+
+
+def rebuild_holders(token_transfers: DataFrame, last: int, size: int, folder: str) -> DataFrame:
+    """Balance deltas of all stored transfers behind block ``last``, window by window of ``size`` blocks.
+
+    The deltas of each window are written below ``folder`` before the next one is looked at, so a window that fails is
+    the only one to run again; their sums are exact whatever their length.
+    """
+    spark = token_transfers.sparkSession
+    done = []
+    for start, end, _ in windows(token_transfers, last, size, "block_number"):
+        path = f"{folder}/{end:020d}"
+        holder_from_table(token_transfers, start + 1, end + 1).write.mode("overwrite").parquet(path)
+        done.append(path)
+    deltas = spark.read.parquet(*done) if done else holder_from_table(token_transfers.limit(0), 0, 0)
+    return sum_hex(deltas, list(holders.HOLDER_KEY), "amount", "amount", F.max("timestamp").alias("timestamp"),
+                   F.max("block_number").alias("block_number"), signed=True)
