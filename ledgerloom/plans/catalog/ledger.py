@@ -540,8 +540,9 @@ def classify_accounts(spark, folder):
         A.transactions(spark, folder), A.event_logs(spark, folder)).drop("creator")
 
 
-@query("merge_accounts", with_(MOVES, TXS, _ACCOUNTS) + """
-SELECT a AS address, CASE WHEN first IS NULL THEN 0 ELSE 1 END AS account_type, n AS transactions
+@query("merge_accounts", with_(MOVES, TXS, _ACCOUNTS) + f"""
+SELECT a AS address, CASE WHEN first IS NULL THEN 0 ELSE 1 END AS account_type, n AS transactions,
+  CASE WHEN first IS NOT NULL THEN '0x' || {hx('(first // 10) * 8 + first % 10', 64)} END AS creator
 FROM seen LEFT JOIN made USING (a)""")
 def merge_accounts(spark, folder):
     txs, logs = A.transactions(spark, folder), A.event_logs(spark, folder)
@@ -549,7 +550,7 @@ def merge_accounts(spark, folder):
         accounts.classify_accounts(txs.filter(F.col("status") == ok), logs.filter(F.col("transaction_status") == ok))
         for ok in (True, False)
     ]
-    return accounts.merge_accounts(parts[0].unionByName(parts[1])).drop("creator")
+    return accounts.merge_accounts(parts[0].unionByName(parts[1])).withColumn("creator", F.col("creator.transaction_hash"))
 
 
 @query("account_created_at", with_(MOVES, TXS) + """
