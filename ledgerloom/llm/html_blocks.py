@@ -4,8 +4,10 @@ Markup is stripped into lines, one per block element. The text lengths of the li
 sliding windows; where the sum rises from nothing is a surge point, where it falls back to nothing a
 dive point, and the text between the two is a candidate region. Elements that never hold an article
 (menus, forms, adverts, comments, ...) count as empty lines, so a region never reaches across them.
-An article or main element is taken whole if no region outside it holds more text; else the regions of all lines decide.
-Regions of one container that only such beside-elements part are judged together.
+Regions of one container that only such beside-elements, or lines of links, part are judged together, and so are those of
+one article or main element. The regions of all lines compete by the text between their surge and dive points; an article
+or main around a region adds to its weight. Regions with a greatest sum near the winner's stay if they stand like it
+inside or outside of such elements.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import html
 import re
 import sys
 from collections.abc import Iterator
+from itertools import accumulate, groupby
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -22,8 +25,9 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 PEAK_SHARE = 0.2
-# Text outside article and main elements that is shorter than this never speaks against them.
-LEAST_OUTSIDE = 80
+# What an article or main element adds to the text of its regions: so many times the text, and so many characters.
+TAG_TIMES = 2
+TAG_CHARACTERS = 80
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
                     re.S)
@@ -238,27 +242,52 @@ def regions_of(lengths: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
-def groups_of(lines: list[Line], spans: Spans, weights: list[int]) -> list[list[tuple[int, int, int]]]:
-    """The regions in order, those together that only beside-elements inside their container part.
+class Group(NamedTuple):
+    """Regions that are judged together: the first line, the one behind the last, the greatest window sum, the text's
+    length, and the number of the article or main around them or 0."""
+    surge: int
+    dive: int
+    peak: int
+    mass: int
+    article: int
+
+
+def groups_of(lines: list[Line], spans: Spans) -> list[Group]:
+    """The groups of regions of all lines, in order; no region reaches across the border of an article or main.
 
-    Regions belong together if all elements between them stand in blocks that hold lines of both, and a line next to
-    the gap stands in that block itself or in one of its own blocks; for the page as the block, the lines on both sides.
+    Link text weighs in an article or main only: elsewhere, a run of lines that are nothing but links is a menu.
+    Regions belong together in one article or main, or if all elements between them stand in blocks that hold lines of
+    both, and a line next to the gap stands in that block itself or in one of its own blocks; for the page as the block,
+    the lines on both sides.
     """
+    def holds(holder: int, before: int, after: int) -> bool:
+        start, end = spans[holder]
+        own = [holder in (lines[k].outer, lines[k].holder) for k in (before, after)]
+        return start <= before and after < end and (any(own) if holder else all(own))
+
     def together(before: int, after: int) -> bool:
-        for holder in {line.holder for line in lines[before + 1:after] if not line.text}:
-            start, end = spans[holder]
-            own = [holder in (lines[k].outer, lines[k].holder) for k in (before, after)]
-            if not (start <= before and after < end and (any(own) if holder else all(own))):
-                return False
-        # Without a gap, three lines of link text part them, which are a menu.
-        return any(not line.text for line in lines[before + 1:after])
-
-    out: list[list[tuple[int, int, int]]] = []
-    for region in regions_of(weights):
-        if out and together(out[-1][-1][1] - 1, region[0]):
-            out[-1].append(region)
-        else:
-            out.append([region])
+        holders = {line.holder for line in lines[before + 1:after] if not line.text}
+        if holders:
+            return all(holds(holder, before, after) for holder in holders)
+        # Only lines of links are between.
+        return any(holds(holder, before, after) for k in (before, after) for holder in (lines[k].outer, lines[k].holder))
+
+    # Gaps belong to what comes before them.
+    owners = list(accumulate((line.article if line.text else None for line in lines),
+                             lambda last, own: last if own is None else own, initial=0))[1:]
+    weights = [len(line.text) if owner else max(0, len(line.text) - line.links) for line, owner in zip(lines, owners)]
+    out: list[Group] = []
+    first = 0
+    for owner, run in groupby(owners):
+        behind = first + sum(1 for _ in run)
+        for surge, dive, peak in regions_of(weights[first:behind]):
+            new = Group(first + surge, first + dive, peak, sum(weights[first + surge:first + dive]), owner)
+            last = out[-1] if out else None
+            if last and last.article == owner and (owner or together(last.dive - 1, new.surge)):
+                out[-1] = Group(last.surge, new.dive, max(last.peak, peak), last.mass + new.mass, owner)
+            else:
+                out.append(new)
+        first = behind
     return out
 
 
@@ -296,33 +325,15 @@ def main_text(page: str | None) -> str:
     return ""
 
 
-def _article_holds_most(lines: list[Line], spans: Spans) -> bool:
-    """Whether no regions of the lines outside articles hold more text than the longest article; link text doesn't count."""
-    inside: dict[int, int] = {}
-    outside = []
-    for line in lines:
-        weight = max(0, len(line.text) - line.links)
-        if line.article and line.text:
-            inside[line.article] = inside.get(line.article, 0) + weight
-        outside.append(0 if line.article else weight)
-    if not inside:
-        return False
-    most = max((sum(sum(outside[surge:dive]) for surge, dive, _ in group)
-                for group in groups_of(lines, spans, outside)), default=0)
-    return most < LEAST_OUTSIDE or most <= max(inside.values())
-
-
 def _selected(lines: list[Line], spans: Spans) -> str:
-    if _article_holds_most(lines, spans):
-        return "\n\n".join(line.text for line in lines if line.article and line.text)
-    # Link text doesn't weigh: a run of lines that are nothing but links is a menu wherever it stands.
-    groups = groups_of(lines, spans, [max(0, len(line.text) - line.links) for line in lines])
-    peaks = [max(peak for *_, peak in group) for group in groups]
-    least = PEAK_SHARE * max(peaks, default=0)
+    groups = groups_of(lines, spans)
+    if not groups:
+        return ""
+    best = max(groups, key=lambda g: g.mass * TAG_TIMES + TAG_CHARACTERS if g.article else g.mass)
     # Between surge and dive every line belongs to the text, links or not.
     return "\n\n".join(
-        line.text for group, peak in zip(groups, peaks) if peak >= least
-        for surge, dive, _ in group for line in lines[surge:dive] if line.text)
+        line.text for group in groups if bool(group.article) == bool(best.article) and group.peak >= PEAK_SHARE * best.peak
+        for line in lines[group.surge:group.dive] if line.text)
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

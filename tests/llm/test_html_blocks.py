@@ -1,3 +1,4 @@
+import re
 import time
 from html.parser import HTMLParser
 
@@ -148,3 +149,82 @@ def test_broken_pages_take_linear_time():
         assert main_text(body + piece * (200_000 // len(piece)) + "</body></html>").startswith(_PROSE[0])
     assert time.perf_counter() - start < 20
     assert main_text(f"<html><body>{'<b>' * 20_000}{'<p></p>' * 20_000}<p>{_PROSE[0]}</p>") == _PROSE[0]
+
+
+def test_a_list_of_sources_between_paragraphs_stays():
+    links = [f"Source number {k}" for k in range(5)]
+    listed = "<ul>" + "".join(f"<li><a href='/{k}'>{text}</a></li>" for k, text in enumerate(links)) + "</ul>"
+    text = "\n\n".join([_PROSE[0], *links, _PROSE[1]])
+    for page in (f"<body><p>{_PROSE[0]}</p>{listed}<p>{_PROSE[1]}</p></body>",
+                 f"<body>{listed}<div><p>{_PROSE[0]}</p>{listed}<p>{_PROSE[1]}</p></div>{listed}</body>",
+                 f"<article><p>{_PROSE[0]}</p>{listed}<p>{_PROSE[1]}</p></article>"):
+        assert main_text(page) == text
+    # Links between two containers are a menu.
+    page = f"<div><p>{_PROSE[0]}</p></div><div>{listed}</div><div><p>{_PROSE[1]}</p></div>"
+    assert main_text(page) == "\n\n".join(_PROSE[:2])
+
+
+def test_regions_outweigh_tags():
+    """An article or main only adds to the weight of its regions."""
+    story = "<div>" + "".join(f"<p>{p}</p>" for p in _PROSE) + "</div>"
+    text = "\n\n".join(_PROSE)
+    short, long = _PROSE[1][:40], " ".join(_PROSE)
+    assert main_text(f"<body>{story}<article><p>{short}</p></article></body>") == text
+    assert main_text(f"<body><article><p>{short}</p></article><main></main>{story}</body>") == text
+    assert main_text(f"<body>{story}<article><p>{long}</p></article></body>") == long
+    # A short article beside the long one is a teaser; one of like size is text.
+    page = f"<main>{story}</main><article><p>Next</p></article>"
+    assert main_text(page) == text
+    assert main_text(f"{page}<article>{story}</article>") == f"{text}\n\n{text}"
+
+
+class _Lines(HTMLParser):
+    """Lines of a page found by the parser of the standard library; parts beside the text are three empty lines."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.beside, self.raw, self.open = [""], 0, False, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("meta", "br"):
+            self.lines[-1] += " "
+            return
+        beside = tag in ("nav", "footer") or ("class", "ad") in attrs
+        if tag in ("p", "h1", "div", "section", "body") or beside:
+            self.lines.append("")
+        if tag == "p" and "p" in self.open:
+            self.open.remove("p")
+        self.open.append((tag, beside) if beside else tag)
+        self.beside += beside
+        self.raw |= tag in ("title", "style", "script")
+
+    def handle_endtag(self, tag):
+        self.raw = False
+        self.lines.append("") if tag in ("p", "h1", "div", "section", "body") else None
+        if (tag, True) in self.open:
+            self.open.remove((tag, True))
+            self.beside -= 1
+            self.lines += ["\0"] * 3 + [""]
+
+    def handle_data(self, data):
+        if not self.raw and not self.beside:
+            self.lines[-1] += data
+
+
+def test_untagged_copies_of_a_table():
+    """Without its article tags every page gives the region of most text, by the definition of surge and dive points."""
+    for row in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist():
+        page = re.sub(r"(</?)article\b", r"\1section", row["html"])
+        reader = _Lines()
+        reader.feed(page)
+        lines = [" ".join(line.split()) for line in reader.lines]
+        lines = [line.strip("\0") for line in lines if line]
+        sums = [sum(map(len, lines[k:k + 3])) for k in range(len(lines))]
+        regions, k = [], 0
+        while k < len(lines):
+            if lines[k]:
+                dive = next((j for j in range(k, len(lines)) if not sums[j]), len(lines))
+                regions.append([line for line in lines[k:dive] if line])
+                k = dive
+            k += 1
+        assert main_text(page) == "\n\n".join(max(regions, key=lambda r: sum(map(len, r)))), row["page_id"]
