@@ -3,8 +3,9 @@
 The kernel counts the common subsequences of LETTERS letters of two words, gaps allowed up to SPAN letters,
 each gap letter weighing less by DECAY; so inserted and swapped-in characters lessen a match but don't end
 it. Normalised, it is raised to POWER, which leaves words alike and parts the rest. Landmark words span the
-feature space (Nystroem); a machine with squared hinge loss is trained there on words of labelled sentences,
-with hard negatives added in rounds.
+feature space (Nystroem). A machine with squared hinge loss is trained there on labelled texts, each of which is judged by
+one of its words: words that are frequent in toxic texts begin, with forms of them that have letters put in; in rounds
+every text then gives the word with its greatest margin, toxic texts as an example and clean texts as a counter-example.
 
 A word is scored once for a stretch of texts, against every landmark; only the landmarks that hold one of its
 subsequences are looked up. A text is
@@ -14,6 +15,7 @@ fitted on labelled texts that the machine was not trained on.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -36,13 +38,21 @@ STRONG = 0.3
 # Words are judged by pieces of this many letters, one beginning every other letter.
 PIECE = 8
 STEP = 2
-# Labelled rows used at most, and words of each kind that the machine is trained on.
+# Labelled rows used at most; no more words than that begin the training, and each row adds one in a round.
 MOST_ROWS = 20_000
-MOST_WORDS = 3_000
+# A word to begin with is more frequent among toxic texts by this many deviations.
+DEVIATIONS = 5.0
 LANDMARKS = 120
-MINING_ROUNDS = 3
+# Words looked at for landmarks, which are no more alike than SPACING.
+MOST_SEEN = 1_000
+SPACING = 0.6
+ROUNDS = 3
 COST = 10.0
+# Clean texts count so many times.
 CAUTION = 10.0
+# What a word with letters put in weighs beside the word, and such letters.
+DISGUISED = 0.3
+_INSERTED = "xqzkjv"
 THRESHOLD = 0.7
 
 _CODES = 64
@@ -210,9 +220,8 @@ def _tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
             np.concatenate([owner, np.array(extra_owner, np.int64)]))
 
 
-def evidence_of(model: Model, texts: pa.Array) -> np.ndarray:
-    """(greatest word margin, words above STRONG) of each text; the bias and 0 for texts without words."""
-    distinct, codes, owner = _tokens(texts)
+def _best_pieces(model: Model, distinct: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(pieces, greatest margin of each word's pieces, place of that piece); the bias and -1 for words without pieces."""
     pieces: dict[str, int] = {}
     source: list[int] = []
     place: list[int] = []
@@ -220,8 +229,20 @@ def evidence_of(model: Model, texts: pa.Array) -> np.ndarray:
         for piece in pieces_of(word):
             source.append(k)
             place.append(pieces.setdefault(piece, len(pieces)))
-    by_word = np.full(len(distinct), model.bias)
-    np.maximum.at(by_word, np.asarray(source, np.int64), model.margins(list(pieces))[place])
+    by_word, at = np.full(len(distinct), -np.inf), np.full(len(distinct), -1, np.int64)
+    words_of, pieces_at = np.asarray(source, np.int64), np.asarray(place, np.int64)
+    margins = model.margins(list(pieces))[pieces_at]
+    np.maximum.at(by_word, words_of, margins)
+    best = margins == by_word[words_of]
+    at[words_of[best]] = pieces_at[best]
+    by_word[at < 0] = model.bias
+    return list(pieces), by_word, at
+
+
+def evidence_of(model: Model, texts: pa.Array) -> np.ndarray:
+    """(greatest word margin, words above STRONG) of each text; the bias and 0 for texts without words."""
+    distinct, codes, owner = _tokens(texts)
+    _, by_word, _ = _best_pieces(model, distinct)
     margins = by_word[codes]
     out = np.stack([np.full(len(texts), model.bias), np.zeros(len(texts))], axis=1)
     np.maximum.at(out[:, 0], owner, margins)
@@ -281,12 +302,35 @@ def _units(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return every, out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-def fit_machine(counts: dict[str, tuple[int, int]], texts: tuple[int, int], landmarks: list[str]) -> Model:
+def variants_of(piece: str) -> list[str]:
+    """The piece with one and with two letters put in, cut to its beginning and its end: forms that disguise it."""
+    out: dict[str, None] = {}
+    for low in range(2, len(piece)):
+        one = piece[:low] + _INSERTED[low % len(_INSERTED)] + piece[low:]
+        high = min(len(one) - 1, low + 3)
+        for form in (one, one[:high] + _INSERTED[high % len(_INSERTED)] + one[high:]):
+            out[form[:PIECE]] = out[form[-PIECE:]] = None
+    return list(out)
+
+
+def _apart(names: list[str], number: int) -> list[str]:
+    """The first ``number`` words that are no more alike than SPACING to any word taken before."""
+    if not names:
+        return []
+    _, units = _units(names)
+    taken: list[int] = []
+    for k in range(len(names)):
+        if len(taken) == number:
+            break
+        if not taken or (units[taken] @ units[k]).max() ** POWER < SPACING:
+            taken.append(k)
+    return [names[k] for k in taken]
+
+
+def fit_machine(counts: dict[str, tuple[float, float]], landmarks: list[str]) -> Model:
     """Squared-hinge machine over the landmarks' feature space, by Newton steps.
 
-    ``counts`` has the (toxic, clean) texts that hold each word, ``texts`` how many there are of either. A word
-    stands on both sides, parted by its shares of either kind of text, where the clean share counts CAUTION
-    times; so it has to be that much more frequent among toxic texts to lean that way.
+    ``counts`` has for each word what it weighs on the toxic and on the clean side.
     """
     codes, units = _units(sorted(landmarks))
     values, vectors = np.linalg.eigh((units @ units.T).astype(np.float64) ** POWER)
@@ -295,10 +339,7 @@ def fit_machine(counts: dict[str, tuple[int, int]], texts: tuple[int, int], land
     names = list(counts)
     x = _kernel(names, codes, units) @ root
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    seen = np.array([counts[name] for name in names], np.float64)
-    share = seen / np.asarray(texts, np.float64)
-    leaning = share[:, 0] / (share[:, 0] + CAUTION * share[:, 1])
-    toxic, clean = COST * leaning, COST * (1 - leaning)
+    toxic, clean = COST * np.array([counts[name] for name in names], np.float64).T
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     w = np.zeros(x.shape[1])
@@ -377,30 +418,49 @@ def train(docs: DataFrame, labels: DataFrame, folder: str) -> Model:
         return nothing
     _word_counts(fit).write.parquet(f"{folder}/words")
     counts = spark.read.parquet(f"{folder}/words")
-    # Words that speak for toxicity: the share among toxic texts is above that among clean ones by three deviations.
-    p1, p0 = (F.col("n_toxic") + 0.5) / (n[True] + 1), (F.col("n_clean") + 0.5) / (n[False] + 1)
-    spread = F.sqrt(p1 * (1 - p1) / n[True] + p0 * (1 - p0) / n[False])
-    speaks = (F.col("n_toxic") >= 2) & ((p1 - p0) / spread > 3) & (p1 > 5 * p0)
-    chosen = [counts.where(speaks).orderBy(F.desc((p1 - p0) / spread), "word").limit(MOST_WORDS),
-              counts.where(~speaks).orderBy(F.desc("n_clean"), "word").limit(MOST_WORDS // 2),
-              counts.where(~speaks).orderBy(F.xxhash64("word"), "word").limit(MOST_WORDS // 2)]
-    toxic, *others = [{row.word: (row.n_toxic, row.n_clean) for row in part.collect()} for part in chosen]
-    clean = others[0] | others[1]
-    if not toxic or not clean:
+    # Words to begin with: their share among toxic texts is above that among clean ones by DEVIATIONS.
+    p1, p0 = F.col("n_toxic") / n[True], F.col("n_clean") / n[False]
+    both = (F.col("n_toxic") + F.col("n_clean")) / (n[True] + n[False])
+    spread = F.sqrt(both * (1 - both) * (1 / n[True] + 1 / n[False]))
+    speaks = (F.col("n_toxic") >= 2) & (p1 - p0 > DEVIATIONS * spread) & (p1 > 5 * p0)
+
+    def weights(word: str, n_toxic: int, n_clean: int) -> tuple[float, float]:
+        share, other = n_toxic / n[True], CAUTION * (n_clean + 0.5) / n[False]
+        texts = math.sqrt(n_toxic + n_clean)
+        return texts * share / (share + other), (texts * other / (share + other) if n_clean else 0.0)
+
+    # No more words than labelled rows, here and in each round, where a text gives one.
+    seeds = {row.word: weights(*row) for row in counts.where(speaks).orderBy(F.desc((p1 - p0) / spread), "word")
+             .limit(MOST_ROWS).collect()}
+    silent = counts.where(~speaks & (F.col("n_clean") > 0))
+    common = {row.word: weights(*row) for order in (F.desc("n_clean"), F.xxhash64("word"))
+              for row in silent.orderBy(order, "word").limit(min(MOST_ROWS, n[False])).collect()}
+    if not seeds or not common:
         return nothing
     # Every landmark is a word of the training set, drawn from both classes.
     half = LANDMARKS // 2
-    landmarks = list(toxic)[:half] + sorted(clean)[::max(1, len(clean) // half)][:half]
-    texts = (n[True], n[False])
-    model = fit_machine(toxic | clean, texts, landmarks)
-    for _ in range(MINING_ROUNDS):
-        fresh = {word: seen for word, seen in _hardest(counts.where(~speaks & (F.col("n_clean") > 0)), model).items()
-                 if word not in clean}
-        if not fresh:
-            break
-        clean |= fresh
-        landmarks += [word for word in fresh if word not in landmarks][:half // 2]
-        model = fit_machine(toxic | clean, texts, landmarks)
+    landmarks = _apart(list(seeds)[:MOST_SEEN], half)
+    landmarks += [w for w in _apart(sorted(common)[::max(1, len(common) // half)], half // 2) if w not in landmarks]
+    disguised = {form: (DISGUISED * seeds[word][0], 0.0) for word in landmarks if word in seeds
+                 for form in variants_of(word) if form not in seeds and form not in common}
+    toxic, clean = seeds, common
+    model = fit_machine(disguised | toxic | clean, landmarks)
+    for _ in range(ROUNDS):
+        # The word that a text is judged by: toxic texts need one of it above, clean texts have it below.
+        found = (_witnesses(fit, model).groupBy("word").agg(F.count_if("toxic").alias("judged_toxic"),
+                                                            F.count_if(~F.col("toxic")).alias("judged_clean"))
+                 .join(counts, "word").select("word", "n_toxic", "n_clean", "judged_toxic", "judged_clean").collect())
+        found.sort(key=lambda row: (-row.judged_clean, row.word))
+        fresh = {}
+        for row in found:
+            lean = weights(row.word, row.n_toxic, row.n_clean)
+            if row.judged_clean and row.word not in seeds:
+                fresh[row.word] = lean
+            elif row.judged_toxic > 1:
+                toxic = toxic | {row.word: lean}
+        landmarks += [word for word in _apart(list(fresh)[:MOST_SEEN], half // (2 * ROUNDS)) if word not in landmarks]
+        clean = clean | fresh
+        model = fit_machine({w: v for w, v in disguised.items() if w not in clean} | toxic | clean, landmarks)
     found = _evidence_rows(scale, model).collect()
     labels = np.array([row.toxic for row in found], bool)
     if not labels.any() or labels.all():
@@ -408,17 +468,23 @@ def train(docs: DataFrame, labels: DataFrame, folder: str) -> Model:
     return _calibrated(model, np.array([(row.worst, row.above) for row in found]), labels)
 
 
-def _hardest(silent: DataFrame, model: Model) -> dict[str, tuple[int, int]]:
-    """The words with the greatest margins, MOST_WORDS of them at most, and their counts."""
+def _witnesses(rows: DataFrame, model: Model) -> DataFrame:
+    """(word, toxic): the piece with the greatest margin of each text that has one, and the text's label."""
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margins = pa.array(model.margins(batch.column(0).to_pylist()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, margins], [*batch.schema.names, "margin"])
+            for low, n in tokens.stretches(batch.column(0)):
+                part = batch.slice(low, n)
+                distinct, codes, owner = _tokens(part.column(0))
+                pieces, by_word, at = _best_pieces(model, distinct)
+                order = np.lexsort((codes, -by_word[codes], owner))
+                order = order[at[codes[order]] >= 0]
+                _, first = np.unique(owner[order], return_index=True)
+                chosen = order[first]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([pieces[k] for k in at[codes[chosen]].tolist()], pa.string()),
+                     part.column(1).take(pa.array(owner[chosen]))], ["word", "toxic"])
 
-    rows = (silent.select("word", "n_toxic", "n_clean")
-            .mapInArrow(judge, "word string, n_toxic bigint, n_clean bigint, margin double").where("margin > -1")
-            .orderBy(F.desc("margin"), "word").limit(MOST_WORDS))
-    return {row.word: (row.n_toxic, row.n_clean) for row in rows.collect()}
+    return rows.select("text", F.col("toxic").cast("boolean").alias("toxic")).mapInArrow(judge, "word string, toxic boolean")
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",

@@ -118,3 +118,64 @@ def test_kernel_against_a_plain_reckoning():
             dot = sum(v * g.get(k, 0) for k, v in f.items())
             norm = np.sqrt(sum(v * v for v in f.values()) * sum(v * v for v in g.values()))
             assert abs(got[a, b] - (dot / norm) ** T.POWER) < 1e-5
+
+
+def test_all_forms_with_letters_put_in(model):
+    changed = ["NITWIT!!", "nit-wit", "n.i.t.w.i.t", "blockxhead", "d i m w i t", "scound.rel", "(dimwit),", "b1ockhead",
+               "blocxkhzead", "scoxundrzel", "nitwxit", "scounndrel", "blokckhead", "bl0ckhead", "dimw1t"]
+    found = _predicted(model, [f"ka lo miter {word} onsa ve" for word in changed])
+    assert found.all(), dict(zip(changed, found.tolist()))
+    draw = random.Random(3)
+    texts = []
+    for _ in range(400):
+        word = draw.choice(INSULTS)
+        for _ in range(2):
+            k = draw.randrange(1, len(word))
+            word = word[:k] + draw.choice("abcdefghijklmnopqrstuvwxyz") + word[k:]
+        texts.append(f"ka lo miter {word} onsa ve")
+    assert _predicted(model, texts).mean() > 0.7
+
+
+def test_the_machine_is_at_the_least_loss():
+    """The fitted weights, judged by the loss worked out plainly: no small step makes it smaller."""
+    draw = random.Random(12)
+    counts = {f"^{_text(draw).split()[0][:6]}a": (draw.choice([0.0, 0.4, 2.0]), draw.choice([0.1, 1.0])) for _ in range(60)}
+    landmarks = sorted(counts)[::4]
+    fitted = T.fit_machine(counts, landmarks)
+    codes, units = T._units(landmarks)
+    alike = T._kernel(landmarks, codes, units)
+    seen = T._kernel(list(counts), codes, units)
+
+    def loss(weights, bias):
+        total = weights @ alike @ weights + 1e-6 * bias * bias
+        for row, (toxic, clean) in zip(seen, counts.values()):
+            margin = row @ weights + bias
+            total += T.COST * (toxic * max(0, 1 - margin) ** 2 + clean * max(0, 1 + margin) ** 2)
+        return total
+
+    least = loss(fitted.weights, fitted.bias)
+    steps = np.random.default_rng(5)
+    for size in (1e-2, 1e-1, 1.0):
+        for _ in range(50):
+            step = steps.normal(size=len(landmarks) + 1) * size
+            assert loss(fitted.weights + step[:-1], fitted.bias + step[-1]) > least - 1e-4 * least
+
+
+def test_scores_against_a_plain_reckoning(spark, model):
+    draw = random.Random(13)
+    texts = [_text(draw, [draw.choice(INSULTS)] if k % 3 == 0 else ()) for k in range(30)] + ["", "d i m w i t", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {row.doc_id: row for row in T.score(docs, model).collect()}
+    for k, text in enumerate(texts):
+        words = (text or "").split()
+        if words and all(len(w) == 1 for w in words):
+            words.append("".join(words))
+        margins = []
+        for word in words:
+            pieces = T.pieces_of(word)
+            margins.append(max((T._kernel(pieces, model.codes, model.units) @ model.weights + model.bias).tolist())
+                           if pieces else model.bias)
+        worst, strong = max(margins, default=model.bias), sum(m > T.STRONG for m in margins)
+        a, b, c = model.scale
+        want = 1 / (1 + np.exp(-(a * worst + b * np.log1p(strong) + c)))
+        assert abs(got[k].score - want) < 1e-3 and got[k].predicted == int(got[k].score >= T.THRESHOLD)
