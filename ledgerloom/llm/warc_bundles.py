@@ -165,15 +165,20 @@ def with_record_types(pages: DataFrame, id_col: str = "page_id", url_col: str =
         F.octet_length("html") >= LEAST_REVISIT_BYTES, F.unhex(F.sha2("html", 256))))
     last = (keyed.where("payload_key IS NOT NULL").groupBy("payload_key")
             .agg(F.max("page_id").alias("last"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
-    return keyed.join(last, "payload_key", "left").select(
+    # Small pages go round the join, where their null keys would meet in one task.
+    joined = keyed.where("payload_key IS NOT NULL").join(last, "payload_key", "left").select(
         "page_id", "url", "html", F.when(F.col("page_id") < F.col("last"), F.col("last")).alias("refers_to"))
+    small = keyed.where("payload_key IS NULL").select(
+        "page_id", "url", "html", F.lit(None).cast("bigint").alias("refers_to"))
+    return joined.unionByName(small)
 
 
 def write_bundles(pages: DataFrame, folder: str, date: str = "2020-01-01T00:00:00Z", frame_bytes: int = FRAME_BYTES,
                   bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Writes ``pages`` as bundles below ``folder`` and returns the index, read back from ``folder``/index.
 
-    ``folder`` is a URI or path that all executors share. An empty table gives an empty index.
+    ``folder`` is a URI or path that all executors share. An empty table gives an empty index. Pages of one id, and those
+    without an id, share a record identifier; the index has a row for each of them, and a lookup returns them all.
     """
     bundles = f"{folder}/bundles"
 
