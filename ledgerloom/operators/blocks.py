@@ -137,7 +137,8 @@ def contiguous_prefix(blocks: DataFrame, last: int) -> DataFrame:
     full = F.col("_count") == F.col("_expected")
 
     rank = F.dense_rank().over(Window.partitionBy("_bnp").orderBy("number"))
-    partial = numbers.join(ranked.filter(~full).select("_bnp"), "_bnp").withColumn(
+    # the first incomplete partition at most; without the hint Spark may take the blocks for the smaller side
+    partial = numbers.join(F.broadcast(ranked.filter(~full).select("_bnp")), "_bnp").withColumn(
         "_gap", F.col("number") - rank + 1 != start)
     limit = ranked.agg(F.max(F.when(full, F.col("_max"))).alias("_full_to"))
     reach = partial.filter(~F.col("_gap")).agg(F.max("number").alias("_partial_to"))
@@ -156,7 +157,8 @@ def _running_fees(fees: DataFrame, seed: int, balance: int) -> DataFrame:
         F.lit(0).cast(_FEE)).alias("_before"))
     inside = F.sum("fees").over(
         Window.partitionBy("_bnp").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)).cast(_FEE)
-    return rows.withColumn("_inside", inside).join(before, "_bnp").select(
+    # one row per bnp
+    return rows.withColumn("_inside", inside).join(F.broadcast(before), "_bnp").select(
         "number", "fees",
         (F.col("_before") + F.col("_inside") + F.lit(str(seed)).cast(_FEE)).cast(_FEE).alias("accumulate_fees"),
         F.lit(str(balance)).cast(_FEE).alias("accumulate_balance"),
@@ -179,7 +181,8 @@ def cumulative_burn_from_rewards(blocks: DataFrame, rewards: DataFrame, last: in
                                  seed: int = 0, balance: int = 0) -> DataFrame:
     """As ``cumulative_burn`` with the burnt fee of the reward row; a block without one ends it."""
     burnt = rewards.select("number", hex_to_decimal_text("burnt_fee").cast(_FEE).alias("fees"))
-    both = blocks.select("number", "timestamp").join(burnt, "number")
+    # Both sides have a row per block: neither is ever sent whole to every task, whatever size Spark guesses.
+    both = blocks.select("number", "timestamp").hint("merge").join(burnt, "number")
     return _running_fees(contiguous_prefix(both, last), seed, balance)
 
 

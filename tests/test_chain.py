@@ -206,3 +206,16 @@ def test_calendar():
     assert dates.previous_week("20240102") is None
     assert dates.previous_month("20240301") == ("20240201", "20240229")
     assert dates.days_between("20240228", "20240301") == ["20240228", "20240229", "20240301"]
+
+
+def test_blocks_are_not_sent_whole_to_tasks(spark):
+    """Blocks that an explode makes of few rows look small to Spark; rows per block partition are."""
+    few = spark.range(400).select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("i"), "id").select(
+        (F.col("id") * 10 + F.col("i")).alias("number"), F.lit(1).alias("timestamp"), F.lit("0x5").alias("burnt_fee"))
+    burnt = B.cumulative_burn_from_rewards(few, few.select("number", "burnt_fee"), last=5)
+    plan = burnt._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin [" in line or "SortMergeJoin [" in line]
+    assert any("SortMergeJoin [number" in line for line in joins)
+    assert not any("[number" in line and "BroadcastHashJoin" in line for line in joins)
+    assert not any("BuildLeft" in line for line in joins)
+    assert burnt.count() == 4000 - 6
