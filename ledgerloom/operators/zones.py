@@ -154,6 +154,6 @@ def running_burn(zones: DataFrame, blocks: DataFrame, lo: int, hi: int, seed: in
         "number", "timestamp", burnt_fee().alias("fees"), zone_of("number").alias("zone"))
     inside = F.sum("fees").over(Window.partitionBy("zone").orderBy("number").rowsBetween(Window.unboundedPreceding, 0))
     return read.withColumn("_inside", inside.cast(_FEE)).filter(F.col("number") >= lo).join(
-        sums.filter(F.col("zone").between(lo // ZONE, hi // ZONE)), "zone").select(
+        F.broadcast(sums.filter(F.col("zone").between(lo // ZONE, hi // ZONE))), "zone").select(
         "number", "timestamp", "fees",
         (F.col("_before") + F.col("_inside") + F.lit(str(seed)).cast(_FEE)).cast(_FEE).alias("accumulate_fees"))

@@ -114,7 +114,7 @@ def _zoned(spark, folder):
 @query("contiguous_prefix_long", with_(_CHAIN, _CHAIN_END) + "SELECT number, ts AS timestamp FROM chain, fin WHERE number > 5 AND number <= e")
 def contiguous_prefix_long(spark, folder):
     """Whole block partitions lie before the first gap."""
-    return B.contiguous_prefix(A.long_chain(spark, folder), 5).select("number", "timestamp")
+    return B.contiguous_prefix(A.long_chain(spark, folder), 5).select("number", F.col("timestamp").cast("int").alias("timestamp"))
 
 
 @query("cumulative_burn_from_rewards_long", with_(_CHAIN, _CHAIN_END) + """
@@ -125,13 +125,14 @@ def cumulative_burn_from_rewards_long(spark, folder):
     rewards = chain.select("number", F.concat(F.lit("0x"), A.hexed(F.col("gas_used"), 64)).alias("burnt_fee"))
     burnt = B.cumulative_burn_from_rewards(chain, rewards, last=5)
     return burnt.select("number", F.col("fees").cast("string").alias("fees"),
-                        F.col("accumulate_fees").cast("string").alias("accumulate_fees"), "timestamp")
+                        F.col("accumulate_fees").cast("string").alias("accumulate_fees"),
+                        F.col("timestamp").cast("int").alias("timestamp"))
 
 
 @query("zone_contiguous_prefix", with_(_CHAIN, _CHAIN_END) + "SELECT number, ts AS timestamp FROM chain, fin WHERE number > 5 AND number <= e")
 def zone_contiguous_prefix(spark, folder):
     zones, blocks = _zoned(spark, folder)
-    return Z.gap_free(zones, blocks, 5).select("number", "timestamp")
+    return Z.gap_free(zones, blocks, 5).select("number", F.col("timestamp").cast("int").alias("timestamp"))
 
 
 @query("zone_missing_blocks", with_(_CHAIN) + """
@@ -151,7 +152,7 @@ def zone_daily_tx_history(spark, folder):
 SELECT 40000::BIGINT AS blocks, sum(tx_count)::BIGINT AS transactions, min(ts) AS first_ts, max(ts) AS last_ts
 FROM (SELECT * FROM chain ORDER BY number DESC LIMIT 40000)""")
 def zone_newest_blocks(spark, folder):
-    return Z.newest(*_zoned(spark, folder), 40000)
+    return Z.newest(*_zoned(spark, folder), 40000).withColumns({c: F.col(c).cast("int") for c in ("first_ts", "last_ts")})
 
 
 @query("zone_cumulative_burn", with_(_CHAIN, _CHAIN_BURN) + """
@@ -162,7 +163,8 @@ def zone_cumulative_burn(spark, folder):
     zones, blocks = _zoned(spark, folder)
     newest = zones.agg(F.max("last")).first()[0]
     burnt = Z.running_burn(zones, blocks, newest // 2 + 1, newest, seed=1000)
-    return burnt.withColumns({c: F.col(c).cast("string") for c in ("fees", "accumulate_fees")})
+    return burnt.withColumns({c: F.col(c).cast("string") for c in ("fees", "accumulate_fees")} | {
+        "timestamp": F.col("timestamp").cast("int")})
 
 
 @query("day_windows", """

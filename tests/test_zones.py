@@ -3,6 +3,7 @@ import random
 import pytest
 
 from ledgerloom.operators import blocks as B, zones as Z
+from ledgerloom.plans.catalog import chain
 from ledgerloom.session import scratch_path
 
 SCHEMA = "number long, timestamp int, transaction_count int, gas_used int, base_fee_per_gas string"
@@ -77,3 +78,17 @@ def test_blocks_are_read_by_range(spark):
     assert "/blocks" not in Z.missing_numbers(zones, 0, 10)._jdf.queryExecution().optimizedPlan().toString()
     plan = Z.running_burn(zones, blocks, 10, 20)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(number,0)" in plan and "LessThanOrEqual(number,20)" in plan
+
+
+def test_the_long_chain_reaches_beyond_int_times(spark, tmp_path):
+    """Times of blocks that are not returned need not fit an int."""
+    far = 60_000_000        # 40 blocks each, ten seconds apart
+    rows = [(k, 3, 100.0) for k in (*range(200), far)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    got = chain.zone_contiguous_prefix(spark, str(tmp_path))
+    assert dict(got.dtypes)["timestamp"] == "int"
+    assert _numbers(got) == list(range(6, 200 * 40))
+    prefix = chain.contiguous_prefix_long(spark, str(tmp_path))
+    assert sorted(prefix.collect()) == sorted(got.collect())
+    burnt = chain.cumulative_burn_from_rewards_long(spark, str(tmp_path))
+    assert dict(burnt.dtypes)["timestamp"] == "int" and burnt.count() == got.count()
