@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgerloom import constants as K
 from ledgerloom.functions import hexnum as H
 from ledgerloom.operators import accounts, approvals, decode, holders, merges, nft_items, transfers, uris
+from ledgerloom.plans import jobs
 
 
 def hex64(n):
@@ -205,3 +206,21 @@ def test_uri_order(spark):
     patterns = spark.createDataFrame([("c", "p/{id}/x")], "contract_address string, pattern string")
     got = {(r.contract_address, r.token_id): r.token_uri for r in uris.token_uri(tokens, stored, patterns).collect()}
     assert got == {("c", "1"): "u1", ("c", "2"): "p/2/x", ("d", "1"): "-"}
+
+
+def test_holders_rebuilt_many_windows_to_a_job(spark, tmp_path):
+    draw = random.Random(4)
+    blocks = [b for b in range(400) if b % 50 < 20] + [5_000 + k for k in range(30)]
+    rows = [(f"c{b % 3}", a(draw.randint(0, 4)), a(draw.randint(0, 4)), hex64(draw.randint(1, 9)), b, b) for b in blocks * 2]
+    moved = spark.createDataFrame(
+        rows, "contract_address string, from_address string, to_address string, amount string, timestamp int, block_number long")
+    want = sorted(map(tuple, holders.token_balance_deltas(moved).collect()))
+    held = lambda df: sorted(map(tuple, df.select(*holders.token_balance_deltas(moved).columns).collect()))
+    for at_once, jobs_run in ((1, 28), (8, 6), (1024, 1)):
+        folder = tmp_path / str(at_once)
+        assert held(jobs.rebuild_holders(moved, -1, 10, str(folder), at_once)) == want
+        made = sorted(p.name for p in folder.iterdir())
+        assert len(made) <= jobs_run and (at_once < 1024 or len(made) == 1)
+        # one part for every window that holds rows
+        assert len(list(folder.glob("*/window=*"))) >= 19
+    assert jobs.rebuild_holders(moved, 1 << 40, 10, str(tmp_path / "none")).count() == 0
