@@ -63,8 +63,8 @@ def tx_counts(transactions: DataFrame) -> DataFrame:
         F.count("*").alias("transactions"))
 
 
-def account_contracts(transfers: DataFrame, typed: bool = True, exclude: tuple = ()) -> DataFrame:
-    """Latest time at which an account moved a contract's tokens.
+def account_contracts(transfers: DataFrame, typed: bool = True, exclude: tuple = (), within: tuple = ()) -> DataFrame:
+    """Latest time at which an account moved a contract's tokens, apart for each value of the columns ``within``.
 
     ``transfers`` has ``is_token``. The batch form keys by transfer type as well;
     with ``typed=False`` the latest transfer decides the type, as the continuous
@@ -72,33 +72,50 @@ def account_contracts(transfers: DataFrame, typed: bool = True, exclude: tuple =
     """
     account = F.explode(F.array_distinct(F.array("from_address", "to_address"))).alias("account_address")
     kind = F.when(F.col("is_token"), K.TRANSFER_TOKEN).otherwise(K.TRANSFER_NFT).alias("transfer_type")
-    legs = transfers.select(account, "contract_address", kind, "timestamp")
+    legs = transfers.select(account, "contract_address", kind, "timestamp", *within)
     legs = legs.filter(F.col("account_address").isNotNull())
     if exclude:
         legs = legs.filter(~F.col("account_address").isin(*exclude))
     if typed:
-        return legs.groupBy("account_address", "contract_address", "transfer_type").agg(
+        return legs.groupBy("account_address", "contract_address", "transfer_type", *within).agg(
             F.max("timestamp").alias("timestamp"))
     # time and type in one number, which a hash aggregate takes
     latest = F.max(F.col("timestamp").cast("bigint") * 2 + F.col("transfer_type")).alias("latest")
-    return legs.groupBy("account_address", "contract_address").agg(latest).select(
-        "account_address", "contract_address", F.col("latest").bitwiseAND(F.lit(1)).cast("int").alias("transfer_type"),
+    return legs.groupBy("account_address", "contract_address", *within).agg(latest).select(
+        "account_address", "contract_address", *within, F.col("latest").bitwiseAND(F.lit(1)).cast("int").alias("transfer_type"),
         F.shiftright("latest", 1).cast("int").alias("timestamp"))
 
 
+def follow_windows(pairs: DataFrame, window: str = "window") -> DataFrame:
+    """Account contracts of many windows as ``merge_account_contracts`` would leave them, window after window.
+
+    The first window with a time gives ``created_at``, the newest time (of equal ones that of the last window) the type.
+    """
+    # time, window and type in one number, which a hash aggregate takes; pairs without a contract never meet
+    newest = F.max((F.col("timestamp").cast("bigint") * (1 << 20) + F.col(window)) * 2 + F.col("transfer_type"))
+    first = F.min_by("timestamp", F.when(F.col("timestamp").isNotNull(), F.col(window)))
+    alone = F.when(F.col("contract_address").isNull(), F.col(window)).alias("_alone")
+    return pairs.groupBy("account_address", "contract_address", alone).agg(
+        newest.alias("_newest"), first.alias("created_at")).select(
+        "account_address", "contract_address", F.col("_newest").bitwiseAND(F.lit(1)).cast("int").alias("transfer_type"),
+        F.shiftright("_newest", 21).cast("int").alias("timestamp"), "created_at")
+
+
 def merge_account_contracts(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Add new pairs; on known ones keep ``created_at`` and the type and time of the newer side.
 
     An incoming row that is older than the stored one changes nothing, so a batch that is read
-    again, or late, does not turn ``updated_at`` back.
+    again, or late, does not turn ``updated_at`` back. Incoming rows of several windows
+    (``follow_windows``) have a ``created_at`` of their own.
     """
     keys = ["account_address", "contract_address"]
+    first = "created_at" if "created_at" in incoming.columns else "timestamp"
     new = incoming.select(
-        *keys, F.col("transfer_type").alias("new_type"), F.col("timestamp").alias("new_ts"))
+        *keys, F.col("transfer_type").alias("new_type"), F.col("timestamp").alias("new_ts"), F.col(first).alias("new_first"))
     newer = F.coalesce(F.col("new_ts") >= F.col("updated_at"), F.col("new_ts").isNotNull())
     return current.join(new, keys, "full_outer").select(
         *keys,
-        F.coalesce("created_at", "new_ts").alias("created_at"),
+        F.coalesce("created_at", "new_first").alias("created_at"),
         F.greatest("new_ts", "updated_at").alias("updated_at"),
         F.when(newer, F.col("new_type")).otherwise(F.col("transfer_type")).alias("transfer_type"),
     )

@@ -138,16 +138,62 @@ def windows(rows: DataFrame, last: int, size: int, by: str = "id") -> Iterator[t
         yield start, last, block_ops.id_window(rows, start, size, by)
 
 
+#: Windows that one job of ``rebuild_holders`` and ``catch_up_account_contracts`` works out.
+WINDOWS_AT_ONCE = 1024
+
+
+def window_starts(ids: DataFrame, last: int, size: int, most: int, by: str) -> list[int]:
+    """The first ids of the next ``most`` windows of ``windows``, told by the lowest and highest id of each stretch of ``size``.
+
+    A look at the ids themselves is needed only where a window ends inside of a stretch, and then at that stretch alone.
+    """
+    id_ = F.col(by)
+    cell = div(id_ - F.pmod(id_, F.lit(size)), size)
+    # A window reaches into two stretches at most.
+    cells = ids.filter(id_ > last).groupBy(cell.alias("cell")).agg(
+        F.min(by).alias("low"), F.max(by).alias("high")).orderBy("cell").limit(2 * most).collect()
+    starts: list[int] = []
+    for c in cells:
+        if c.high <= last or len(starts) == most:
+            continue
+        first = c.low if c.low > last else ids.filter((id_ > last) & (id_ <= c.high)).agg(F.min(by)).first()[0]
+        starts.append(first)
+        last = first - 1 + size
+    return starts
+
+
+def numbered_windows(rows: DataFrame, starts: Sequence[int], size: int, by: str) -> DataFrame:
+    """The rows of the windows of ``size`` ids that begin at ``starts``, with the number of their ``window``."""
+    cells: dict[int, tuple[int | None, int]] = {}
+    for k, start in enumerate(starts):
+        cells[start // size] = (start, k)
+        cells[start // size + 1] = (None, k)
+    small = rows.sparkSession.createDataFrame(
+        [(cell, *found) for cell, found in cells.items()], "_cell bigint, _border bigint, _k bigint")
+    id_ = F.col(by)
+    inside = rows.filter(id_.between(starts[0], starts[-1] - 1 + size))
+    here = inside.withColumn("_cell", div(id_ - F.pmod(id_, F.lit(size)), size).cast("bigint"))
+    before = F.coalesce(id_ < F.col("_border"), F.lit(False))
+    return here.join(F.broadcast(small), "_cell").withColumn(
+        "window", F.when(before, F.col("_k") - 1).otherwise(F.col("_k"))).drop("_cell", "_border", "_k")
+
+
 def catch_up_account_contracts(transfers_table: DataFrame, stored: DataFrame, last: int, size: int, folder: str,
-                               by: str = "block_number") -> tuple[DataFrame, int]:
+                               by: str = "block_number", at_once: int = WINDOWS_AT_ONCE) -> tuple[DataFrame, int]:
     """``stored`` account contracts after all transfers behind ``last``, window by window, and the last id done.
 
-    The table after each window is written below ``folder``, from where the next one takes it.
+    ``at_once`` windows are worked out by one job, each apart, and followed in their order (``transfers.follow_windows``). The
+    table after them is written below ``folder``, from where the next ones take it. So are the ids behind ``last``, which
+    tell where windows begin.
     """
     spark = stored.sparkSession
-    for _, last, rows in windows(transfers_table, last, size, by):
-        incoming = transfers.account_contracts(rows, typed=False, exclude=K.ZERO_ONLY)
-        transfers.merge_account_contracts(stored, incoming).write.mode("overwrite").parquet(f"{folder}/{last}")
+    transfers_table.filter(F.col(by) > last).select(by).distinct().sort(by).write.mode("overwrite").parquet(f"{folder}/ids")
+    ids = spark.read.parquet(f"{folder}/ids")
+    while starts := window_starts(ids, last, size, at_once, by):
+        last = starts[-1] - 1 + size
+        pairs = transfers.account_contracts(
+            numbered_windows(transfers_table, starts, size, by), typed=False, exclude=K.ZERO_ONLY, within=("window",))
+        transfers.merge_account_contracts(stored, transfers.follow_windows(pairs)).write.mode("overwrite").parquet(f"{folder}/{last}")
         stored = spark.read.parquet(f"{folder}/{last}")
     return stored, last
 
@@ -161,10 +207,6 @@ def holder_from_table(token_transfers: DataFrame, lo: int, hi: int, size: int |
     return holders.token_balance_deltas(inside.select("*", window), K.ZERO_ONLY, ["window"])
 
 
-#: Windows that one job of ``rebuild_holders`` works out.
-WINDOWS_AT_ONCE = 1024
-
-
 def rebuild_holders(token_transfers: DataFrame, last: int, size: int, folder: str, at_once: int = WINDOWS_AT_ONCE) -> DataFrame:
     """Balance deltas of all stored transfers behind block ``last``, window by window of ``size`` blocks.
 

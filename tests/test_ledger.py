@@ -6,6 +6,7 @@ from ledgerloom import constants as K
 from ledgerloom.functions import hexnum as H
 from ledgerloom.operators import accounts, approvals, decode, holders, merges, nft_items, transfers, uris
 from ledgerloom.plans import jobs
+from ledgerloom.session import scratch_path
 
 
 def hex64(n):
@@ -224,3 +225,25 @@ def test_holders_rebuilt_many_windows_to_a_job(spark, tmp_path):
         # one part for every window that holds rows
         assert len(list(folder.glob("*/window=*"))) >= 19
     assert jobs.rebuild_holders(moved, 1 << 40, 10, str(tmp_path / "none")).count() == 0
+
+def test_catch_up_follows_windows_in_order(spark, monkeypatch):
+    """Many windows by one job leave what one window after the other does, whatever their borders and gaps."""
+    draw = random.Random(4)
+    rows = [(draw.choice("abc"), draw.choice("abc"), draw.choice(["p", "q", None]), draw.random() < 0.5,
+             draw.choice([None, *range(6)]), n) for n in [*range(3, 60, 2), *range(500, 540), 9000, 9007] for _ in range(2)]
+    t = spark.createDataFrame(rows, "from_address string, to_address string, contract_address string, is_token boolean, "
+                                    "timestamp int, block_number bigint")
+    start = spark.createDataFrame([("a", "p", 0, 1, 4), ("b", "q", 1, 2, None)],
+                                  "account_address string, contract_address string, transfer_type int, created_at int, updated_at int")
+    size, want, alone = 7, start, 0
+    for alone, (_, last, window) in enumerate(jobs.windows(t, 4, size, "block_number"), 1):
+        want = transfers.merge_account_contracts(
+            want, transfers.account_contracts(window, typed=False, exclude=K.ZERO_ONLY)).localCheckpoint()
+    made = []
+    merge = transfers.merge_account_contracts
+    monkeypatch.setattr(jobs.transfers, "merge_account_contracts", lambda *a: made.append(1) or merge(*a))
+    for at_once in (3, 1024):
+        done, end = jobs.catch_up_account_contracts(t, start, 4, size, scratch_path(spark, "catch-up"), at_once=at_once)
+        assert end == last
+        assert sorted(map(str, done.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert len(made) == -(-alone // 3) + 1
