@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -182,3 +183,24 @@ def test_too_many_decimal_digits_raise(spark):
     nines = spark.createDataFrame([("9" * 200,)], "x string")
     with pytest.raises(Exception, match="digits"):
         nines.select(H.decimal_text_to_hex("x")).collect()
+
+
+def _largest_method(df, capfd):
+    capfd.readouterr()
+    df.explain("codegen")
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capfd.readouterr().out))
+
+
+def test_carried_sums_are_compiled(spark, capfd):
+    """The JVM interprets methods of more than 8,000 bytes, which takes several times as long for every row."""
+    df = spark.createDataFrame([("a", hex64(5), hex64(-7))], "k string, v string, x string").repartition(2)
+    sums = H.sum_hex(df, ["k"], "v", "v", signed=True)
+    wrong = sums.select("k", H.to_hex64("v").alias("v")).filter(F.col("v") != hex64(1))
+    assert wrong.collect() == [("a", hex64(5))]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")      # the plan with its code is there before a run
+    try:
+        sums = H.sum_hex(df, ["k"], "v", "v", signed=True)
+        assert _largest_method(sums.filter(H.is_positive("v")), capfd) < 8000
+        assert _largest_method(sums.select("k", H.to_hex64("v").alias("v")).filter(F.col("v") != hex64(1)), capfd) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
