@@ -47,3 +47,8 @@ def test_every_line_item_is_in_the_log(spark, folder):
 
 
 A_ADDRESS = "0x{:040x}"
+
+
+def test_tasks_are_told_by_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(A, "LINES_PER_TASK", 20, raising=False)
+    assert A.lines(spark, folder).rdd.getNumPartitions() == 11
