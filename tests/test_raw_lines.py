@@ -52,3 +52,15 @@ A_ADDRESS = "0x{:040x}"
 def test_tasks_are_told_by_rows(spark, folder, monkeypatch):
     monkeypatch.setattr(A, "LINES_PER_TASK", 20, raising=False)
     assert A.lines(spark, folder).rdd.getNumPartitions() == 11
+
+
+@pytest.mark.parametrize("files", [1, 3, 4, 8])
+def test_streams_take_rows_as_they_are_laid(spark, files):
+    from ledgerloom.plans.catalog import streams
+
+    stream, path = streams._replayed_as_laid(spark, spark.range(0, 100, 1, files), "laid")
+    counts = []
+    streams.run_to_end(stream.writeStream.foreachBatch(lambda batch, _: counts.append(batch.count())).option(
+        "checkpointLocation", f"{path}/checkpoint"), spark)
+    assert sum(counts) == 100 and len(counts) == (4 if files == 4 else 3)
+    assert len(spark.read.parquet(f"{path}/input").inputFiles()) == max(files, 3)
