@@ -35,24 +35,6 @@ def word_to_size(text: Column) -> Column:
     return F.when(fits, F.conv(F.substring(text, 51, 14), 16, 10).cast("bigint"))
 
 
-def _array_of_words(body: Column, head: int) -> Column:
-    """A dynamic uint256 array whose offset stands in word ``head``; null if it does not fit."""
-    start = word_to_size(word(body, head)) * 2
-    count = word_to_size(F.substring(body, (start + 1).cast("int"), F.lit(_WORD)))
-    first = start + _WORD
-    fits = (first + count * _WORD) <= F.length(body)
-    indexes = F.when(count == 0, F.array().cast("array<int>")).otherwise(
-        F.sequence(F.lit(0), (count - 1).cast("int")))
-    words = F.transform(indexes, lambda i: F.substring(body, (first + i * _WORD + 1).cast("int"), F.lit(_WORD)))
-    return F.when(start.isNotNull() & count.isNotNull() & (start < F.length(body)) & fits, words)
-
-
-def _paired(ids: Column, amounts: Column) -> Column:
-    pairs = F.zip_with(ids, amounts, lambda i, a: F.struct(
-        i.alias("id"), F.concat(F.lit("0x"), a).alias("amount")))
-    return F.filter(pairs, lambda p: p["id"].isNotNull() & p["amount"].isNotNull())
-
-
 def token_transfers(logs: DataFrame) -> DataFrame:
     """Fungible transfers: both parties from the topics, the amount as logged."""
     return logs.filter(is_token_transfer("topics")).select(
@@ -70,10 +52,11 @@ def nft_transfers(logs: DataFrame) -> DataFrame:
 
     Five layouts: the single-token form, and the single and batch multi-token
     forms with their parties either in the topics or in the data. Data that does
-    not fit its layout gives no rows.
+    not fit its layout gives no rows. Where the two lists of a batch begin and how many words they hold are columns
+    that build on each other: as one expression they are worked out again for each use, also for each word.
     """
     topics, kind = F.size("topics"), F.col("kind")
-    body = F.col("body")
+    body, size = F.col("body"), F.length("body")
     staged = logs.filter(is_nft_transfer("topics")).withColumns(
         {"kind": event_type("topics"), "body": hex_body("data")})
 
@@ -84,12 +67,30 @@ def nft_transfers(logs: DataFrame) -> DataFrame:
     def one(token_id: Column, amount: Column) -> Column:
         return F.array(F.struct(token_id.alias("id"), amount.alias("amount"))).cast(_ITEMS)
 
+    def start(head: Column) -> Column:
+        return F.when(batch, word_to_size(F.substring(body, head * _WORD + 1, F.lit(_WORD))) * 2)
+
+    def count(at: str) -> Column:
+        return F.when(F.col(at) < size, word_to_size(F.substring(body, (F.col(at) + 1).cast("int"), F.lit(_WORD))))
+
+    def fits(at: str, n: str) -> Column:
+        return (F.col(at) + _WORD + F.col(n) * _WORD) <= size
+
+    def nth(at: str, i: Column) -> Column:
+        return F.substring(body, (F.col(at) + (i + 1) * _WORD + 1).cast("int"), F.lit(_WORD))
+
+    head = F.when(indexed, 0).otherwise(3)
+    staged = staged.withColumns({"_ids": start(head), "_amounts": start(head + 1)}).withColumns(
+        {"_ids_n": count("_ids"), "_amounts_n": count("_amounts")}).withColumn(
+        "_pairs", F.when(fits("_ids", "_ids_n") & fits("_amounts", "_amounts_n"), F.least("_ids_n", "_amounts_n")))
+    pairs = F.transform(F.sequence(F.lit(0), (F.col("_pairs") - 1).cast("int")), lambda i: F.struct(
+        nth("_ids", i).alias("id"), F.concat(F.lit("0x"), nth("_amounts", i)).alias("amount")))
+
     items = (
         F.when((kind == "nft_transfer") & indexed, one(hex_body(F.get("topics", 3)), F.lit(_ONE)))
         .when(single & indexed, one(word(body, 0), F.concat(F.lit("0x"), word(body, 1))))
         .when(single & five_words, one(word(body, 3), F.concat(F.lit("0x"), word(body, 4))))
-        .when(batch & indexed, _paired(_array_of_words(body, 0), _array_of_words(body, 1)))
-        .when(batch, _paired(_array_of_words(body, 3), _array_of_words(body, 4)))
+        .when(batch & (F.col("_pairs") > 0), pairs.cast(_ITEMS))
     )
 
     def party(topic: int, data_word: int) -> Column:
