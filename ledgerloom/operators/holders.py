@@ -67,13 +67,15 @@ def nft_inventory_moves(transfers: DataFrame, exclude: Sequence[str] = K.ZERO_ON
 
     A token that came and went within one block leaves no trace, neither in the
     net count nor in the time. The legs are dealt by token once; the sums per block and the
-    total both find their rows together there.
+    total both find their rows together there. Their tasks are as many as the session's shuffles have: by
+    bytes AQE would join them, but what a task holds of its legs is some forty times as large as their exchange.
     """
     kept = transfers.filter(F.col("contract_type").isin(*collections))
+    tasks = int(transfers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     split = split_limbs(kept, "count", "token_count").select(
         "contract_address", "token_id", "from_address", "to_address", "timestamp", "block_number",
         *[f"count__p{i}" for i in range(6)])
-    legs = explode_legs(split).filter(_outside("holder_address", exclude)).repartition(*ITEM_KEY)
+    legs = explode_legs(split).filter(_outside("holder_address", exclude)).repartition(tasks, *ITEM_KEY)
     per_block = legs.groupBy(*ITEM_KEY, "block_number").agg(
         *limb_sums("count", "sign"), F.max("timestamp").alias("timestamp"))
     sums = limb_columns("count")

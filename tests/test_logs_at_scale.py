@@ -16,6 +16,16 @@ LINES = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_q
 PLACE = ("block_number", "transaction_index", "log_index")
 
 
+def test_tasks_of_inventory_moves_are_not_joined_by_bytes(spark):
+    one = F.lit("0x" + "1".rjust(64, "0"))
+    rows = spark.range(400).select(
+        F.concat(F.lit("c"), F.col("id") % 3).alias("contract_address"), F.lit(K.COLLECTION_TYPES[0]).alias("contract_type"), F.lit("a").alias("from_address"),
+        F.concat(F.lit("h"), F.col("id")).alias("to_address"), one.alias("token_count"), F.col("id").cast("string").alias("token_id"),
+        F.lit(5).alias("timestamp"), F.col("id").alias("block_number"))
+    moves = holders.nft_inventory_moves(rows)
+    assert moves.count() == 800 and moves.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _words(*numbers):
     return "".join(format(n, "064x") for n in numbers)
 
