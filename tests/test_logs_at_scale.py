@@ -16,6 +16,34 @@ LINES = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_q
 PLACE = ("block_number", "transaction_index", "log_index")
 
 
+def test_approvals_are_dealt_by_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(A, "LINES_PER_TASK", 10)
+    kinds = ("click", "view", "purchase", "signup", "error")
+    rows = [(k, dt.datetime(1995, 1, 1, k % 24), k % 9, kinds[k % 5], float(k)) for k in range(45)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").coalesce(
+        1).write.parquet(f"{tmp_path}/events.parquet")
+    plain, dealt = A.approval_logs(spark, str(tmp_path)), A.approval_logs(spark, str(tmp_path), dealt=True)
+    assert dealt.rdd.getNumPartitions() == 5
+    assert plain.exceptAll(dealt).isEmpty() and dealt.exceptAll(plain).isEmpty()
+
+
+def test_micro_batches_read_small_splits(spark):
+    path, found = scratch_path(spark, "splits"), []
+    spark.range(3).write.parquet(f"{path}/input")
+
+    def look(batch, batch_id):
+        found.append(batch.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+
+    def run(k):
+        stream = spark.readStream.schema("id long").parquet(f"{path}/input")
+        control.run_to_end(stream.writeStream.foreachBatch(look).option("checkpointLocation", f"{path}/checkpoint{k}"), spark)
+
+    run(0)
+    with control.settings(spark, {"spark.sql.files.maxPartitionBytes": "1m"}):
+        run(1)
+    assert found == ["16m", "1m"] and spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
+
+
 def test_tasks_of_inventory_moves_are_not_joined_by_bytes(spark):
     one = F.lit("0x" + "1".rjust(64, "0"))
     rows = spark.range(400).select(
