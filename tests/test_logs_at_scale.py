@@ -16,6 +16,31 @@ LINES = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_q
 PLACE = ("block_number", "transaction_index", "log_index")
 
 
+@pytest.fixture
+def folder(spark, tmp_path):
+    rows = [(k, k % 13 + n, k % 5, n % 3 + 1, 2.0, "RAN"[(k + n) % 3], "FO"[k % 2]) for k in range(40) for n in range(5)]
+    rows += rows[::7] + [(7, None, 3, 1, 1.0, "R", "F"), (7, 1, 1, None, 1.0, "R", "F"), (None, *rows[0][1:])]
+    spark.createDataFrame(rows, LINES).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(k, k + 3, dt.datetime(1995, 1, 1) + dt.timedelta(days=k)) for k in (*range(30), 3, 99)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    return str(tmp_path)
+
+
+def test_logs_alone_in_their_place(spark, folder):
+    every = A.event_logs(spark, folder).select(*PLACE).collect()
+    want = sorted(p for p, n in Counter(tuple(r) for r in every).items() if n == 1 and None not in p)
+    assert sorted(tuple(r) for r in A.event_logs(spark, folder, alone=True).select(*PLACE).collect()) == want
+    assert 0 < len(want) < len(every)
+
+
+def test_logs_alone_are_found_where_line_items_lie(spark, folder):
+    from ledgerloom.plans.catalog.streams import _unique_logs
+    with control.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = _unique_logs(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2         # line items and orders, both as they are stored
+
+
 def test_approvals_are_dealt_by_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(A, "LINES_PER_TASK", 10)
     kinds = ("click", "view", "purchase", "signup", "error")
