@@ -66,8 +66,7 @@ def restore_missing(blocks: DataFrame, transactions: DataFrame, logs: DataFrame,
     """
     gaps = quality.missing_blocks(blocks, lo, hi).select("number")
     short = quality.mismatched_blocks(blocks, transactions, lo, hi).select("number")
-    wanted = gaps.unionAll(short).distinct().select(F.col("number").alias("blockNumber"))
-    raw = source.join(wanted, "blockNumber", "left_semi")
+    raw = quality.of_blocks(source, gaps.unionAll(short), "blockNumber")
     new_blocks = refine.refine_blocks(raw)
     new_txs = refine.refine_transactions(raw, network)
     new_logs = refine.refine_event_logs(raw)

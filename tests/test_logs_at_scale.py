@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import constants as K
-from ledgerloom.operators import decode, holders
+from ledgerloom.operators import decode, holders, quality
 from ledgerloom.plans import adapters as A
 from ledgerloom.session import scratch_path
 from ledgerloom.streaming import control
@@ -108,3 +108,32 @@ def test_places_of_batch_lists_are_worked_out_once(spark):
     plan = decode.nft_transfers(_batch_logs(spark, [_words(64, 160, 0, 0)])).select("contract_address")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("conv(") <= 4             # two places and two lengths
+
+
+def test_rows_of_blocks_stay_where_they_are(spark):
+    known = [0, 1, 7, 8, 32767, 32768, 32769, 65536, 70000, 70000, 5_000_000_000, -1, -40000, None]
+    every = [n + d for n in known if n is not None for d in (-8, -1, 0, 1, 8)] * 2 + [None]
+    rows = spark.createDataFrame([(n, "x") for n in every], "block long, v string")
+    numbers = spark.createDataFrame([(n,) for n in known], "number long")
+    for inside in (True, False):
+        want = sorted(n for n in every if n is not None and (n in known) == inside)
+        with control.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+            got = quality.of_blocks(rows, numbers, "block", inside)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+        found = [r.block for r in got.collect()]
+        assert sorted(n for n in found if n is not None) == want and found.count(None) == (not inside)
+        assert got.columns == rows.columns and "SortMergeJoin" not in plan
+    assert quality.of_blocks(rows, numbers.limit(0), "block", inside=False).count() == len(every)
+
+
+def test_restoring_shuffles_no_raw_blocks(spark):
+    from ledgerloom import schemas
+    from ledgerloom.operators import refine
+    from ledgerloom.plans import jobs
+    path = scratch_path(spark, "raw")
+    spark.createDataFrame([], f"{schemas.BLOCK_LOG}").write.parquet(path)
+    raw = spark.read.parquet(path)
+    with control.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        made = jobs.restore_missing(refine.refine_blocks(raw), refine.refine_transactions(raw), refine.refine_event_logs(raw), raw, 0, 9)
+        plan = made["event_logs"]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(blockNumber" not in plan
