@@ -25,17 +25,20 @@ def refine_range(spark: SparkSession, source: str, target: str, lo: int, hi: int
     """Refine the block and trace logs of partitions lo to hi anew, replacing what was there.
 
     The blocks are decoded once, into the shared folder, and each table takes its columns from
-    there. Old partitions go only after the new ones are written.
+    there; when all are written that copy goes. Old partitions go only after the new ones are written.
     """
     folder = scratch_path(spark, "refine")
-    log_source.read_block_log(spark, f"{source}/topic=block", (lo, hi)).write.parquet(folder)
-    raw = spark.read.parquet(folder)
-    traces = log_source.read_trace_log(spark, f"{source}/topic=trace", (lo, hi))
-    for table, label in (
-            (refine.refine_blocks(raw), lake.BLOCKS),
-            (refine.refine_transactions(raw, network).drop(*lake.COUNTS), lake.TRANSACTIONS),
-            (refine.refine_event_logs(raw), lake.LOGS), (calls.flatten_calls(traces), lake.CALLS)):
-        lake.replace_partitions(table, f"{target}/{label}", range(lo, hi + 1))
+    try:
+        log_source.read_block_log(spark, f"{source}/topic=block", (lo, hi)).write.option("compression", "zstd").parquet(folder)
+        raw = spark.read.parquet(folder)
+        traces = log_source.read_trace_log(spark, f"{source}/topic=trace", (lo, hi))
+        for table, label in (
+                (refine.refine_blocks(raw), lake.BLOCKS),
+                (refine.refine_transactions(raw, network).drop(*lake.COUNTS), lake.TRANSACTIONS),
+                (refine.refine_event_logs(raw), lake.LOGS), (calls.flatten_calls(traces), lake.CALLS)):
+            lake.replace_partitions(table, f"{target}/{label}", range(lo, hi + 1))
+    finally:
+        lake.drop_folder(spark, folder)
 
 
 def due_periods(day: str) -> list[tuple[str, str, str]]:

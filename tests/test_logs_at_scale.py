@@ -1,5 +1,6 @@
 """How the steps that streams and lookups over all event logs share are dealt out."""
 import datetime as dt
+import os
 from collections import Counter
 
 import pytest
@@ -137,3 +138,15 @@ def test_restoring_shuffles_no_raw_blocks(spark):
         made = jobs.restore_missing(refine.refine_blocks(raw), refine.refine_transactions(raw), refine.refine_event_logs(raw), raw, 0, 9)
         plan = made["event_logs"]._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(blockNumber" not in plan
+
+
+def test_a_refined_range_leaves_no_decoded_copy(spark, folder, monkeypatch, tmp_path):
+    from ledgerloom.plans import jobs
+    from ledgerloom.sources import logs as L
+    made = []
+    monkeypatch.setattr(jobs, "scratch_path", lambda spark, name: made.append(scratch_path(spark, name)) or made[-1])
+    for topic in ("block", "trace"):
+        lines = spark.createDataFrame([("0", "no json")], "bnp string, value string")
+        L.write_raw_log(lines, f"{tmp_path}/log/topic={topic}")
+    jobs.refine_range(spark, f"{tmp_path}/log", f"{tmp_path}/lake", 0, 1)
+    assert len(made) == 1 and not os.path.exists(made[0].removeprefix("file:"))
