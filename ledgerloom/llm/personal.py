@@ -43,9 +43,13 @@ LEAST_SIZE, MOST_SIZE = 6, 64
 LEAST_SUPPORT = 3
 LEAST_CONFIDENCE = 0.5
 ROUNDS = 3
-STRETCH_BYTES = 4 << 20
+STRETCH_BYTES = 1 << 20
+# Rows of a part of the tables in between.
+PART_ROWS = 500_000
 # Bits of the filter that leaves out words of no pattern before they are counted; it only saves work.
 FILTER_BITS = 1 << 25
+# Counts of words that a task holds before it adds them up and sends them on.
+HELD_GRAMS = 1 << 19
 
 # Bytes that bound the words of lexical patterns, besides white space: labels end in such, quotes surround values.
 _BOUNDS = b"\"'()[]{}<>,;:=#|"
@@ -217,20 +221,34 @@ def _gram_filter(grams: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    found, at = np.unique(np.concatenate([grams for grams, _ in held]), return_inverse=True)
+    n = np.zeros(len(found), np.int64)
+    np.add.at(n, at, np.concatenate([counts for _, counts in held]))
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], ["gram", "n"])
+
+
 def gram_totals(docs: DataFrame, grams: DataFrame, text_col: str = "text") -> DataFrame:
     """(gram, total): how often each of ``grams`` (distinct) stands anywhere in ``docs``."""
     bits = _gram_filter(grams)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
         for batch in batches:
-            for low, size in tokens.stretches(batch.column(0), STRETCH_BYTES):
-                own = _Words.of(batch.column(0).slice(low, size))
+            for low, rows in tokens.stretches(batch.column(0), STRETCH_BYTES):
+                own = _Words.of(batch.column(0).slice(low, rows))
                 every = np.concatenate([own.single, own.double[own.has_double]])
                 for k in range(2):
                     at = _filter_place(every, k)
                     every = every[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-                found, n = np.unique(every, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], ["gram", "n"])
+                held.append(np.unique(every, return_counts=True))
+                size += len(held[-1][0])
+                if size > HELD_GRAMS:
+                    yield _added(held)
+                    held, size = [], 0
+        if held:
+            yield _added(held)
 
     counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "gram bigint, n bigint")
     return counted.groupBy("gram").agg(F.sum("n").alias("total")).join(grams.select("gram"), "gram", "left_semi")
@@ -253,16 +271,30 @@ def _trusted(edges: DataFrame, patterns: DataFrame, seeds: DataFrame) -> DataFra
     return found.unionByName(seeds)
 
 
+def _parts(scanned: DataFrame) -> int:
+    """How many parts the tables made of the mentions need: one for each core, or more where they have many rows.
+
+    A mention has four patterns at most, and no table has more rows than there are. Left to the shuffle, small tables
+    are cut into as many files as it has partitions, and every file in a local or mounted folder costs the executor
+    several processes, which count with all of its memory while they start.
+    """
+    rows = 4 * (scanned.agg(F.sum(F.size("mentions"))).first()[0] or 0)
+    return max(scanned.sparkSession.sparkContext.defaultParallelism, -(-rows // PART_ROWS))
+
+
 def bootstrap(edges: DataFrame, seeds: DataFrame, folder: str, rounds: int = ROUNDS,
-              confidence: float = LEAST_CONFIDENCE, support: int = LEAST_SUPPORT) -> DataFrame:
+              confidence: float = LEAST_CONFIDENCE, support: int = LEAST_SUPPORT, parts: int | None = None) -> DataFrame:
     """(instance, trust) after some rounds over the graph ``edges (side, gram, instance, n, total)``.
 
-    ``seeds (instance, trust)`` stay trusted. Every round is written below ``folder``.
+    ``seeds (instance, trust)`` stay trusted. Every round is written below ``folder``, in ``parts`` files at most.
     """
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        return written(frame.coalesce(parts) if parts else frame, folder, name)
+
     trust = seeds
     for k in range(rounds):
-        patterns = written(_confident(edges, trust, confidence, support), folder, f"patterns{k}")
-        trust = written(_trusted(edges, patterns, seeds), folder, f"trust{k}")
+        patterns = kept(_confident(edges, trust, confidence, support), f"patterns{k}")
+        trust = kept(_trusted(edges, patterns, seeds), f"trust{k}")
     return trust
 
 
@@ -277,24 +309,27 @@ def find_personal(docs: DataFrame, folder: str, rounds: int = ROUNDS, confidence
     words are told apart by 64-bit hashes. Tables in between are written below ``folder``.
     """
     scanned = written(mentions_of(docs, id_col, text_col).withColumn("row", F.expr("uuid()")), folder, "scan")
+    parts = _parts(scanned)
     every = scanned.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
     edges = every.select((F.col("kind") != FOUND).alias("seed"), "instance", F.explode("patterns").alias("p")).groupBy(
         "p.side", "p.gram", "instance").agg(F.count("*").alias("n"))
     # A pattern with fewer instances than it needs can never count, so its words are not looked up.
-    edges = written(edges, folder, "graph")
+    edges = written(edges.coalesce(parts), folder, "graph")
     wide = edges.groupBy("side", "gram").agg(F.count("*").alias("instances")).where(F.col("instances") >= support)
-    grams = written(wide.select("side", "gram"), folder, "grams")
-    totals = written(gram_totals(docs, grams.select("gram").distinct(), text_col), folder, "totals")
-    edges = written(edges.join(grams, ["side", "gram"], "left_semi").join(totals, "gram"), folder, "edges")
-    seeds = written(every.where(F.col("kind") != FOUND).select("instance").distinct().withColumn("trust", F.lit(1.0)),
-                    folder, "seeds")
-    trust = bootstrap(edges, seeds, folder, rounds, confidence, support)
+    grams = written(wide.select("side", "gram").coalesce(parts), folder, "grams")
+    totals = written(gram_totals(docs, grams.select("gram").distinct(), text_col).coalesce(parts), folder, "totals")
+    edges = written(edges.join(grams, ["side", "gram"], "left_semi").join(totals, "gram").coalesce(parts), folder, "edges")
+    seeds = written(every.where(F.col("kind") != FOUND).select("instance").distinct().withColumn(
+        "trust", F.lit(1.0)).coalesce(parts), folder, "seeds")
+    trust = bootstrap(edges, seeds, folder, rounds, confidence, support, parts)
     trusted = trust.where(F.col("trust") >= confidence).select("instance")
     span = F.struct(F.lit(FOUND).alias("kind"), "start", "end")
     found = every.where(F.col("kind") == FOUND).join(trusted, "instance", "left_semi").groupBy("row").agg(
         F.array_sort(F.collect_list(span)).alias("found"))
+    # Not in more parts than the texts were read in.
     return scanned.select("row", "doc_id", "spans").join(found, "row", "left").select(
-        "doc_id", F.concat("spans", F.coalesce("found", F.array().cast(_SPANS))).alias("spans"))
+        "doc_id", F.concat("spans", F.coalesce("found", F.array().cast(_SPANS))).alias("spans")).coalesce(
+        max(parts, len(scanned.inputFiles())))
 
 
 def spans_text(spans: Column) -> Column:

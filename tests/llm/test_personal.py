@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pyarrow as pa
 
@@ -147,3 +148,32 @@ def test_rounds_spread(spark):
 def test_empty(spark):
     assert P.find_personal(docs_of(spark, []), scratch_path(spark, "p")).collect() == []
     assert _got(P.find_personal(docs_of(spark, AWKWARD), scratch_path(spark, "p"))) == sorted(((d, []) for d, _ in AWKWARD), key=str)
+
+
+def test_small_tables_are_written_in_few_parts(spark):
+    """However many partitions the shuffles have, tables of a few rows need no file for each of them."""
+    docs, folder = AWKWARD + _corpus(4), scratch_path(spark, "p")
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key, None) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        found = P.find_personal(docs_of(spark, docs).repartition(3), folder)
+        assert _got(found) == _brute(docs)
+        assert found.rdd.getNumPartitions() <= 4
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    parts = {table.name: len(list(table.glob("part-*.parquet"))) for table in Path(folder).iterdir()}
+    assert len(parts) == 12 and max(parts.values()) <= 4, parts
+
+
+def test_counts_are_added_up(spark, monkeypatch):
+    """Stretches of a task are counted together, and sent on in between where they hold many words."""
+    docs = [(k, f"a b{k % 7} a") for k in range(60)]
+    grams = spark.createDataFrame([(int(g),) for g in P._Words.of(pa.array(["a b3"])).single], "gram bigint")
+    for held in (0, 5, P.HELD_GRAMS):
+        monkeypatch.setattr(P, "STRETCH_BYTES", 10)
+        monkeypatch.setattr(P, "HELD_GRAMS", held)
+        assert sorted(r.total for r in P.gram_totals(docs_of(spark, docs), grams).collect()) == [9, 120]
