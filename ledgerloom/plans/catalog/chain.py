@@ -111,6 +111,13 @@ def _zoned(spark, folder):
     return Z.write_zones(A.long_chain(spark, folder), scratch_path(spark, "zones"))
 
 
+def _times(rows, zones, *columns):
+    """Times of rows that reach the newest block: int, as their SQL gives them, or all long where the newest one is beyond it."""
+    newest = zones.agg(F.max("last_ts")).first()[0]
+    kind = "int" if newest is None or newest < 1 << 31 else "bigint"
+    return rows.withColumns({c: F.col(c).cast(kind) for c in columns})
+
+
 @query("contiguous_prefix_long", with_(_CHAIN, _CHAIN_END) + "SELECT number, ts AS timestamp FROM chain, fin WHERE number > 5 AND number <= e")
 def contiguous_prefix_long(spark, folder):
     """Whole block partitions lie before the first gap."""
@@ -152,7 +159,8 @@ def zone_daily_tx_history(spark, folder):
 SELECT 40000::BIGINT AS blocks, sum(tx_count)::BIGINT AS transactions, min(ts) AS first_ts, max(ts) AS last_ts
 FROM (SELECT * FROM chain ORDER BY number DESC LIMIT 40000)""")
 def zone_newest_blocks(spark, folder):
-    return Z.newest(*_zoned(spark, folder), 40000).withColumns({c: F.col(c).cast("int") for c in ("first_ts", "last_ts")})
+    zones, blocks = _zoned(spark, folder)
+    return _times(Z.newest(zones, blocks, 40000), zones, "first_ts", "last_ts")
 
 
 @query("zone_cumulative_burn", with_(_CHAIN, _CHAIN_BURN) + """
@@ -163,8 +171,7 @@ def zone_cumulative_burn(spark, folder):
     zones, blocks = _zoned(spark, folder)
     newest = zones.agg(F.max("last")).first()[0]
     burnt = Z.running_burn(zones, blocks, newest // 2 + 1, newest, seed=1000)
-    return burnt.withColumns({c: F.col(c).cast("string") for c in ("fees", "accumulate_fees")} | {
-        "timestamp": F.col("timestamp").cast("int")})
+    return _times(burnt.withColumns({c: F.col(c).cast("string") for c in ("fees", "accumulate_fees")}), zones, "timestamp")
 
 
 @query("day_windows", """

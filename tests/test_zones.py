@@ -92,3 +92,18 @@ def test_the_long_chain_reaches_beyond_int_times(spark, tmp_path):
     assert sorted(prefix.collect()) == sorted(got.collect())
     burnt = chain.cumulative_burn_from_rewards_long(spark, str(tmp_path))
     assert dict(burnt.dtypes)["timestamp"] == "int" and burnt.count() == got.count()
+
+
+def test_rows_beyond_int_times_are_returned_whole(spark, tmp_path):
+    """The newest blocks have times that no int holds; where all fit, int stays."""
+    for name, far in (("near", 300), ("far", 60_000_000)):
+        rows = [(k, 3, 100.0) for k in (*range(100), far)]
+        spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/{name}/orders.parquet")
+        kind = "int" if name == "near" else "bigint"
+        times = {far * 40 + i: 800_000_000 + (far * 40 + i) * 10 for i in range(40)}
+        burnt = chain.zone_cumulative_burn(spark, f"{tmp_path}/{name}")
+        assert dict(burnt.dtypes)["timestamp"] == kind
+        assert {r.number: r.timestamp for r in burnt.collect()} == times
+        newest = chain.zone_newest_blocks(spark, f"{tmp_path}/{name}")
+        assert [dict(newest.dtypes)[c] for c in ("first_ts", "last_ts")] == [kind] * 2
+        assert newest.first()["last_ts"] == max(times.values()) and newest.first()["first_ts"] == 800_000_000
