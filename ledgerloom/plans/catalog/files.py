@@ -320,7 +320,8 @@ def replace_range(spark, folder):
     rows = A.transfers(spark, folder).select(
         (F.col("block_number") * 50).alias("block_number"), "display_order", "flag")
     bnp = F.call_function("div", F.col("block_number"), F.lit(K.BLOCKS_PER_PARTITION)).cast("string")
-    rows.withColumn("bnp", bnp).write.partitionBy("bnp").parquet(path)
+    # Line items are dealt by a hash of their order: without the hint each task would write a file into every partition.
+    rows.withColumn("bnp", bnp).hint("rebalance", "bnp").write.partitionBy("bnp").parquet(path)
     lake.replace_range(rows.filter("flag = 'A'"), path, 0, 200000)
     return spark.read.parquet(path).groupBy("bnp").agg(F.count("*").alias("rows"))
 
